@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .decontam import contamination
+from .langid import identify
 from .packing import pack_documents
 from .set_join import jaccard_classes
 
@@ -26,6 +27,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
 
