@@ -11,6 +11,7 @@ from . import oracles
 from .decontam import contamination
 from .langid import identify
 from .packing import pack_documents
+from .pii import replace_private
 from .set_join import jaccard_classes
 
 
@@ -23,6 +24,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import salted_join, stored
 
 #: Sizes of a band span this ratio; a set signs for one or two bands.
 BAND_RATIO = 1.5
@@ -27,7 +27,6 @@ SUBS = 3
 CELLS = 64
 #: Pairs that share one copy of the more frequent side's text.
 PAIRS_A_COPY = 256
-SALTS = 16
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -173,15 +172,6 @@ def _signature_rows(width: int, percent: int):
     return run
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join on keys of which one may hold much of ``left``: it is dealt to ``salts`` tasks by ``spread``.
-
-    ``right`` has few rows and is repeated for each salt.
-    """
-    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
-
-
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): node and component, its smallest node.
 
