@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .pii import replace_private
 from .quality import score_quality
 from .set_join import jaccard_classes
+from .warc import read_archives, write_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_archives(spark, write_archives(table(spark, sf_dir, "pages"), least_bytes=0))
+    number = lambda c: F.regexp_extract(c, "([0-9]+)$", 1).try_cast("long")
+    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
 
