@@ -11,6 +11,7 @@ from . import oracles
 from .decontam import contamination
 from .html_text import extract
 from .langid import identify
+from .media import payload_digests, payload_images
 from .packing import pack_documents
 from .pii import replace_private
 from .quality import score_quality
@@ -35,6 +36,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload_digests(payload_images(table(spark, sf_dir, "documents")))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
