@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .pii import replace_private
 from .quality import score_quality
 from .set_join import jaccard_classes
+from .token_shards import read_segments, token_sequences, write_shards
 from .warc import read_archives, write_archives
 
 
@@ -32,6 +33,10 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_training_order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_segments(*write_shards(token_sequences(table(spark, sf_dir, "documents"))))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
@@ -59,7 +64,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id")
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id", "text_hash")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
