@@ -27,8 +27,13 @@ def words(text: Column) -> Column:
 
 
 def token_table(docs: DataFrame) -> DataFrame:
-    """doc_id, row_id (names the row, whatever doc_id holds) and words, stored."""
-    return stored(docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), words(F.col("text")).alias("words")), "tokens")
+    """doc_id, row_id (names the row, whatever doc_id holds), text_hash, n_words and the words with a space between (``line``), stored."""
+    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    return stored(found.select("doc_id", "row_id", "text_hash", F.size("words").cast("long").alias("n_words"), F.array_join("words", " ").alias("line")), "tokens")
+
+
+def _split() -> Column:
+    return F.when(F.col("n_words") > 0, F.split("line", " ")).otherwise(F.array().cast("array<string>"))
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -46,7 +51,7 @@ def small(df: DataFrame) -> DataFrame:
 def ranked_terms(tokens: DataFrame, asked: DataFrame) -> DataFrame:
     """(phrase, n, off, term, rank): a phrase's terms from the rarest in ``tokens``; phrases with an absent term are left out."""
     terms = asked.select("phrase", "n").distinct().select("phrase", "n", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
-    seen = tokens.select(F.explode("words").alias("term")).join(small(terms.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count("*").alias("many"))
+    seen = tokens.select(F.explode(_split()).alias("term")).join(small(terms.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count("*").alias("many"))
     of = terms.join(seen, "term", "left").select("phrase", "n", "off", "term", F.coalesce("many", F.lit(0)).alias("many"))
     of = of.withColumn("least", F.expr("min(many) over (partition by phrase)")).filter("least > 0")
     return of.withColumn("rank", F.expr("row_number() over (partition by phrase order by many, off)")).drop("least", "many")
@@ -54,7 +59,7 @@ def ranked_terms(tokens: DataFrame, asked: DataFrame) -> DataFrame:
 
 def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     """The index: (term, row_id, pos) of all occurrences of ``terms``, stored."""
-    found = tokens.select("row_id", F.posexplode("words").alias("pos", "term")).join(small(terms.select("term").distinct()), "term", "left_semi")
+    found = tokens.select("row_id", F.posexplode(_split()).alias("pos", "term")).join(small(terms.select("term").distinct()), "term", "left_semi")
     return stored(found.select("term", "row_id", "pos"), "postings")
 
 
@@ -70,7 +75,7 @@ def exact_matches(tokens: DataFrame, asked: DataFrame) -> DataFrame:
     keep = ["row_id", "start", "n", "phrase"]
     possible = met.select(*keep).unionByName(at.filter("term_2 is null").select(*keep))
     by_row = possible.groupBy("row_id").agg(F.collect_list(F.struct("start", "n", "phrase")).alias("found"))
-    checked = tokens.select("row_id", "words").join(by_row, "row_id").select("row_id", F.filter("found", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["n"]), " ") == c["phrase"]).alias("found"))
+    checked = tokens.select("row_id", "n_words", "line").join(by_row, "row_id").select("row_id", "found", _split().alias("words")).select("row_id", F.filter("found", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["n"]), " ") == c["phrase"]).alias("found"))
     return checked.select("row_id", F.explode("found").alias("m")).select("row_id", "m.*")
 
 
@@ -89,7 +94,7 @@ def proximity_matches(tokens: DataFrame, asked: DataFrame, slop: int) -> DataFra
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Benchmark hits of every row of ``docs``: row_id, doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Benchmark hits of every row of ``docs``: row_id, doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated.
 
     n_hit counts the words inside any occurrence of a phrase, n_items the items
     of which a phrase occurs. Null or empty texts have no words and no hits;
@@ -105,7 +110,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     covered = reach.groupBy("row_id").agg(F.sum(F.greatest(F.lit(0), F.col("stop") - F.greatest("start", F.coalesce("seen", F.lit(0))))).cast("long").alias("n_hit"))
     named = hits.select("row_id", "phrase").distinct().join(asked.filter("item_id is not null").select("item_id", "phrase"), "phrase")
     named = named.groupBy("row_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    out = tokens.select("row_id", "doc_id", F.size("words").cast("long").alias("n_words")).join(covered.join(named, "row_id", "left"), "row_id", "left")
+    out = tokens.select("row_id", "doc_id", "text_hash", "n_words").join(covered.join(named, "row_id", "left"), "row_id", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("row_id", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select("row_id", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
