@@ -1,11 +1,16 @@
-"""All registered queries of the span operators."""
+"""All registered queries of the span operators, and their SQL twins."""
 
-FLAGSHIP = ""
+from __future__ import annotations
+
+from . import span_queries
+
+FLAGSHIP = "alignment_outcomes"
+MODULES = [span_queries]
 
 
 def queries():
-    return {}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
