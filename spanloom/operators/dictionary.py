@@ -85,7 +85,7 @@ def match(tokens: DataFrame, aliases: DataFrame) -> DataFrame:
         length = F.col("n") + takes.cast("int")
         return df.select("doc_id", "label", "token_start", (F.col("token_start") + length).alias("token_stop"), "n", "ord", "alias", F.lit(matcher).alias("matcher"), "start", F.get("stops", length - 1).alias("stop"), F.get("next", length - 1).alias("final"))
 
-    hits = together(found(plain, "alias_compact"), found(hyphened, "alias_hyphenated_suffix"), "doc_id")
+    hits = together(found(plain, "alias_compact"), found(hyphened, "alias_hyphenated_suffix"))
     same = W.partitionBy("doc_id", "label", "token_start", "token_stop").orderBy("n", "ord", "alias")
     hits = hits.withColumn("k", F.row_number().over(same)).filter("k = 1")
     shorter = F.max("token_stop").over(W.partitionBy("doc_id", "label", "token_start").orderBy("token_stop").rangeBetween(-1, -1))

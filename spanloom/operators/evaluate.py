@@ -33,7 +33,7 @@ def token_metrics(tagged: DataFrame, gold: str = "gold", predicted: str = "predi
 def _matched(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """Distinct spans of either side with flags; one grouping instead of a join."""
     side = lambda df, g: df.select(*SPAN, F.lit(g).alias("g"), F.lit(1 - g).alias("p"))
-    return together(side(gold, 1), side(predicted, 0), "doc_id").groupBy(*SPAN).agg(F.max("g").alias("g"), F.max("p").alias("p"))
+    return together(side(gold, 1), side(predicted, 0)).groupBy(*SPAN).agg(F.max("g").alias("g"), F.max("p").alias("p"))
 
 
 def entity_metrics(gold: DataFrame, predicted: DataFrame, by_label: bool = False) -> DataFrame:

@@ -80,7 +80,7 @@ def aligned(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     missed, extra, wrong_label, span_mismatch, wrong_label_and_span (one of
     each) or complex_overlap.
     """
-    both = together(gold.select(*SPAN).distinct().withColumn("side", F.lit(0)), predicted.select(*SPAN).distinct().withColumn("side", F.lit(1)), "doc_id")
+    both = together(gold.select(*SPAN).distinct().withColumn("side", F.lit(0)), predicted.select(*SPAN).distinct().withColumn("side", F.lit(1)))
     both = both.withColumn("sides", F.count("*").over(W.partitionBy(*SPAN)))
     exact = both.filter("sides = 2 and side = 0").select("doc_id", F.lit("correct").alias("outcome"), "token_start", "token_stop", F.array("label").alias("gold"), F.array("label").alias("predicted"))
     of = lambda side, value: F.sort_array(F.collect_list(F.when(F.col("side") == side, value)))

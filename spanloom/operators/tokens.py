@@ -13,10 +13,15 @@ def by_document(*order: str) -> W:
     return W.partitionBy("doc_id").orderBy(*(order or ("i",)))
 
 
-def together(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """The union, dealt by ``keys``. The exchange is explicit: Spark 4.1 takes the partitioning of a union's
-    inputs for its own, which adaptive coalescing can belie, and then splits groups."""
-    return left.unionByName(right).repartition(*keys)
+def together(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The union of rows that are grouped by document next.
+
+    Spark 4.1 takes the common partitioning of a union's inputs for the union's
+    own, but adaptive execution may coalesce the inputs differently, and then
+    groups are split. The rule is switched off for the session.
+    """
+    left.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return left.unionByName(right)
 
 
 def pieces(text: Column) -> Column:
