@@ -105,7 +105,7 @@ def contextual(tokens: DataFrame, hits: DataFrame) -> DataFrame:
     rows = hits.join(wide, ["doc_id", "token_start"])
     n = F.col("token_stop") - F.col("token_start")
     one, two = F.get("rest", n), F.get("rest", n + 1)
-    opened = F.coalesce(F.element_at("before", -1) == "(", F.lit(False))
+    opened = F.coalesce(F.try_element_at(F.col("before"), F.lit(-1)) == "(", F.lit(False))
     closed = F.coalesce(one == ")", F.lit(False)) | F.coalesce((one == ".") & (two == ")"), F.lit(False))
     near = F.transform(F.concat("before", F.slice("rest", F.lit(1), n + _NEAR)), casefold)
     verbs = F.array(*map(F.lit, REPORTING))
