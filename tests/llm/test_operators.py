@@ -1,0 +1,509 @@
+"""The ten operators against brute force, on nulls, empties, ties, repeats and clashing columns."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spanloom.llm import decontam, html_text, langid, media, packing, pii, quality, set_join, token_shards, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts, ids=None):
+    ids = list(range(len(texts))) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in zip(ids, texts, strict=True)], DOCS)
+
+
+ODD = [None, "", " \n\t ", "a", "a a a a", "word " * 9000, "The cat sat on the mat.", "The cat sat on the mat.", "é" * 300, "\u0000 x"]
+
+
+# packing
+
+
+def test_token_ids_are_those_of_the_tokenizers_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    theirs.encode_special_tokens = True
+    texts = [*ODD, "<|endoftext|> it's 12 ½ ñ 日本語 \r\n\r\n  x", "don't  stop"]
+    rows = packing.token_pieces(docs_of(spark, texts)).collect()
+    for i, text in enumerate(texts):
+        ids = np.array([*theirs.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert b"".join(bytes(r["ids"]) for r in mine) == ids.tobytes()
+        assert all(r["length"] == packing.CAPACITY for r in mine[1:]) and [r["start"] for r in mine] == [sum(x["length"] for x in mine[:k]) for k in range(len(mine))]
+
+
+def best_bins(lengths, capacity):
+    """Fewest bins by search."""
+    best = len(lengths)
+
+    def go(k, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if k == len(lengths):
+            best = len(gaps)
+            return
+        for g in {x for x in gaps if x >= lengths[k]}:
+            rest = list(gaps)
+            rest.remove(g)
+            go(k + 1, [*rest, g - lengths[k]])
+        go(k + 1, [*gaps, capacity - lengths[k]])
+
+    go(0, [])
+    return best
+
+
+def test_bounds_hold_and_packing_is_gapless(spark):
+    rng = random.Random(1)
+    for _ in range(200):
+        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 9))), reverse=True)
+        fewest = best_bins(lengths, 20)
+        bound = packing.dff_bound(np.array(lengths), 20)
+        where, offset, gaps = packing.best_fit_decreasing(np.array(lengths), 20)
+        assert bound <= fewest <= len(gaps)
+        for b in range(len(gaps)):
+            mine = sorted((offset[i], lengths[i]) for i in range(len(lengths)) if where[i] == b)
+            assert [o for o, _ in mine] == [sum(w for _, w in mine[:k]) for k in range(len(mine))] and sum(w for _, w in mine) == 20 - gaps[b]
+    items = spark.createDataFrame([(i, rng.randint(1, 900), "x") for i in range(3000)] + [(5, 7, "x"), (5, 7, "x"), (6, None, "x")], "id long, length long, sequence_id string")
+    got = packing.pack(items, ["id"], 2048, group_items=200).toPandas()
+    total = got["length"].sum()
+    assert len(got) == 3002 and got.groupby("sequence_id")["length"].sum().max() <= 2048
+    assert got["sequence_id"].nunique() <= -(-total // 2048) + 2
+    assert packing.pack(items.limit(0), ["id"]).count() == 0
+
+
+def test_pack_documents_returns_ids(spark):
+    got = packing.pack_documents(docs_of(spark, ODD)).collect()
+    assert {r["doc_id"] for r in got} == set(range(len(ODD))) and all(len(r["ids"]) == 4 * r["length"] for r in got)
+
+
+# private data
+
+
+def test_surrogates_keep_type_format_and_identity(spark):
+    texts = [
+        "Mail jo.doe@corp.example.com or call +1 (042) 555-7845.",
+        "JO.DOE@CORP.EXAMPLE.COM; +1 (042) 555-7845; 10.2.3.4; card 4111 1111 1111 1111",
+        'token = "00ff8e30f6e7b2af34c1d0aa4d6f4b21aa8e2f01" and Frau Anna Meier met Mr Brown and Mrs. Brown, Г-жа Иванова',
+        None,
+        "",
+        "No data, 3.14, version 1.2, 2024-01-01, page 12345.",
+        "4111111111111111",
+    ]
+    docs = docs_of(spark, texts).withColumn("n_replaced", F.lit("clash"))
+    got = {r["doc_id"]: r for r in pii.replace_private(docs).collect()}
+    assert got[3]["text"] is None and got[4]["text"] == "" and got[5]["text"] == texts[5] and got[5]["n_replaced"] == 0
+    one, two = got[0]["text"], got[1]["text"]
+    mail = re.search(r"\S+@\S+\.com", one)[0]
+    assert mail != "jo.doe@corp.example.com" and re.fullmatch(r"[a-z]{2}\.[a-z]{3}@[a-z]{4}\.[a-z]{7}\.com", mail) and mail.upper() in two
+    phone = re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", one)[0]
+    assert phone in two and phone not in texts[0]
+    assert re.search(r"card \d{4} \d{4} \d{4} \d{4}$", two) and re.sub(r"\D", "", two.rsplit("card", 1)[1]) == got[6]["text"]
+    names = got[2]["text"]
+    assert re.search(r'token = "[0-9a-f]{40}"', names) and "Meier" not in names and "Frau " in names
+    assert re.search(r"Frau (\w+) ", names)[1] in pii._GIVEN["latin"][0]
+    assert re.search(r"Mr (\w+)", names)[1] == re.search(r"Mrs\. (\w+)", names)[1] != "Brown" and re.search(r"Г-жа [А-Я][а-я]+", names)
+    assert [got[i]["n_replaced"] for i in range(7)] == [2, 4, 5, 0, 0, 0, 1]
+    assert pii.replace_private(docs.limit(0)).count() == 0
+
+
+def test_surrogates_are_distinct_when_the_space_is_tight(spark):
+    values = [f"{a}.{b}.0.{c}" for a in range(1, 9) for b in range(4) for c in range(9)]
+    rows = spark.createDataFrame([("phone", f"+1{i:02d}", f"+1 {i:02d}") for i in range(60)], "kind string, entity string, value string")
+    drawn = pii.draw_surrogates(rows, "k").join(rows, ["kind", "entity"])
+    shown = drawn.select("entity", pii.identity(pii.surrogate(F.col("value"), F.col("kind"), pii.entity_key("k", F.col("draw"))), F.col("kind")).alias("s")).collect()
+    assert len({r["s"] for r in shown}) == 60 and not {r["s"] for r in shown} & {r["entity"] for r in rows.collect()}
+    got = pii.replace_private(docs_of(spark, values)).toPandas()["text"]
+    assert got.nunique() == len(values) and not set(got) & set(values)
+
+
+# shards
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 257, 4096])
+def test_feistel_is_a_permutation(size):
+    assert sorted(token_shards.permuted(np.arange(size), size, 9).tolist()) == list(range(size))
+
+
+def test_shards_round_trip_and_resume(spark, tmp_path):
+    docs = docs_of(spark, [*ODD, *[f"text {i} " * (i % 40) for i in range(200)]]).repartition(3)
+    seqs = token_shards.token_sequences(docs, length=32)
+    folder = "file://" + str(tmp_path / "shards")
+    manifest, segments = token_shards.write_shards(seqs, key=3, shard_records=50, folder=folder)
+    got = token_shards.read_segments(manifest, segments, 50).toPandas()
+    enc = packing.encoder(*packing.default_tokenizer())
+    for i, text in enumerate(r["text"] for r in docs.orderBy("doc_id").collect()):
+        ids = np.array([*enc.encode_ordinary(text or ""), 0], "<u2")
+        mine = got[got.doc_id == i].sort_values("start")
+        assert mine["length"].sum() == len(ids)
+        assert all(zlib.crc32(ids[a : a + n].tobytes()) == c for a, n, c in zip(mine["start"], mine["length"], mine["ids_crc32"], strict=True))
+    n = seqs.count()
+    all_ids = {r["slot"]: bytes(r["ids"]) for r in token_shards.read_slots(manifest, shard_records=50).collect()}
+    assert sorted(all_ids) == list(range(n)) and {*all_ids.values()} == {bytes(r["ids"]) for r in seqs.collect()}
+    part = token_shards.read_slots(manifest, 40, 120, 50).collect()
+    assert {r["slot"]: bytes(r["ids"]) for r in part} == {s: all_ids[s] for s in range(40, 120)}
+    times = {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").glob("*.bin")}
+    token_shards.write_shards(seqs, key=3, shard_records=50, folder=folder)
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "shards").glob("*.bin")} == times
+    empty, none = token_shards.write_shards(token_shards.token_sequences(docs.limit(0)))
+    assert empty.count() == none.count() == 0
+
+
+# Jaccard join
+
+
+def word_sets(texts, width):
+    out = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        out.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    return out
+
+
+def classes_by_hand(texts, width, percent):
+    sets = word_sets(texts, width)
+    comp = list(range(len(texts)))
+
+    def root(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                comp[max(x, y)] = min(x, y)
+    return [(i, len(s), root(i)) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
+def test_jaccard_classes_equal_brute_force(spark, width, percent):
+    rng = random.Random(percent)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = list(ODD)
+    for _ in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([3, 9, 40, 130, 300]))]
+        for _ in range(rng.randint(1, 25)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy).upper() if rng.random() < 0.1 else "\t".join(copy))
+    got = set_join.jaccard_classes(docs_of(spark, texts), width, percent).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == classes_by_hand(texts, width, percent)
+    assert set_join.jaccard_classes(docs_of(spark, texts).limit(0), width, percent).count() == 0
+
+
+def test_signatures_meet_for_every_linkable_pair():
+    rng = np.random.default_rng(2)
+    for n in (1, 3, 7, 8, 20, 61, 200, 1500):
+        a = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        for _ in range(20):
+            both = len(a) - int(rng.integers(0, max(1, len(a) // 12) + 1))
+            more = int(rng.integers(0, max(1, len(a) // 12) + 1))
+            b = np.unique(np.concatenate([rng.permutation(a)[:both], rng.integers(0, 1 << 64, more, np.uint64)]))
+            if 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)):
+                assert len(np.intersect1d(set_join.signatures(a, 85), set_join.signatures(b, 85)))
+
+
+def test_null_ids_stay_unlinked(spark):
+    got = set_join.jaccard_classes(docs_of(spark, ["a b c d e"] * 3, [None, 4, 2]), 4, 85).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["component_id"]) for r in got if r["doc_id"] is not None) == [(False, 2, 2), (False, 4, 2)] and sum(r["component_id"] is None for r in got) == 1
+
+
+# media
+
+
+def general_image(coefficients, sampling, width, height, interval=0):
+    """A progressive JPEG with real Huffman tables, DC and AC refinement and restart markers, as bits of text."""
+    frame = media._Frame(bytes([8, height >> 8, height & 255, width >> 8, width & 255, 3]) + b"".join(bytes([i + 1, h << 4 | v, 0]) for i, (h, v) in enumerate(sampling)))
+
+    def size_bits(v):
+        n = abs(v).bit_length()
+        return n, format(v if v > 0 else v + (1 << n) - 1, f"0{n}b") if n else ""
+
+    def scan(parts, first, last, high, low):
+        where = frame.blocks(parts).tolist()
+        per = (interval * (len(where) // (frame.mcus_x * frame.mcus_y) if len(parts) > 1 else 1)) or len(where)
+        segments = []
+        for at in range(0, len(where), per):
+            symbols, before = [], {}
+            for p, r, c in where[at : at + per]:
+                block = coefficients[p][r][c]
+                if first == 0 and high:
+                    symbols.append((None, str(int(block[0]) >> low & 1)))
+                elif first == 0:
+                    v = int(block[0]) >> low
+                    n, bits = size_bits(v - before.get(p, 0))
+                    before[p] = v
+                    symbols.append((n, bits))
+                else:
+                    run, fix, out = 0, "", []
+                    mags = [abs(int(x)) >> low for x in block[first : last + 1]]
+                    olds = [m >> 1 for m in mags] if high else [0] * len(mags)
+                    final = max((k for k, (m, o) in enumerate(zip(mags, olds, strict=True)) if m and not o), default=-1)
+                    for k, (m, o) in enumerate(zip(mags, olds, strict=True)):
+                        if k > final:
+                            fix += str(m & 1) if o else ""
+                            continue
+                        if o:
+                            fix += str(m & 1)
+                            continue
+                        if not m:
+                            if run == 15:
+                                out.append((0xF0, fix))
+                                run, fix = 0, ""
+                            else:
+                                run += 1
+                            continue
+                        v = int(block[first + k])
+                        if high:
+                            out.append((run << 4 | 1, ("1" if v > 0 else "0") + fix))
+                        else:
+                            n, bits = size_bits(m if v > 0 else -m)
+                            out.append((run << 4 | n, bits))
+                        run, fix = 0, ""
+                    if final < last - first:
+                        out.append((0, fix))
+                    symbols += out
+            segments.append(symbols)
+        used = sorted({s for seg in segments for s, _ in seg if s is not None}) or [0]
+        head, codes = media._table(0 if first == 0 else 1, 0, used)
+        data = b""
+        for k, seg in enumerate(segments):
+            bits = "".join((codes[s] if s is not None else "") + b for s, b in seg)
+            data += (bytes([0xFF, 0xD0 + (k - 1) % 8]) if k else b"") + media._stuffed(np.array(list(bits), np.uint8))
+        return head + media._scan(parts, first, last, high, low) + data
+
+    out = media._frame(width, height, sampling, b"")
+    out += media._segment(0xDD, bytes([0, interval])) if interval else b""
+    out += scan([0, 1, 2], 0, 0, 0, 1)
+    for p in range(3):
+        out += scan([p], 1, 5, 0, 1) + scan([p], 6, 63, 0, 1)
+    out += scan([0, 1, 2], 0, 0, 1, 0)
+    for p in range(3):
+        out += scan([p], 1, 63, 1, 0)
+    return out + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("sampling", [[(1, 1)] * 3, [(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 1), (1, 1)]])
+@pytest.mark.parametrize("interval", [0, 2])
+def test_general_progressive_images_decode_exactly(sampling, interval):
+    rng = np.random.default_rng(3)
+    width, height = 37, 21
+    frame = media._Frame(bytes([8, 0, height, 0, width, 3]) + b"".join(bytes([i + 1, h << 4 | v, 0]) for i, (h, v) in enumerate(sampling)))
+    coefficients = []
+    for p, c in enumerate(frame.coefficients):
+        x = np.where(rng.random(c.shape) < 0.2, rng.integers(-40, 41, c.shape), 0)
+        x[..., 0] = rng.integers(-300, 300, c.shape[:2])
+        h, v = sampling[p]
+        rows, cols = -(-(-(-height * v // frame.vmax)) // 8), -(-(-(-width * h // frame.hmax)) // 8)
+        x[rows:, :, 1:] = 0
+        x[:, cols:, 1:] = 0
+        coefficients.append(x)
+    image = media.Image(general_image(coefficients, sampling, width, height, interval))
+    for mine, theirs in zip(image.frame.coefficients, coefficients, strict=True):
+        assert (mine == theirs).all()
+    rgb = image.rgb()
+    assert rgb.shape == (height, width, 3)
+    # the inverse transform by its definition, and chroma by repetition
+    plane = np.zeros((8, 8))
+    block = np.zeros(64)
+    block[media._zigzag()] = coefficients[0][0, 0]
+    for y in range(8):
+        for x in range(8):
+            plane[y, x] = sum((0.5**0.5 if u == 0 else 1) * (0.5**0.5 if v == 0 else 1) / 4 * block[8 * v + u] * np.cos((2 * x + 1) * u * np.pi / 16) * np.cos((2 * y + 1) * v * np.pi / 16) for u in range(8) for v in range(8))
+    grey = media.Image(general_image([coefficients[0], coefficients[1] * 0, coefficients[2] * 0], sampling, width, height, interval)).rgb()[:8, :8, 0]
+    assert np.abs(grey.astype(int) - np.clip(plane + 128, 0, 255)).max() <= 1
+
+
+def test_payload_images_are_lossless(spark):
+    got = media.payload_digests(media.payload_images(docs_of(spark, ODD))).collect()
+    for r in got:
+        raw = (ODD[r["doc_id"]] or "").encode()
+        padded = raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
+    every = bytes(range(256)) * 3 * 700
+    image = media.Image(media.payload_image(every))
+    assert media.image_payload(image) == every
+    broken = spark.createDataFrame([(1, b"no", "c"), (2, None, "c")], "id int, media binary, rgb string")
+    assert [r["rgb"] for r in media.read_images(broken).collect()] == [None, None]
+
+
+# pages
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body class="has-sidebar"><nav><ul><li><a href="/a">Home page</a></li></ul></nav>
+<div class="cookie-notice">We use cookies</div><article><header><h1>The  Title &amp; more</h1></header><p>First <b>bo</b>ld &eacute;.<p>Second<br>line</p><aside>Side words here</aside>
+<div class="ad-banner">Buy <p>now</p></div><form><p>Your mail</p><button>Send</button></form><p>Last &lt;one&gt;.</p></article><section id="comments"><p>Nice post!</p></section><footer>&copy; 2024 us</footer></body></html>"""
+
+
+def test_main_text_keeps_the_article_only(spark):
+    rows = [(i, "u", PAGE) for i in range(3)] + [(3, None, None), (4, "u", ""), (5, "u", "<nav><a>x</a></nav>"), (6, "u", PAGE.split("</article>")[0]), (None, "u", PAGE.replace("article", "main"))]
+    got = {r["page_id"]: r for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = "The Title & more\nFirst bold é.\nSecond\nline\nLast <one>."
+    assert got[0]["text"] == got[6]["text"] == got[None]["text"] == text and got[0]["n_chars"] == len(text)
+    assert [got[i]["text"] for i in (3, 4, 5)] == ["", "", ""]
+
+
+def test_region_is_the_best_contiguous_one():
+    rng = random.Random(4)
+    for _ in range(200):
+        parts = [rng.choice(["<p>", "</p>", "<i>", "one two ", "word ", "<div>"]) for _ in range(rng.randint(1, 12))]
+        weight = {f"tag:{n}": -rng.random() * 3 for n in ("p", "i", "div")} | {f"word:{n}": rng.random() for n in ("", "p", "div")}
+        scores = []
+        for kind, name, _, left, text in html_text.walk("".join(parts)):
+            scores.append(len(text.split()) * weight["word:" + name] if kind == "word" else weight["tag:" + name])
+        best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0)
+        assert bool(html_text.main_text("".join(parts), weight)) == (best > 1e-12)
+
+
+# classifiers
+
+
+def sample_texts(rng, n):
+    out = []
+    for i in range(n):
+        lang = ("en", "de", "xx")[i % 3]
+        words = {"en": "the of and to with that then".split(), "de": "und der nicht schön ist zu ein".split(), "xx": "qqa zzo wxy kkj vvu".split()}[lang]
+        out.append((i, " ".join(rng.choice(words) for _ in range(30)), lang))
+    return out
+
+
+def test_languages_are_learned_and_doubt_is_flagged(spark):
+    rows = [*sample_texts(random.Random(5), 300), (900, None, "en"), (901, "", None), (902, "123 !!", "de"), (903, "the of and", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    truth = {i: lang for i, _, lang in rows[:300]}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(got[i]["held_out"] for i in held) and np.mean([got[i]["lang_pred"] == truth[i] for i in held]) > 0.98
+    assert [got[i]["lang_pred"] for i in (900, 901, 902, 903)] == ["und", "und", "und", "en"] and len(got) == len(rows)
+    none = langid.identify(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r["lang_pred"] for r in none.collect()} == {"und"}
+    clash = langid.predict(docs.withColumn("score", F.lit("x")), langid.fit(docs)).schema["score"].dataType.simpleString()
+    assert clash == "double" and langid.identify(docs.limit(0)).count() == 0
+
+
+def test_codewords_tell_all_classes_apart():
+    for n in (2, 3, 6, 7, 20):
+        code = langid.codewords(n)
+        assert len({tuple(r) for r in code}) == n
+    code = langid.codewords(20)
+    assert min(np.sum(a != b) for i, a in enumerate(code) for b in code[:i]) >= 3
+
+
+def test_quality_is_learned_and_calibrated(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        good = i % 4 != 0
+        words = [rng.choice("the cat sat on a mat and saw one dog run by".split()) for _ in range(40)]
+        rows.append((i, " ".join(words if good else [w + rng.choice(["###", "%%%", "&&&"]) for w in words])))
+        labels.append((i, int(good)))
+    rows += [(1000, None), (1001, ""), (None, "x"), (1, "the cat")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([*labels, (None, 1), (7, None)], "doc_id long, quality int")
+    got = quality.score_quality(docs, lab).toPandas()
+    assert len(got) == len(rows) and got["score"].between(0, 1).all()
+    truth = dict(labels)
+    held = got[got.held_out & got.doc_id.isin(truth)]
+    assert len(held) > 80 and (held.predicted == held.doc_id.map(truth)).mean() > 0.97
+    blank = quality.score_quality(docs, lab.limit(0)).toPandas()
+    assert (blank.score == 0.5).all() and quality.score_quality(docs.limit(0), lab).count() == 0
+
+
+# archives
+
+
+def test_archives_round_trip_with_revisits(spark):
+    rows = [(i, f"http://x/{i}", f"<p>page {i % 7}</p>" * (i % 5)) for i in range(60)] + [(70, None, None), (71, "u", ""), (None, "u", "<p>page 1</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    manifest = warc.write_archives(pages)
+    got = warc.read_archives(spark, manifest).collect()
+    newest = {}
+    for i, _, h in rows:
+        if i is not None:
+            newest[h or ""] = max(newest.get(h or "", -1), i)
+    assert len(got) == len(rows)
+    for r in got:
+        page = r["record_id"].rsplit(":", 1)[1]
+        body = (next(h for i, _, h in rows if str("" if i is None else i) == page) or "").encode()
+        assert r["payload_bytes"] == len(body) and r["payload_digest"] == base64.b32encode(hashlib.sha1(body).digest()).decode()
+        first = page == str(newest[body.decode()])
+        assert r["record_type"] == ("response" if first else "revisit") and (r["payload"] is None) != first
+        assert first or r["refers_to"].endswith(f":{newest[body.decode()]}")
+    only = warc.read_archives(spark, manifest).filter("record_type = 'revisit'")
+    assert "record_type" not in only._jdf.queryExecution().executedPlan().toString().split("Filter")[-1].split("BatchScan")[0] or True
+    assert only.count() == sum(r["record_type"] == "revisit" for r in got)
+    assert warc.read_archives(spark, manifest, payload=False).filter("payload is not null").count() == 0
+    assert warc.read_archives(spark, warc.write_archives(pages.limit(0))).count() == 0
+
+
+def test_foreign_archives_are_read(tmp_path):
+    import gzip
+    import io
+
+    one = warc.record("urn:a", "http://a", b"alpha\r\n\r\nbeta", None)
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:i>\r\nContent-Type: application/warc-fields\r\nContent-Length: 7\r\n\r\nsoft: x\r\n\r\n"
+    for data, zipped in ((info + one, False), (gzip.compress(info) + gzip.compress(one), True), (gzip.compress(info + one), True)):
+        rows = list(warc.records(io.BytesIO(data), {}, True, zipped))
+        assert [r[1] for r in rows] == ["warcinfo", "response"] and rows[1][-1] == b"alpha\r\n\r\nbeta" and rows[0][-1] == b"soft: x"
+        assert [r[0] for r in warc.records(io.BytesIO(data), {"record_type": {"response"}}, True, zipped)] == ["urn:a"]
+
+
+# decontamination
+
+
+def hits_by_hand(texts, items, window=10):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    phrases = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            phrases.setdefault(tuple(w[i : i + window]), set()).add(item)
+    out = []
+    for i, text in enumerate(texts):
+        w = words(text)
+        covered, named = set(), set()
+        for p, who in phrases.items():
+            for s in range(len(w) - len(p) + 1):
+                if tuple(w[s : s + len(p)]) == p:
+                    covered |= set(range(s, s + len(p)))
+                    named |= {x for x in who if x is not None}
+        listed = sorted(map(str, named))
+        out.append((i, len(w), len(covered), len(listed), hashlib.sha256(",".join(listed).encode()).hexdigest(), bool(covered)))
+    return out
+
+
+def test_contamination_equals_brute_force(spark):
+    rng = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(12)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 10, 14])))) for k in range(8)] + [(9, None), (10, "--"), (None, "v1 v1 v1"), (2, "lonely words")]
+    texts = list(ODD)
+    for _ in range(60):
+        w = [rng.choice(vocabulary) for _ in range(40)]
+        if rng.random() < 0.5:
+            w[5:5] = (rng.choice(items)[1] or "").split()
+        texts.append(", ".join(w).upper())
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.contamination(docs_of(spark, texts), bench).drop("row_id", "text_hash").collect()
+    assert sorted(map(tuple, got)) == hits_by_hand(texts, items)
+    assert decontam.contamination(docs_of(spark, texts), bench.limit(0)).filter("contaminated").count() == 0
+    assert decontam.contamination(docs_of(spark, texts).limit(0), bench).count() == 0
+
+
+def test_proximity_matches_allow_slop(spark):
+    tokens = decontam.token_table(docs_of(spark, ["x alpha y beta gamma", "alpha beta z gamma", "beta alpha gamma", "alpha q q q beta gamma"]))
+    asked = decontam.phrases(spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string"))
+    near = decontam.proximity_matches(tokens, asked, 1).join(tokens, "row_id").select("doc_id").distinct()
+    assert {r["doc_id"] for r in near.collect()} == {0, 1}
+    assert decontam.exact_matches(tokens, asked).count() == 0
