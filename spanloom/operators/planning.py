@@ -125,7 +125,7 @@ def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42) -> DataFrame
         return pd.DataFrame({"grp": list(counts), "split": [out.get(g) for g in counts]})
 
     kind = benefit.schema["grp"].dataType.simpleString()
-    return benefit.groupBy(F.lit(1)).applyInPandas(choose, f"grp {kind}, split string")
+    return benefit.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(choose, f"grp {kind}, split string")
 
 
 def hash_sample(docs: DataFrame, targets: DataFrame, seed: int, key: str = "language") -> DataFrame:

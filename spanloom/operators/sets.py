@@ -23,8 +23,8 @@ def moved_out(rows: DataFrame, targets: DataFrame, key: str) -> DataFrame:
 
 def cross_split(rows: DataFrame, key: str) -> DataFrame:
     """Keys of more than one split, with the splits in order and the number of rows."""
-    found = rows.groupBy(key).agg(F.array_join(F.sort_array(F.collect_set("split")), ",").alias("splits"), F.count_distinct("split").alias("k"), F.count("*").alias("n"))
-    return found.filter("k > 1").select(key, "splits", "n")
+    found = rows.groupBy(key).agg(F.array_join(F.sort_array(F.collect_set("split")), ",").alias("splits"), F.count_distinct("split").alias("_splits"), F.count("*").alias("n"))
+    return found.filter("_splits > 1").select(key, "splits", "n")
 
 
 def kept_of_duplicates(rows: DataFrame, key: str, target: str) -> DataFrame:
