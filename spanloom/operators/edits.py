@@ -82,14 +82,15 @@ def repaired_spans(spans: DataFrame) -> DataFrame:
 
 def decoded_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
     """``model:base64`` of little-endian float32 to model string and vector array<float>; other columns stay."""
-    at = rows.columns.index(column)
+    names = rows.columns
+    at = names.index(column)
     schema = rows.select("*").schema.add("model", "string").add("vector", T.ArrayType(T.FloatType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [(v or ":").partition(":") for v in batch.column(at).to_pylist()]
             vectors = [np.frombuffer(base64.b64decode(p[2]), "<f4").tolist() for p in parts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([p[0] for p in parts]), pa.array(vectors, pa.list_(pa.float32()))], names=[*rows.columns, "model", "vector"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([p[0] for p in parts]), pa.array(vectors, pa.list_(pa.float32()))], names=[*names, "model", "vector"])
 
     return rows.mapInArrow(run, schema)
 

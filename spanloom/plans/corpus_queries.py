@@ -55,12 +55,14 @@ _VERBS = ", ".join(f"'{v}'" for v in t.REPORTING)
 
 
 @query(f"""WITH {_HITS}, w AS (SELECT doc_id, i, token, lag(token, 1) OVER d AS b1, lag(token, 2) OVER d AS b2, lag(token, 3) OVER d AS b3, lead(token, 1) OVER d AS a1, lead(token, 2) OVER d AS a2, lead(token, 3) OVER d AS a3
-  FROM tok WINDOW d AS (PARTITION BY doc_id ORDER BY i)) SELECT h.doc_id, h.label, h.token_start, h.alias, coalesce(b1 = '(', false) AND (coalesce(a1 = ')', false) OR coalesce(a1 = '.' AND a2 = ')', false)) AS dispatch,
+  FROM tok WINDOW d AS (PARTITION BY doc_id ORDER BY i)), c AS (SELECT h.label, coalesce(b1 = '(', false) AND (coalesce(a1 = ')', false) OR coalesce(a1 = '.' AND a2 = ')', false)) AS dispatch,
   len(list_intersect(list_transform([b3, b2, b1, token, a1, a2, a3], lambda x: lower(x)), [{_VERBS}])) > 0 AS reporting
-  FROM hits h JOIN w ON w.doc_id = h.doc_id AND w.i = h.token_start WHERE dispatch OR reporting""")
+  FROM hits h JOIN w ON w.doc_id = h.doc_id AND w.i = h.token_start) SELECT label, count(*) AS hits, count(*) FILTER (dispatch) AS dispatch, count(*) FILTER (reporting) AS reporting FROM c GROUP BY label""")
 def alias_contextual(spark, sf_dir):
     rows = base.tokens(spark, sf_dir)
-    return dictionary.contextual(rows, dictionary.match(rows, dictionary.high_precision(base.seeds(spark)))).select("doc_id", "label", "token_start", "alias", "dispatch", "reporting")
+    hits = dictionary.match(rows, dictionary.high_precision(base.seeds(spark)))
+    near = dictionary.contextual(rows, hits).groupBy("label").agg(F.sum(F.col("dispatch").cast("long")).alias("dispatch"), F.sum(F.col("reporting").cast("long")).alias("reporting"))
+    return hits.groupBy("label").agg(F.count("*").alias("hits")).join(near, "label", "left").na.fill(0, ["dispatch", "reporting"])
 
 
 _PERIODS = [("1-URGENT", 1993), ("2-HIGH", 1995), ("3-MEDIUM", None), ("4-NOT SPECIFIED", 1900)]
