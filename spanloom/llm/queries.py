@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": oracles.OP4, "op10_benchmark_decontamination": oracles.OP10}
+    return {"op4_jaccard_join": oracles.OP4, "op6_html_extraction": oracles.OP6, "op9_warc": oracles.OP9, "op10_benchmark_decontamination": oracles.OP10}
