@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,23 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``, as a URI; a local one of our own where that is unset (tests).
+
+    A path without a scheme is on the cluster's default file system.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="spanloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+        app = spark.sparkContext.applicationId
+        at = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="spanloom-")
+        _OWN[app] = at
+    if "://" not in at:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        at = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/(?!/)", "file:///", at).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -442,7 +442,6 @@ def test_archives_round_trip_with_revisits(spark):
         assert r["record_type"] == ("response" if first else "revisit") and (r["payload"] is None) != first
         assert first or r["refers_to"].endswith(f":{newest[body.decode()]}")
     only = warc.read_archives(spark, manifest).filter("record_type = 'revisit'")
-    assert "record_type" not in only._jdf.queryExecution().executedPlan().toString().split("Filter")[-1].split("BatchScan")[0] or True
     assert only.count() == sum(r["record_type"] == "revisit" for r in got)
     assert warc.read_archives(spark, manifest, payload=False).filter("payload is not null").count() == 0
     assert warc.read_archives(spark, warc.write_archives(pages.limit(0))).count() == 0
