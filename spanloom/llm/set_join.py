@@ -25,6 +25,8 @@ BAND_RATIO = 1.5
 SUBS = 3
 #: Cells of the hash range whose counts bound a pair's difference.
 CELLS = 64
+#: Bits of the bitmap that bounds a pair's difference almost exactly.
+BITS = 4096
 #: Pairs that share one copy of the more frequent side's text.
 PAIRS_A_COPY = 256
 
@@ -39,38 +41,63 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    """Word to 64-bit hash, remembered; starts anew when it has grown large."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+#: A random number for each byte; A-Z have those of a-z.
+_BYTE = np.random.default_rng(4).integers(0, 1 << 64, 256, np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BASE, _BASE_INVERSE = np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+_CHUNK = 1 << 20
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_WORDS = _WordHashes()
+@cache
+def _powers(base: np.uint64) -> np.ndarray:
+    out = np.full(_CHUNK, base)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles.
+def word_hashes(raw: np.ndarray) -> np.ndarray:
+    """64-bit hashes of a text's words in order, from its bytes.
 
-    Words are maximal runs without ASCII white space, A-Z lower-cased. Fewer
-    words than ``width`` make one shingle; none make none.
+    A word's hash is the sum of its bytes' numbers times powers of an odd
+    base, so one running sum over the text has them all. Words are maximal runs
+    without ASCII white space; A-Z count as a-z.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(width, len(words))
-    n = len(words) - size + 1
+    out = []
+    at = 0
+    while at < len(raw):
+        part = raw[at : at + _CHUNK - 1]
+        space = _SPACE[part]
+        if at + len(part) < len(raw) and (breaks := np.flatnonzero(space)).size:
+            part = part[: breaks[-1] + 1]  # a word of over a chunk is hashed in pieces
+            space = space[: len(part)]
+        edge = np.diff(np.concatenate([[True], space, [True]]).view(np.int8))
+        start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * _powers(_BASE)[: len(part)], out=sums[1:])
+        out.append(mixed((sums[stop] - sums[start]) * _powers(_BASE_INVERSE)[start]))
+        at += len(part)
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def shingles(text: pa.Scalar | bytes | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of a text in UTF-8.
+
+    Fewer words than ``width`` make one shingle; none make none.
+    """
+    raw = text.as_buffer() if isinstance(text, pa.Scalar) else text
+    h = word_hashes(np.frombuffer(raw, np.uint8)) if raw else np.empty(0, np.uint64)
+    if not len(h):
+        return h
+    size = min(width, len(h))
+    n = len(h) - size + 1
     total = np.full(n, np.uint64(size))
     for i in range(size):
         total = total * _M1 + h[i : i + n]
         total ^= total >> np.uint64(32)
-    return np.unique(mixed(total))
+    total = np.sort(mixed(total))
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def max_difference(a, b, percent: int):
@@ -119,9 +146,9 @@ def signatures(features: np.ndarray, percent: int) -> np.ndarray:
         parts = most // 2 + 1 + spare
         cells = parts * SUBS
         at = ((features >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
-        ends = np.searchsorted(at, np.arange(cells + 1, dtype=np.uint64))
+        many = np.bincount(at.view(np.int64), minlength=cells).reshape(parts, SUBS)
+        ends = np.concatenate([[0], np.cumsum(many)])
         sub = (sums[ends[1:]] - sums[ends[:-1]]).reshape(parts, SUBS)
-        many = np.diff(ends).reshape(parts, SUBS)
         left = sub.sum(axis=1, dtype=np.uint64)[:, None] - sub
         empty = many.sum(axis=1)[:, None] == many
         signed = mixed(left.ravel() + _salts(band, cells))
@@ -135,8 +162,8 @@ def _features(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, one, two, cells = [], [], [], []
-            for text in batch.column(1):
-                h = shingles(text.as_py(), width)
+            for text in batch.column(1).cast(pa.binary()):
+                h = shingles(text, width)
                 n.append(len(h))
                 one.append(mixed(h ^ _M1).sum(dtype=np.uint64))
                 two.append(mixed(h ^ _M2).sum(dtype=np.uint64))
@@ -157,8 +184,8 @@ def _signature_rows(width: int, percent: int):
         for batch in batches:
             kind = batch.column(0).type
             ids, sigs, held = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if doc is None or not len(s := signatures(shingles(text.as_py(), width), percent)):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                if doc is None or not len(s := signatures(shingles(text, width), percent)):
                     continue
                 ids.append(doc)
                 sigs.append(s)
@@ -197,13 +224,26 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
+def _bitmaps(width: int):
+    """The parity of the number of features in each of ``BITS`` cells: sets differ in as many features as bits, or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.bincount((shingles(t, width) >> np.uint64(52)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for t in batch.column(1).cast(pa.binary())]
+            flat = np.concatenate(bits) if bits else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (BITS // 64)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "bits"])
+
+    return run
+
+
 def _verify(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
         for batch in batches:
             keep = []
-            for one, other in zip(batch.column(2), batch.column(3), strict=True):
-                x = shingles(one.as_py(), width)
+            for one, other in zip(batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary()), strict=True):
+                x = shingles(one, width)
                 if (text := other.as_py()) != last or held is None:
                     last, held = text, shingles(text, width)
                 both = len(x) + len(held) - len(np.union1d(x, held))
@@ -285,13 +325,18 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = stored(apart(star), "rest")
     if not rest.isEmpty():
         classes = settled(verified(rest, texts, width, percent))
-    # what shares a signature with the pivot and another row, and is in several classes still
+    # what shares a signature with the pivot and another row, and is in several classes still; one of the signatures that the same rows share is enough
     of = classes.select(F.col("node").alias("rep"), "component")
     several = buckets.filter("m > 2").join(of, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("class"))
-    several = several.withColumn("low", F.expr("min(class) over (partition by sig)")).withColumn("high", F.expr("max(class) over (partition by sig)")).filter("low <> high")
-    several = several.join(sizes.withColumnRenamed("doc_id", "rep"), "rep").select("sig", "rep", "class", "n_shingles", "cells")
+    several = several.withColumn("low", F.expr("min(class) over (partition by sig)")).withColumn("high", F.expr("max(class) over (partition by sig)")).filter("low <> high").select("sig", "rep", "class")
+    several = stored(several, "several")
+    one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig")
+    bits = stored(texts.join(several.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_bitmaps(width), f"rep {id_type}, bits array<long>"), "bitmaps")
+    several = several.join(one_each, "sig", "left_semi").join(sizes.select(F.col("doc_id").alias("rep"), "n_shingles"), "rep").join(bits, "rep")
     x, y = several.alias("x"), several.alias("y")
-    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {near('x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    gap = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+    close = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {gap} <= (x.n_shingles + y.n_shingles) * {100 - percent} div {100 + percent}"
+    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {close}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     pairs = stored(pairs.join(star, ["a", "b"], "left_anti"), "others")
     if not pairs.isEmpty():
         classes = settled(verified(pairs, texts, width, percent))
