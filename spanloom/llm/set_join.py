@@ -176,18 +176,19 @@ def _features(width: int):
 
 
 def _signature_rows(width: int, percent: int):
+    """(sig, node) of every document with an id; node is the hash of its set, the same for copies."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids, sigs):
-            many = [len(s) for s in sigs]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(ids, kind).take(pa.array(np.repeat(np.arange(len(ids)), many)))], names=["sig", "doc_id"])
+            nodes = np.repeat(np.array(ids, np.uint64).view(np.int64), [len(s) for s in sigs])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(nodes)], names=["sig", "node"])
 
         for batch in batches:
-            kind = batch.column(0).type
             ids, sigs, held = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                if doc is None or not len(s := signatures(shingles(text, width), percent)):
+                if doc is None or not len(s := signatures(h := shingles(text, width), percent)):
                     continue
-                ids.append(doc)
+                ids.append(mixed(h ^ _M1).sum(dtype=np.uint64))
                 sigs.append(s)
                 held += len(s)
                 if held > 500_000:
@@ -287,13 +288,12 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     same = ["n_shingles", "set_a", "set_b"]
     reps = known.groupBy(*same).agg(F.min("doc_id").alias("rep"))
     members = stored(salted_join(known.select("doc_id", *same), reps, same, "doc_id").select("doc_id", "n_shingles", "rep"), "members")
-    sizes = known.join(members.filter("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "cells").dropDuplicates(["doc_id", "n_shingles", "cells"])
+    nodes = known.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells")).select(F.col("set_a").alias("node"), "rep", "n_shingles", "cells")
 
-    rows = docs.mapInArrow(_signature_rows(width, percent), f"sig long, doc_id {id_type}")
-    shared = rows.repartition("sig").withColumn("low", F.expr("min(doc_id) over (partition by sig)")).withColumn("high", F.expr("max(doc_id) over (partition by sig)")).filter("low <> high").select("sig", "doc_id")
-    to_rep = members.filter("doc_id <> rep").select("doc_id", "rep")
-    by_rep = shared.join(to_rep, "doc_id", "left").select("sig", F.coalesce("rep", "doc_id").alias("rep")).distinct()
-    buckets = stored(by_rep.withColumn("pivot", F.expr("min(rep) over (partition by sig)")).withColumn("last", F.expr("max(rep) over (partition by sig)")).withColumn("m", F.expr("count(*) over (partition by sig)")).filter("pivot <> last").drop("last"), "buckets")
+    rows = docs.mapInArrow(_signature_rows(width, percent), "sig long, node long")
+    over = lambda what, name: F.expr(f"{what} over (partition by sig)").alias(name)
+    shared = rows.repartition("sig").select("sig", "node", over("min(node)", "low"), over("max(node)", "high")).filter("low <> high").select("sig", "node").dropDuplicates(["sig", "node"])
+    buckets = stored(shared.select("sig", "node", over("min(node)", "pivot"), over("count(*)", "m")), "buckets")
 
     def near(a: str, b: str) -> str:
         """That sizes and counts by cell don't rule the pair out."""
@@ -301,13 +301,14 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         gap = f"aggregate(zip_with({a}.cells, {b}.cells, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)"
         return f"100 * least({a}.n_shingles, {b}.n_shingles) >= {percent} * greatest({a}.n_shingles, {b}.n_shingles) and {gap} <= {most}"
 
-    star = buckets.filter("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    left, right = sizes.alias("x"), sizes.alias("y")
-    star = stored(star.join(left, F.expr("a = x.doc_id")).join(right, F.expr(f"b = y.doc_id and {near('x', 'y')}")).select("a", "b").distinct(), "star")
-    cand = star.select(F.col("a").alias("doc_id")).unionByName(star.select(F.col("b").alias("doc_id"))).distinct()
-    many = buckets.filter("m > 2").select(F.col("rep").alias("doc_id")).distinct()
-    is_rep = members.filter("doc_id = rep").select("doc_id").distinct()
-    texts = stored(docs.join(cand.unionByName(many).distinct().join(is_rep, "doc_id", "left_semi"), "doc_id", "left_semi"), "texts")
+    star = buckets.filter("node <> pivot").select(F.col("node").alias("star_node"), "pivot").distinct()
+    left, right = nodes.alias("x"), nodes.alias("y")
+    star = stored(star.join(left, F.expr("star_node = x.node")).join(right, F.expr(f"pivot = y.node and {near('x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "star")
+    cand = star.select(F.col("a").alias("doc_id")).unionByName(star.select(F.col("b").alias("doc_id")))
+    several = buckets.filter("m > 2").join(nodes.select("node", "rep", "n_shingles"), "node").select("sig", "rep", "n_shingles")
+    several = stored(several, "several")
+    wanted = cand.unionByName(several.select(F.col("rep").alias("doc_id"))).distinct()
+    texts = stored(docs.join(wanted, "doc_id", "left_semi"), "texts")
 
     links: list[DataFrame] = []
     classes: DataFrame | None = None
@@ -327,17 +328,18 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         classes = settled(verified(rest, texts, width, percent))
     # what shares a signature with the pivot and another row, and is in several classes still; one of the signatures that the same rows share is enough
     of = classes.select(F.col("node").alias("rep"), "component")
-    several = buckets.filter("m > 2").join(of, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("class"))
-    several = several.withColumn("low", F.expr("min(class) over (partition by sig)")).withColumn("high", F.expr("max(class) over (partition by sig)")).filter("low <> high").select("sig", "rep", "class")
-    several = stored(several, "several")
+    several = several.join(of, "rep", "left").select("sig", "rep", "n_shingles", F.coalesce("component", "rep").alias("class"))
+    several = several.withColumn("low", F.expr("min(class) over (partition by sig)")).withColumn("high", F.expr("max(class) over (partition by sig)")).filter("low <> high").drop("low", "high")
+    several = stored(several, "apart")
     one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig")
     bits = stored(texts.join(several.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_bitmaps(width), f"rep {id_type}, bits array<long>"), "bitmaps")
-    several = several.join(one_each, "sig", "left_semi").join(sizes.select(F.col("doc_id").alias("rep"), "n_shingles"), "rep").join(bits, "rep")
+    several = several.join(one_each, "sig", "left_semi").join(bits, "rep")
     x, y = several.alias("x"), several.alias("y")
     gap = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
     close = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {gap} <= (x.n_shingles + y.n_shingles) * {100 - percent} div {100 + percent}"
     pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {close}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    pairs = stored(pairs.join(star, ["a", "b"], "left_anti"), "others")
+    seen = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "others")
     if not pairs.isEmpty():
         classes = settled(verified(pairs, texts, width, percent))
 
