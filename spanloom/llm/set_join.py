@@ -27,6 +27,8 @@ SUBS = 3
 CELLS = 64
 #: Bits of the bitmap that bounds a pair's difference almost exactly.
 BITS = 4096
+#: Further pivots that rows of one signature are compared with before they are compared with one another.
+PIVOT_TURNS = 2
 #: Pairs that share one copy of the more frequent side's text.
 PAIRS_A_COPY = 256
 
@@ -326,19 +328,37 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = stored(apart(star), "rest")
     if not rest.isEmpty():
         classes = settled(verified(rest, texts, width, percent))
-    # what shares a signature with the pivot and another row, and is in several classes still; one of the signatures that the same rows share is enough
-    of = classes.select(F.col("node").alias("rep"), "component")
-    several = several.join(of, "rep", "left").select("sig", "rep", "n_shingles", F.coalesce("component", "rep").alias("class"))
-    several = several.withColumn("low", F.expr("min(class) over (partition by sig)")).withColumn("high", F.expr("max(class) over (partition by sig)")).filter("low <> high").drop("low", "high")
-    several = stored(several, "apart")
-    one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig")
+    # rows that share a signature but are in several classes still meet other pivots, and in the end one another
     bits = stored(texts.join(several.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_bitmaps(width), f"rep {id_type}, bits array<long>"), "bitmaps")
-    several = several.join(one_each, "sig", "left_semi").join(bits, "rep")
-    x, y = several.alias("x"), several.alias("y")
+    sized = several.select("rep", "n_shingles").distinct().join(bits, "rep")
     gap = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
     close = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {gap} <= (x.n_shingles + y.n_shingles) * {100 - percent} div {100 + percent}"
-    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {close}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     seen = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+    def undecided(rows: DataFrame) -> DataFrame:
+        """The rows of signatures that rows of several classes share, with their class."""
+        of = classes.select(F.col("node").alias("rep"), "component")
+        rows = rows.join(of, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("class"))
+        rows = rows.select("*", over("min(class)", "low"), over("max(class)", "high")).filter("low <> high").drop("low", "high")
+        return stored(rows, "undecided")
+
+    several = undecided(several)
+    for turn in range(PIVOT_TURNS):
+        pivot = f"min_by(struct(rep, class), xxhash64(rep, {turn}))"
+        met = several.select("rep", "class", over(pivot, "p")).filter("class <> p.class").select("rep", F.col("p.rep").alias("pivot")).distinct()
+        pairs = met.join(sized.alias("x"), "rep").join(sized.withColumnRenamed("rep", "pivot").alias("y"), "pivot").filter(close)
+        pairs = pairs.select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b")).distinct()
+        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "turn")
+        if pairs.isEmpty():
+            break
+        seen = seen.unionByName(pairs)
+        classes = settled(verified(pairs, texts, width, percent))
+        several = undecided(several.select("sig", "rep"))
+    # one of the signatures that the same rows share is enough
+    one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig")
+    last = several.join(one_each, "sig", "left_semi").join(sized, "rep")
+    x, y = last.alias("x"), last.alias("y")
+    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {close}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "others")
     if not pairs.isEmpty():
         classes = settled(verified(pairs, texts, width, percent))
