@@ -16,11 +16,20 @@ from pyspark.sql import functions as F
 
 from .storage import salted_join, stored
 
-# Entity types, in order of precedence, with their patterns.
+# Names that a secret is assigned to, and what stands between them and the secret.
+_KEYWORD = r"(?i:token|secret|password|passwd|api_key|apikey|access_key)"
+_LEAD = _KEYWORD + r"\\*+[\"']?+\s*+(?:=>|==|:=|[=:](?![=:]))\s*+\\*+"
+# What can't be drawn another way isn't a secret (a row of asterisks).
+_DRAWABLE = r"(?=(?:[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}]){4})"
+# Where a secret without quotes ends before white space or a quote: at the next assignment.
+_NEXT = rf"(?!{_KEYWORD}\\*+[\"']?+\s*+[=:]|[,;&|]\s*+[\"']?+[\w.-]++[\"']?+\s*+[=:])"
+# Possessive groups are loops; others recurse, and a long match would overflow the stack.
+_ASSIGNED = rf"{_LEAD}(?:\"{_DRAWABLE}[^\s\"]{{8,}}+(?=\"|\z)|'{_DRAWABLE}[^\s']{{8,}}+(?='|\z)|[\"']{_DRAWABLE}[^\s\"']{{8,}}+(?=[\"']|\z)|{_DRAWABLE}(?:{_NEXT}[^\s\"']){{8,}}+)"
+# Entity types, in order of precedence, with their patterns. An assigned secret is found with its lead.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}(?![\w-])",
-    "person": r"(?<!\p{L})(?:Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Signora|Signor|Г-жа|Г-н|Κυρία|Κύριος)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,2}(?!\p{L})",
-    "secret": r"(?<=(?i:token|secret|password|passwd|api_key|apikey|access_key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\s\"']{8,200}(?=[\"'])|(?<![\w-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])",
+    "person": r"(?<!\p{L})(?:Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Signora|Signor|Г-жа|Г-н|Κυρία|Κύριος)\.? \p{Lu}\p{Ll}++(?!\p{L})(?: \p{Lu}\p{Ll}++(?!\p{L}))*+",
+    "secret": _ASSIGNED + r"|(?<![\w-])(?:(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])|sk-[\w-]{20,}+)",
     "iban": r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[\w])",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])|(?<![\w+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])",
@@ -28,9 +37,9 @@ PATTERNS = {
     "card": r"(?<![\w-])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![\w-])",
 }
 # A text that matches none of these has no entity.
-_HINT = r"[@0-9]|(?i:token|secret|password|passwd|api_key|apikey|access_key)|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Signor|Г-|Κυρί|Κύρι"
+_HINT = rf"[@0-9]|{_KEYWORD}|AKIA|gh[pousr]_|sk-|[a-f]{{40}}|[A-F]{{40}}|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Signor|Г-|Κυρί|Κύρι"
 # What stays as it is at an entity's start and at its end, by type.
-_START = {"person": r"^\S+ ", "iban": r"^[A-Z]{2}", "phone": r"^\+[0-9]{1,3}(?=[ .(-])", "secret": r"^(?:AKIA|gh[pousr]_|sk-)"}
+_START = {"person": r"^\S+ ", "iban": r"^[A-Z]{2}", "phone": r"^\+[0-9]{1,3}(?=[ .(-])", "secret": r"^(?:AKIA|gh[pousr]_|sk-(?:proj-)?)"}
 _END = {"email": r"\.\p{L}+$"}
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Signora", "Г-жа", "Κυρία")
 # Given names by gender and syllables of family names, by script.
@@ -71,7 +80,8 @@ def identity(value: Column, kind: Column) -> Column:
     plain = F.lower(F.regexp_replace(value, r"[^\p{L}\p{N}]", ""))
     name = F.lower(F.regexp_replace(value, r"^\S+ ", ""))
     mixed = value.rlike(r"\p{Ll}") & value.rlike(r"\p{Lu}")
-    secret = F.when(mixed, value).otherwise(F.lower(value))
+    ended = F.regexp_replace(value, r"[^\p{L}\p{N}]++$", "")
+    secret = F.when(mixed, ended).otherwise(F.lower(ended))
     return F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "secret", secret).when(kind == "person", name).otherwise(plain)
 
 
@@ -81,7 +91,7 @@ def _number(key: Column, at: Column, below: Column) -> Column:
 
 
 def _letter(c: Column, hexadecimal: Column, key: Column, at: Column) -> Column:
-    """A keyed character of the class of ``c``; other characters stay."""
+    """A keyed character of the class of ``c``, Latin for letters of further scripts; other characters stay."""
     low = F.lower(c)
 
     def drawn(alphabet: str) -> Column:
@@ -94,6 +104,7 @@ def _letter(c: Column, hexadecimal: Column, key: Column, at: Column) -> Column:
         .when(low.rlike(r"\p{IsLatin}"), drawn(_ALPHABETS["latin"]))
         .when(low.rlike(r"\p{IsCyrillic}"), drawn(_ALPHABETS["cyrillic"]))
         .when(low.rlike(r"\p{IsGreek}"), drawn(_ALPHABETS["greek"]))
+        .when(low.rlike(r"[\p{L}\p{N}]"), drawn(_ALPHABETS["latin"]))
         .otherwise(c)
     )
 
@@ -172,11 +183,12 @@ def replace_private(docs: DataFrame, secret_key: str = "spanloom") -> DataFrame:
     clean = docs.filter(~has).withColumn("n_replaced", F.lit(0).cast("long"))
     row = F.struct(*columns).alias("row")
     found = stored(docs.filter(has).select(row, F.monotonically_increasing_id().alias("at"), F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("mentions")), "private")
-    mentions = found.select("at", F.posexplode("mentions").alias("i", "value")).withColumn("kind", kind_of(F.col("value"))).withColumn("entity", identity(F.col("value"), F.col("kind")))
+    mentions = found.select("at", F.posexplode("mentions").alias("i", "whole")).withColumn("lead", F.regexp_extract("whole", f"^{_LEAD}[\"']?", 0))
+    mentions = mentions.withColumn("value", F.substr("whole", F.length("lead") + 1)).drop("whole").withColumn("kind", kind_of(F.col("value"))).withColumn("entity", identity(F.col("value"), F.col("kind")))
     mentions = stored(mentions, "mentions")
     entities = mentions.groupBy("kind", "entity").agg(F.min("value").alias("value"))
     drawn = stored(draw_surrogates(entities, secret_key), "draws")
-    named = salted_join(mentions, drawn, ["kind", "entity"], "at").select("at", "i", surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw"))).alias("new"))
+    named = salted_join(mentions, drawn, ["kind", "entity"], "at").select("at", "i", F.concat("lead", surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")))).alias("new"))
     by_row = named.groupBy("at").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "new"))), lambda x: x["new"]).alias("new"))
     parts = F.zip_with("gaps", F.concat(F.col("new"), F.array(F.lit(""))), lambda gap, new: F.concat(gap, new))
     changed = found.join(by_row, "at").select(*[(F.array_join(parts, "") if c == "text" else F.col("row")[c]).alias(c) for c in columns], F.size("new").cast("long").alias("n_replaced"))

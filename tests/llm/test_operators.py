@@ -126,6 +126,39 @@ def test_surrogates_are_distinct_when_the_space_is_tight(spark):
     assert got.nunique() == len(values) and not set(got) & set(values)
 
 
+def test_secrets_and_names_of_any_form_and_length_are_found(spark):
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-.") for _ in range(500)) + "Zq7"
+    project = "sk-proj-" + "".join(rng.choice("abcdefABCDEF0123456789_-") for _ in range(120)) + "x1"
+    cases = {
+        "password: hunter2hunter2\nuser: bob": ["hunter2"],
+        "export API_KEY=abc123def456ghi\n": ["abc123def456ghi"],
+        "token   =     '" + long + "'": [long[:8], long[-8:], long[250:260]],
+        'secret = "' + long + '" end': [long[:8], long[-8:]],
+        "token: " + long: [long[:8], long[-8:]],
+        "key " + project + " end": [project[10:30], project[-10:]],
+        "key sk-" + "aB3" * 40 + ".": ["aB3aB3"],
+        "Dear Mr Juan Carlos Garcia Lopez, hello": ["Juan", "Carlos", "Garcia", "Lopez"],
+        "Mr " + "Juan Carlos " * 5000 + "x": ["Carlos"],
+        '{"password": "hunter2hunter2", "user": "bob"}': ["hunter2"],
+        '\\"password\\": \\"hunter2hunter2\\"': ["hunter2"],
+        'password: access_key = "abcdef123456"': ["abcdef123456"],
+        'password=hunter2hunter2&api_key="abcdef123456"': ["hunter2", "abcdef123456"],
+        "token = 密码密码密码密码": ["密码"],
+    }
+    stay = ["password: ********", "token::Type of a secret", "the token is here: no", "Mr Brown"[:3], "secret: short"]
+    texts = [*cases, *stay]
+    got = {r["doc_id"]: r for r in pii.replace_private(docs_of(spark, texts)).collect()}
+    for i, (text, secrets) in enumerate(cases.items()):
+        assert got[i]["n_replaced"] >= 1 and not [x for x in secrets if x in got[i]["text"]], text[:60]
+    for i, text in enumerate(stay, len(cases)):
+        assert got[i]["text"] == text and got[i]["n_replaced"] == 0
+    plain = re.fullmatch(r"password: ([a-z]{6}\d[a-z]{6}\d)\nuser: bob", got[0]["text"])[1]
+    assert all(plain in got[list(cases).index(c)]["text"] for c in cases if "hunter2" in c)
+    assert got[5]["text"].startswith("key sk-proj-") and got[5]["text"].endswith(" end") and len(got[5]["text"]) == len(texts[5])
+    assert re.fullmatch(r"Dear Mr \w+ \w+, hello", got[7]["text"])
+
+
 # shards
 
 
