@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -42,19 +42,24 @@ def byte_alphabet() -> dict[str, int]:
 def encoder(path: str, pattern: str):
     """An encoder for a byte-level BPE vocabulary file of the ``tokenizers`` library.
 
-    It gives the ids which that library gives with ``add_special_tokens=False``
-    and ``encode_special_tokens=True``; the merging is done by ``tiktoken``,
-    which takes a quarter of the time.
+    ``encode(text, allowed_special="all")`` gives the ids which that library
+    gives with ``add_special_tokens=False``: an added token of the file is one
+    id wherever a text holds it. ``encode_ordinary`` reads added tokens as plain
+    text (``encode_special_tokens=True`` there). The merging is done by
+    ``tiktoken``, which takes a quarter of the time.
     """
     if path not in _ENCODERS:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        added = spec.get("added_tokens", [])
+        if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take white space or stand as words only aren't supported")
+        special = {t["content"]: t["id"] for t in added}
         byte_of = byte_alphabet()
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        _ENCODERS[path] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return _ENCODERS[path]
 
 
@@ -65,21 +70,24 @@ def default_tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
-def token_pieces(docs: DataFrame, tokenizer: tuple[str, str] | None = None, capacity: int = CAPACITY) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: tuple[str, str] | None = None, capacity: int = CAPACITY, added_tokens: bool = False) -> DataFrame:
     """Tokenise whole texts and cut those over ``capacity`` ids.
 
     Columns: doc_id, piece int (from 0), start long, length long, ids binary
     (little-endian uint32). A document's ids end with ``SEPARATOR_ID``. All
     pieces but the first have ``capacity`` ids. Null or empty text: the
     separator alone. Null or repeated doc_id: kept as they are, one set of
-    pieces for each row. Further columns are dropped.
+    pieces for each row. Further columns are dropped. With ``added_tokens`` the
+    vocabulary's added tokens are one id each, as by the library's defaults;
+    without, they are plain text.
     """
     path, pattern = tokenizer or default_tokenizer()
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode_ordinary
+        enc = encoder(path, pattern)
+        encode = partial(enc.encode, allowed_special="all") if added_tokens else enc.encode_ordinary
 
         def flush(rows):
             doc, piece, start, length, ids = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [], [])
@@ -229,5 +237,5 @@ def pack_documents(docs: DataFrame, tokenizer: tuple[str, str] | None = None, ca
     ``token_pieces`` and ``pack``.
     """
     carry = {"ids": F.col("ids")} if carry is None else carry
-    pieces = stored(token_pieces(docs, tokenizer, capacity).select("doc_id", "piece", "start", "length", *[c.alias(k) for k, c in carry.items()]), "pieces")
+    pieces = stored(token_pieces(docs, tokenizer, capacity, added_tokens=True).select("doc_id", "piece", "start", "length", *[c.alias(k) for k, c in carry.items()]), "pieces")
     return pack(pieces, ["doc_id", "piece", *carry], capacity)

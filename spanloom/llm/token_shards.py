@@ -89,7 +89,7 @@ def token_sequences(docs: DataFrame, tokenizer: tuple[str, str] | None = None, l
         for batch in batches:
             id_type = batch.column(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*enc.encode_ordinary(text.as_py() or ""), SEPARATOR_ID], "<u2")
+                ids = np.array([*enc.encode(text.as_py() or "", allowed_special="all"), SEPARATOR_ID], "<u2")
                 start = 0
                 while start < len(ids):
                     n = min(length - at, len(ids) - start)

@@ -41,6 +41,23 @@ def test_token_ids_are_those_of_the_tokenizers_library(spark):
         assert all(r["length"] == packing.CAPACITY for r in mine[1:]) and [r["start"] for r in mine] == [sum(x["length"] for x in mine[:k]) for k in range(len(mine))]
 
 
+def test_added_tokens_are_one_id_as_by_the_defaults_of_the_tokenizers_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>  x \n", " <|endoftext|", "no such token", "word <|endoftext|> " * 700]
+    docs = docs_of(spark, texts)
+    want = {i: np.array([*theirs.encode(t, add_special_tokens=False).ids, 0], "<u4") for i, t in enumerate(texts)}
+    packed = packing.pack_documents(docs).collect()
+    seqs = [(s, bytes(r["ids"])) for r in token_shards.token_sequences(docs).collect() for s in r["segments"]]
+    for i, ids in want.items():
+        assert b"".join(bytes(r["ids"]) for r in sorted((r for r in packed if r["doc_id"] == i), key=lambda r: r["start"])) == ids.tobytes()
+        cut = [np.frombuffer(b, "<u2")[s["at"] : s["at"] + s["length"]] for s, b in sorted(seqs, key=lambda x: x[0]["start"]) if s["doc_id"] == i]
+        assert np.concatenate(cut).tolist() == ids.tolist()
+    assert want[0].tolist() == [64, 220, 50256, 275, 0]
+
+
 def best_bins(lengths, capacity):
     """Fewest bins by search."""
     best = len(lengths)
