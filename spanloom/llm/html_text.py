@@ -23,10 +23,14 @@ from pyspark.sql import functions as F
 SAMPLE = 1000
 
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|iframe|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?][^>]*>|<(?P<loose>/?)(?P<bare>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|[^<]+|<",
     re.S | re.I,
 )
+_COMMENT_OR_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.S | re.I,
+)
 _LABEL = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:\s|^)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PARTS = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
@@ -37,14 +41,25 @@ _DROPPED = set("nav footer aside form button menu dialog head".split())
 # Parts of class, id and role names that stand for what isn't main text.
 _NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription paywall sidebar nav navbar navigation menu breadcrumb breadcrumbs comment comments disqus respond replies share sharing social related recommended login signup search pagination pager toolbar widget complementary contentinfo".split())
 _OUTER_NOISE = set("header masthead footer topbar bottombar".split())
+# Parts of class and id names that tell a state of the element, or of what lies beside it: no-sidebar, with-nav, comments-open.
+_STATE = set("no not non without with has have hide is open opened closed enabled disabled on off layout".split())
+# Elements whose content is cut, and those that an unclosed one of them, or a drawing, can't hold.
+_CUT = set("svg math object template select".split())
+_FOREIGN = set("foreignobject annotation-xml".split())
+_BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th tr ul".split())
 _KEPT = set("html body article main".split())
 
 
 def pieces(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name, text): ``text`` with its characters decoded, ``open`` and ``close`` with attributes; comments, scripts and styles are gone."""
-    for m in _PIECE.finditer(page):
+    at = 0
+    while m := _PIECE.match(page, at):
+        at = m.end()
         name = m["name"] or m["bare"]
-        if name:
+        if name and not (m["close"] or m["loose"]) and name.lower() in _CUT:
+            at = _end_of_cut(page, m)
+            yield "cut", name.lower(), ""
+        elif name:
             yield ("close" if (m["close"] or m["loose"]) else "open"), name.lower(), m["attrs"] or ""
         elif m["raw"]:
             yield "cut", m["raw"].lower(), ""
@@ -52,6 +67,29 @@ def pieces(page: str) -> Iterator[tuple[str, str, str]]:
             yield "text", "", html.unescape(m[0]) if "&" in m[0] else m[0]
 
 
+def _end_of_cut(page: str, opened: re.Match) -> int:
+    """Where a drawing or an object ends that ``opened`` starts: after its close tag, or at the next block tag if it isn't closed."""
+    name = (opened["name"] or opened["bare"]).lower()
+    drawn = name in ("svg", "math")
+    if drawn and opened[0].endswith("/>"):
+        return opened.end()
+    depth, inner, block = 1, 0, None
+    for m in _COMMENT_OR_TAG.finditer(page, opened.end()):
+        other, close = (m["name"] or "").lower(), bool(m["close"])
+        alone = m[0].endswith("/>")
+        if other == name:
+            depth += -1 if close else 0 if drawn and alone else 1
+            if depth == 0:
+                return m.end()
+        elif drawn and other in _FOREIGN:
+            inner = max(0, inner + (-1 if close else 0 if alone else 1))
+        elif other in _BLOCKS:
+            block = m.start() if block is None else block
+            if (drawn and not inner) or (other in ("body", "article", "main") and not inner and name != "template"):
+                return block  # a drawing holds no blocks of its own
+    return len(page) if block is None else block
+
+
 def noisy(name: str, attrs: str, inside: bool) -> bool:
     """Whether the element holds no main text; headers and footers of an article's own are judged by ``inside``."""
     if name in _KEPT:
@@ -62,15 +100,47 @@ def noisy(name: str, attrs: str, inside: bool) -> bool:
         return False
     if _HIDDEN.search(attrs):
         return True
-    words = {w.lower() for m in _LABEL.finditer(attrs) for v in [m[1] or m[2] or m[3] or ""] for w in _PARTS.split(v) if w}
+    named = [{w.lower() for w in _PARTS.split(v) if w} for m in _LABEL.finditer(attrs) for v in (m[1] or m[2] or m[3] or "").split()]
+    words = {w for parts in named if not parts & _STATE for w in parts}
     return bool(words & _NOISE) or (not inside and bool(words & _OUTER_NOISE))
 
 
+def wrappers(steps: list[tuple[str, str, str]]) -> set[int]:
+    """Places of the form tags that wrap a page's content: an article or main element, or over half of its words in paragraphs."""
+    out, opened, holds, words, block, total = set(), None, False, 0, "", 0
+
+    def judged() -> None:
+        if opened is not None:
+            found.append((opened, holds, words))
+
+    found: list[tuple[int, bool, int]] = []
+    for i, (kind, name, more) in enumerate(steps):
+        if kind == "text":
+            n = len(more.split())
+            total += n
+            words += n if block == "p" else 0
+        elif kind == "open" and name == "form" and opened is None:  # forms don't nest
+            opened, holds, words = i, False, 0
+        elif kind == "close" and name == "form":
+            judged()
+            opened = None
+        elif kind != "cut" and name not in _INLINE and name != "br":
+            block = name if kind == "open" else ""
+            holds = holds or (kind == "open" and name in ("article", "main"))
+    judged()
+    for i, whole, n in found:
+        if whole or 2 * n > total:
+            out.add(i)
+    return out
+
+
 def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     """(feature kind, name, in an article, left out, text) for each tag and text of a page, in order."""
     inside, block, links = 0, "", 0
     drop, depth = "", 0
-    for kind, name, more in pieces(page):
+    steps = list(pieces(page))
+    kept = wrappers(steps) if any(name == "form" for _, name, _ in steps) else set()
+    for i, (kind, name, more) in enumerate(steps):
         if kind == "text":
             if more:
                 yield "word", "a" if links else block, inside > 0, bool(drop), more
@@ -80,7 +150,7 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             continue
         if name in ("article", "main"):
             inside = max(0, inside + (1 if kind == "open" else -1))
-            if drop and kind == "open" and drop not in ("form",):
+            if drop and kind == "open":
                 drop = ""  # a menu that was never closed ends here
         if drop:
             if name == drop:
@@ -89,7 +159,7 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
                 drop = ""
                 yield "tag", name, inside > 0, True, ""
                 continue
-        elif kind == "open" and name not in _VOID and noisy(name, more, inside > 0):
+        elif kind == "open" and name not in _VOID and i not in kept and noisy(name, more, inside > 0):
             drop, depth = name, 1
         if name == "a":
             links = 1 if kind == "open" else 0

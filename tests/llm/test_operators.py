@@ -405,6 +405,28 @@ def test_main_text_keeps_the_article_only(spark):
     assert [got[i]["text"] for i in (3, 4, 5)] == ["", "", ""]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body><p>One two.</p><svg class="icon"/><p>Three four.</p></body>',
+        "<body><p>One two.</p><math/><p>Three four.</p></body>",
+        '<body><p>One two.</p><svg class="icon"><path d="M0"/><p>Three four.</p><svg><text>drawn</text></svg></body>',
+        "<body><p>One two.</p><object data='x'><p>Three four.</p></body>",
+        "<body><p>One two.</p><svg><svg><text>drawn</text></svg><foreignObject><p>drawn</p></foreignObject></svg><p>Three four.</p></body>",
+        "<body><p>One two.</p><object><p>Get the plugin</p></object><p>Three four.</p></body>",
+        "<body><form id='aspnetForm'><input type=hidden><article><p>One two.</p><p>Three four.</p></article><button>Send</button></form></body>",
+        "<body><form id='aspnetForm'><div><p>One two.</p><p>Three four.</p></div></form></body>",
+        "<body><article><p>One two.</p><form><p>Your mail</p></form><p>Three four.</p></article></body>",
+        '<body><div class="content no-sidebar"><p>One two.</p><p>Three four.</p></div></body>',
+        '<body><div class="post comments-open"><p>One two.</p><p>Three four.</p></div></body>',
+        '<body><div class="layout with-nav"><p>One two.</p><p>Three four.</p></div></body>',
+        '<body><div class="content"><p>One two.</p><p>Three four.</p><div class="post-comments">Nice</div><div class="sidebar no-print">Ads</div></div></body>',
+    ],
+)
+def test_main_text_survives_drawings_forms_and_state_classes(page):
+    assert html_text.main_text(page, {}) == "One two.\nThree four."
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(4)
     for _ in range(200):
