@@ -68,18 +68,30 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
     """
     out = []
     at = 0
+    held, power = np.zeros(1, np.uint64), np.ones(1, np.uint64)  # of a word that the chunks before began
     while at < len(raw):
         part = raw[at : at + _CHUNK - 1]
         space = _SPACE[part]
-        if at + len(part) < len(raw) and (breaks := np.flatnonzero(space)).size:
-            part = part[: breaks[-1] + 1]  # a word of over a chunk is hashed in pieces
+        more = at + len(part) < len(raw)
+        if more and (breaks := np.flatnonzero(space)).size:
+            part, more = part[: breaks[-1] + 1], False
             space = space[: len(part)]
         edge = np.diff(np.concatenate([[True], space, [True]]).view(np.int8))
         start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTE[part] * _powers(_BASE)[: len(part)], out=sums[1:])
-        out.append(mixed((sums[stop] - sums[start]) * _powers(_BASE_INVERSE)[start]))
         at += len(part)
+        if more:  # all one word, which goes on
+            held, power = held + power * sums[-1:], power * _powers(_BASE)[len(part)]
+            continue
+        found = (sums[stop] - sums[start]) * _powers(_BASE_INVERSE)[start]
+        if power[0] != 1:
+            if len(start) and start[0] == 0:
+                found[:1] = held + power * found[:1]
+            else:
+                found = np.concatenate([held, found])
+            held, power = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+        out.append(mixed(found))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 

@@ -253,6 +253,17 @@ def test_jaccard_classes_equal_brute_force(spark, width, percent):
     assert set_join.jaccard_classes(docs_of(spark, texts).limit(0), width, percent).count() == 0
 
 
+def test_words_over_a_chunk_are_one_word(spark):
+    n = set_join._CHUNK
+    one, two = "x" * 5_000_000, "x" * (2 * n) + "y" * 9
+    texts = [one, one.upper(), two, "b " + "x" * (n - 3) + " c d", "x" * (n - 1), "x" * (n - 1) + " b", "x" * n + "\n", "a" * 10 + " " + one + " z", one + " z"]
+    got = set_join.jaccard_classes(docs_of(spark, texts), 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == classes_by_hand(texts, 4, 85)
+    words = ("q" * (3 * n) + " " + "r" * (n + 5) + " s " + "t" * n).encode()
+    alone = [set_join.word_hashes(np.frombuffer(w, np.uint8)).tolist() for w in words.split()]
+    assert set_join.word_hashes(np.frombuffer(words, np.uint8)).tolist() == sum(alone, []) and len(alone) == 4
+
+
 def test_signatures_meet_for_every_linkable_pair():
     rng = np.random.default_rng(2)
     for n in (1, 3, 7, 8, 20, 61, 200, 1500):
