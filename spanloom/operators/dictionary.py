@@ -96,10 +96,11 @@ def match(tokens: DataFrame, aliases: DataFrame) -> DataFrame:
 
 def contextual(tokens: DataFrame, hits: DataFrame) -> DataFrame:
     """Hits that stand in a dispatch formula, ``( alias )``, or near a verb of reporting: adds matcher dispatch, reporting."""
+    longest = hits.agg(F.max(F.col("token_stop") - F.col("token_start"))).first()[0] or 0
     wide = tokens.withColumns(
         {
             "before": F.collect_list("token").over(by_document().rowsBetween(-_NEAR, -1)),
-            "rest": F.collect_list("token").over(by_document().rowsBetween(0, 12)),
+            "rest": F.collect_list("token").over(by_document().rowsBetween(0, longest + _NEAR)),
         }
     ).select("doc_id", F.col("i").alias("token_start"), "before", "rest")
     rows = hits.join(wide, ["doc_id", "token_start"])

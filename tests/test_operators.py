@@ -137,6 +137,17 @@ def test_alias_rules(spark):
     assert {(r["doc_id"], r["dispatch"], r["reporting"]) for r in near.collect()} == {(0, False, True), (1, True, False)}
 
 
+def test_context_of_long_aliases(spark):
+    texts = [f"{a}( {'w ' * n}{b}" for n in (1, 11, 12, 13, 40) for a, b in (("", ") x"), ("x ", "x x reported"), ("", "x x x reported"))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cut = tokens.tokenise(docs)
+    where = {i: [r["i"] for r in cut.filter(f"doc_id = {i}").collect() if r["token"] == "w"] for i in range(len(texts))}
+    hits = spark.createDataFrame([(i, "l", min(w), max(w) + 1) for i, w in where.items()], "doc_id long, label string, token_start int, token_stop int")
+    got = {(r["doc_id"], r["dispatch"], r["reporting"]) for r in dictionary.contextual(cut, hits).collect()}
+    assert got == {x for k in range(0, len(texts), 3) for x in ((k, True, False), (k + 1, False, True))}
+    assert dictionary.contextual(cut, hits.limit(0)).count() == 0
+
+
 def test_plausibility_priorities(spark):
     periods = spark.createDataFrame([("a", 1900), ("b", None)], "label string, active_start int")
     rows = spark.createDataFrame([("a", 1890), ("a", 1950), ("a", None), ("b", 1950), ("c", 1950), (None, 1950)], "label string, year int")
