@@ -23,10 +23,15 @@ from .storage import salted_join, stored
 BAND_RATIO = 1.5
 #: Sub-partitions of a partition; a signature leaves one out.
 SUBS = 3
-#: Cells of the hash range whose counts bound a pair's difference.
-CELLS = 64
 #: Bits of the bitmap that bounds a pair's difference almost exactly.
 BITS = 4096
+#: 64-bit words of the same bitmap folded: a coarser bound that is cheap to move and to compare.
+FOLDS = 8
+_FOLDED = [f"f{i}" for i in range(FOLDS)]
+#: Sets that a task remembers to have signed.
+SIGNED = 1_000_000
+#: Rows of a block: the rows of a signature are compared block with block.
+BLOCK = 256
 #: Further pivots that rows of one signature are compared with before they are compared with one another.
 PIVOT_TURNS = 2
 #: Pairs that share one copy of the more frequent side's text.
@@ -172,38 +177,56 @@ def signatures(features: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _parities(h: np.ndarray) -> np.ndarray:
+    """Bit i tells whether the number of features in cell i of ``BITS`` is odd: sets differ in as many features as bits, or more."""
+    return np.packbits(np.bincount((h >> np.uint64(52)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _features(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, cells = [], [], [], []
+            n, one, two, bits = [], [], [], [np.empty((0, BITS // 64), np.int64)]
             for text in batch.column(1).cast(pa.binary()):
                 h = shingles(text, width)
                 n.append(len(h))
                 one.append(mixed(h ^ _M1).sum(dtype=np.uint64))
                 two.append(mixed(h ^ _M2).sum(dtype=np.uint64))
-                cells.append(np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=CELLS).astype(np.int32))
-            flat = np.concatenate(cells) if cells else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * CELLS), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), lists], names=["doc_id", "n_shingles", "set_a", "set_b", "cells"])
+                bits.append(_parities(h)[None, :])
+            full = np.concatenate(bits)
+            folded = np.bitwise_xor.reduce(full.reshape(len(n), -1, FOLDS), axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (BITS // 64)), pa.array(full.ravel()))
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), *[pa.array(folded[:, i]) for i in range(FOLDS)], lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_a", "set_b", *_FOLDED, "bits"])
 
     return run
 
 
 def _signature_rows(width: int, percent: int):
-    """(sig, node) of every document with an id; node is the hash of its set, the same for copies."""
+    """(sig, node) of every document with an id; node is the hash of its set, the same for copies.
+
+    Copies that a task has signed already sign no more, so that a set has at
+    most one row a task and signature, however many copies there are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids, sigs):
             nodes = np.repeat(np.array(ids, np.uint64).view(np.int64), [len(s) for s in sigs])
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(nodes)], names=["sig", "node"])
 
+        signed: set[int] = set()
         for batch in batches:
             ids, sigs, held = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                if doc is None or not len(s := signatures(h := shingles(text, width), percent)):
+                if doc is None or not len(h := shingles(text, width)):
+                    continue
+                node = int(mixed(h ^ _M1).sum(dtype=np.uint64))
+                if node in signed:
                     continue
-                ids.append(mixed(h ^ _M1).sum(dtype=np.uint64))
-                sigs.append(s)
+                if len(signed) >= SIGNED:
+                    signed.clear()
+                signed.add(node)
+                ids.append(node)
+                sigs.append(s := signatures(h, percent))
                 held += len(s)
                 if held > 500_000:
                     yield flush(ids, sigs)
@@ -228,9 +251,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = salted_join(both.filter("b > a"), least, ["a"], "b").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        large = large.distinct()
+        large = stored(large.distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
+        small = salted_join(large, low, ["a"], "b").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         edges = stored(small, "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
@@ -239,19 +262,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def _bitmaps(width: int):
-    """The parity of the number of features in each of ``BITS`` cells: sets differ in as many features as bits, or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = [np.packbits(np.bincount((shingles(t, width) >> np.uint64(52)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for t in batch.column(1).cast(pa.binary())]
-            flat = np.concatenate(bits) if bits else np.empty(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (BITS // 64)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "bits"])
-
-    return run
-
-
 def _verify(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -297,54 +307,59 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    feats = stored(docs.mapInArrow(_features(width), f"doc_id {id_type}, n_shingles long, set_a long, set_b long, cells array<int>"), "sets")
+    folded = "".join(f", {c} long" for c in _FOLDED)
+    feats = stored(docs.mapInArrow(_features(width), f"doc_id {id_type}, n_shingles long, set_a long, set_b long{folded}, bits array<long>"), "sets")
     known = feats.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "set_a", "set_b"]
-    reps = known.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    members = stored(salted_join(known.select("doc_id", *same), reps, same, "doc_id").select("doc_id", "n_shingles", "rep"), "members")
-    nodes = known.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells")).select(F.col("set_a").alias("node"), "rep", "n_shingles", "cells")
+    reps = stored(known.groupBy(*same).agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in _FOLDED]), "reps")
+    nodes = reps.select(F.col("set_a").alias("node"), "rep", "n_shingles", *_FOLDED)
+
+    def slim(side: str) -> DataFrame:
+        return reps.select(F.col("rep").alias(side), F.struct("n_shingles", *_FOLDED).alias(f"of_{side}"))
 
-    rows = docs.mapInArrow(_signature_rows(width, percent), "sig long, node long")
     over = lambda what, name: F.expr(f"{what} over (partition by sig)").alias(name)
+    rows = docs.mapInArrow(_signature_rows(width, percent), "sig long, node long")
     shared = rows.repartition("sig").select("sig", "node", over("min(node)", "low"), over("max(node)", "high")).filter("low <> high").select("sig", "node").dropDuplicates(["sig", "node"])
     buckets = stored(shared.select("sig", "node", over("min(node)", "pivot"), over("count(*)", "m")), "buckets")
 
-    def near(a: str, b: str) -> str:
-        """That sizes and counts by cell don't rule the pair out."""
-        most = f"({a}.n_shingles + {b}.n_shingles) * {100 - percent} div {100 + percent}"
-        gap = f"aggregate(zip_with({a}.cells, {b}.cells, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)"
-        return f"100 * least({a}.n_shingles, {b}.n_shingles) >= {percent} * greatest({a}.n_shingles, {b}.n_shingles) and {gap} <= {most}"
-
-    star = buckets.filter("node <> pivot").select(F.col("node").alias("star_node"), "pivot").distinct()
-    left, right = nodes.alias("x"), nodes.alias("y")
-    star = stored(star.join(left, F.expr("star_node = x.node")).join(right, F.expr(f"pivot = y.node and {near('x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "star")
-    cand = star.select(F.col("a").alias("doc_id")).unionByName(star.select(F.col("b").alias("doc_id")))
-    several = buckets.filter("m > 2").join(nodes.select("node", "rep", "n_shingles"), "node").select("sig", "rep", "n_shingles")
-    several = stored(several, "several")
-    wanted = cand.unionByName(several.select(F.col("rep").alias("doc_id"))).distinct()
-    texts = stored(docs.join(wanted, "doc_id", "left_semi"), "texts")
+    gap = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+
+    def near(x: str, y: str, difference: str = "") -> str:
+        """That neither the sizes nor a lower bound on the difference, by default that of the folded bitmaps, rule the pair out."""
+        difference = difference or " + ".join(f"bit_count({x}.{c} ^ {y}.{c})" for c in _FOLDED)
+        return f"100 * least({x}.n_shingles, {y}.n_shingles) >= {percent} * greatest({x}.n_shingles, {y}.n_shingles) and {difference} <= ({x}.n_shingles + {y}.n_shingles) * {100 - percent} div {100 + percent}"
+
+    def possible(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that the whole bitmaps don't rule out, stored."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        bits = stored(known.join(wanted, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits").distinct(), "bits")
+        x, y = (bits.select(F.col("doc_id").alias(side), F.struct("n_shingles", "bits").alias(of)) for side, of in (("a", "x"), ("b", "y")))
+        return stored(salted_join(pairs.join(x, "a"), y, ["b"], "a").filter(near("x", "y", gap)).select("a", "b").distinct(), name)
+
+    star = stored(buckets.filter("node <> pivot").select("node", "pivot").distinct(), "met")
+    star = star.join(nodes.select("node", F.col("rep").alias("a"), F.struct("n_shingles", *_FOLDED).alias("x")), "node").drop("node")
+    star = salted_join(star, nodes.select(F.col("node").alias("pivot"), F.col("rep").alias("b"), F.struct("n_shingles", *_FOLDED).alias("y")), ["pivot"], "a")
+    star = possible(stored(star.filter(near("x", "y")).select("a", "b").distinct(), "near"), "star")
 
     links: list[DataFrame] = []
     classes: DataFrame | None = None
 
-    def settled(new: DataFrame) -> DataFrame:
-        links.append(stored(new, "links"))
+    def settled(pairs: DataFrame) -> DataFrame:
+        """The classes with the links that the texts confirm among the pairs."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        links.append(stored(verified(pairs, stored(docs.join(wanted, "doc_id", "left_semi"), "texts"), width, percent), "links"))
         return stored(components(reduce(DataFrame.unionByName, links)), "classes")
 
     def apart(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are not in one class yet."""
+        """The pairs (a, b) that are not in one class yet, stored."""
         of = lambda side: classes.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}"))
-        return salted_join(pairs.join(of("a"), "a", "left"), of("b"), ["b"], "a", "left").filter("coalesce(in_a, a) <> coalesce(in_b, b)").select("a", "b")
+        return stored(salted_join(pairs.join(of("a"), "a", "left"), of("b"), ["b"], "a", "left").filter("coalesce(in_a, a) <> coalesce(in_b, b)").select("a", "b"), "apart")
 
-    classes = settled(verified(star.groupBy("a").agg(F.min("b").alias("b")), texts, width, percent))
-    rest = stored(apart(star), "rest")
+    classes = settled(stored(star.groupBy("a").agg(F.min("b").alias("b")), "first"))
+    rest = apart(star)
     if not rest.isEmpty():
-        classes = settled(verified(rest, texts, width, percent))
+        classes = settled(rest)
     # rows that share a signature but are in several classes still meet other pivots, and in the end one another
-    bits = stored(texts.join(several.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_bitmaps(width), f"rep {id_type}, bits array<long>"), "bitmaps")
-    sized = several.select("rep", "n_shingles").distinct().join(bits, "rep")
-    gap = "aggregate(zip_with(x.bits, y.bits, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
-    close = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles) and {gap} <= (x.n_shingles + y.n_shingles) * {100 - percent} div {100 + percent}"
     seen = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
     def undecided(rows: DataFrame) -> DataFrame:
@@ -354,28 +369,29 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         rows = rows.select("*", over("min(class)", "low"), over("max(class)", "high")).filter("low <> high").drop("low", "high")
         return stored(rows, "undecided")
 
-    several = undecided(several)
+    several = undecided(buckets.filter("m > 2").join(nodes.select("node", "rep"), "node").select("sig", "rep"))
     for turn in range(PIVOT_TURNS):
         pivot = f"min_by(struct(rep, class), xxhash64(rep, {turn}))"
-        met = several.select("rep", "class", over(pivot, "p")).filter("class <> p.class").select("rep", F.col("p.rep").alias("pivot")).distinct()
-        pairs = met.join(sized.alias("x"), "rep").join(sized.withColumnRenamed("rep", "pivot").alias("y"), "pivot").filter(close)
-        pairs = pairs.select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b")).distinct()
-        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "turn")
+        met = stored(several.select("rep", "class", over(pivot, "p")).filter("class <> p.class").select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct(), "met")
+        pairs = salted_join(met.join(slim("a"), "a"), slim("b"), ["b"], "a").filter(near("of_a", "of_b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = possible(stored(pairs.join(seen, ["a", "b"], "left_anti"), "near"), "turn")
         if pairs.isEmpty():
             break
         seen = seen.unionByName(pairs)
-        classes = settled(verified(pairs, texts, width, percent))
+        classes = settled(pairs)
         several = undecided(several.select("sig", "rep"))
     # one of the signatures that the same rows share is enough
-    one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig")
-    last = several.join(one_each, "sig", "left_semi").join(sized, "rep")
+    one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    last = several.join(one_each, "sig").join(slim("rep"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    last = stored(last.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "blocks")
     x, y = last.alias("x"), last.alias("y")
-    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.rep > y.rep and x.class <> y.class and {close}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "others")
+    pairs = x.join(y, F.expr(f"x.sig = y.sig and x.block = y.other and x.other = y.block and x.rep > y.rep and x.class <> y.class and {near('x.of_rep', 'y.of_rep')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "near")
     if not pairs.isEmpty():
-        classes = settled(verified(pairs, texts, width, percent))
+        classes = settled(possible(pairs, "others"))
 
     of = classes.select(F.col("node").alias("rep"), "component")
-    grouped = salted_join(members, of, ["rep"], "doc_id", "left").select("doc_id", "n_shingles", "rep", F.coalesce("component", "rep").alias("component_id"))
+    classed = reps.join(of, "rep", "left").select(*same, "rep", F.coalesce("component", "rep").alias("component_id"))
+    grouped = salted_join(known.select("doc_id", *same), classed, same, "doc_id").select("doc_id", "n_shingles", "rep", "component_id")
     alone = feats.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("rep"), F.col("doc_id").alias("component_id"))
     return grouped.unionByName(alone)

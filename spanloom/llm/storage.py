@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SALTS = 16
+#: A key with more rows than one of so many parts of a table, and than so many rows, is dealt to several tasks.
+SHARES, SHARE_ROWS = 1000, 100
 
 
 _OWN: dict[str, str] = {}
@@ -47,10 +48,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join on keys of which one may hold much of ``left``: it is dealt to ``salts`` tasks by ``spread``.
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
+    """Join on keys of which a few may hold much of ``left``.
 
-    ``right`` has few rows and is repeated for each salt.
+    A key with more than one of ``SHARES`` parts of the rows is heavy; there are
+    fewer than ``SHARES`` of these. A heavy key's rows are dealt by ``spread`` to
+    as many tasks as they fill parts, and its rows of ``right`` are repeated for
+    each. Other keys are joined as they are. ``left`` is read twice: store it, if
+    it isn't cheap. Null keys match nothing.
     """
-    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
+    n = F.count(F.lit(1)).alias("_n")
+    total = left.agg(n).first()["_n"]
+    share = max(SHARE_ROWS, total / SHARES)
+    heavy = left.groupBy(*keys).agg(n).filter(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+    rows = heavy.collect()  # fewer than SHARES
+    if not rows:
+        return left.join(right, keys, how)
+    heavy = F.broadcast(left.sparkSession.createDataFrame(rows, heavy.schema))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = left.join(heavy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
+    copies = right.join(heavy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
