@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import salted_join, stored
+from .storage import discard, salted_join, stored
 
 #: Sizes of a band span this ratio; a set signs for one or two bands.
 BAND_RATIO = 1.5
@@ -254,7 +254,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = stored(large.distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = salted_join(large, low, ["a"], "b").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
-        edges = stored(small, "edges")
+        old, edges = edges, stored(small, "edges")
+        discard(old, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
@@ -334,7 +335,9 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         bits = stored(known.join(wanted, "doc_id", "left_semi").select("doc_id", "n_shingles", "bits").distinct(), "bits")
         x, y = (bits.select(F.col("doc_id").alias(side), F.struct("n_shingles", "bits").alias(of)) for side, of in (("a", "x"), ("b", "y")))
-        return stored(salted_join(pairs.join(x, "a"), y, ["b"], "a").filter(near("x", "y", gap)).select("a", "b").distinct(), name)
+        out = stored(salted_join(pairs.join(x, "a"), y, ["b"], "a").filter(near("x", "y", gap)).select("a", "b").distinct(), name)
+        discard(bits, pairs)
+        return out
 
     star = stored(buckets.filter("node <> pivot").select("node", "pivot").distinct(), "met")
     star = star.join(nodes.select("node", F.col("rep").alias("a"), F.struct("n_shingles", *_FOLDED).alias("x")), "node").drop("node")
@@ -347,7 +350,9 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     def settled(pairs: DataFrame) -> DataFrame:
         """The classes with the links that the texts confirm among the pairs."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        links.append(stored(verified(pairs, stored(docs.join(wanted, "doc_id", "left_semi"), "texts"), width, percent), "links"))
+        texts = stored(docs.join(wanted, "doc_id", "left_semi"), "texts")
+        links.append(stored(verified(pairs, texts, width, percent), "links"))
+        discard(texts)
         return stored(components(reduce(DataFrame.unionByName, links)), "classes")
 
     def apart(pairs: DataFrame) -> DataFrame:
@@ -389,6 +394,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "near")
     if not pairs.isEmpty():
         classes = settled(possible(pairs, "others"))
+    discard(last)
 
     of = classes.select(F.col("node").alias("rep"), "component")
     classed = reps.join(of, "rep", "left").select(*same, "rep", F.coalesce("component", "rep").alias("component_id"))

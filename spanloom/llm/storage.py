@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,22 @@ SHARES, SHARE_ROWS = 1000, 100
 
 
 _OWN: dict[str, str] = {}
+#: Folders of the scratch tables in the making, the innermost last.
+_SCOPES: list[str] = []
+#: Drops a job's shuffle files when it has ended: a stored table needs them no more.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, as a URI; a local one of our own where that is unset (tests).
+    """The folder named by ``spark.checkpoint.dir``, as a URI.
 
-    A path without a scheme is on the cluster's default file system.
+    A path without a scheme is on the cluster's default file system. Where the
+    setting is unset, a local master (tests) gets a folder of its own; a cluster
+    has none that all its machines see, so there the job stops.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder for intermediate tables")
     if not at:
         app = spark.sparkContext.applicationId
         at = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="spanloom-")
@@ -34,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_SCOPES[-1] if _SCOPES else shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -42,25 +51,59 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage, so a lost executor costs a reread and not a recomputation.
     """
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._scratch)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, stored; the tables that were stored on the way are deleted."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    inner = f"{path}-parts"
+    _SCOPES.append(inner)
+    try:
+        return _written(make(), path)
+    finally:
+        _SCOPES.pop()
+        _delete(spark, inner)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner") -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
     """Join on keys of which a few may hold much of ``left``.
 
     A key with more than one of ``SHARES`` parts of the rows is heavy; there are
     fewer than ``SHARES`` of these. A heavy key's rows are dealt by ``spread`` to
     as many tasks as they fill parts, and its rows of ``right`` are repeated for
-    each. Other keys are joined as they are. ``left`` is read twice: store it, if
-    it isn't cheap. Null keys match nothing.
+    each. Other keys are joined as they are. ``left`` is read twice, unless
+    ``counts`` (the keys and ``_n``) is given: store it, if it isn't cheap. Null
+    keys match nothing.
     """
-    n = F.count(F.lit(1)).alias("_n")
-    total = left.agg(n).first()["_n"]
+    total = left.count() if counts is None else counts.agg(F.sum("_n")).first()[0] or 0
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
     share = max(SHARE_ROWS, total / SHARES)
-    heavy = left.groupBy(*keys).agg(n).filter(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+    heavy = counts.filter(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
     rows = heavy.collect()  # fewer than SHARES
     if not rows:
         return left.join(right, keys, how)
