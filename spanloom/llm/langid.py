@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 #: Training texts of a language at most: the bound of the sample that the classifiers are fitted on.
 PER_LANGUAGE = 400
+#: Shares that a language's rows are ranked in.
+DEALS = 64
 #: Hashed n-gram features.
 FEATURES = 4096
 #: A best score under this is ambiguous.
@@ -103,9 +105,14 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     """Fit on rows (doc_id, text, lang): ``per_language`` of each language at most, those of the smallest hash.
 
     Rows of null text or lang are left out. Without rows, no language is known.
+    A language may hold most rows: they are ranked in ``DEALS`` shares first, and
+    then only the first ``per_language`` of each share.
     """
     named = labelled.filter("text is not null and lang is not null and doc_id is not null")
-    picked = named.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(8)).alias("h")).withColumn("k", F.expr("row_number() over (partition by lang order by h, doc_id)")).filter(F.col("k") <= per_language).select("doc_id").distinct()
+    picked = named.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(8)).alias("h"), F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(DEALS)).alias("deal"))
+    for keys in ("lang, deal", "lang"):
+        picked = picked.withColumn("k", F.expr(f"row_number() over (partition by {keys} order by h, doc_id)")).filter(F.col("k") <= per_language).drop("k")
+    picked = picked.select("doc_id").distinct()
     sample = named.join(F.broadcast(picked), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
