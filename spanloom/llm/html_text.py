@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log
 
 import pyarrow as pa
@@ -43,6 +43,10 @@ _NOISE = set("ad ads adv advert adverts advertisement advertising adsense banner
 _OUTER_NOISE = set("header masthead footer topbar bottombar".split())
 # Parts of class and id names that tell a state of the element, or of what lies beside it: no-sidebar, with-nav, comments-open.
 _STATE = set("no not non without with has have hide is open opened closed enabled disabled on off layout".split())
+# Parts of class and id names that tell what kind of box an element is, and nothing of what it holds.
+_BOX = set("bar block body box button buttons column container content count footer form group header heading holder icon icons inner item items left link links list main module outer page panel post posts right row section site slot top bottom title unit wrap wrapper".split())
+# Elements of running text, which a box of menus or adverts seldom is.
+_TEXTUAL = set("p h1 h2 h3 h4 h5 h6 blockquote pre table tbody tr td th dl dt dd figure figcaption span b i em strong".split())
 # Elements whose content is cut, and those that an unclosed one of them, or a drawing, can't hold.
 _CUT = set("svg math object template select".split())
 _FOREIGN = set("foreignobject annotation-xml".split())
@@ -91,7 +95,12 @@ def _end_of_cut(page: str, opened: re.Match) -> int:
 
 
 def noisy(name: str, attrs: str, inside: bool) -> bool:
-    """Whether the element holds no main text; headers and footers of an article's own are judged by ``inside``."""
+    """Whether the element holds no main text; headers and footers of an article's own are judged by ``inside``.
+
+    A class, id or role names it. Inside an article, and for elements of running
+    text, the whole name must speak of menus, adverts or the like: share-buttons
+    does, share-price doesn't. Elsewhere a part of it is enough.
+    """
     if name in _KEPT:
         return False
     if name in _DROPPED or (name == "header" and not inside):
@@ -101,7 +110,9 @@ def noisy(name: str, attrs: str, inside: bool) -> bool:
     if _HIDDEN.search(attrs):
         return True
     named = [{w.lower() for w in _PARTS.split(v) if w} for m in _LABEL.finditer(attrs) for v in (m[1] or m[2] or m[3] or "").split()]
-    words = {w for parts in named if not parts & _STATE for w in parts}
+    strict = inside or name in _TEXTUAL
+    named = [parts for parts in named if not parts & _STATE and not (strict and parts - _NOISE - _BOX - _OUTER_NOISE)]
+    words = {w for parts in named for w in parts}
     return bool(words & _NOISE) or (not inside and bool(words & _OUTER_NOISE))
 
 
@@ -198,25 +209,45 @@ def feature_counts(page: str | None) -> Counter:
     return out
 
 
-def main_text(page: str | None, weight: dict[str, float]) -> str:
-    """The blocks of the best region, each with single spaces, joined by line breaks."""
-    steps = list(walk(page or ""))
-    marked = any(inside for _, _, inside, _, _ in steps)
+def best_region(scores: Iterable[float]) -> tuple[int, int]:
+    """Start and stop of the contiguous part with the greatest sum, in one scan: the longest of equal ones that end last, empty if no sum is positive."""
     best = score = 0.0
     start = at = stop = 0
-    for i, (kind, name, inside, left, text) in enumerate(steps):
-        many = len(text.split()) if kind == "word" else 1
-        if many and not (left and inside):  # what an article holds but isn't its text doesn't part it
-            usual = -0.05 if kind == "tag" else 1.0
-            score += many * (-0.5 if kind == "word" and left else weight.get(_name(kind, name, inside, marked), usual))
+    for i, x in enumerate(scores):
+        score += x
         if score <= 0:
             score, at = 0.0, i + 1
         elif score >= best:
             best, start, stop = score, at, i + 1
+    return start, stop
+
+
+def step_scores(steps: list[tuple[str, str, bool, bool, str]], weight: dict[str, float]) -> Iterator[float]:
+    """A tag's weight, or that of a word of its kind times the words of a text."""
+    marked = any(inside for _, _, inside, _, _ in steps)
+    for kind, name, inside, left, text in steps:
+        many = len(text.split()) if kind == "word" else 1
+        if not many or (left and inside):  # what an article holds but isn't its text doesn't part it
+            yield 0.0
+        elif kind == "word" and left:
+            yield -0.5 * many
+        else:
+            yield many * weight.get(_name(kind, name, inside, marked), -0.05 if kind == "tag" else 1.0)
+
+
+def main_text(page: str | None, weight: dict[str, float]) -> str:
+    """The blocks of the best region, each with single spaces, joined by line breaks.
+
+    If the region holds parts of articles, what stands between two articles is
+    left out.
+    """
+    steps = list(walk(page or ""))
+    start, stop = best_region(step_scores(steps, weight))
+    in_article = any(inside and kind == "word" and text.strip() for kind, _, inside, _, text in steps[start:stop])
     blocks, held = [], []
-    for kind, name, _, left, text in steps[start:stop]:
+    for kind, name, inside, left, text in steps[start:stop]:
         if kind == "word":
-            if not left:
+            if not left and (inside or not in_article):
                 held.append(text)
         elif name not in _INLINE:
             blocks.append(" ".join("".join(held).split()))
@@ -226,7 +257,7 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
 
 
 def fit_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from ``sample`` pages at most that have an article or main element."""
+    """Weights from ``sample`` pages at most that have an article or main element; they are picked by id, and then read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -237,7 +268,9 @@ def fit_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
             yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in total]), pa.array([s for _, s in total]), pa.array(list(total.values()), pa.int64())], names=["feature", "inside", "n"])
 
     labelled = pages.filter(F.col("html").rlike("(?i)<(?:article|main)[\\s>]"))
-    picked = labelled.orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample).select("html")
+    named = labelled.select("page_id", F.xxhash64("page_id").alias("h"), F.xxhash64("html").alias("body"))
+    ids = named.orderBy("h", "page_id", "body").limit(sample).select(F.col("page_id").alias("picked_id"), "body").distinct()
+    picked = labelled.join(F.broadcast(ids), F.col("page_id").eqNullSafe(F.col("picked_id")) & (F.xxhash64("html") == F.col("body")), "left_semi").select("html")
     rows = picked.mapInArrow(run, "feature string, inside boolean, n long").groupBy("feature", "inside").agg(F.sum("n").alias("n")).collect()
     return weights({(r["feature"], r["inside"]): r["n"] for r in rows})
 
