@@ -58,7 +58,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_archives(spark, write_archives(table(spark, sf_dir, "pages"), least_bytes=0))
+    manifest = write_archives(table(spark, sf_dir, "pages"), least_bytes=0)
+    responses = read_archives(spark, manifest).filter("record_type = 'response'")  # payloads are read and held against their digests
+    rows = responses.unionByName(read_archives(spark, manifest, payload=False).filter("record_type = 'revisit'"))
     number = lambda c: F.regexp_extract(c, "([0-9]+)$", 1).try_cast("long")
     return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 

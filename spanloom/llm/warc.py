@@ -81,9 +81,10 @@ def write_archives(pages: DataFrame, name: str = "warc", least_bytes: int = 0) -
     folder = scratch_path(spark, name)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha", F.sha1("payload")).withColumn("size", F.length("payload"))
-    newest = rows.filter(F.col("size") >= least_bytes).groupBy("sha", "size").agg(F.max("page_id").alias("newest"))
-    spread = rows.withColumn("spread", F.xxhash64("page_id"))
-    rows = salted_join(spread, newest, ["sha", "size"], "spread", "left").select("page_id", "url", "payload", F.when(F.col("newest") != F.coalesce("page_id", F.col("newest") - 1), F.col("newest")).alias("refers_to"))
+    counted = rows.groupBy("sha", "size").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("_n"))
+    counted = stored(counted.filter("_n > 1"), "payloads")  # a payload of one row has no revisits
+    newest = counted.filter(F.col("size") >= least_bytes).select("sha", "size", "newest")
+    rows = salted_join(rows, newest, ["sha", "size"], "page_id", "left", counted.select("sha", "size", "_n")).select("page_id", "url", "payload", F.when(F.col("newest") != F.coalesce("page_id", F.col("newest") - 1), F.col("newest")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = path = None
@@ -133,7 +134,11 @@ class WarcReader(DataSourceReader):
         listed = fs.get_file_info(pafs.FileSelector(base, recursive=True)) if fs.get_file_info(base).type == pafs.FileType.Directory else [fs.get_file_info(base)]
         keep = None
         if "manifest" in self.options:
-            keep = set(self.options["manifest"].split("\n"))
+            import pyarrow.dataset as ds
+
+            tables, at = filesystem(self.options["manifest"])
+            paths = ds.dataset(at, filesystem=tables, format="parquet", schema=pa.schema([("path", pa.string())])).to_table()["path"].to_pylist()
+            keep = {p.rsplit("/", 1)[-1] for p in paths}
         prefix = self.options["path"][: -len(base)] if self.options["path"].endswith(base) else ""
         files = sorted((f.path, f.size) for f in listed if re.search(r"\.warc(\.gz)?$", f.path) and (keep is None or f.path.rsplit("/", 1)[-1] in keep))
         most = int(self.options.get("partitionbytes", 16_000_000))
@@ -168,7 +173,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class WarcDataSource(DataSource):
-    """``spark.read.format("warc")``; options: path, manifest (file names, one a line), payload (false: not decoded), partitionbytes."""
+    """``spark.read.format("warc")``; options: path, manifest (a Parquet table whose column path names the files that count), payload (false: not decoded), partitionbytes."""
 
     @classmethod
     def name(cls):
@@ -182,11 +187,12 @@ class WarcDataSource(DataSource):
 
 
 class _Stream:
-    """Bytes of a plain file or of a run of gzip members, read on demand."""
+    """Bytes of a plain file or of a run of gzip members, inflated as far as they are asked for."""
 
     def __init__(self, f, zipped: bool):
         self.f, self.zipped, self.plain, self.raw = f, zipped, bytearray(), b""
         self.inflate = zlib.decompressobj(31) if zipped else None
+        self.fresh = True  # at a member's start
 
     def more(self) -> bool:
         data = self.raw or self.f.read(65536)
@@ -196,11 +202,36 @@ class _Stream:
         if not self.zipped:
             self.plain += data
             return True
-        self.plain += self.inflate.decompress(data)
+        self.fresh = False
+        self.plain += self.inflate.decompress(data, 65536)
         if self.inflate.eof:
-            self.raw, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+            self.raw, self.inflate, self.fresh = self.inflate.unused_data, zlib.decompressobj(31), True
+        else:
+            self.raw = self.inflate.unconsumed_tail
         return True
 
+    def member(self) -> tuple[int, int, bytes] | None:
+        """Start, length and read-ahead of the member that begins here, if our writer's extra field says how long it is."""
+        while self.zipped and not self.plain and not self.fresh and self.more():
+            pass
+        if not self.zipped or self.plain or not self.fresh:
+            return None
+        start = self.f.tell() - len(self.raw)
+        while len(self.raw) < 24 and (data := self.f.read(65536)):
+            self.raw += data
+        raw = self.raw
+        return (start, struct.unpack("<I", raw[16:20])[0], raw) if len(raw) >= 24 and raw[3:4] == b"\x04" and raw[12:14] == b"sl" else None
+
+    def skip(self, at: tuple[int, int, bytes]) -> None:
+        """On to the end of the member that began ``at``, without inflating it."""
+        start, length, ahead = at
+        self.plain.clear()
+        self.inflate, self.fresh, self.raw = zlib.decompressobj(31), True, b""
+        if length <= len(ahead) and self.f.tell() == start + len(ahead):
+            self.raw = ahead[length:]
+        else:
+            self.f.seek(start + length)
+
     def upto(self, mark: bytes) -> bytes | None:
         at = 0
         while (found := self.plain.find(mark, at)) < 0:
@@ -211,6 +242,15 @@ class _Stream:
         del self.plain[: found + len(mark)]
         return out
 
+    def lead(self, n: int) -> bytes:
+        """Of the next n bytes those up to and with the first empty line; all if there is none."""
+        at = 0
+        while (found := self.plain.find(b"\r\n\r\n", at, n)) < 0 and len(self.plain) < n:
+            at = max(0, len(self.plain) - 4)
+            if not self.more():
+                raise EOFError("the archive ends within a record")
+        return self.take(n if found < 0 else found + 4)
+
     def take(self, n: int, keep: bool = True) -> bytes:
         """The next n bytes; without ``keep`` they are passed over as they come."""
         if not keep:
@@ -239,15 +279,7 @@ def records(f, wanted: dict[str, set], payloads: bool, zipped: bool) -> Iterator
     """The records of an open archive that ``wanted`` admits, as rows of SCHEMA."""
     stream = _Stream(f, zipped)
     while True:
-        start = None
-        if zipped and not stream.plain and stream.inflate is not None:
-            # at a member's start: our writer's extra field says how long it is
-            start = f.tell() - len(stream.raw)
-            while len(stream.raw) < 24 and (data := f.read(65536)):
-                stream.raw += data
-            length = struct.unpack("<I", stream.raw[16:20])[0] if stream.raw[3:4] == b"\x04" and stream.raw[12:14] == b"sl" else None
-            if not stream.raw:
-                return
+        member_at = stream.member()
         head = stream.upto(b"\r\n\r\n")
         if head is None:
             return
@@ -257,39 +289,38 @@ def records(f, wanted: dict[str, set], payloads: bool, zipped: bool) -> Iterator
             row[c] = row[c].strip("<>") if row[c] else row[c]
         if row["payload_digest"]:
             row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
-        size = int(h.get("content-length", 0))
-        if any(row[c] not in values for c, values in wanted.items()):
-            if start is not None and length:
-                f.seek(start + length)
-                stream = _Stream(f, zipped)
-            else:
-                stream.take(size + 4, keep=False)
-            continue
+        left = int(h.get("content-length", 0))
         http = h.get("content-type", "").startswith("application/http")
         whole = row["record_type"] != "revisit"
-        if not payloads and not http:
-            stream.take(size + 4, keep=False)
-            yield (*row.values(), size if whole else None, None)
-            continue
-        block = stream.take(size)
-        stream.take(4)
-        lead, _, body = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
-        many = len(body) if whole else int(fields(lead)["content-length"]) if http and b"ontent-" in lead else None
-        if whole and row["payload_digest"] and payloads and sha1_base32(body) != row["payload_digest"]:
-            raise ValueError(f"{row['record_id']}: the payload doesn't have its digest")
-        yield (*row.values(), many, body if whole and payloads else None)
+        if any(row[c] not in values for c, values in wanted.items()):
+            found = None
+        else:
+            lead = stream.lead(left) if http else b""
+            left -= len(lead)
+            many = left if whole else int(fields(lead)["content-length"]) if b"ontent-" in lead else None
+            body = stream.take(left) if payloads and whole else None
+            left -= len(body or b"")
+            if body is not None and row["payload_digest"] and sha1_base32(body) != row["payload_digest"]:
+                raise ValueError(f"{row['record_id']}: the payload doesn't have its digest")
+            found = (*row.values(), many, body)
+        if left and member_at:
+            stream.skip(member_at)
+        else:
+            stream.take(left + 4, keep=False)
+        if found:
+            yield found
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, payload: bool = True) -> DataFrame:
     """The records of the files that a stored manifest lists; empty without files.
 
-    The list of file names, one for each writing task, goes through the driver.
+    Filters on header columns reach the source. For this the session's
+    ``spark.sql.python.filterPushdown.enabled`` is switched on.
     """
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    paths = [r["path"] for r in manifest.select("path").collect()]
-    if not paths:
+    first = manifest.select("path").first()
+    if first is None:
         return spark.createDataFrame([], SCHEMA)
-    folder = paths[0].rsplit("/", 1)[0]
-    names = "\n".join(p.rsplit("/", 1)[1] for p in paths)
-    return spark.read.format("warc").option("path", folder).option("manifest", names).option("payload", str(payload).lower()).load()
+    table = manifest.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.read.format("warc").option("path", first["path"].rsplit("/", 1)[0]).option("manifest", table).option("payload", str(payload).lower()).load()
