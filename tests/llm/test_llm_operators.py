@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontam, html_text, langid, media, packing, pii, quality, set_join, token_shards, warc
+from spanloom.llm import decontam, html_text, langid, media, packing, pii, quality, set_join, storage, token_shards, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -438,16 +439,48 @@ def test_main_text_survives_drawings_forms_and_state_classes(page):
     assert html_text.main_text(page, {}) == "One two.\nThree four."
 
 
+@pytest.mark.parametrize(
+    "part",
+    ["<p class='share-price'>Three four.</p>", "<section class='related-work'><p>Three four.</p></section>", "<p id='comment-on-law'>Three four.</p>", "<p class='ad-hoc notice-period'>Three four.</p>"],
+)
+def test_article_keeps_blocks_whose_class_only_contains_a_listed_word(part):
+    page = f"<body><article><p>One two.</p>{part}<div class='share-buttons'>Share</div><div class='ad'>Buy</div><ul class='related-posts'><li>More</li></ul></article></body>"
+    assert html_text.main_text(page, {}) == "One two.\nThree four."
+
+
+def test_text_between_two_articles_is_left_out():
+    page = "<body><article><p>One two three.</p></article><p>Between them.</p><article><p>Four five six.</p></article><p>After.</p></body>"
+    assert html_text.main_text(page, {}) == "One two three.\nFour five six."
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(4)
-    for _ in range(200):
+    for _ in range(300):
         parts = [rng.choice(["<p>", "</p>", "<i>", "one two ", "word ", "<div>"]) for _ in range(rng.randint(1, 12))]
         weight = {f"tag:{n}": -rng.random() * 3 for n in ("p", "i", "div")} | {f"word:{n}": rng.random() for n in ("", "p", "div")}
-        scores = []
-        for kind, name, _, left, text in html_text.walk("".join(parts)):
-            scores.append(len(text.split()) * weight["word:" + name] if kind == "word" else weight["tag:" + name])
+        steps = list(html_text.walk("".join(parts)))
+        scores = list(html_text.step_scores(steps, weight))
+        assert scores == [len(text.split()) * weight["word:" + name] if kind == "word" else weight["tag:" + name] for kind, name, _, _, text in steps]
         best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0)
-        assert bool(html_text.main_text("".join(parts), weight)) == (best > 1e-12)
+        start, stop = html_text.best_region(scores)
+        assert abs(sum(scores[start:stop]) - max(0, best)) < 1e-9
+        blocks, held = [], []
+        for kind, name, _, _, text in [*steps[start:stop], ("tag", "p", False, False, "")]:
+            if kind == "word":
+                held.append(text)
+            elif name != "i":
+                blocks.append(" ".join("".join(held).split()))
+                held = []
+        assert html_text.main_text("".join(parts), weight) == "\n".join(b for b in blocks if b)
+
+
+def test_pages_with_further_columns_and_repeats(spark):
+    rows = [(1, "u", PAGE, "x", 7), (1, "u", PAGE, "x", 7), (2, None, "<p>" + "word " * 400_000, "y", 8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = html_text.extract(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(r["n_chars"] for r in got.collect()) == [54, 54, 5 * 400_000 - 1]
+    assert html_text.extract(pages.limit(0)).count() == 0
 
 
 # classifiers
@@ -542,6 +575,56 @@ def test_foreign_archives_are_read(tmp_path):
         assert [r[0] for r in warc.records(io.BytesIO(data), {"record_type": {"response"}}, True, zipped)] == ["urn:a"]
 
 
+def test_unwanted_payloads_are_skipped(tmp_path):
+    import io
+
+    class Counted(io.BytesIO):
+        many = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.many += len(out)
+            return out
+
+    rng = random.Random(1)
+    bodies = [rng.randbytes(n) for n in (300_000, 10, 500_000, 0, 70_000, 90_000)]
+    data = b"".join(warc.member(warc.record(f"urn:{i}", "http://a", body, "urn:0" if i % 2 else None)) for i, body in enumerate(bodies))
+    f = Counted(data)
+    got = list(warc.records(f, {"record_type": {"revisit"}}, False, True))
+    assert [(r[0], r[6], r[7]) for r in got] == [("urn:1", 10, None), ("urn:3", 0, None), ("urn:5", 90_000, None)] and f.many < len(data) / 2
+    f = Counted(data)
+    got = list(warc.records(f, {}, False, True))
+    assert [(r[0], r[6]) for r in got] == [(f"urn:{i}", len(b)) for i, b in enumerate(bodies)] and f.many < len(data) / 2
+    got = list(warc.records(io.BytesIO(data), {}, True, True))
+    assert [r[7] for r in got] == [b if i % 2 == 0 else None for i, b in enumerate(bodies)]
+
+
+def test_archives_with_repeats_of_the_newest_page_and_further_columns(spark):
+    rows = [(1, "u", "same", "x"), (2, "u", "same", "x"), (2, "v", "same", "y"), (3, "u", "other", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string")
+    got = warc.read_archives(spark, warc.write_archives(pages)).collect()
+    assert sorted((r["record_id"][-1], r["record_type"]) for r in got) == [("1", "revisit"), ("2", "response"), ("2", "response"), ("3", "response")]
+
+
+# joins and scratch tables
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_heavy_keys_are_split_and_nothing_changes(spark, how):
+    left = spark.createDataFrame([(0 if i % 3 else i % 50, i) for i in range(1500)] + [(None, -1), (99, -2)], "k int, v int")
+    right = spark.createDataFrame([(k, f"r{k}") for k in range(40)] + [(7, "again"), (None, "no")], "k int, w string")
+    got = storage.salted_join(left, right, ["k"], "v", how)
+    want = left.join(right, "k", how)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_finished_tables_leave_no_parts(spark):
+    before = set(os.listdir(storage.shared_dir(spark).removeprefix("file://")))
+    made = storage.finished(spark, "whole", lambda: storage.stored(spark.range(5), "part").filter("id > 2"))
+    after = set(os.listdir(storage.shared_dir(spark).removeprefix("file://")))
+    assert made.count() == 2 and [n.split("-")[0] for n in after - before] == ["whole"] and not any(n.endswith("-parts") for n in after)
+
+
 # decontamination
 
 
