@@ -16,7 +16,7 @@ from spanloom.llm.langid import UNDETERMINED, fit, predict
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.pii import replace_private
 from spanloom.llm.set_join import jaccard_classes
-from spanloom.llm.storage import stored
+from spanloom.llm.storage import finished, stored
 
 #: Word shingles and similarity of near duplicates.
 WIDTH, PERCENT = 5, 80
@@ -36,26 +36,28 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows of null doc_id belong to no class and stay.
     """
-    first = stored(jaccard_classes(docs, WIDTH, PERCENT).filter("doc_id = component_id").select("doc_id").distinct(), "first")
+    first = finished(spark, "first", lambda: jaccard_classes(docs, WIDTH, PERCENT).filter("doc_id = component_id").select("doc_id").distinct())
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark phrase."""
+    """Drops documents that hold a benchmark phrase; rows of a repeated or null doc_id are told apart by their text.
+
+    Null and empty texts hold none and stay, and an empty benchmark drops nothing.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
-    hit = stored(hit, "contaminated")
+    hit = finished(spark, "contaminated", lambda: contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct())
     return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash")), "left_anti")
 
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets become surrogates."""
+    """Personal data and secrets become surrogates; all rows stay, null and empty texts and repeated rows as they are."""
     return replace_private(docs).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces with their places in sequences."""
+    """The documents' token pieces with their places in sequences; null texts are empty ones, repeated rows are packed one by one."""
     return pack_documents(docs, carry={"ids_crc32": F.crc32("ids")})
 
 
@@ -71,7 +73,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are stored for the next."""
+    """All stages over ``documents``; each one's rows are stored for the next. An empty table gives no rows, further columns go along."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
