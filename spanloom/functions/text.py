@@ -18,6 +18,8 @@ PROFILE_GENERIC = "agence agency agentur agenzia agencia telegraph telegraphen t
 REPORTING = "added said reported stated announced ajoute ajouté annonce annoncé déclare déclaré indique indiqué rapporte rapporté révèle révélé berichtete berichtet erklärte erklart meldete meldet".split()
 # Surfaces that are too generic to accept.
 GENERIC_SURFACES = "agence agentur agency ag.".split()
+# Labels that stand for another one.
+LABEL_ALIASES = {"org.ent.pressagency.ats": "org.ent.pressagency.ats-sda", "org.ent.pressagency.conti": "org.ent.pressagency.wolff", "org.ent.pressagency.reuter": "org.ent.pressagency.reuters"}
 
 
 def literal(text: str) -> Column:
@@ -140,6 +142,24 @@ def base_label(tag: Column) -> Column:
     return F.when(tag.rlike("^[BI]-"), F.substring(tag, 3, 10000)).when(~tag.isin("", "_", "O"), tag)
 
 
+def canonical_label(label: Column, aliases: dict[str, str] = LABEL_ALIASES) -> Column:
+    """The label that an alias of it stands for; other labels as they are, null as empty."""
+    out = F.coalesce(label, F.lit(""))
+    for old, new in aliases.items():
+        out = F.when(label == old, F.lit(new)).otherwise(out)
+    return out
+
+
+def spaced_json(*columns: str) -> Column:
+    """One JSON object with keys in order and a blank after commas and colons; nulls are kept. Values are scalars."""
+
+    def part(c: str) -> Column:
+        whole = F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+        return F.concat(F.lit(f'"{c}": '), F.substr(whole, F.lit(len(c) + 5), F.length(whole) - (len(c) + 5)))
+
+    return F.concat(F.lit("{"), F.concat_ws(", ", *map(part, sorted(columns))), F.lit("}"))
+
+
 def family(label: Column) -> Column:
     return F.split_part(label, F.lit("."), F.lit(3))
 

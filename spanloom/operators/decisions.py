@@ -81,6 +81,7 @@ def apply_choices(spans: DataFrame, decisions: DataFrame) -> DataFrame:
         rows = [(key[0], a, b, label) for (a, b), label in sorted(held.items())]
         return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label"])
 
+    decisions = decisions.toDF(*decisions.columns)  # may derive from the spans
     return spans.groupBy("doc_id").cogroup(decisions.groupBy("doc_id")).applyInPandas(replay, f"doc_id {kind}, token_start int, token_stop int, label string")
 
 
@@ -110,6 +111,7 @@ def apply_patches(spans: DataFrame, patches: DataFrame) -> DataFrame:
         rows = [(key[0], a, b, label, change) for (a, b), (label, change) in sorted(held.items())]
         return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label", "change"])
 
+    patches = patches.toDF(*patches.columns)  # may derive from the spans
     return spans.groupBy("doc_id").cogroup(patches.groupBy("doc_id")).applyInPandas(replay, f"doc_id {kind}, token_start int, token_stop int, label string, change string")
 
 

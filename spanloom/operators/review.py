@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import base_document_id, base_label, issue_id, row_text, squeezed
+from spanloom.functions.text import base_document_id, base_label, issue_id, row_text, spaced_json, squeezed
 
 from .bio import spans, tags
 from .evaluate import expansion_pattern
@@ -115,7 +115,7 @@ def candidates_of(hits: DataFrame) -> DataFrame:
 def export_ids(rows: DataFrame, content: list[str]) -> DataFrame:
     """Unique ids for export: an id that repeats is followed by ten digits of its content's hash."""
     many = F.count("*").over(W.partitionBy("id")) > 1
-    digest = F.substring(F.sha1(F.to_json(F.struct(*sorted(content)), {"ignoreNullFields": "false"})), 1, 10)
+    digest = F.substring(F.sha1(spaced_json(*content)), 1, 10)
     return rows.withColumn("id", F.when(many, F.concat("id", F.lit("#snippet-"), digest)).otherwise(F.col("id")))
 
 
