@@ -46,20 +46,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_SCOPES[-1] if _SCOPES else shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Cuts lineage, so a lost executor costs a reread and not a recomputation.
     """
-    return _written(df, scratch_path(df.sparkSession, name))
+    return _written(df, scratch_path(df.sparkSession, name), compression)
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def _written(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)

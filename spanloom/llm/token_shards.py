@@ -24,6 +24,8 @@ LENGTH = 2048
 #: Records of a shard: 16 MB of 16-bit ids.
 SHARD_RECORDS = 4096
 ROUNDS = 4
+#: Rows of a part on average; past so many parts, parts grow with the table.
+PART_ROWS, MANY_PARTS = 4096, 16_384
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -57,15 +59,23 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
 
 
 def token_sequences(docs: DataFrame, tokenizer: tuple[str, str] | None = None, length: int = LENGTH) -> DataFrame:
-    """Sequences of ``length`` ids from the documents of each input partition in turn, stored.
+    """Sequences of ``length`` ids from the documents of each part in turn, stored.
 
     Columns: part, number (the sequence's in its part), ids binary (16-bit
-    little-endian), segments array of (doc_id, start, length, at). Each document
-    ends with the separator; a part's last sequence is filled up with
-    separators that belong to no segment. Null or empty text: the separator
-    alone. Repeated rows and null doc_ids are kept.
+    little-endian), segments array of (doc_id, start, length, at). A document's
+    part and its place there come from hashes of its id and text, and the number
+    of parts from that of the rows: the same documents make the same sequences,
+    however they are stored or read. Each document ends with the separator; a
+    part's last sequence is filled up with separators that belong to no segment.
+    Null or empty text: the separator alone. Repeated rows and null doc_ids are
+    kept. Further columns are dropped.
     """
     path, pattern = tokenizer or default_tokenizer()
+    rows = docs.count()
+    parts = max(1, min(-(-rows // PART_ROWS), MANY_PARTS + rows // (16 * PART_ROWS)))
+    part = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(parts)).cast("int")
+    docs = docs.select("doc_id", "text", part.alias("part"), F.xxhash64("doc_id", "text").alias("h"))
+    docs = docs.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "h", "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"part int, number long, ids binary, segments array<struct<doc_id:{kind},start:long,length:int,at:int>>"
 
@@ -73,7 +83,7 @@ def token_sequences(docs: DataFrame, tokenizer: tuple[str, str] | None = None, l
         enc = encoder(path, pattern)
         if enc.max_token_value >= 1 << 16:
             raise ValueError("16-bit ids don't hold this vocabulary")
-        part, number, rows = TaskContext.get().partitionId(), 0, []
+        part, number, rows = None, 0, []
         held = np.full(length, SEPARATOR_ID, "<u2")
         at, segments = 0, []
 
@@ -81,14 +91,19 @@ def token_sequences(docs: DataFrame, tokenizer: tuple[str, str] | None = None, l
             ids, segs = [r[1] for r in rows], [s for r in rows for s in r[2]]
             ends = np.cumsum([0, *(len(r[2]) for r in rows)])
             struct = pa.StructArray.from_arrays([pa.array([s[0] for s in segs], kind), pa.array([s[1] for s in segs], pa.int64()), pa.array([s[2] for s in segs], pa.int32()), pa.array([s[3] for s in segs], pa.int32())], names=["doc_id", "start", "length", "at"])
-            out = pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)], names=["part", "number", "ids", "segments"])
+            out = pa.RecordBatch.from_arrays([pa.array([r[3] for r in rows], pa.int32()), pa.array([r[0] for r in rows], pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)], names=["part", "number", "ids", "segments"])
             rows.clear()
             return out
 
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, text, mine in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                if mine != part:
+                    if at:
+                        held[at:] = SEPARATOR_ID
+                        rows.append((number, held.tobytes(), segments, part))
+                    part, number, at, segments = mine, 0, 0, []
                 ids = np.array([*enc.encode(text.as_py() or "", allowed_special="all"), SEPARATOR_ID], "<u2")
                 start = 0
                 while start < len(ids):
@@ -97,21 +112,17 @@ def token_sequences(docs: DataFrame, tokenizer: tuple[str, str] | None = None, l
                     segments.append((doc, start, n, at))
                     start, at = start + n, at + n
                     if at == length:
-                        rows.append((number, held.tobytes(), segments))
+                        rows.append((number, held.tobytes(), segments, part))
                         number, at, segments = number + 1, 0, []
                         if len(rows) >= 1024:
                             yield flush(id_type)
         if at:
             held[at:] = SEPARATOR_ID
-            rows.append((number, held.tobytes(), segments))
+            rows.append((number, held.tobytes(), segments, part))
         if rows:
             yield flush(id_type)
 
-    spark = docs.sparkSession
-    at = scratch_path(spark, "sequences")
-    made = docs.select("doc_id", "text").mapInArrow(run, schema)
-    made.write.option("compression", "zstd").parquet(at)
-    return spark.read.schema(made.schema).parquet(at)
+    return stored(docs.select("doc_id", "text", "part").mapInArrow(run, schema), "sequences", "zstd")
 
 
 def indexed(sequences: DataFrame) -> tuple[DataFrame, int]:
@@ -220,7 +231,7 @@ def read_segments(manifest: DataFrame, segments: DataFrame, shard_records: int =
     kind = segments.schema["doc_id"].dataType.simpleString()
     rows = segments.join(manifest.select("shard", "path", "stride"), "shard").select("doc_id", "start", "length", "at", "slot", "shard", "path", "stride")
     tasks = max(1, manifest.count())
-    ordered = rows.repartition(tasks, "shard").sortWithinPartitions("shard", "slot", "at")
+    ordered = rows.repartitionById(tasks, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
