@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import salted_join, stored
 
 WINDOW = 10
 #: A table of the benchmark with at most so many rows is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 100_000
 
+#: Places of a block in which a proximity match looks for the second term.
+_BLOCK = 64
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -48,6 +51,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _by_term(many: DataFrame, few: DataFrame, spread: str) -> DataFrame:
+    """Join on the term: ``few`` is broadcast if it is small, else frequent terms are dealt to several tasks."""
+    return many.join(F.broadcast(few), "term") if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else salted_join(many, few, ["term"], spread)
+
+
 def ranked_terms(tokens: DataFrame, asked: DataFrame) -> DataFrame:
     """(phrase, n, off, term, rank): a phrase's terms from the rarest in ``tokens``; phrases with an absent term are left out."""
     terms = asked.select("phrase", "n").distinct().select("phrase", "n", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
@@ -63,54 +71,74 @@ def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     return stored(found.select("term", "row_id", "pos"), "postings")
 
 
-def exact_matches(tokens: DataFrame, asked: DataFrame) -> DataFrame:
-    """All occurrences (row_id, start, n, phrase) of the phrases in the token table."""
+def matches(tokens: DataFrame, asked: DataFrame, slop: int = 0) -> DataFrame:
+    """Occurrences (row_id, start, n, phrase, exact) of the phrases in the token table.
+
+    With ``slop`` also proximity matches, where each term lies within so many
+    words of its place, seen from an occurrence of the phrase's rarest term.
+    The list of the second rarest term is met by blocks of places then.
+    """
     ranked = stored(ranked_terms(tokens, asked).filter("rank <= 2"), "anchors")
     index = postings(tokens, ranked)
     second = ranked.filter("rank = 2").select("phrase", F.col("term").alias("term_2"), F.col("off").alias("off_2"))
     anchors = ranked.filter("rank = 1").join(second, "phrase", "left")
     start = F.col("pos") - F.col("off")
-    at = index.join(small(anchors), "term").filter(start >= 0).select("row_id", start.alias("start"), "phrase", "n", "term_2", (start + F.col("off_2")).alias("pos_2"))
-    met = at.filter("term_2 is not null").join(index.select("row_id", F.col("term").alias("term_2"), F.col("pos").alias("pos_2")), ["row_id", "term_2", "pos_2"], "left_semi")
+    at = _by_term(index, anchors, spread="row_id").filter(start >= -slop).select("row_id", start.alias("start"), "phrase", "n", "term_2", (start + F.col("off_2")).alias("pos_2"))
+    block = lambda pos: F.floor(pos / (_BLOCK if slop else 1))
+    second = index.select(F.col("row_id").alias("r"), F.col("term").alias("t"), F.col("pos").alias("p"), block(F.col("pos")).alias("b"))
+    ends = F.array_distinct(F.array(block(F.col("pos_2") - slop), block(F.col("pos_2") + slop)))
+    met = at.filter("term_2 is not null").withColumn("block", F.explode(ends)).join(second, F.expr(f"row_id = r and term_2 = t and block = b and abs(pos_2 - p) <= {slop}"), "left_semi")
     keep = ["row_id", "start", "n", "phrase"]
     possible = met.select(*keep).unionByName(at.filter("term_2 is null").select(*keep))
+    possible = possible.distinct() if slop else possible
     by_row = possible.groupBy("row_id").agg(F.collect_list(F.struct("start", "n", "phrase")).alias("found"))
-    checked = tokens.select("row_id", "n_words", "line").join(by_row, "row_id").select("row_id", "found", _split().alias("words")).select("row_id", F.filter("found", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["n"]), " ") == c["phrase"]).alias("found"))
-    return checked.select("row_id", F.explode("found").alias("m")).select("row_id", "m.*")
 
+    def judged(c: Column) -> Column:
+        exact = (c["start"] >= 0) & (F.array_join(F.slice("words", F.greatest(c["start"], F.lit(0)) + 1, c["n"]), " ") == c["phrase"])
+        if not slop:
+            return F.struct(c["start"].alias("start"), c["n"].alias("n"), c["phrase"].alias("phrase"), exact.alias("exact"), exact.alias("near"))
+        places = F.transform(F.split(c["phrase"], " "), lambda term, i: F.array_contains(F.slice("words", F.greatest(c["start"] + i - slop, F.lit(0)) + 1, F.greatest(F.least(c["start"] + i + slop + 1, F.lit(2 * slop + 1)), F.lit(0))), term))
+        return F.struct(c["start"].alias("start"), c["n"].alias("n"), c["phrase"].alias("phrase"), exact.alias("exact"), (exact | F.forall(places, lambda x: x)).alias("near"))
 
-def proximity_matches(tokens: DataFrame, asked: DataFrame, slop: int) -> DataFrame:
-    """(row_id, start, phrase): each term of the phrase occurs within ``slop`` words of its place.
+    checked = tokens.select("row_id", "n_words", "line").join(by_row, "row_id").select("row_id", "found", _split().alias("words"))
+    checked = checked.select("row_id", F.filter(F.transform("found", judged), lambda m: m["near"]).alias("found"))
+    return checked.select("row_id", F.explode("found").alias("m")).select("row_id", "m.start", "m.n", "m.phrase", "m.exact")
 
-    Places are relative to an occurrence of the rarest term. Lists of the
-    phrase's other terms are met only in the rows where the rarest occurs.
-    """
-    ranked = stored(ranked_terms(tokens, asked), "terms")
-    index = postings(tokens, ranked)
-    first = index.join(ranked.filter("rank = 1"), "term").select("row_id", (F.col("pos") - F.col("off")).alias("start"), "phrase", "n")
-    rest = first.join(ranked.filter("rank > 1").select("phrase", "term", F.col("off").alias("o")), "phrase").join(index, ["row_id", "term"]).filter(F.abs(F.col("pos") - F.col("o") - F.col("start")) <= slop)
-    met = rest.groupBy("row_id", "start", "phrase", "n").agg(F.count_distinct("o").alias("terms")).filter("terms = n - 1")
-    return met.select("row_id", "start", "phrase").unionByName(first.filter("n = 1").select("row_id", "start", "phrase"))
+
+def exact_matches(tokens: DataFrame, asked: DataFrame) -> DataFrame:
+    """All occurrences (row_id, start, n, phrase) of the phrases in the token table."""
+    return matches(tokens, asked).drop("exact")
+
+
+def proximity_matches(tokens: DataFrame, asked: DataFrame, slop: int) -> DataFrame:
+    """(row_id, start, phrase): each term of the phrase occurs within ``slop`` words of its place, as seen from its rarest term."""
+    return matches(tokens, asked, slop).select("row_id", "start", "phrase")
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """Benchmark hits of every row of ``docs``: row_id, doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated.
 
     n_hit counts the words inside any occurrence of a phrase, n_items the items
-    of which a phrase occurs. Null or empty texts have no words and no hits;
+    of which a phrase occurs. With ``slop``, n_near says of how many items a
+    phrase matches in proximity, exactly included. Further columns are dropped. Null or empty texts have no words and no hits;
     items without words ask for nothing; an item_id that repeats is one item;
     hits of a null item_id count as hits, but name no item. Repeated rows and
     null doc_ids are kept, each with its own hits. Either table may be empty.
     """
     tokens = token_table(docs)
     asked = stored(phrases(items, window), "phrases")
-    hits = stored(exact_matches(tokens, asked), "hits")
+    every = stored(matches(tokens, asked, slop), "hits")
+    hits = every.filter("exact")
     reach = hits.groupBy("row_id", "start").agg(F.max(F.col("start") + F.col("n")).alias("stop"))
     reach = reach.withColumn("seen", F.expr("max(stop) over (partition by row_id order by start rows between unbounded preceding and 1 preceding)"))
     covered = reach.groupBy("row_id").agg(F.sum(F.greatest(F.lit(0), F.col("stop") - F.greatest("start", F.coalesce("seen", F.lit(0))))).cast("long").alias("n_hit"))
     named = hits.select("row_id", "phrase").distinct().join(asked.filter("item_id is not null").select("item_id", "phrase"), "phrase")
     named = named.groupBy("row_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    out = tokens.select("row_id", "doc_id", "text_hash", "n_words").join(covered.join(named, "row_id", "left"), "row_id", "left")
+    found = covered.join(named, "row_id", "left")
+    if slop:
+        near = every.select("row_id", "phrase").distinct().join(asked.filter("item_id is not null").select("item_id", "phrase"), "phrase").groupBy("row_id").agg(F.count_distinct("item_id").alias("n_near"))
+        found = near.join(found, "row_id", "full_outer")
+    out = tokens.select("row_id", "doc_id", "text_hash", "n_words").join(found, "row_id", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("row_id", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select("row_id", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), *([F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")] if slop else []))

@@ -66,7 +66,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_id", "text_hash")
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=2).drop("row_id", "text_hash")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
