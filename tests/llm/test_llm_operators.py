@@ -209,6 +209,18 @@ def test_shards_round_trip_and_resume(spark, tmp_path):
     assert empty.count() == none.count() == 0
 
 
+def test_sequences_dont_depend_on_how_the_documents_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(token_shards, "PART_ROWS", 40)
+    docs = docs_of(spark, [*ODD, *[f"text {i} " * (i % 40) for i in range(200)]]).withColumn("part", F.lit("clash")).withColumn("h", F.lit(1))
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    seen = []
+    for dealt in (docs.repartition(1), docs.repartition(7), docs.orderBy(F.desc("doc_id"))):
+        rows = token_shards.token_sequences(dealt, length=32).collect()
+        assert len({r["part"] for r in rows}) > 3
+        seen.append(sorted((r["part"], r["number"], bytes(r["ids"]), str(r["segments"])) for r in rows))
+    assert seen[0] == seen[1] == seen[2] and len({(p, n) for p, n, *_ in seen[0]}) == len(seen[0])
+
+
 # Jaccard join
 
 
@@ -666,6 +678,34 @@ def test_contamination_equals_brute_force(spark):
     assert decontam.contamination(docs_of(spark, texts).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("slop", [1, 2, 5])
+def test_proximity_equals_brute_force(spark, slop):
+    rng = random.Random(slop)
+    vocabulary = [f"v{i}" for i in range(9)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 4])))) for k in range(8)] + [(20, None), (21, "v1 v1"), (22, "absent v1")]
+    texts = [*ODD, *[" ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 5, 30]))) for _ in range(60)], "filler " * 70 + "v1 v2 v3 " + "filler " * 70]
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    many = {}
+    for w in words:
+        for x in w:
+            many[x] = many.get(x, 0) + 1
+    want = {}
+    for item, text in items:
+        phrase = (text or "").split()
+        if not phrase or min(many.get(x, 0) for x in phrase) == 0:
+            continue
+        off = min(range(len(phrase)), key=lambda i: (many[phrase[i]], i))
+        for d, w in enumerate(words):
+            for at in range(len(w)):
+                start = at - off
+                if w[at] == phrase[off] and all(x in w[max(0, start + i - slop) : max(0, start + i + slop + 1)] for i, x in enumerate(phrase)):
+                    want.setdefault(d, set()).add(item)
+    got = decontam.contamination(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string"), slop=slop).collect()
+    assert {r["doc_id"]: r["n_near"] for r in got} == {i: len(want.get(i, ())) for i in range(len(texts))}
+    exact = hits_by_hand(texts, items)
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got) == exact
+
+
 def test_proximity_matches_allow_slop(spark):
     tokens = decontam.token_table(docs_of(spark, ["x alpha y beta gamma", "alpha beta z gamma", "beta alpha gamma", "alpha q q q beta gamma"]))
     asked = decontam.phrases(spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string"))
