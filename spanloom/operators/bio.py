@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import base_label, family
 
-from .tokens import by_document, islands
+from .tokens import by_document, hinted, islands
 
 
 def spans(tagged: DataFrame, tag: str = "tag", merge_adjacent: bool = False, on_malformed: str = "begin") -> DataFrame:
@@ -32,6 +32,24 @@ def spans(tagged: DataFrame, tag: str = "tag", merge_adjacent: bool = False, on_
     return (out.filter("not orphan") if on_malformed == "outside" else out).drop("island", "orphan")
 
 
+def sided_spans(tagged: DataFrame, *tags: str) -> DataFrame:
+    """Spans of several tag columns in one pass over the tokens: doc_id, side (the column's place), label, token_start, token_stop.
+
+    A malformed I begins a span; a span breaks where tokens are missing in between.
+    """
+    rows = tagged.select("doc_id", "i", *tags)
+    near = F.lag("i").over(by_document()) == F.col("i") - 1
+    for k, tag in enumerate(tags):
+        label = base_label(F.col(tag))
+        goes_on = label.eqNullSafe(F.when(near, base_label(F.lag(tag).over(by_document())))) & ~F.col(tag).startswith("B-")
+        rows = rows.withColumns({f"l{k}": label, f"b{k}": (~goes_on).cast("int")})
+    up_to = by_document().rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"n{k}": F.sum(f"b{k}").over(up_to) for k in range(len(tags))})
+    each = F.filter(F.array(*[F.struct(F.lit(k).alias("side"), F.col(f"l{k}").alias("label"), F.col(f"n{k}").alias("island")) for k in range(len(tags))]), lambda s: s["label"].isNotNull())
+    found = rows.select("doc_id", "i", F.explode(each).alias("s")).select("doc_id", "i", "s.*")
+    return found.groupBy("doc_id", "side", "island").agg(F.first("label").alias("label"), F.min("i").alias("token_start"), (F.max("i") + 1).alias("token_stop")).drop("island")
+
+
 def scored_spans(tagged: DataFrame, tag: str = "tag") -> DataFrame:
     """Spans with the least confidence and margin of their tokens."""
     found = spans(tagged, tag)
@@ -88,7 +106,7 @@ def import_tags(tagged: DataFrame, seeds: DataFrame, repair: bool = True) -> Dat
     # Raw labels that are never imported.
     reasons = {"unk": "unknown_agency", "ag": "generic_agency_marker", "pers.ind.articleauthor": "article_author"}
     base = F.lower(base_label(F.col("tag")))
-    rows = tagged.withColumn("raw", base).join(F.broadcast(seeds.select(F.lower("id").alias("raw"), F.col("label").alias("public"), "trainable")), "raw", "left")
+    rows = tagged.withColumn("raw", base).join(hinted(seeds.select(F.lower("id").alias("raw"), F.col("label").alias("public"), "trainable")), "raw", "left")
     ok = F.col("public").isNotNull() & F.coalesce("trainable", F.lit(False))
     reason = F.lit("unknown_label")
     for name, why in reasons.items():

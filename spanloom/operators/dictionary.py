@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import PLANNING_GENERIC, REPORTING, boundary_form, casefold, compact, core_name_token, generic_surface, has_word, piece_count, squeezed, word_count
 
-from .tokens import by_document, together
+from .tokens import by_document, hinted, together
 
 _BRACKETS = ["(", ")", "[", "]", "{", "}"]
 _NEAR = 3
@@ -54,15 +54,17 @@ def match(tokens: DataFrame, aliases: DataFrame) -> DataFrame:
     another one and a single letter is dropped. Null tokens match nothing.
     """
     spark = tokens.sparkSession
-    known = alias_table(aliases).persist()
-    longest = known.agg(F.max("most")).first()[0]
+    known = alias_table(aliases)
+    longest, many = known.agg(F.max("most"), F.count("*")).first()
     if longest is None:
         return spark.createDataFrame([], "doc_id long, label string, token_start int, token_stop int, alias string, matcher string, start int, stop int")
-    small = F.broadcast if known.count() <= BROADCAST_ALIASES else (lambda df: df)
+    small = F.broadcast if many <= BROADCAST_ALIASES else (lambda df: df)
     starts = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("form")), lambda k: F.substr("form", F.lit(1), k))).alias("first")).distinct()
-    ahead = by_document().rowsBetween(0, longest)
-    rows = tokens.withColumns({"next": F.collect_list("token").over(ahead), "stops": F.collect_list("stop").over(ahead), "first": compact(F.col("token"))})
+    later = {f"{c}_{k}": F.lead(c, k).over(by_document()) for c in ("token", "stop") for k in range(1, longest + 1)}
+    rows = tokens.select("doc_id", "i", "token", "start", "stop").withColumns(later).withColumn("first", compact(F.col("token")))
     rows = rows.filter(has_word(F.col("token"))).join(small(starts), "first", "left_semi")
+    listed = lambda c: F.filter(F.array(c, *[f"{c}_{k}" for k in range(1, longest + 1)]), lambda x: x.isNotNull())
+    rows = rows.withColumns({"next": listed("token"), "stops": listed("stop")})
     rows = rows.select("doc_id", F.col("i").alias("token_start"), "start", "next", "stops", F.explode(F.sequence(F.lit(1), F.least(F.size("next"), F.lit(longest)))).alias("n"))
     window = F.slice("next", F.lit(1), F.col("n"))
     rows = rows.withColumn("w", window).withColumns({"form": compact(F.array_join("w", "")), "last": F.get("next", F.col("n") - 1), "after": F.get("next", F.col("n"))})
@@ -116,7 +118,7 @@ def contextual(tokens: DataFrame, hits: DataFrame) -> DataFrame:
 def plausible(mentions: DataFrame, periods: DataFrame) -> DataFrame:
     """Adds verification and delta_years: whether a mention (label, year) falls after its entity's active_start."""
     known = periods.select("label", "active_start", F.lit(True).alias("known"))
-    rows = mentions.join(F.broadcast(known), "label", "left")
+    rows = mentions.join(hinted(known), "label", "left")
     early = F.col("year") < F.col("active_start")
     status = (
         F.when(F.coalesce("label", F.lit("")) == "", "missing_label")
@@ -145,7 +147,7 @@ def boundary_proposals(entities: DataFrame, names: DataFrame, agency: list[str],
     parts = rows.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("high", F.explode(F.sequence(F.col("low") + 1, F.col("m"))))
     part = F.slice("t", F.col("low") + 1, F.col("high") - F.col("low"))
     parts = parts.filter(core_name_token(part)).withColumn("form", boundary_form(F.array_join(part, " ")))
-    parts = parts.join(F.broadcast(names), ["label", "form"])
+    parts = parts.join(hinted(names), ["label", "form"])
     suffix = (F.col("high") == F.col("m")) & (F.col("low") > 0)
     parts = parts.filter(F.col("direct") | suffix).withColumn("phase", (~F.col("direct")).cast("int"))
     at = W.partitionBy("doc_id", "token_start", "token_stop", "label").orderBy("phase", F.when(F.col("direct"), -(F.col("high") - F.col("low"))).otherwise(F.col("high") - F.col("low")), "low")

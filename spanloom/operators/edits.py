@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from spanloom.functions.text import cosine
 
+from .tokens import chunks
+
 
 def replace_segment(docs: DataFrame, entities: DataFrame, old: str, new: str, which: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Replaces occurrences of ``old`` in texts: documents with text and n_replaced, and entities with moved offsets.
@@ -42,26 +44,49 @@ def _quoted(text: str) -> str:
 
 
 def projections(tokens: list[str], wanted: list[str], entity: tuple[int, int]) -> list[int] | None:
-    """Places of ``wanted`` in order in ``tokens``: least width of the entity's part, then of all, then least gap, then first."""
-    best: tuple | None = None
-    at = [[i for i, t in enumerate(tokens) if t == w] for w in wanted]
-
-    def go(k: int, chosen: list[int]) -> None:
-        nonlocal best
-        if k == len(wanted):
-            part = chosen[entity[0] : entity[1]]
-            gap = sum(b - a - 1 for a, b in zip(chosen, chosen[1:], strict=False))
-            key = (part[-1] - part[0] if part else 0, chosen[-1] - chosen[0], gap, chosen[0], chosen[-1])
-            if best is None or key < best[0]:
-                best = key, list(chosen)
-            return
-        for i in at[k]:
-            if not chosen or i > chosen[-1]:
-                go(k + 1, [*chosen, i])
-
-    if wanted:
-        go(0, [])
-    return best[1] if best else None
+    """Places of ``wanted`` in order in ``tokens``: least width of the entity's part, then of all, then least gap, then first.
+
+    Steps from word to word keep, for each place of a word and each place where
+    the entity's part and the whole began, the best way there; so the work is
+    bounded by the number of occurrences cubed and not by that of their choices.
+    """
+    at: dict[str, list[int]] = {}
+    for i, token in enumerate(tokens):
+        at.setdefault(token, []).append(i)
+    low, high = entity
+    # (place, first place, first place of the entity's part, last of it) to the way there
+    ways: dict[tuple, list[int]] = {(-1, None, None, None): []}
+    for k, word in enumerate(wanted):
+        onward: dict[tuple, list[int]] = {}
+        for (place, first, begun, ended), way in ways.items():
+            for i in at.get(word, ()):
+                if i > place:
+                    inside = low <= k < high
+                    key = (i, i if first is None else first, i if inside and begun is None else begun, i if inside else ended)
+                    onward.setdefault(key, [*way, i])
+        ways = onward
+    if not wanted or not ways:
+        return None
+    order = lambda w: ((w[high - 1] - w[low]) if w[low:high] else 0, w[-1] - w[0], w[-1] - w[0] - len(w) + 1, w[0], w[-1])
+    return min(ways.values(), key=order)
+
+
+def projected(rows: DataFrame, entity: tuple[str, str] = ("entity_start", "entity_stop")) -> DataFrame:
+    """Adds ``places`` to rows with arrays tokens and wanted: where the wanted tokens lie, null if they don't in that order.
+
+    The two columns named by ``entity`` say which part of ``wanted`` is the
+    entity. Null arrays have no places.
+    """
+    names, kept = rows.columns, [c for c in rows.columns if c != "places"]
+    schema = rows.select(*kept).schema.add("places", T.ArrayType(T.IntegerType()))
+    columns = [names.index(c) for c in ("tokens", "wanted", *entity)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [None if tokens is None or wanted is None else projections(tokens, wanted, (a, b)) for tokens, wanted, a, b in zip(*(batch.column(i).to_pylist() for i in columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in kept), pa.array(found, pa.list_(pa.int32()))], names=[*kept, "places"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def repaired_spans(spans: DataFrame) -> DataFrame:
@@ -95,23 +120,33 @@ def decoded_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def refined_passages(docs: DataFrame, query: list[float], embed: Callable[[pd.Series], pd.Series], size: int, rounds: int = 3) -> DataFrame:
-    """The best passage of each document (doc_id, words): start, stop, similarity. Each round halves the size of chunks.
+def refined_passages(docs: DataFrame, query: list[float], embed: Callable[[pd.Series], pd.Series], size: int = 180, least: int = 30, rounds: int = 3, overlap: float = 0.25) -> DataFrame:
+    """The best passage of each document (doc_id, words) in each round: doc_id, round, start, stop, similarity.
 
-    ``embed`` maps a batch of texts to vectors.
+    A round cuts the passage of the one before into chunks that overlap, the
+    last one ending with it, and takes the most similar, of equal ones the
+    first. Chunks have half the size of the passage, and ``least`` words at
+    least; a passage of no more isn't cut again. ``embed`` maps a batch of texts
+    to vectors. Documents without words have no passage.
     """
     vector = F.pandas_udf(embed, "array<float>")
     wanted = F.array(*[F.lit(float(x)) for x in query])
-    spans = docs.select("doc_id", "words", F.lit(0).alias("start"), F.size("words").alias("stop"))
-    for _ in range(rounds):
-        step = max(1, size // 2)
-        low = F.explode(F.sequence(F.col("start"), F.greatest(F.col("stop") - size, F.col("start")), F.lit(step)))
-        chunks = spans.select("doc_id", "words", low.alias("start"), F.col("stop").alias("end")).withColumn("stop", F.least(F.col("start") + size, F.col("end")))
-        text = F.array_join(F.slice("words", F.col("start") + 1, F.col("stop") - F.col("start")), " ")
-        scored = chunks.withColumn("similarity", cosine(vector(text), wanted))
-        spans = scored.groupBy("doc_id").agg(F.max_by(F.struct("words", "start", "stop", "similarity"), F.struct("similarity", -F.col("start"))).alias("r")).select("doc_id", "r.*")
-        size = max(1, size // 2)
-    return spans.drop("words")
+    n = F.col("stop") - F.col("start")
+    none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0.0).alias("similarity"))), 1, 0)
+    spans = docs.filter("size(words) > 0").select("doc_id", "words", F.lit(0).alias("start"), F.size("words").alias("stop"), none.alias("best"))
+    for k in range(rounds):
+        open_ = F.lit(True) if k == 0 else n > least
+        wide = F.greatest(F.lit(least), F.least(F.lit(size), n) if k == 0 else F.ceil(n / 2).cast("int"))
+        starts = F.when(open_, chunks(n, wide, overlap)).otherwise(F.array(F.lit(0)))
+        parts = spans.select("doc_id", "words", "stop", "best", open_.alias("open"), wide.alias("wide"), F.explode(F.transform(starts, lambda x: x + F.col("start"))).alias("low"))
+        parts = parts.withColumn("high", F.when(F.col("open"), F.least(F.col("low") + F.col("wide"), F.col("stop"))).otherwise(F.col("stop")))
+        text = F.array_join(F.slice("words", F.col("low") + 1, F.col("high") - F.col("low")), " ")
+        scored = parts.withColumn("similarity", cosine(vector(text), wanted))
+        one = F.struct("words", "low", "high", "similarity", "best", "open")
+        spans = scored.groupBy("doc_id").agg(F.max_by(one, F.struct("similarity", -F.col("low"))).alias("r")).select("doc_id", "r.*")
+        found = F.array(F.struct(F.col("low").alias("start"), F.col("high").alias("stop"), "similarity"))
+        spans = spans.select("doc_id", "words", F.col("low").alias("start"), F.col("high").alias("stop"), F.when(F.col("open"), F.concat("best", found)).otherwise(F.col("best")).alias("best"))
+    return spans.select("doc_id", F.posexplode("best").alias("round", "b")).select("doc_id", "round", "b.*")
 
 
 def context_window(text: Column, start: Column, stop: Column, width: int, key: Column) -> Column:

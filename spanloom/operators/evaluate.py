@@ -38,9 +38,19 @@ def _matched(gold: DataFrame, predicted: DataFrame) -> DataFrame:
 
 def entity_metrics(gold: DataFrame, predicted: DataFrame, by_label: bool = False) -> DataFrame:
     """Exact-match precision, recall and F1 of spans, over all or by label."""
+    return matched_metrics(_matched(gold, predicted), by_label)
+
+
+def sided_metrics(both: DataFrame, by_label: bool = False) -> DataFrame:
+    """The same for spans of both sides in one table, where side is 0 for gold and 1 for predicted."""
+    flags = both.groupBy(*SPAN).agg(F.max((F.col("side") == 0).cast("int")).alias("g"), F.max("side").alias("p"))
+    return matched_metrics(flags, by_label)
+
+
+def matched_metrics(matched: DataFrame, by_label: bool) -> DataFrame:
     keys = ["label"] if by_label else []
     long = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    sums = _matched(gold, predicted).groupBy(*keys).agg(long(F.col("g") * F.col("p")).alias("correct"), long(F.col("g")).alias("gold"), long(F.col("p")).alias("predicted"))
+    sums = matched.groupBy(*keys).agg(long(F.col("g") * F.col("p")).alias("correct"), long(F.col("g")).alias("gold"), long(F.col("p")).alias("predicted"))
     return _scores(sums, *keys)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import casefold, generic_surface
 
+from .tokens import hinted
+
 
 def sampling_plan(grid: DataFrame, aliases: DataFrame, seen: DataFrame, target: int, saturation: int) -> tuple[DataFrame, DataFrame]:
     """Queries that fill coverage gaps, and the gaps that none fills.
@@ -56,9 +58,16 @@ def balanced_selection(rows: DataFrame, buckets: list[str], order: list[str], pe
 
 
 def balanced_selection_by_issue(rows: DataFrame, buckets: list[str], order: list[str], per_bucket: int, per_label: int) -> DataFrame:
-    """The same for rows whose issues repeat: a label takes an issue once. A label's candidate pool is one group."""
+    """The same for rows whose issues repeat: a label takes an issue once.
+
+    Of an issue's rows in a bucket only the first can be taken, and of a bucket
+    no more than its first ``per_label`` issues, since a label takes no more; so
+    a label's candidates are cut to these before they meet in one group.
+    """
     others = [b for b in buckets if b != "label"]
     schema = rows.schema
+    for keys, most in (([*buckets, "issue"], 1), (buckets, per_label)):
+        rows = rows.withColumn("_k", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("_k") <= most).drop("_k")
 
     def draw(pool: pd.DataFrame) -> pd.DataFrame:
         queues = [iter(list(g.index)) for _, g in pool.sort_values([*others, *order], kind="stable").groupby(others, sort=True)]
@@ -87,52 +96,70 @@ def group_order(seed: int, group: Column) -> Column:
 def group_split(groups: DataFrame, seed: int = 42, test: float = 0.15, validation: float = 0.15) -> DataFrame:
     """(grp) to grp, split: groups in the order of a seeded hash, first the test ones, then validation, the rest train.
 
-    Each held-out split has one group at least and train keeps one. The order
-    is over group names, which are few next to their rows.
+    Each held-out split has one group at least and train keeps one. Groups are
+    counted and ranked by the hash's first three digits, so no task sees all.
     """
-    n = F.count("*").over(W.partitionBy())
-    rank = F.row_number().over(W.orderBy(group_order(seed, F.col("grp").cast("string")), "grp"))
-    rows = groups.select("grp").distinct().select("grp", rank.alias("r"), n.alias("n"))
+    rows = groups.select("grp").distinct().withColumn("h", group_order(seed, F.col("grp").cast("string"))).withColumn("digits", F.substring("h", 1, 3))
+    counts = rows.groupBy("digits").agg(F.count("*").alias("many"))  # 4,096 rows at most
+    before = counts.select("digits", (F.sum("many").over(W.orderBy("digits")) - F.col("many")).alias("before"), F.sum("many").over(W.partitionBy()).alias("n"))
+    rank = F.row_number().over(W.partitionBy("digits").orderBy("h", "grp")) + F.col("before")
+    rows = rows.join(F.broadcast(before), "digits").select("grp", rank.alias("r"), "n")
     tests = F.greatest(F.lit(1), F.ceil(F.col("n") * test))
     held = F.least(F.greatest(F.lit(1), F.ceil(F.col("n") * validation)), F.greatest(F.col("n") - tests - 1, F.lit(0)))
     split = F.when(F.col("n") == 1, "train").when(F.col("r") <= tests, "test").when(F.col("r") <= tests + held, "validation").otherwise("train")
     return rows.select("grp", split.alias("split"))
 
 
-def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42) -> DataFrame:
+def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42, frontier: int = 1000) -> DataFrame:
     """(grp, label, n) to grp, split: groups that cover most of what test, then validation, lack go there first.
 
-    A greedy choice over counts by group and label, in one group of rows that
-    grows with groups and labels only; the rest is left null for ``group_split``.
+    A greedy choice; equal gains go by a seeded hash, and groups that aren't
+    chosen have a null split, for ``group_split``. A group's gain only falls as
+    others are chosen, so of all groups the ``frontier`` best are fetched, and
+    chosen from as long as none outside can be better; then the gains of the
+    rest are computed anew. The driver holds the frontier, the labels and the
+    choices, which are as few as the splits lack mentions.
     """
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        import hashlib
-
-        counts = {g: dict(zip(d["label"], d["n"], strict=True)) for g, d in rows.groupby("grp")}
-        digest = {g: hashlib.sha1(f"{seed}\t{g}".encode()).hexdigest() for g in counts}
-        out: dict = {}
-        for split in ("test", "validation"):
-            lack = dict.fromkeys(rows["label"].unique(), minimum)
-            while any(v > 0 for v in lack.values()):
-                gain = {g: sum(min(lack[label], n) for label, n in c.items() if lack[label] > 0) for g, c in counts.items() if g not in out}
-                if not gain or max(gain.values()) <= 0:
-                    break
-                best = min((g for g in gain if gain[g] == max(gain.values())), key=digest.get)
-                out[best] = split
-                for label, n in counts[best].items():
-                    lack[label] -= n
-        return pd.DataFrame({"grp": list(counts), "split": [out.get(g) for g in counts]})
-
+    spark = benefit.sparkSession
     kind = benefit.schema["grp"].dataType.simpleString()
-    return benefit.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(choose, f"grp {kind}, split string")
+    counts = benefit.groupBy("grp", "label").agg(F.sum("n").alias("n"))
+    labels = [r["label"] for r in counts.select("label").distinct().collect()]
+    chosen: list[tuple] = []
+    for split in ("test", "validation"):
+        lack = dict.fromkeys(labels, minimum)
+        while any(v > 0 for v in lack.values()):
+            open_ = spark.createDataFrame([(k, v) for k, v in lack.items() if v > 0], "label string, lack long")
+            rest = counts.join(spark.createDataFrame(chosen, f"grp {kind}, split string").select("grp"), "grp", "left_anti")
+            gains = rest.join(hinted(open_), "label").groupBy("grp").agg(F.sum(F.least("n", "lack")).alias("gain"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("of"))
+            best = gains.filter("gain > 0").withColumn("h", group_order(seed, F.col("grp").cast("string"))).orderBy(F.desc("gain"), "h", "grp").limit(frontier).collect()
+            if not best:
+                break
+            bound = (-best[-1]["gain"], best[-1]["h"]) if len(best) == frontier else None
+            left = {r["grp"]: (r["h"], r["of"]) for r in best}
+            while left:
+                ranked = min((-sum(min(lack[k], n) for k, n in of.items() if lack.get(k, 0) > 0), h, g) for g, (h, of) in left.items())
+                if ranked[0] == 0 or (bound and ranked[:2] > bound):
+                    break
+                _, of = left.pop(ranked[2])
+                chosen.append((ranked[2], split))
+                for k, n in of.items():
+                    lack[k] = max(0, lack[k] - n)
+            if not bound and all(not any(lack.get(k, 0) > 0 for k in of) for _, of in left.values()):
+                break
+    return benefit.select("grp").distinct().join(spark.createDataFrame(chosen, f"grp {kind}, split string"), "grp", "left").select("grp", "split")
 
 
 def hash_sample(docs: DataFrame, targets: DataFrame, seed: int, key: str = "language") -> DataFrame:
-    """The first documents of each language in a seeded hash order, as many as its target; stands in for a reservoir."""
+    """The first documents of each language in a seeded hash order, as many as its target; stands in for a reservoir.
+
+    A language may hold most documents: they are ranked in shares first.
+    """
     order = F.sha1(F.concat(F.lit(f"{seed}\t"), F.col("doc_id").cast("string")))
-    ranked = docs.withColumn("h", order).withColumn("k", F.row_number().over(W.partitionBy(key).orderBy("h")))
-    return ranked.join(F.broadcast(targets), key).filter("k <= target").drop("k", "h", "target")
+    most = targets.agg(F.max("target")).first()[0] or 0
+    ranked = docs.withColumn("h", order).withColumn("deal", F.substring("h", 39, 2))
+    for keys in ([key, "deal"], [key]):
+        ranked = ranked.withColumn("k", F.row_number().over(W.partitionBy(*keys).orderBy("h", "doc_id"))).filter(F.col("k") <= most)
+    return ranked.join(hinted(targets), key).filter("k <= target").drop("k", "h", "deal", "target")
 
 
 def water_fill(available: dict[str, int], total: int) -> dict[str, int]:

@@ -35,9 +35,9 @@ def top_surfaces(mentions: DataFrame, keys: list[str], top: int) -> DataFrame:
     """
     raw = mentions.groupBy(*keys, "form", "surface").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
     forms = raw.groupBy(*keys, "form").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max_by("surface", F.struct("n", -F.col("first"))).alias("display"))
-    part = W.partitionBy(*keys)
-    ranked = forms.withColumn("total", F.sum("n").over(part)).withColumn("rank", F.row_number().over(part.orderBy(F.desc("n"), "first", "form")))
-    return ranked.filter(F.col("rank") <= top).select(*keys, "form", "n", F.bround(F.col("n") / F.col("total"), 4).alias("share"), "display", "rank")
+    totals = forms.groupBy(*keys).agg(F.sum("n").alias("total"))
+    ranked = forms.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("n"), "first", "form"))).filter(F.col("rank") <= top)
+    return ranked.join(totals, keys).select(*keys, "form", "n", F.bround(F.col("n") / F.col("total"), 4).alias("share"), "display", "rank")
 
 
 def surface_forms(mentions: DataFrame, keys: list[str], examples: int) -> DataFrame:

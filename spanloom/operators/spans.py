@@ -80,7 +80,11 @@ def aligned(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     missed, extra, wrong_label, span_mismatch, wrong_label_and_span (one of
     each) or complex_overlap.
     """
-    both = together(gold.select(*SPAN).distinct().withColumn("side", F.lit(0)), predicted.select(*SPAN).distinct().withColumn("side", F.lit(1)))
+    return aligned_sides(together(gold.select(*SPAN).distinct().withColumn("side", F.lit(0)), predicted.select(*SPAN).distinct().withColumn("side", F.lit(1))))
+
+
+def aligned_sides(both: DataFrame) -> DataFrame:
+    """The same for spans of both sides in one table, where side is 0 for gold and 1 for predicted."""
     both = both.withColumn("sides", F.count("*").over(W.partitionBy(*SPAN)))
     exact = both.filter("sides = 2 and side = 0").select("doc_id", F.lit("correct").alias("outcome"), "token_start", "token_stop", F.array("label").alias("gold"), F.array("label").alias("predicted"))
     of = lambda side, value: F.sort_array(F.collect_list(F.when(F.col("side") == side, value)))
@@ -103,7 +107,12 @@ def aligned(gold: DataFrame, predicted: DataFrame) -> DataFrame:
 
 def disagreements(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """Review items of components without an exact match: doc_id, kind, token_start, token_stop, gold, predicted, review_id."""
-    rows = aligned(gold, predicted).filter("outcome <> 'correct'")
+    return disagreeing(aligned(gold, predicted))
+
+
+def disagreeing(outcomes: DataFrame) -> DataFrame:
+    """The review items of alignment outcomes."""
+    rows = outcomes.filter("outcome <> 'correct'")
     kind = F.when(F.col("outcome") == "extra", F.lit("extra_prediction")).when(F.col("outcome") == "missed", F.lit("missing_prediction")).when(F.col("outcome") == "wrong_label", F.lit("label_mismatch")).otherwise(F.lit("span_or_label_mismatch"))
     text = F.concat_ws("\t", F.col("doc_id").cast("string"), "kind", F.col("token_start").cast("string"), F.col("token_stop").cast("string"), F.array_join("gold", ","), F.array_join("predicted", ","))
     return rows.withColumn("kind", kind).select("doc_id", "kind", "token_start", "token_stop", "gold", "predicted", F.substring(F.sha1(text), 1, 16).alias("review_id"))

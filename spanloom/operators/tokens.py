@@ -14,14 +14,18 @@ def by_document(*order: str) -> W:
 
 
 def together(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The union of rows that are grouped by document next.
+    """The union of rows that are grouped by document next, dealt by document.
 
     Spark 4.1 takes the common partitioning of a union's inputs for the union's
     own, but adaptive execution may coalesce the inputs differently, and then
-    groups are split. The rule is switched off for the session.
+    groups are split; so the union is dealt anew.
     """
-    left.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
-    return left.unionByName(right)
+    return left.unionByName(right).repartition("doc_id")
+
+
+def hinted(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """With a broadcast hint, if the table is counted to have at most so many rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def pieces(text: Column) -> Column:
@@ -42,6 +46,17 @@ def tokenise(docs: DataFrame, *keep: str) -> DataFrame:
     return cut.select("doc_id", *keep, "i", token.alias("token"), stop.alias("stop")).select("doc_id", *keep, "i", "token", (F.col("stop") - F.length("token")).alias("start"), "stop")
 
 
+def words(docs: DataFrame, *keep: str) -> DataFrame:
+    """The tokens of each document without their offsets: what ``keep`` names, i, token. Nothing is dealt anew."""
+    cut = docs.select(*keep, F.posexplode(pieces(F.col("text"))).alias("i", "piece"))
+    return cut.select(*keep, "i", F.regexp_replace("piece", f"^{SPACE}+", "").alias("token"))
+
+
+def token_counts(docs: DataFrame, *keep: str) -> DataFrame:
+    """What ``keep`` names and n, the number of tokens, of the documents that have some."""
+    return docs.select(*keep, F.size(pieces(F.coalesce("text", F.lit("")))).cast("long").alias("n")).filter("n > 0")
+
+
 def stored_tokens(docs: DataFrame) -> DataFrame:
     """Document rows with parallel arrays tokens, token_starts, token_stops (a public layout) to the token table."""
     zipped = F.arrays_zip("tokens", "token_starts", "token_stops")
@@ -108,10 +123,11 @@ def window_coverage(covering: DataFrame, costs: DataFrame, budget: int) -> DataF
     return by_window.join(by_word.groupBy("doc_id").agg(F.sum((~F.col("covered")).cast("long")).alias("uncovered")), "doc_id")
 
 
-def chunks(n: Column, size: int, overlap: float) -> Column:
+def chunks(n: Column, size: int | Column, overlap: float) -> Column:
     """Starts of word chunks: at a fixed step, and one more that ends with the text where the last falls short."""
-    step = max(1, round(size * (1 - overlap)))
-    starts = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)), F.lit(step))
+    size = F.lit(size) if isinstance(size, int) else size
+    step = F.greatest(F.lit(1), F.bround(size * F.lit(1 - overlap)).cast("int"))
+    starts = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)), step)
     return F.when(n <= 0, F.array().cast("array<int>")).when(n <= size, F.array(F.lit(0))).otherwise(F.array_distinct(F.concat(starts, F.array((n - size).cast("int")))))
 
 
@@ -125,6 +141,11 @@ def search(tokens: DataFrame, sequence: list[str]) -> DataFrame:
 
 def snippets(docs: DataFrame, spans: DataFrame, radius: int) -> DataFrame:
     """Tokens around each span with offsets from the snippet's start: (doc_id, tokens) and spans to doc_id, span, low, tokens, token_start, token_stop."""
-    low = F.greatest(F.col("token_start") - radius, F.lit(0))
-    both = spans.join(docs.select("doc_id", "tokens"), "doc_id")
-    return both.select("doc_id", F.col("token_start").alias("span"), low.alias("low"), F.slice("tokens", low + 1, F.col("token_stop") + radius - low).alias("tokens"), (F.col("token_start") - low).alias("token_start"), (F.col("token_stop") - low).alias("token_stop"))
+    each = spans.groupBy("doc_id").agg(F.collect_list(F.struct("token_start", "token_stop")).alias("at"))  # a document's tokens meet its spans once
+
+    def cut(s: Column) -> Column:
+        low = F.greatest(s["token_start"] - radius, F.lit(0))
+        return F.struct(s["token_start"].alias("span"), low.alias("low"), F.slice("tokens", low + 1, s["token_stop"] + radius - low).alias("tokens"), (s["token_start"] - low).alias("token_start"), (s["token_stop"] - low).alias("token_stop"))
+
+    both = each.join(docs.select("doc_id", "tokens"), "doc_id")
+    return both.select("doc_id", F.explode(F.transform("at", cut)).alias("s")).select("doc_id", "s.*")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -82,24 +85,28 @@ def temporal_check(spark, sf_dir):
 # profiles
 
 
-@query(f"""WITH {TOK}, f AS (SELECT lang, lower(token) AS form, token AS surface, doc_id * 1000000 + i AS ord FROM tok WHERE length(token) >= 4 AND regexp_matches(token, '^[a-zA-Z]+$')),
+_FORM = "replace(replace(translate(lower(token), 'ſµ', 'sμ'), 'ß', 'ss'), 'ŉ', 'ʼn')"
+_WORDS = r"tok WHERE regexp_matches(token, '^\p{L}')"
+
+
+@query(f"""WITH {TOK}, f AS (SELECT lang, {_FORM} AS form, token AS surface, doc_id * 1000000 + i AS ord FROM {_WORDS}),
   r AS (SELECT lang, form, surface, count(*) AS n, min(ord) AS first FROM f GROUP BY ALL),
   g AS (SELECT lang, form, sum(n) AS n, min(first) AS first, arg_max(surface, (n, -first)) AS display FROM r GROUP BY lang, form),
   k AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first, form) AS rank FROM g)
   SELECT lang, form, CAST(n AS BIGINT) AS n, round_even(CAST(n AS DOUBLE) / total, 4) AS share, display, rank FROM k WHERE rank <= 20""")
 def surface_profile_topn(spark, sf_dir):
-    rows = base.tokens(spark, sf_dir).filter(r"length(token) >= 4").filter(F.col("token").rlike("^[a-zA-Z]+$"))
+    rows = tokens.words(table(spark, sf_dir, "documents"), "doc_id", "lang").filter(F.col("token").rlike(r"^\p{L}"))
     named = rows.select("lang", t.normalised(F.col("token")).alias("form"), F.col("token").alias("surface"), (F.col("doc_id") * 1000000 + F.col("i")).alias("ord"))
     return profile.top_surfaces(named, ["lang"], 20)
 
 
-@query(f"""WITH {TOK}, f AS (SELECT lang, lower(token) AS form, token AS surface, doc_id, doc_id * 1000000 + i AS ord FROM tok WHERE lower(token) IN ('the', 'la', 'die', 'que', 'and')),
+@query(f"""WITH {TOK}, f AS (SELECT lang, {_FORM} AS form, token AS surface, doc_id, doc_id * 1000000 + i AS ord FROM {_WORDS}),
   r AS (SELECT lang, form, surface, count(*) AS n, min(ord) AS first FROM f GROUP BY ALL),
   e AS (SELECT lang, form, doc_id, ord FROM f QUALIFY row_number() OVER (PARTITION BY lang, form ORDER BY ord) <= 3)
   SELECT r.lang, r.form, string_agg(surface, ',' ORDER BY n DESC, first) AS forms, CAST(sum(n) AS BIGINT) AS n, any_value(x.examples) AS examples
   FROM r JOIN (SELECT lang, form, string_agg(doc_id, ',' ORDER BY ord) AS examples FROM e GROUP BY ALL) x ON x.lang = r.lang AND x.form = r.form GROUP BY r.lang, r.form""")
 def surface_norm_freq(spark, sf_dir):
-    rows = base.tokens(spark, sf_dir).filter(F.lower("token").isin("the", "la", "die", "que", "and"))
+    rows = tokens.words(table(spark, sf_dir, "documents"), "doc_id", "lang").filter(F.col("token").rlike(r"^\p{L}"))
     named = rows.select("lang", t.normalised(F.col("token")).alias("form"), F.col("token").alias("surface"), "doc_id", (F.col("doc_id") * 1000000 + F.col("i")).alias("ord"))
     found = profile.surface_forms(named, ["lang"], 3)
     return found.select("lang", "form", F.array_join("forms", ",").alias("forms"), "n", F.array_join(F.col("examples").cast("array<string>"), ",").alias("examples"))
@@ -112,7 +119,7 @@ _SPLIT = """grp AS (SELECT DISTINCT source AS grp FROM documents), ord AS (SELEC
 
 def _split_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.join(F.broadcast(planning.group_split(docs.select(F.col("source").alias("grp")))), F.col("source") == F.col("grp")).drop("grp")
+    return docs.join(tokens.hinted(planning.group_split(docs.select(F.col("source").alias("grp")))), F.col("source") == F.col("grp")).drop("grp")
 
 
 @query(f"WITH {_SPLIT} SELECT grp, split FROM split")
@@ -126,9 +133,8 @@ def hash_group_split(spark, sf_dir):
   min('2020-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')) AS first_day, max('2020-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')) AS last_day
   FROM (VALUES ('train'), ('validation'), ('test')) s(split) LEFT JOIN d ON d.split = s.split GROUP BY s.split""")
 def split_statistics(spark, sf_dir):
-    rows = base.tagged(spark, sf_dir)
-    n = rows.groupBy("doc_id").agg(F.count("*").alias("n_tokens"))
-    m = bio.spans(rows, "gold").groupBy("doc_id").agg(F.count("*").alias("n_mentions"))
+    n = tokens.token_counts(table(spark, sf_dir, "documents"), "doc_id").withColumnRenamed("n", "n_tokens")
+    m = bio.spans(base.tagged(spark, sf_dir), "gold").groupBy("doc_id").agg(F.count("*").alias("n_mentions"))
     day = F.concat(F.lit("2020-01-"), F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0"))
     docs = _split_documents(spark, sf_dir).select("doc_id", "split", "source", day.alias("date")).join(n, "doc_id", "left").join(m, "doc_id", "left").na.fill(0, ["n_tokens", "n_mentions"])
     return profile.split_statistics(docs)
@@ -140,16 +146,16 @@ def split_by_language(spark, sf_dir):
 
 
 _COVERAGE = f"""{TAGGED}, {spans_cte('g', 'gold')}, c AS (SELECT label, lang AS language, count(*) AS total FROM g GROUP BY ALL),
-  labels AS (SELECT DISTINCT label FROM seeds), pend AS (SELECT label, language, count(*) AS pending FROM (SELECT 'org.ent.radiostation.epsilon' AS label, lang AS language FROM documents WHERE doc_id % 50 = 7) GROUP BY ALL),
+  names AS (SELECT DISTINCT label FROM seeds), pend AS (SELECT label, language, count(*) AS pending FROM (SELECT 'org.ent.radiostation.epsilon' AS label, lang AS language FROM documents JOIN labels USING (doc_id) WHERE toxic = 1) GROUP BY ALL),
   grid AS MATERIALIZED (SELECT l.label, x.language, coalesce(total, 0) AS total, CASE WHEN x.language IN ('de', 'fr') THEN 2000 ELSE 500 END AS target,
     greatest(CASE WHEN x.language IN ('de', 'fr') THEN 2000 ELSE 500 END - coalesce(total, 0), 0) AS missing, coalesce(pending, 0) AS pending
-    FROM labels l CROSS JOIN (VALUES ('de'), ('en'), ('es'), ('fr')) x(language) LEFT JOIN c ON c.label = l.label AND c.language = x.language LEFT JOIN pend p ON p.label = l.label AND p.language = x.language)"""
+    FROM names l CROSS JOIN (VALUES ('de'), ('en'), ('es'), ('fr')) x(language) LEFT JOIN c ON c.label = l.label AND c.language = x.language LEFT JOIN pend p ON p.label = l.label AND p.language = x.language)"""
 
 
 def _coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language"))
     counts = bio.spans(base.tagged(spark, sf_dir), "gold").join(docs, "doc_id").groupBy("label", "language").agg(F.count("*").alias("n"))
-    waiting = docs.filter("doc_id % 50 = 7").groupBy("language").agg(F.count("*").alias("n")).withColumn("label", F.lit(base.EPSILON))
+    waiting = docs.join(table(spark, sf_dir, "labels").filter("toxic = 1"), "doc_id").groupBy("language").agg(F.count("*").alias("n")).withColumn("label", F.lit(base.EPSILON))
     return profile.coverage(counts, base.seeds(spark), base.LANGUAGES, {"de", "fr"}, waiting, 2000, 500)
 
 
@@ -164,7 +170,7 @@ def coverage_grid(spark, sf_dir):
   FROM grid g JOIN a ON a.label = g.label AND a.language = g.language LEFT JOIN seen ON seen.label = a.label AND seen.language = a.language AND seen.form = a.form WHERE g.missing - g.pending > 0""")
 def sampling_plan(spark, sf_dir):
     aliases = base.seeds(spark).select("label", F.explode(F.array(F.lit("de"), F.lit("en"))).alias("language"), F.col("alias").alias("query"))
-    seen = base.tokens(spark, sf_dir).join(F.broadcast(base.seeds(spark)), F.col("token") == F.col("alias")).groupBy("label", F.col("lang").alias("language"), F.lower("token").alias("form")).agg(F.count("*").alias("n"))
+    seen = tokens.words(table(spark, sf_dir, "documents"), "lang").join(F.broadcast(base.seeds(spark)), F.col("token") == F.col("alias")).groupBy("label", F.col("lang").alias("language"), F.lower("token").alias("form")).agg(F.count("*").alias("n"))
     rows, _ = planning.sampling_plan(_coverage(spark, sf_dir), aliases, seen, 100, 50)
     return rows
 
@@ -235,11 +241,20 @@ def queue_summary(spark, sf_dir):
     return decisions.queue_summary(_latest(spark, sf_dir).withColumn("kind", F.split_part("review_id", F.lit(":"), F.lit(2))), "kind")
 
 
-@query("""WITH b AS (SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0), x AS (SELECT doc_id, source || '-new' AS source FROM documents WHERE doc_id % 3 = 0)
-  SELECT doc_id, source, 'kept' AS change FROM b WHERE doc_id NOT IN (SELECT doc_id FROM x) UNION ALL SELECT doc_id, source, CASE WHEN doc_id % 2 = 0 THEN 'replaced' ELSE 'added' END FROM x""")
+# What comes in: the judged documents with another source, and the benchmark's items under negative ids.
+_INCOMING = "x AS (SELECT doc_id, lang, CASE quality WHEN 1 THEN source || '-new' ELSE source END AS source FROM documents JOIN labels USING (doc_id) UNION ALL SELECT -1 - item_id, 'xx', 'benchmark' FROM benchmark)"
+
+
+def _incoming(spark, sf_dir):
+    judged = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    changed = judged.select("doc_id", "lang", F.when(F.col("quality") == 1, F.concat("source", F.lit("-new"))).otherwise(F.col("source")).alias("source"))
+    return changed.unionByName(table(spark, sf_dir, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), F.lit("xx").alias("lang"), F.lit("benchmark").alias("source")))
+
+
+@query(f"""WITH {_INCOMING} SELECT doc_id, source, 'kept' AS change FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM x)
+  UNION ALL SELECT doc_id, source, CASE WHEN doc_id IN (SELECT doc_id FROM documents) THEN 'replaced' ELSE 'added' END FROM x""")
 def promote_upsert(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return sets.upsert(docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 3 = 0").withColumn("source", F.concat("source", F.lit("-new"))), "doc_id")
+    return sets.upsert(table(spark, sf_dir, "documents").select("doc_id", "source"), _incoming(spark, sf_dir).select("doc_id", "source"), "doc_id")
 
 
 @query(f"""WITH {_SPLIT}, d AS (SELECT md5(coalesce(text, '')) AS k, split FROM documents JOIN split ON grp = source)
@@ -248,13 +263,11 @@ def cross_split_duplicates(spark, sf_dir):
     return sets.cross_split(_split_documents(spark, sf_dir).select(F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "split"), "text_key")
 
 
-@query("""SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'only_left' WHEN a.doc_id IS NULL THEN 'only_right' ELSE 'changed' END AS difference
-  FROM (SELECT doc_id, lang, source FROM documents WHERE doc_id % 5 <> 0) a FULL JOIN (SELECT doc_id, lang, CASE WHEN doc_id % 9 = 0 THEN 'moved' ELSE source END AS source FROM documents WHERE doc_id % 7 <> 0) b USING (doc_id)
+@query(f"""WITH {_INCOMING} SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'only_left' WHEN a.doc_id IS NULL THEN 'only_right' ELSE 'changed' END AS difference
+  FROM (SELECT doc_id, lang, source FROM documents) a FULL JOIN x b USING (doc_id)
   WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR a.source <> b.source OR a.lang IS DISTINCT FROM b.lang""")
 def projection_diff(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    right = docs.filter("doc_id % 7 <> 0").withColumn("source", F.when(F.col("doc_id") % 9 == 0, "moved").otherwise(F.col("source")))
-    return sets.differences(docs.filter("doc_id % 5 <> 0"), right, "doc_id", ["lang", "source"])
+    return sets.differences(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), _incoming(spark, sf_dir), "doc_id", ["lang", "source"])
 
 
 # decoders and vectors
@@ -305,14 +318,22 @@ def decoder_changes(spark, sf_dir):
     return both.filter("argmax <> viterbi").groupBy("argmax", "viterbi").agg(F.count("*").alias("n"))
 
 
+_QUERIES_A_BLOCK = 20_000
+
+
 @query("""WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id % 100 = 0), s AS (
   SELECT q, v.vec_id, round(list_cosine_similarity(CAST(q.e AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS sim FROM q, embeddings v WHERE v.vec_id <> q)
   SELECT q, vec_id, sim FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY sim DESC, vec_id) <= 5""")
 def cosine_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    asked = F.broadcast(vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e")))  # a stated query set
-    pairs = vectors.join(asked, F.col("vec_id") != F.col("q")).select("q", "vec_id", F.round(t.cosine(F.col("e"), F.col("embedding")), 6).alias("sim"))
-    return pairs.withColumn("k", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "vec_id"))).filter("k <= 5").drop("k")
+    asked = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"))  # a stated query set
+    blocks = -(-asked.count() // _QUERIES_A_BLOCK)
+    found = []
+    for k in range(max(1, blocks)):  # a block is broadcast; its size is bounded
+        block = asked.filter(F.pmod(F.xxhash64("q"), F.lit(max(1, blocks))) == k)
+        pairs = vectors.join(F.broadcast(block), F.col("vec_id") != F.col("q")).select("q", "vec_id", F.round(t.cosine(F.col("e"), F.col("embedding")), 6).alias("sim"))
+        found.append(pairs.withColumn("k", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "vec_id"))).filter("k <= 5").drop("k"))
+    return reduce(DataFrame.unionByName, found)
 
 
 # runs of experiments, here derived from orders: a cell is a priority, a seed a month, its value the share of finished orders

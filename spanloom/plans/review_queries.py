@@ -10,7 +10,7 @@ from spanloom.operators import bio, decisions, dictionary, edits, evaluate, plan
 from . import base
 from .base import ALIGNED, SEEDS_CTE, TAGGED, TOK, bigints, spans_cte, table
 from .corpus_queries import _COVERAGE, _SPLIT, _coverage, _split_documents
-from .span_queries import both
+from .span_queries import both, sides
 
 QUERIES = {}
 ORACLES = {}
@@ -151,7 +151,7 @@ def token_runs(spark, sf_dir):
   c AS (SELECT doc_id, unnest(range(w * 224, least(w * 224 + 256, n))) AS i, w FROM k), f AS (SELECT doc_id, i, min(w) AS w FROM c GROUP BY ALL)
   SELECT doc_id, CAST(w AS BIGINT) AS "window", min(i) AS first_word, max(i) AS last_word, count(*) AS words FROM f GROUP BY doc_id, w""")
 def first_windows(spark, sf_dir):
-    n = base.tokens(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n"))
+    n = tokens.token_counts(table(spark, sf_dir, "documents"), "doc_id")
     return tokens.first_window(tokens.windows(n, 256, 32)).groupBy("doc_id", "window").agg(F.min("i").alias("first_word"), F.max("i").alias("last_word"), F.count("*").alias("words"))
 
 
@@ -494,7 +494,7 @@ def dataset_summary(spark, sf_dir):
 def outcome_summary(spark, sf_dir):
     from .span_queries import OUTCOMES
 
-    return evaluate.outcome_counts(spans.aligned(*both(spark, sf_dir)), [*OUTCOMES, "never"])
+    return evaluate.outcome_counts(spans.aligned_sides(sides(spark, sf_dir)), [*OUTCOMES, "never"])
 
 
 @query(f"""WITH {_SPLIT}, {_LABELLED} SELECT l.doc_id, split FROM l JOIN split ON grp = source WHERE quality IS NULL OR split = CASE WHEN quality = 1 THEN 'train' ELSE 'test' END""")

@@ -29,16 +29,32 @@ def both(spark, sf_dir):
     return bio.spans(rows, "gold"), bio.spans(rows, "predicted")
 
 
+def sides(spark, sf_dir):
+    """Spans of both sides in one table, from one pass over the tokens."""
+    return bio.sided_spans(base.tagged(spark, sf_dir), "gold", "predicted")
+
+
 @query(f"WITH {TOK} SELECT lang, count(*) AS tokens, count(DISTINCT token) AS types, CAST(sum(length(token)) AS BIGINT) AS chars FROM tok GROUP BY lang")
 def tok_counts_by_lang(spark, sf_dir):
-    return base.tokens(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("tokens"), F.count_distinct("token").alias("types"), F.sum(F.length("token")).alias("chars"))
+    kinds = tokens.words(table(spark, sf_dir, "documents"), "lang").groupBy("lang", "token").agg(F.count("*").alias("n"))
+    return kinds.groupBy("lang").agg(F.sum("n").alias("tokens"), F.count("*").alias("types"), F.sum(F.length("token") * F.col("n")).alias("chars"))
 
 
 @query(f"""WITH {TOK} SELECT t.lang, count(*) AS tokens, CAST(sum(CASE WHEN substr(d.text, t.start + 1, t.stop - t.start) <> t.token THEN 1 ELSE 0 END) AS BIGINT) AS bad,
   CAST(sum(t.start * (t.i % 97)) AS BIGINT) AS checksum FROM tok t JOIN documents d USING (doc_id) GROUP BY t.lang""")
 def tok_offsets_check(spark, sf_dir):
-    at = base.tokens(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    bad = F.substr("text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int")) != F.col("token")
+    # a token meets the block of text that it lies in and the next one, not the whole text; one of more than a block is compared in parts
+    size = 1024
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    blocks = table(spark, sf_dir, "documents").select("doc_id", cut.alias("cut"))
+    blocks = blocks.select("doc_id", F.posexplode(F.transform("cut", lambda c, k: F.concat(c, F.coalesce(F.get("cut", k + 1), F.lit(""))))).alias("block", "chunk"))
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.length("token") - 1) / size).cast("int")))
+    at = base.tokens(spark, sf_dir).select("doc_id", "lang", "i", "start", "token", part.alias("part")).withColumn("low", F.col("start") + F.col("part") * size)
+    at = at.withColumn("block", F.floor(F.col("low") / size).cast("int")).withColumn("piece", F.substr("token", F.col("part") * size + 1, F.lit(size)))
+    at = at.join(blocks, ["doc_id", "block"], "left")
+    same = F.substr("chunk", (F.col("low") % size + 1).cast("int"), F.length("piece")) == F.col("piece")
+    at = at.groupBy("doc_id", "lang", "i", "start").agg(F.min(F.coalesce(same, F.lit(False))).alias("same"))
+    bad = ~F.col("same")
     return at.groupBy("lang").agg(F.count("*").alias("tokens"), F.sum(bad.cast("long")).alias("bad"), F.sum(F.col("start") * (F.col("i") % 97)).cast("long").alias("checksum"))
 
 
@@ -46,8 +62,7 @@ def tok_offsets_check(spark, sf_dir):
   k AS (SELECT doc_id, n, unnest(range(0, CASE WHEN n <= 256 THEN 1 ELSE CAST(ceil((n - 256) / 224.0) AS BIGINT) + 1 END)) AS w FROM n)
   SELECT doc_id, CAST(w AS BIGINT) AS "window", CAST(w * 224 AS BIGINT) AS low, CAST(least(w * 224 + 256, n) AS BIGINT) AS high FROM k""")
 def token_windows(spark, sf_dir):
-    n = base.tokens(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n"))
-    return tokens.windows(n, 256, 32)
+    return tokens.windows(tokens.token_counts(table(spark, sf_dir, "documents"), "doc_id"), 256, 32)
 
 
 @query(f"""WITH {TOK}, n AS (SELECT doc_id, count(*) AS n FROM tok GROUP BY doc_id),
@@ -58,9 +73,9 @@ def token_windows(spark, sf_dir):
   y AS (SELECT doc_id, sum(CASE WHEN cov THEN 0 ELSE 1 END) AS uncovered FROM (SELECT doc_id, i, bool_or(kept) AS cov FROM s GROUP BY ALL) GROUP BY doc_id)
   SELECT doc_id, windows, CAST(truncated AS BIGINT) AS truncated, CAST(uncovered AS BIGINT) AS uncovered FROM x JOIN y USING (doc_id)""")
 def window_coverage(spark, sf_dir):
-    rows = base.tokens(spark, sf_dir)
-    windows = tokens.windows(rows.groupBy("doc_id").agg(F.count("*").alias("n")), 256, 32)
-    return tokens.window_coverage(windows, rows.select("doc_id", "i", F.length("token").alias("cost")), 1000)
+    docs = table(spark, sf_dir, "documents")
+    windows = tokens.windows(tokens.token_counts(docs, "doc_id"), 256, 32)
+    return tokens.window_coverage(windows, tokens.words(docs, "doc_id").select("doc_id", "i", F.length("token").alias("cost")), 1000)
 
 
 @query(f"""WITH {TOK}, n AS (SELECT doc_id, lang, count(*) AS n FROM tok GROUP BY ALL), r AS (
@@ -68,7 +83,7 @@ def window_coverage(spark, sf_dir):
   SELECT lang, max(CASE WHEN k = floor(0.5 * (m - 1)) + 1 THEN n END) AS p50, max(CASE WHEN k = floor(0.9 * (m - 1)) + 1 THEN n END) AS p90,
   max(CASE WHEN k = floor(0.95 * (m - 1)) + 1 THEN n END) AS p95, max(CASE WHEN k = floor(0.99 * (m - 1)) + 1 THEN n END) AS p99, max(n) AS most, max(m) AS n, sum(n) / max(m) AS mean FROM r GROUP BY lang""")
 def length_percentiles(spark, sf_dir):
-    n = base.tokens(spark, sf_dir).groupBy("doc_id", "lang").agg(F.count("*").alias("len"))
+    n = tokens.token_counts(table(spark, sf_dir, "documents"), "doc_id", "lang").withColumnRenamed("n", "len")
     return profile.percentiles(n, "len", ["lang"], {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
 
 
@@ -125,23 +140,23 @@ _COUNTS = "count(*) FILTER (in_g AND in_p) AS correct, count(*) FILTER (in_g) AS
 
 @query(f"WITH {_MATCH} " + _prf(f"SELECT {_COUNTS}"))
 def entity_metrics(spark, sf_dir):
-    return evaluate.entity_metrics(*both(spark, sf_dir))
+    return evaluate.sided_metrics(sides(spark, sf_dir))
 
 
 @query(f"WITH {_MATCH} " + _prf(f"SELECT label, {_COUNTS} GROUP BY label", "label,"))
 def entity_metrics_by_label(spark, sf_dir):
-    return evaluate.entity_metrics(*both(spark, sf_dir), by_label=True)
+    return evaluate.sided_metrics(sides(spark, sf_dir), by_label=True)
 
 
 @query(f"WITH {ALIGNED} SELECT d.lang, outcome, count(*) AS n FROM outcomes o JOIN documents d USING (doc_id) GROUP BY ALL")
 def alignment_outcomes(spark, sf_dir):
-    found = spans.aligned(*both(spark, sf_dir))
+    found = spans.aligned_sides(sides(spark, sf_dir))
     return found.join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id").groupBy("lang", "outcome").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {ALIGNED}, e AS (SELECT unnest(string_split(gold, ',')) AS label, outcome FROM outcomes WHERE gold <> '') SELECT label, " + ", ".join(f"count(*) FILTER (outcome = '{o}') AS {o}" for o in OUTCOMES if o != "extra") + " FROM e GROUP BY label")
 def outcomes_by_label(spark, sf_dir):
-    return evaluate.outcomes_by_label(spans.aligned(*both(spark, sf_dir)), [o for o in OUTCOMES if o != "extra"])
+    return evaluate.outcomes_by_label(spans.aligned_sides(sides(spark, sf_dir)), [o for o in OUTCOMES if o != "extra"])
 
 
 _KINDS = "CASE outcome WHEN 'extra' THEN 'extra_prediction' WHEN 'missed' THEN 'missing_prediction' WHEN 'wrong_label' THEN 'label_mismatch' ELSE 'span_or_label_mismatch' END"
@@ -153,7 +168,7 @@ DISAGREEMENTS = f"""{ALIGNED}, items AS (SELECT *, {_KINDS} AS kind, substr(sha1
 @query(f"""WITH {DISAGREEMENTS} SELECT i.doc_id, kind, token_start, token_stop, review_id, coalesce(l.status, 'todo') AS status
   FROM items i LEFT JOIN last l ON l.lane = CAST('0x' || substr(review_id, 1, 1) AS BIGINT) AND i.kind <> 'extra_prediction'""")
 def disagreement_queue(spark, sf_dir):
-    items = spans.disagreements(*both(spark, sf_dir))
+    items = spans.disagreeing(spans.aligned_sides(sides(spark, sf_dir)))
     lane = F.when(F.col("kind") != "extra_prediction", F.conv(F.substring("review_id", 1, 1), 16, 10).cast("long"))
     status = F.when(F.col("event_type").isin("click", "purchase"), "done").when(F.col("event_type") == "error", "ignored").otherwise("todo")
     log = table(spark, sf_dir, "events").select((F.col("event_id") % 16).alias("lane"), status.alias("status"), F.col("event_id").alias("ord"))
