@@ -2,9 +2,11 @@
 
 Detected entities receive surrogates of their own type and format: digits for
 digits, letters of the same script and case for letters, names of the same
-gender. One entity has one surrogate in all documents (coreference), two
-entities never share one, and none is an entity that occurs (distinctness):
-collisions are found by grouping and drawn again. DataFrame operations only.
+gender, valid check digits. One entity has one surrogate in all documents
+(coreference), two entities never share one, and none is an entity that occurs
+(distinctness): collisions are found by grouping and drawn again. A family name
+is an entity, and so is a given name within its family, so that the mentions
+Mr John Smith, John Smith and Mr Smith stay one person. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -25,23 +27,30 @@ _DRAWABLE = r"(?=(?:[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}]){4})"
 _NEXT = rf"(?!{_KEYWORD}\\*+[\"']?+\s*+[=:]|[,;&|]\s*+[\"']?+[\w.-]++[\"']?+\s*+[=:])"
 # Possessive groups are loops; others recurse, and a long match would overflow the stack.
 _ASSIGNED = rf"{_LEAD}(?:\"{_DRAWABLE}[^\s\"]{{8,}}+(?=\"|\z)|'{_DRAWABLE}[^\s']{{8,}}+(?='|\z)|[\"']{_DRAWABLE}[^\s\"']{{8,}}+(?=[\"']|\z)|{_DRAWABLE}(?:{_NEXT}[^\s\"']){{8,}}+)"
+# Titles by gender; a doctor's or professor's isn't told by the title.
+_FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Fräulein", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Signora", "Г-жа", "Κυρία")
+_MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "Г-н", "Κύριος")
+_EITHER = ("Dr", "Prof", "Professor", "Doktor")
+_TITLES = "|".join(sorted((*_FEMALE, *_MALE, *_EITHER), key=len, reverse=True))
+_NAME = r"\p{Lu}\p{Ll}++(?!\p{L})"
 # Entity types, in order of precedence, with their patterns. An assigned secret is found with its lead.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}(?![\w-])",
-    "person": r"(?<!\p{L})(?:Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Signora|Signor|Г-жа|Г-н|Κυρία|Κύριος)\.? \p{Lu}\p{Ll}++(?!\p{L})(?: \p{Lu}\p{Ll}++(?!\p{L}))*+",
-    "secret": _ASSIGNED + r"|(?<![\w-])(?:(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])|sk-[\w-]{20,}+)",
+    "person": rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? )++{_NAME}(?: {_NAME})*+",
+    "secret": _ASSIGNED + r"|(?<![\w-])(?:(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])|sk-[\w-]{20,}+|eyJ[\w-]{8,}+\.[\w-]{8,}+\.[\w-]{8,}+)",
     "iban": r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[\w])",
+    "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{2,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])|(?<![\w+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w-])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![\w-])",
 }
 # A text that matches none of these has no entity.
-_HINT = rf"[@0-9]|{_KEYWORD}|AKIA|gh[pousr]_|sk-|[a-f]{{40}}|[A-F]{{40}}|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señor|Signor|Г-|Κυρί|Κύρι"
+_HINT = rf"[@0-9]|{_KEYWORD}|AKIA|gh[pousr]_|sk-|eyJ|[a-f]{{40}}|[A-F]{{40}}|{_TITLES}"
 # What stays as it is at an entity's start and at its end, by type.
-_START = {"person": r"^\S+ ", "iban": r"^[A-Z]{2}", "phone": r"^\+[0-9]{1,3}(?=[ .(-])", "secret": r"^(?:AKIA|gh[pousr]_|sk-(?:proj-)?)"}
+_CALLING = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+_START = {"iban": r"^[A-Z]{2}", "phone": rf"^\+(?:{_CALLING})", "secret": r"^(?:AKIA|gh[pousr]_|sk-(?:proj-)?|eyJ)"}
 _END = {"email": r"\.\p{L}+$"}
-_FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Signora", "Г-жа", "Κυρία")
 # Given names by gender and syllables of family names, by script.
 _GIVEN = {
     "latin": (["Anna", "Clara", "Elena", "Emma", "Julia", "Laura", "Maria", "Nora", "Paula", "Sofia", "Teresa", "Vera"], ["Adam", "Bruno", "David", "Emil", "Felix", "Hugo", "Jonas", "Leo", "Martin", "Oscar", "Paul", "Victor"]),
@@ -54,7 +63,9 @@ _SYLLABLES = {
     "greek": "βα γα δα ζα κα κο λα λο μα μο να νο πα ρα σα τα".split(),
 }
 _ALPHABETS = {"hex": "0123456789abcdef", "digit": "0123456789", "latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
-MAX_DRAWS = 64
+MAX_DRAWS = 32
+#: From these draws on a given name has a second and a third part, for there are few names.
+MORE_NAMES = (6, 14)
 
 
 def detector() -> str:
@@ -70,19 +81,18 @@ def _by_type(rules: dict[str, str], value: Column, kind: Column) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """The first type whose pattern is all of the value; secrets are what is left."""
+    """The first type whose pattern is all of the value, or a name without its title; secrets are what is left."""
     tests = [F.when(value.rlike(f"^(?:{p})$"), F.lit(name)) for name, p in PATTERNS.items() if name != "secret"]
-    return F.coalesce(*tests, F.lit("secret"))
+    return F.coalesce(*tests, F.when(value.rlike(f"^{_NAME}(?: {_NAME})+$"), F.lit("person")), F.lit("secret"))
 
 
 def identity(value: Column, kind: Column) -> Column:
     """What two mentions of one entity have in common, whatever their format or case."""
     plain = F.lower(F.regexp_replace(value, r"[^\p{L}\p{N}]", ""))
-    name = F.lower(F.regexp_replace(value, r"^\S+ ", ""))
     mixed = value.rlike(r"\p{Ll}") & value.rlike(r"\p{Lu}")
     ended = F.regexp_replace(value, r"[^\p{L}\p{N}]++$", "")
     secret = F.when(mixed, ended).otherwise(F.lower(ended))
-    return F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "secret", secret).when(kind == "person", name).otherwise(plain)
+    return F.when(kind.isin("email", "family", "given", "ipv6"), F.lower(value)).when(kind == "ip", value).when(kind == "secret", secret).otherwise(plain)
 
 
 def _number(key: Column, at: Column, below: Column) -> Column:
@@ -93,84 +103,140 @@ def _number(key: Column, at: Column, below: Column) -> Column:
 def _letter(c: Column, hexadecimal: Column, key: Column, at: Column) -> Column:
     """A keyed character of the class of ``c``, Latin for letters of further scripts; other characters stay."""
     low = F.lower(c)
-
-    def drawn(alphabet: str) -> Column:
-        letter = F.substr(F.lit(alphabet), (_number(key, at, F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
-        return F.when(c == low, letter).otherwise(F.upper(letter))
-
-    return (
-        F.when(hexadecimal & low.rlike("[0-9a-f]"), drawn(_ALPHABETS["hex"]))
-        .when(c.rlike(r"\p{Nd}"), F.substr(F.lit(_ALPHABETS["digit"]), (_number(key, at, F.lit(10)) + 1).cast("int"), F.lit(1)))
-        .when(low.rlike(r"\p{IsLatin}"), drawn(_ALPHABETS["latin"]))
-        .when(low.rlike(r"\p{IsCyrillic}"), drawn(_ALPHABETS["cyrillic"]))
-        .when(low.rlike(r"\p{IsGreek}"), drawn(_ALPHABETS["greek"]))
-        .when(low.rlike(r"[\p{L}\p{N}]"), drawn(_ALPHABETS["latin"]))
-        .otherwise(c)
+    alphabet = (
+        F.when(hexadecimal & low.rlike("[0-9a-f]"), _ALPHABETS["hex"])
+        .when(c.rlike(r"\p{Nd}"), _ALPHABETS["digit"])
+        .when(low.rlike(r"\p{IsCyrillic}"), _ALPHABETS["cyrillic"])
+        .when(low.rlike(r"\p{IsGreek}"), _ALPHABETS["greek"])
+        .when(low.rlike(r"[\p{L}\p{N}]"), _ALPHABETS["latin"])
     )
+    letter = F.substr(alphabet, (_number(key, at, F.length(alphabet)) + 1).cast("int"), F.lit(1))
+    return F.when(c == low, F.coalesce(letter, c)).otherwise(F.coalesce(F.upper(letter), c))
 
 
 def _pick(options: list[str], key: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), (_number(key, F.lit(at), F.lit(len(options))) + 1).cast("int"))
 
 
-def _name(title: Column, value: Column, key: Column) -> Column:
-    """A given name of the title's gender, where the value has one, and a family name, in the value's script."""
-    out = None
-    female = F.regexp_replace(title, r"[. ]", "").isin(*_FEMALE)
-    for script in ("latin", "cyrillic", "greek"):
-        she, he = (_pick(names, key, 0) for names in _GIVEN[script])
-        given = F.when(value.contains(" "), F.concat(F.when(female, she).otherwise(he), F.lit(" "))).otherwise(F.lit(""))
-        family = F.initcap(F.concat(*[_pick(_SYLLABLES[script], key, i) for i in range(1, 6)]))
-        name = F.concat(given, family)
-        out = name if out is None else F.when(value.rlike(rf"\p{{Is{script.capitalize()}}}"), name).otherwise(out)
+def _by_script(value: Column, make) -> Column:
+    out = make("latin")
+    for script in ("cyrillic", "greek"):
+        out = F.when(value.rlike(rf"\p{{Is{script.capitalize()}}}"), make(script)).otherwise(out)
     return out
 
 
-def surrogate(value: Column, kind: Column, key: Column) -> Column:
-    """The replacement of a mention, drawn by ``key``, which stands for the entity and the draw."""
+def _given_name(value: Column, female: Column, key: Column, draw: Column) -> Column:
+    """Given names of the gender, of either one where it isn't known, in the value's script."""
+
+    def make(script: str) -> Column:
+        she, he = _GIVEN[script]
+        one = lambda at: F.when(female == 1, _pick(she, key, at)).when(female == 0, _pick(he, key, at)).otherwise(_pick([*she, *he], key, at))
+        return F.concat_ws(" ", one(0), *[F.when(draw >= least, one(k)) for k, least in enumerate(MORE_NAMES, 1)])
+
+    return _by_script(value, make)
+
+
+def _family_name(value: Column, key: Column) -> Column:
+    return _by_script(value, lambda script: F.initcap(F.concat(*[_pick(_SYLLABLES[script], key, i) for i in range(1, 6)])))
+
+
+def _card_checked(value: Column) -> Column:
+    """The number with its last digit such that the digits pass the Luhn check."""
+    digits = F.transform(F.split(F.reverse(F.regexp_replace(F.substr(value, F.lit(1), F.length(value) - 1), "[^0-9]", "")), ""), lambda c: c.cast("int"))
+    twice = F.transform(digits, lambda d, i: F.when(i % 2 == 0, F.when(d > 4, 2 * d - 9).otherwise(2 * d)).otherwise(d))
+    check = (10 - F.aggregate(twice, F.lit(0), lambda a, x: a + x) % 10) % 10
+    return F.concat(F.substr(value, F.lit(1), F.length(value) - 1), check.cast("string"))
+
+
+def _iban_checked(country: Column, rest: Column) -> Column:
+    """What follows the country, with its first two digits such that the number passes the modulo-97 check."""
+    moved = F.concat(F.regexp_replace(F.substr(rest, F.lit(3), F.length(rest)), "[^A-Z0-9]", ""), country, F.lit("00"))
+    worth = F.transform(F.split(moved, ""), lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55))
+    left = F.aggregate(worth, F.lit(0), lambda a, x: (F.when(x > 9, a * 100).otherwise(a * 10) + x) % 97)
+    return F.concat(F.lpad((98 - left).cast("string"), 2, "0"), F.substr(rest, F.lit(3), F.length(rest)))
+
+
+def surrogate(value: Column, kind: Column, key: Column, draw: Column | None = None, female: Column | None = None) -> Column:
+    """The replacement of a mention, drawn by ``key``, which stands for the entity and the draw.
+
+    ``draw`` under 0: no free surrogate was found, and the type and a part of
+    the key stand for the entity. ``female`` is 1, 0 or null, for given names.
+    """
+    draw = F.lit(0) if draw is None else draw
+    female = F.lit(None).cast("int") if female is None else female
     start, end = _by_type(_START, value, kind), _by_type(_END, value, kind)
     middle = F.substr(value, F.length(start) + 1, F.length(value) - F.length(start) - F.length(end))
-    hexadecimal = (kind == "secret") & middle.rlike("^[0-9a-fA-F]+$")
-    filled = F.transform(F.split(middle, ""), lambda c, i: _letter(c, hexadecimal, key, i))
+    hexadecimal = ((kind == "secret") & middle.rlike("^[0-9a-fA-F]+$")) | (kind == "ipv6")
     # equal places of two formats of one number get equal digits: places count digits and letters only
     compact = F.transform(F.split(F.regexp_replace(middle, r"[^\p{L}\p{N}]", ""), ""), lambda c, i: _letter(c, hexadecimal, key, i))
-    placed = F.transform(F.split(middle, ""), lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.get(compact, F.length(F.regexp_replace(F.substr(middle, F.lit(1), i + 1), r"[^\p{L}\p{N}]", "")) - 1)).otherwise(c))
+    placed = F.zip_with(F.split(middle, r"[\p{L}\p{N}]", -1), compact, lambda between, c: F.concat(F.coalesce(between, F.lit("")), F.coalesce(c, F.lit(""))))
     octets = F.array_join(F.transform(F.array(*map(F.lit, range(4))), lambda i: (_number(key, i, F.lit(223)) + 1).cast("string")), ".")
-    body = F.when(kind == "ip", octets).when(kind == "person", _name(start, middle, key)).when(kind.isin("email", "secret"), F.array_join(filled, "")).otherwise(F.array_join(placed, ""))
-    return F.concat(start, body, end)
+    numbered = F.array_join(placed, "")
+    body = (
+        F.when(kind == "ip", octets)
+        .when(kind == "family", _family_name(value, key))
+        .when(kind == "given", _given_name(value, female, key, draw))
+        .when(kind == "card", _card_checked(numbered))
+        .when(kind == "iban", _iban_checked(start, numbered))
+        .otherwise(numbered)
+    )
+    return F.when(draw < 0, F.concat(F.lit("["), kind, F.lit("-"), F.substring(key, 1, 16), F.lit("]"))).otherwise(F.concat(start, body, end))
 
 
 def draw_surrogates(entities: DataFrame, secret_key: str) -> DataFrame:
-    """A draw number for each distinct entity (kind, entity, sample mention ``value``), so that no surrogates collide.
+    """A draw number for each distinct entity (kind, entity, sample mention ``value``, female), so that no surrogates collide.
 
     Surrogates are compared in the form that mentions of an entity have in
-    common. A surrogate that is drawn twice, or that is itself an entity of the
-    corpus, is drawn again for all but the first entity that holds it; entities
-    that have theirs keep it.
+    common; given names within their family. A surrogate that is drawn twice, or
+    that is itself an entity of the corpus, is drawn again for all but the first
+    entity that holds it; entities that have theirs keep it. An entity of a type
+    that is so crowded that ``MAX_DRAWS`` draws found nothing has draw -1.
     """
-    key = lambda draw: entity_key(secret_key, draw)
-    real = entities.select("kind", F.col("entity").alias("shown")).distinct()
+    given = F.col("kind") == "given"
+    shown = identity(surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")), F.col("draw"), F.col("female")), F.col("kind"))
+    shown = F.when(given, F.concat(F.substring_index("entity", "|", 1), F.lit("|"), shown)).otherwise(shown)
+    taken = stored(entities.select("kind", F.col("entity").alias("shown")).distinct(), "taken")
     todo, done = entities.withColumn("draw", F.lit(0)), []
-    for n in range(MAX_DRAWS):
-        drawn = todo.withColumn("shown", identity(surrogate(F.col("value"), F.col("kind"), key(F.col("draw"))), F.col("kind")))
-        drawn = drawn.withColumn("k", F.expr("row_number() over (partition by kind, shown order by entity)")).join(real.withColumn("is_real", F.lit(True)), ["kind", "shown"], "left")
-        for held in done:
-            drawn = drawn.join(held.select("kind", "shown", F.lit(True).alias("is_held")), ["kind", "shown"], "left").withColumn("is_real", F.coalesce("is_real", "is_held")).drop("is_held")
-        drawn = stored(drawn.withColumn("free", (F.col("k") == 1) & F.col("is_real").isNull()), "surrogates")
-        done.append(drawn.filter("free"))
-        todo = drawn.filter("not free").select("kind", "entity", "value", (F.col("draw") + 1).alias("draw"))
+    for _ in range(MAX_DRAWS):
+        drawn = todo.withColumn("shown", shown).withColumn("k", F.expr("row_number() over (partition by kind, shown order by entity)"))
+        drawn = drawn.join(taken.withColumn("is_taken", F.lit(True)), ["kind", "shown"], "left")
+        drawn = stored(drawn.withColumn("free", (F.col("k") == 1) & F.col("is_taken").isNull()), "surrogates")
+        done.append(drawn.filter("free").select("kind", "entity", "draw", "female"))
+        todo = drawn.filter("not free").select("kind", "entity", "value", "female", (F.col("draw") + 1).alias("draw"))
         if todo.isEmpty():
-            return reduce(DataFrame.unionByName, done).select("kind", "entity", "draw")
-    raise RuntimeError(f"no distinct surrogates after {MAX_DRAWS} draws")
+            break
+        taken = taken.unionByName(drawn.filter("free").select("kind", "shown"))
+    else:
+        done.append(todo.select("kind", "entity", F.lit(-1).alias("draw"), "female"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def entity_key(secret_key: str, draw: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(secret_key), F.col("kind"), F.col("entity"), draw.cast("string")), 256)
 
 
-def replace_private(docs: DataFrame, secret_key: str = "spanloom") -> DataFrame:
+def _entities_of(value: Column, kind: Column) -> Column:
+    """The entities that a mention speaks of, in order, each with what stands before it: (lead, kind, entity, value, female)."""
+    title = F.regexp_extract(value, rf"^(?:(?:{_TITLES})\.? )+", 0)
+    name = F.substr(value, F.length(title) + 1)
+    family = F.substring_index(name, " ", -1)
+    given = F.substr(name, F.lit(1), F.length(name) - F.length(family) - 1)
+    first = F.regexp_extract(title, r"^[^. ]+", 0)
+    female = F.when(first.isin(*_FEMALE), 1).when(first.isin(*_MALE), 0)
+    one = lambda lead, what, entity, of: F.struct(lead.alias("lead"), what.alias("kind"), entity.alias("entity"), of.alias("value"), female.alias("female"))
+    whole = one(F.lit(""), kind, identity(value, kind), value)
+    of_family = lambda lead: one(lead, F.lit("family"), F.lower(family), family)
+    of_given = one(title, F.lit("given"), F.concat(F.lower(family), F.lit("|"), F.lower(given)), given)
+    return F.when(kind != "person", F.array(whole)).when(family == name, F.array(of_family(title))).otherwise(F.array(of_given, of_family(F.lit(" "))))
+
+
+def replace_private(docs: DataFrame, secret_key: str) -> DataFrame:
     """``docs`` with all personal data and secrets of ``text`` replaced, and n_replaced long.
 
+    Who knows ``secret_key`` can tell which surrogate an entity has. A name of
+    two or more parts that stands with a title in a text is also replaced where
+    it stands in that text without one.
+
     Other columns stay; a column named n_replaced is replaced. Null text stays
     null, with n_replaced 0. Empty texts and texts without entities are returned
     as they are. Rows are treated one by one, repeated rows alike; doc_id isn't
@@ -182,14 +248,24 @@ def replace_private(docs: DataFrame, secret_key: str = "spanloom") -> DataFrame:
     has = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(pattern), F.lit(False))
     clean = docs.filter(~has).withColumn("n_replaced", F.lit(0).cast("long"))
     row = F.struct(*columns).alias("row")
-    found = stored(docs.filter(has).select(row, F.monotonically_increasing_id().alias("at"), F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("mentions")), "private")
+    named = F.filter(F.transform(F.regexp_extract_all("text", F.lit(PATTERNS["person"]), F.lit(0)), lambda m: F.regexp_replace(m, rf"^(?:(?:{_TITLES})\.? )+", "")), lambda m: m.contains(" "))
+    longest = F.transform(F.array_sort(F.transform(F.array_distinct(named), lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m")))), lambda x: x["m"])
+    found = docs.filter(has).select(row, F.monotonically_increasing_id().alias("at"), F.col("text").alias("_text"), longest.alias("names"))
+    own = F.concat(F.lit(pattern + r"|(?<!\p{L})(?:"), F.array_join("names", "|"), F.lit(r")(?!\p{L})"))
+    cut = lambda p: F.struct(F.split("_text", p, -1).alias("gaps"), F.regexp_extract_all("_text", p, F.lit(0)).alias("mentions"))
+    found = found.withColumn("cut", F.when(F.size("names") > 0, cut(own)).otherwise(cut(F.lit(pattern)))).select("row", "at", "cut.*")
+    found = stored(found, "private")
     mentions = found.select("at", F.posexplode("mentions").alias("i", "whole")).withColumn("lead", F.regexp_extract("whole", f"^{_LEAD}[\"']?", 0))
-    mentions = mentions.withColumn("value", F.substr("whole", F.length("lead") + 1)).drop("whole").withColumn("kind", kind_of(F.col("value"))).withColumn("entity", identity(F.col("value"), F.col("kind")))
-    mentions = stored(mentions, "mentions")
-    entities = mentions.groupBy("kind", "entity").agg(F.min("value").alias("value"))
-    drawn = stored(draw_surrogates(entities, secret_key), "draws")
-    named = salted_join(mentions, drawn, ["kind", "entity"], "at").select("at", "i", F.concat("lead", surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")))).alias("new"))
-    by_row = named.groupBy("at").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "new"))), lambda x: x["new"]).alias("new"))
-    parts = F.zip_with("gaps", F.concat(F.col("new"), F.array(F.lit(""))), lambda gap, new: F.concat(gap, new))
-    changed = found.join(by_row, "at").select(*[(F.array_join(parts, "") if c == "text" else F.col("row")[c]).alias(c) for c in columns], F.size("new").cast("long").alias("n_replaced"))
+    mentions = mentions.withColumn("mention", F.substr("whole", F.length("lead") + 1)).drop("whole").withColumn("is", kind_of(F.col("mention")))
+    parts = mentions.select("at", "i", F.col("lead").alias("before"), F.posexplode(_entities_of(F.col("mention"), F.col("is"))).alias("j", "e"))
+    parts = parts.select("at", "i", "j", F.when(F.col("j") == 0, F.concat("before", "e.lead")).otherwise(F.col("e.lead")).alias("lead"), "e.kind", "e.entity", "e.value", "e.female")
+    parts = stored(parts, "mentions")
+    entities = parts.groupBy("kind", "entity").agg(F.min("value").alias("value"), F.max("female").alias("female"))
+    drawn = stored(draw_surrogates(stored(entities, "entities"), secret_key), "draws").withColumnRenamed("female", "gender")
+    new = surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")), F.col("draw"), F.col("gender"))
+    renamed = salted_join(parts, drawn, ["kind", "entity"], "at").select("at", "i", "j", F.concat("lead", new).alias("new"))
+    in_order = lambda key: F.transform(F.sort_array(F.collect_list(F.struct(key, "new"))), lambda x: x["new"])
+    by_row = renamed.repartition("at").groupBy("at", "i").agg(F.array_join(in_order("j"), "").alias("new")).groupBy("at").agg(in_order("i").alias("new"))
+    filled = F.zip_with("gaps", F.concat(F.col("new"), F.array(F.lit(""))), lambda gap, new: F.concat(gap, new))
+    changed = found.join(by_row, "at").select(*[(F.array_join(filled, "") if c == "text" else F.col("row")[c]).alias(c) for c in columns], F.size("new").cast("long").alias("n_replaced"))
     return clean.unionByName(changed)

@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .pii import replace_private
 from .quality import score_quality
 from .set_join import jaccard_classes
+from .storage import stored
 from .token_shards import read_segments, token_sequences, write_shards
 from .warc import read_archives, write_archives
 
@@ -24,13 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of surrogates, from the session; the test data has one that is no secret."""
+    return spark.conf.get("spark.spanloom.surrogateKey", "test data")
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"), carry={"ids_crc32": F.crc32("ids")})
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_private(table(spark, sf_dir, "documents").select("doc_id", "text"), surrogate_key(spark))
 
 
 def op3_training_order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +48,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_digests(payload_images(table(spark, sf_dir, "documents")))
+    return payload_digests(stored(payload_images(table(spark, sf_dir, "documents")), "media", "zstd"))
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

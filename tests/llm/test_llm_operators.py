@@ -118,7 +118,7 @@ def test_surrogates_keep_type_format_and_identity(spark):
         "4111111111111111",
     ]
     docs = docs_of(spark, texts).withColumn("n_replaced", F.lit("clash"))
-    got = {r["doc_id"]: r for r in pii.replace_private(docs).collect()}
+    got = {r["doc_id"]: r for r in pii.replace_private(docs, "k").collect()}
     assert got[3]["text"] is None and got[4]["text"] == "" and got[5]["text"] == texts[5] and got[5]["n_replaced"] == 0
     one, two = got[0]["text"], got[1]["text"]
     mail = re.search(r"\S+@\S+\.com", one)[0]
@@ -131,19 +131,79 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert re.search(r"Frau (\w+) ", names)[1] in pii._GIVEN["latin"][0]
     assert re.search(r"Mr (\w+)", names)[1] == re.search(r"Mrs\. (\w+)", names)[1] != "Brown" and re.search(r"Г-жа [А-Я][а-я]+", names)
     assert [got[i]["n_replaced"] for i in range(7)] == [2, 4, 5, 0, 0, 0, 1]
-    assert pii.replace_private(docs.limit(0)).count() == 0
+    assert pii.replace_private(docs.limit(0), "k").count() == 0
 
 
-def test_surrogates_are_distinct_when_the_space_is_tight(spark):
+def test_surrogates_are_distinct_when_the_space_is_tight(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_DRAWS", 5)
     values = [f"{a}.{b}.0.{c}" for a in range(1, 9) for b in range(4) for c in range(9)]
-    rows = spark.createDataFrame([("phone", f"+1{i:02d}", f"+1 {i:02d}") for i in range(60)], "kind string, entity string, value string")
-    drawn = pii.draw_surrogates(rows, "k").join(rows, ["kind", "entity"])
-    shown = drawn.select("entity", pii.identity(pii.surrogate(F.col("value"), F.col("kind"), pii.entity_key("k", F.col("draw"))), F.col("kind")).alias("s")).collect()
+    rows = spark.createDataFrame([("phone", f"1{i:02d}", f"+1 {i:02d}", None) for i in range(60)], "kind string, entity string, value string, female int")
+    drawn = pii.draw_surrogates(rows, "k").join(rows.drop("female"), ["kind", "entity"])
+    shown = drawn.select("entity", "draw", pii.identity(pii.surrogate(F.col("value"), F.col("kind"), pii.entity_key("k", F.col("draw")), F.col("draw")), F.col("kind")).alias("s")).collect()
     assert len({r["s"] for r in shown}) == 60 and not {r["s"] for r in shown} & {r["entity"] for r in rows.collect()}
-    got = pii.replace_private(docs_of(spark, values)).toPandas()["text"]
+    assert {r["draw"] for r in shown} > {-1, 0}  # 40 numbers are free; then the type's name and a part of the key stand for an entity
+    got = pii.replace_private(docs_of(spark, values), "k").toPandas()["text"]
     assert got.nunique() == len(values) and not set(got) & set(values)
 
 
+def test_persons_stay_one_and_numbers_valid(spark):
+    texts = [
+        "Mr John Smith came. John Smith said that Mr Smith left with Mrs Mary Smith, as Dr. Anna Weber and Prof. Karl Meier knew.",
+        "Mr Smith and Dr Smith",
+        "John Smith without a title here",
+        "pay DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432 by 4111-1111-1111-1111, call +442071838750 or +44 20 7183 8750",
+        "from 2001:0db8:85a3:0000:0000:8a2e:0370:7334 and fe80::1ff:fe23:4567:890a at 12:30:45, std::vector, a::b",
+        "Bearer eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U end",
+        "key sk-abcdefghijklmnopqrstuvwxyzab end",
+        "Г-н Иван Петров, Иван Петров; Κυρία Μαρία Παππά",
+    ]
+    got = [r["text"] for r in pii.replace_private(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mr (\S+) (\S+) came\. (\S+) (\S+) said that Mr (\S+) left with Mrs (\S+) (\S+), as Dr\. (\S+) (\S+) and Prof\. (\S+) (\S+) knew\.", got[0])
+    assert m[1] == m[3] and m[2] == m[4] == m[5] == m[7] and m[1] in pii._GIVEN["latin"][1] and m[6] in pii._GIVEN["latin"][0]
+    assert len({m[2], m[9], m[11]}) == 3 and not re.search("John|Smith|Mary|Anna Weber|Karl|Meier", got[0])
+    assert got[1] == f"Mr {m[2]} and Dr {m[2]}" and got[2] == texts[2]
+    ibans = re.findall(r"DE\d\d(?: \d{4}){4} \d\d|GB\d\d[A-Z]{4}\d{14}", got[3])
+    assert len(ibans) == 2 and not {*ibans} & {*texts[3].split()}
+    for iban in ibans:
+        plain = iban.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    card = [int(c) for c in re.search(r"\d{4}-\d{4}-\d{4}-\d{4}", got[3])[0][::-1] if c != "-"]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(card)) % 10 == 0
+    one, two = re.search(r"\+44(\d{10})", got[3])[1], re.search(r"\+44 (\d\d \d{4} \d{4})$", got[3])[1]
+    assert one == two.replace(" ", "") != "2071838750"
+    assert "2001:0db8" not in got[4] and "8a2e" not in got[4] and "fe80::1ff" not in got[4] and got[4].endswith("at 12:30:45, std::vector, a::b")
+    assert re.fullmatch(r"Bearer eyJ[A-Za-z0-9]+\.[A-Za-z0-9]+\.[\w-]+ end", got[5]) and "eyJhbGci" not in got[5] and len(got[5]) == len(texts[5])
+    assert re.fullmatch("key sk-[a-z]{28} end", got[6]) and got[6] != texts[6]
+    m = re.fullmatch(r"Г-н (\S+) (\S+), (\S+) (\S+); Κυρία (\S+) (\S+)", got[7])
+    assert m[1] == m[3] in pii._GIVEN["cyrillic"][1] and m[2] == m[4] != "Петров" and m[5] in pii._GIVEN["greek"][0]
+
+
+def test_replacement_equals_brute_force_on_a_planted_corpus(spark):
+    rng = random.Random(8)
+    given, family = ["Alan", "Brigitte", "Carla", "Derek", "Eve"], [f"F{a}{b}" for a in "aeiou" for b in ("ner", "lok", "sti", "mar")]
+    people = [f"{rng.choice(given)} {f}" for f in family for _ in range(3)]
+    entity = [*[f"u{i}@host{i % 7}.example.org" for i in range(60)], *[f"+49 30 {i:04d} {i * 7 % 10000:04d}" for i in range(60)], *[f"{i:03d}-{i % 90 + 10}-{i:04d}" for i in range(100, 160)], *[f"Dr {p}" for p in people]]
+    texts = []
+    for _ in range(300):
+        texts.append(" and ".join(f"word{rng.randint(0, 9)}x {rng.choice(entity)}" for _ in range(rng.randint(0, 4))) + " end")
+    got = [r["text"] for r in pii.replace_private(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    to = {}
+    for before, after in zip(texts, got, strict=True):
+        pieces, new = re.split(r"( and |word\dx | end)", before), re.split(r"( and |word\dx | end)", after)
+        assert len(pieces) == len(new)
+        for a, b in zip(pieces, new, strict=True):
+            if a in entity:
+                assert to.setdefault(a, b) == b and a != b  # coreference
+            else:
+                assert a == b
+    assert len(set(to.values())) == len(to) and not set(to.values()) & set(entity)  # distinctness
+    of_family = {}
+    for a, b in to.items():
+        if a.startswith("Dr "):
+            assert of_family.setdefault(a.split()[-1], b.split()[-1]) == b.split()[-1]
+    assert len(set(of_family.values())) == len(of_family)
+
+
 def test_secrets_and_names_of_any_form_and_length_are_found(spark):
     rng = random.Random(5)
     long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-.") for _ in range(500)) + "Zq7"
@@ -166,7 +226,7 @@ def test_secrets_and_names_of_any_form_and_length_are_found(spark):
     }
     stay = ["password: ********", "token::Type of a secret", "the token is here: no", "Mr Brown"[:3], "secret: short"]
     texts = [*cases, *stay]
-    got = {r["doc_id"]: r for r in pii.replace_private(docs_of(spark, texts)).collect()}
+    got = {r["doc_id"]: r for r in pii.replace_private(docs_of(spark, texts), "k").collect()}
     for i, (text, secrets) in enumerate(cases.items()):
         assert got[i]["n_replaced"] >= 1 and not [x for x in secrets if x in got[i]["text"]], text[:60]
     for i, text in enumerate(stay, len(cases)):
@@ -409,6 +469,12 @@ def test_payload_images_are_lossless(spark):
     every = bytes(range(256)) * 3 * 700
     image = media.Image(media.payload_image(every))
     assert media.image_payload(image) == every
+    kept = storage.stored(media.read_images(storage.stored(media.payload_images(docs_of(spark, ODD)), "media", "zstd"), payloads=True), "tensors").collect()
+    for r in kept:
+        raw = (ODD[r["doc_id"]] or "").encode()
+        image = media.Image(bytes(r["media"]))
+        assert bytes(r["payload"]) == raw + b" " * (-len(raw) % 192 or (0 if raw else 192))
+        assert np.array_equal(np.frombuffer(r["rgb"], np.uint8).reshape(r["height"], r["width"], 3), image.rgb()) and r["feature"] == media.describe(image.rgb())
     broken = spark.createDataFrame([(1, b"no", "c"), (2, None, "c")], "id int, media binary, rgb string")
     assert [r["rgb"] for r in media.read_images(broken).collect()] == [None, None]
 
