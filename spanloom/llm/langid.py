@@ -91,7 +91,7 @@ class LanguageModel:
 
 def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 6.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Logistic classifiers for the +1/-1 columns of ``y``, by gradient steps with momentum."""
-    w, b = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
+    w, b = np.zeros((x.shape[1], y.shape[1]), x.dtype), np.zeros(y.shape[1], x.dtype)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
         g = -y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30)))
@@ -121,14 +121,15 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary()), batch.column(2)], names=["doc_id", "x", "lang"])
 
     kind = labelled.schema["doc_id"].dataType.simpleString()
-    rows = sample.select("doc_id", "text", "lang").mapInArrow(run, f"doc_id {kind}, x binary, lang string").orderBy("doc_id", "lang", "x").collect()
-    languages = sorted({r["lang"] for r in rows})
+    rows = sample.select("doc_id", "text", "lang").mapInArrow(run, f"doc_id {kind}, x binary, lang string").orderBy("doc_id", "lang", "x").toArrow()
+    named = rows["lang"].to_pylist()
+    languages = sorted(set(named))
     code = codewords(len(languages))
-    if not rows:
+    if not named:
         return LanguageModel([], code, np.zeros((FEATURES, 1)), np.zeros(1))
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows]).astype(np.float64)
-    y = code[[languages.index(r["lang"]) for r in rows]]
-    weights, bias = fit_bits(x, y)
+    x = np.concatenate([np.frombuffer(v.as_buffer(), np.float32) for v in rows["x"]]).reshape(-1, FEATURES)
+    del rows
+    weights, bias = fit_bits(x, code[[languages.index(n) for n in named]].astype(np.float32))
     return LanguageModel(languages, code, weights.astype(np.float32), bias)
 
 
