@@ -10,7 +10,7 @@ shares a signature is verified on the whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ FOLDS = 8
 _FOLDED = [f"f{i}" for i in range(FOLDS)]
 #: Sets that a task remembers to have signed.
 SIGNED = 1_000_000
+#: Edges that are joined without a look for frequent nodes.
+FEW_EDGES = 100_000
 #: Rows of a block: the rows of a signature are compared block with block.
 BLOCK = 256
 #: Further pivots that rows of one signature are compared with before they are compared with one another.
@@ -248,14 +250,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = stored(edges, "edges")
     before = None
     for _ in range(most_rounds):
+        many = 0 if before is None else before[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = salted_join(both.filter("b > a"), least, ["a"], "b").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        large = stored(large.distinct(), "large")
+        split = many == 0 or many > FEW_EDGES  # few edges fit in a task, whatever their nodes
+        join = (lambda x, y: salted_join(x, y, ["a"], "b")) if split else (lambda x, y: x.join(y, "a"))
+        large = join(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = stored(large, "large") if split else large
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = salted_join(large, low, ["a"], "b").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
+        small = join(large, low).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         old, edges = edges, stored(small, "edges")
-        discard(old, large)
+        discard(old, *[large] * split)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
@@ -344,16 +349,23 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     star = salted_join(star, nodes.select(F.col("node").alias("pivot"), F.col("rep").alias("b"), F.struct("n_shingles", *_FOLDED).alias("y")), ["pivot"], "a")
     star = possible(stored(star.filter(near("x", "y")).select("a", "b").distinct(), "near"), "star")
 
-    links: list[DataFrame] = []
     classes: DataFrame | None = None
 
     def settled(pairs: DataFrame) -> DataFrame:
-        """The classes with the links that the texts confirm among the pairs."""
+        """The classes with the links that the texts confirm among the pairs; new links join whole classes."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         texts = stored(docs.join(wanted, "doc_id", "left_semi"), "texts")
-        links.append(stored(verified(pairs, texts, width, percent), "links"))
+        links = stored(verified(pairs, texts, width, percent), "links")
         discard(texts)
-        return stored(components(reduce(DataFrame.unionByName, links)), "classes")
+        if classes is None:
+            return stored(components(links), "classes")
+        for side in ("a", "b"):
+            of = classes.select(F.col("node").alias(side), "component")
+            links = links.join(of, side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+        joined = stored(components(links), "joined")
+        moved = classes.join(joined.select(F.col("node").alias("component"), F.col("component").alias("_to")), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+        new = joined.join(classes.select("node"), "node", "left_anti")
+        return stored(moved.unionByName(new.select("node", "component")), "classes")
 
     def apart(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are not in one class yet, stored."""

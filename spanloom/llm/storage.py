@@ -102,6 +102,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: str,
     """
     total = left.count() if counts is None else counts.agg(F.sum("_n")).first()[0] or 0
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
+    if total <= SHARE_ROWS:
+        return left.join(right, keys, how)
     share = max(SHARE_ROWS, total / SHARES)
     heavy = counts.filter(F.col("_n") > share).select(*keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
     rows = heavy.collect()  # fewer than SHARES
