@@ -15,6 +15,7 @@ from spanloom.llm.decontam import contamination
 from spanloom.llm.langid import UNDETERMINED, fit, predict
 from spanloom.llm.packing import pack_documents
 from spanloom.llm.pii import replace_private
+from spanloom.llm.queries import surrogate_key
 from spanloom.llm.set_join import jaccard_classes
 from spanloom.llm.storage import finished, stored
 
@@ -53,7 +54,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets become surrogates; all rows stay, null and empty texts and repeated rows as they are."""
-    return replace_private(docs).select(*docs.columns)
+    return replace_private(docs, surrogate_key(spark)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
