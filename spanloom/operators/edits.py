@@ -67,7 +67,7 @@ def projections(tokens: list[str], wanted: list[str], entity: tuple[int, int]) -
         ways = onward
     if not wanted or not ways:
         return None
-    order = lambda w: ((w[high - 1] - w[low]) if w[low:high] else 0, w[-1] - w[0], w[-1] - w[0] - len(w) + 1, w[0], w[-1])
+    order = lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[-1] - w[0] - len(w) + 1, w[0], w[-1])
     return min(ways.values(), key=order)
 
 

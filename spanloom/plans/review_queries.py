@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import text as t
 from spanloom.operators import bio, decisions, dictionary, edits, evaluate, planning, profile, quality, review, sets, spans, tokens
+from spanloom.sources import files
+from spanloom.sources.scratch import work_folder
 
 from . import base
 from .base import ALIGNED, SEEDS_CTE, TAGGED, TOK, bigints, spans_cte, table
@@ -181,10 +183,8 @@ def tag_search(spark, sf_dir):
 @query(f"""WITH {TAGGED}, x AS (SELECT doc_id, i, token, gold AS tag_before, predicted AS tag_after, gold <> predicted AS changed FROM tagged),
   y AS (SELECT *, max(CAST(changed AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS near FROM x) SELECT doc_id, i, token, tag_before, tag_after, changed FROM y WHERE near = 1""")
 def tag_changes(spark, sf_dir):
-    from spanloom.sources.files import tag_changes
-
     rows = base.tagged(spark, sf_dir)
-    return tag_changes(rows.withColumn("tag", F.col("gold")), rows.withColumn("tag", F.col("predicted")), 2)
+    return files.tag_changes(rows.withColumn("tag", F.col("gold")), rows.withColumn("tag", F.col("predicted")), 2)
 
 
 @query(f"""WITH {TAGGED}, m AS (SELECT tag, CAST(2 * row_number() OVER (ORDER BY substr(tag, 3), substr(tag, 1, 1)) AS BIGINT) AS id FROM (SELECT DISTINCT gold AS tag FROM tagged WHERE gold <> 'O'))
@@ -619,3 +619,61 @@ def label_margins(spark, sf_dir):
     total = F.aggregate("scores", F.lit(0.0), lambda s, x: s + F.exp(x))
     rows = rows.withColumn("total", total).withColumn("logs", F.transform("scores", lambda x: x - F.log("total")))
     return rows.select("doc_id", "word", F.round(evaluate.label_margin(F.col("logs"), LABELS, "X"), 6).alias("margin"), evaluate.suggested_tag(F.col("logs"), LABELS, 0.25).alias("tag"))
+
+
+# files
+
+
+@query("SELECT lang, count(*) AS n, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars, CAST(sum(doc_id) AS BIGINT) AS ids, count(*) - count(text) AS empty FROM (SELECT * FROM documents UNION ALL SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) GROUP BY lang")
+def jsonl_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path = work_folder(spark, "jsonl")
+    files.write_jsonl(docs, path, "doc_id", compression="bzip2")
+    files.append_jsonl(docs.join(table(spark, sf_dir, "labels").filter("toxic = 1"), "doc_id").select(*docs.columns), path)
+    back = files.read_jsonl(spark, path, docs.schema)
+    return back.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("chars"), F.sum("doc_id").alias("ids"), (F.count("*") - F.count("text")).alias("empty"))
+
+
+@query(f"""WITH {TAGGED}, {GOLD} SELECT doc_id, lang AS language, 'validation' AS split, count(*) AS tokens, count(*) FILTER (gold <> 'O') AS tagged, CAST(sum(length(token) * (i % 97)) AS BIGINT) AS checksum FROM tagged GROUP BY doc_id, lang""")
+def token_file_round_trip(spark, sf_dir):
+    path = work_folder(spark, "corpus-dev")
+    blocks = files.token_lines(base.tagged(spark, sf_dir), {"language": "lang", "document_id": "doc_id"}, "gold")
+    blocks.select("block").write.text(path)
+    rows = files.read_token_files(spark, path, "*.txt").withColumn("doc_id", F.col("comments")["document_id"].cast("long"))
+    found = rows.groupBy("doc_id", F.col("comments")["language"].alias("language"), "split")
+    return found.agg(F.count("*").alias("tokens"), F.sum((F.col("ne_fine_lit") != "O").cast("long")).alias("tagged"), F.sum(F.length("token") * (F.col("i") % 97)).alias("checksum"))
+
+
+@query(f"""WITH {TAGGED} SELECT gold, predicted, count(*) AS n, count(*) FILTER (token IN ('"', chr(39))) AS quotes, CAST(sum(length(token) * (i % 89)) AS BIGINT) AS checksum FROM tagged GROUP BY ALL""")
+def predictions_round_trip(spark, sf_dir):
+    path = work_folder(spark, "predictions")
+    files.write_tsv(base.tagged(spark, sf_dir), path, ["doc_id", "i", "token", "gold", "predicted"])
+    back = files.read_predictions(spark, path, "doc_id long, i long, token string, gold string, predicted string")
+    return back.groupBy("gold", "predicted").agg(F.count("*").alias("n"), F.sum(F.col("token").isin('"', "'").cast("long")).alias("quotes"), F.sum(F.length("token") * (F.col("i") % 89)).alias("checksum"))
+
+
+# aliases of several words, with hyphens and dots
+
+PHRASES = [(base.ALPHA, "of the", 0), (base.ALPHA, "The And", 1), (base.BETA, "in that", 0), (base.BETA, "then.", 1), (base.GAMMA, "that of an", 0), (base.DELTA, "de la", 0), (base.DELTA, "la-le", 1), (base.EPSILON, "The", 0)]
+_PHRASES = "seeds(label, alias, ord) AS (VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in PHRASES) + ")"
+_W = r"[\p{L}\p{N}_]"
+_COMPACT = r"lower(regexp_replace({}, '[^\p{{L}}\p{{N}}_]+', '', 'g'))"
+
+
+@query(rf"""WITH {_PHRASES}, {TOK}, al AS (SELECT *, {_COMPACT.format('alias')} AS form, len(regexp_extract_all(alias, '{_W}+')) AS words, right(alias, 1) AS tail,
+    max(len(regexp_extract_all(alias, '{_W}+|[^\p{{L}}\p{{N}}_\s]'))) OVER (PARTITION BY label) + 2 AS most, regexp_matches(left(alias, length(alias) - 1), '[^\p{{L}}\p{{N}}_]') AS inner_mark FROM seeds),
+  pl AS (SELECT doc_id, i, start, [token, {", ".join(f"lead(token, {k}) OVER q" for k in range(1, 7))}] AS ts, [stop, {", ".join(f"lead(stop, {k}) OVER q" for k in range(1, 6))}] AS ends FROM tok WINDOW q AS (PARTITION BY doc_id ORDER BY i)),
+  heads AS (SELECT DISTINCT left(form, unnest(range(1, length(form) + 1))) AS head FROM al),
+  n AS (SELECT pl.*, unnest(range(1, 7)) AS n FROM pl WHERE regexp_matches(ts[1], '{_W}') AND {_COMPACT.format('ts[1]')} IN (SELECT head FROM heads)),
+  w AS (SELECT doc_id, i, n, ts[1:n] AS w, ts[n] AS last, ts[n + 1] AS after, start, ends[n] AS stop, ts[n - 1] AS before_last FROM n WHERE ts[n] IS NOT NULL),
+  f AS (SELECT *, {_COMPACT.format("array_to_string(w, '')")} AS wform, len(list_filter(w, lambda x: regexp_matches(x, '{_W}'))) AS wwords, regexp_matches(last, '{_W}') AS a_word FROM w),
+  m AS (SELECT f.*, al.label, al.alias, al.ord, 'alias_compact' AS matcher FROM f JOIN al ON al.form = f.wform AND f.n <= al.most AND f.wwords = al.words AND len(list_intersect(w, ['(', ')', '[', ']', '{{', '}}'])) = 0
+      WHERE NOT (a_word AND NOT regexp_matches(tail, '{_W}') AND coalesce(after = tail, false)) AND NOT (NOT a_word AND regexp_matches(tail, '{_W}')) AND NOT (NOT a_word AND NOT regexp_matches(tail, '{_W}') AND last <> tail)
+        AND NOT (NOT a_word AND NOT regexp_matches(tail, '{_W}') AND inner_mark AND len(list_filter(w[1:n - 1], lambda x: NOT regexp_matches(x, '{_W}'))) = 0 AND n - 1 <= 1)
+    UNION ALL
+    SELECT f.*, al.label, al.alias, al.ord, 'alias_hyphenated_suffix' FROM f JOIN al ON f.n > 2 AND f.before_last = '-' AND f.n <= al.most AND f.n = al.words + 2
+      AND list_transform(w[1:n - 2], lambda x: {_COMPACT.format('x')}) = list_transform(regexp_extract_all(al.alias, '{_W}+'), lambda x: lower(x)) AND al.form <> f.wform AND a_word AND NOT (NOT regexp_matches(tail, '{_W}') AND coalesce(after = tail, false)))
+  SELECT doc_id, label, CAST(i AS BIGINT) AS token_start, CAST(i + n AS BIGINT) AS token_stop, alias, matcher, start, stop FROM m
+  QUALIFY row_number() OVER (PARTITION BY doc_id, label, i, n ORDER BY ord, alias) = 1""")
+def phrase_hits(spark, sf_dir):
+    return dictionary.match(base.tokens(spark, sf_dir), spark.createDataFrame(PHRASES, "label string, alias string, ord int"))

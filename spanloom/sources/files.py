@@ -38,26 +38,27 @@ def read_metadata(spark: SparkSession, path: str, schema: str, key: str, first:
 
 
 def split_of(path: Column) -> Column:
-    """The split that a file's name says; a name that says none stops the job."""
-    name = F.lower(F.element_at(F.split(path, "/"), -1))
-    return F.when(name.contains("train"), "train").when(name.contains("dev"), "validation").when(name.contains("test"), "test").otherwise(F.raise_error(F.concat(F.lit("no split in "), name)))
+    """The split that a file's name says, or else its folder's; names that say none stop the job."""
+    parts = F.split(F.lower(path), "/")
+    said = lambda name: F.when(name.contains("train"), "train").when(name.contains("dev"), "validation").when(name.contains("test"), "test")
+    return F.coalesce(said(F.try_element_at(parts, F.lit(-1))), said(F.try_element_at(parts, F.lit(-2))), F.raise_error(F.concat(F.lit("no split in "), path)).cast("string"))
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, names: str = "*.tsv") -> DataFrame:
     """Annotated token files below ``path``: file, split, doc, comments map, i, the 13 columns, segment.
 
     A document begins at the file's start, at ``# language`` after tokens, or at
     a repeated ``# global.columns`` after tokens. A file is read as one value,
     since its line order is what it says.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.tsv").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
     lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("n", "line")).filter("trim(line) <> ''")
     cells = F.split("line", "\t")
     comment = F.col("line").startswith("# ")
     at = W.partitionBy("file").orderBy("n")
     key = F.regexp_extract("line", r"^# ([^ =]+) *=", 1)
     lines = lines.withColumns({"comment": comment, "key": F.when(comment, key), "text": F.when(comment, F.regexp_replace("line", r"^# [^=]*= ?", "")), "cells": cells})
-    lines = lines.filter(F.col("comment") | (F.get("cells", F.lit(0)) != TOKEN_COLUMNS[0]))
+    lines = lines.filter(F.col("comment") | (F.col("line") != "\t".join(TOKEN_COLUMNS)))
     had = F.coalesce(F.max((~F.col("comment")).cast("int")).over(at.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     lines = lines.withColumn("seen", F.sum((~F.col("comment")).cast("int")).over(at.rowsBetween(W.unboundedPreceding, -1)))
     begins = F.col("comment") & F.col("key").isin("language", "global.columns") & (had == 1)
@@ -83,17 +84,47 @@ def sorted_json(*columns: str) -> Column:
     return F.to_json(F.struct(*sorted(columns)))
 
 
-def write_jsonl(df: DataFrame, path: str, key: str, one_file: bool = False) -> None:
+def write_jsonl(df: DataFrame, path: str, key: str, one_file: bool = False, compression: str | None = None) -> None:
     """JSON lines in release order: by folded key, then key; keys of each object in order."""
     ordered = df.repartition(1) if one_file else df
     rows = ordered.sortWithinPartitions(F.lower(key), key) if one_file else ordered.orderBy(F.lower(key), key)
-    rows.select(sorted_json(*df.columns).alias("value")).write.text(path)
+    rows.select(sorted_json(*df.columns).alias("value")).write.text(path, compression=compression)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.select(sorted_json(*df.columns).alias("value")).write.mode("append").text(path)
 
 
+def write_tsv(df: DataFrame, path: str, columns: list[str], escaped: bool = False) -> None:
+    """A report with a header and these columns in this order; nulls are empty.
+
+    Tabs and line ends in a cell become blanks, or backslash forms where
+    ``escaped``. Quotes are characters like any other: read it with
+    ``read_predictions``.
+    """
+
+    def cell(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        for raw, name in (("\t", "\\t"), ("\r", "\\r"), ("\n", "\\n")):
+            text = F.replace(text, F.lit(raw), F.lit(name if escaped else " "))
+        return text.alias(c)
+
+    df.select(*map(cell, columns)).write.csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def token_lines(tokens: DataFrame, comments: dict[str, str], tag: str = "tag") -> DataFrame:
+    """Documents of a token table as text of annotated token files: doc_id, block.
+
+    ``comments`` names columns by the comment that tells their value; the tag
+    stands in the fine literal column, further columns hold an underscore.
+    """
+    blank = ["_"] * len(TOKEN_COLUMNS)
+    cells = [F.col("token") if c == "TOKEN" else F.col(tag) if c == "NE-FINE-LIT" else F.lit(b) for c, b in zip(TOKEN_COLUMNS, blank, strict=True)]
+    rows = tokens.groupBy("doc_id", *set(comments.values()) - {"doc_id"}).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.concat_ws("\t", *cells).alias("line")))), lambda x: x["line"]).alias("lines"))
+    head = [F.lit("# global.columns = " + " ".join(TOKEN_COLUMNS)), *[F.concat(F.lit(f"# {k} = "), F.col(v).cast("string")) for k, v in comments.items()], F.lit("\t".join(TOKEN_COLUMNS))]
+    return rows.select("doc_id", F.array_join(F.concat(F.array(*head), "lines", F.array(F.lit(""))), "\n").alias("block"))
+
+
 def token_file_text(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, meta map, tokens, labels) as text blocks: comments, a header, a line for each token, a blank line.
 

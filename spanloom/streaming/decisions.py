@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.operators.decisions import latest
@@ -12,38 +14,61 @@ def read_log(spark: SparkSession, path: str, schema: str, files_a_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 
 
-def keep_latest(log: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]):
-    """Starts a query that keeps the latest row of each key below ``path``, one folder for each batch.
+#: Batches after which the changes are folded into a whole state.
+BATCHES_A_STATE = 20
+
+
+def keep_latest(log: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], batches_a_state: int = BATCHES_A_STATE):
+    """Starts a query that keeps the latest row of each key below ``path``.
 
-    A batch folds its rows with the state before it by ``order``, so a late
-    record never replaces a newer decision, and a batch that runs again writes
-    the same state. Read it with ``read_latest``.
+    A batch writes the latest of its own rows, so its cost is its own size; now
+    and then the changes are folded with the state before them, and what that
+    state replaces is deleted, but for the state before, which a reader may
+    hold. Rows are folded by ``order``, so a late record never replaces a newer
+    decision, and a batch that runs again writes the same. Read it with
+    ``read_latest``.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = _state(spark, path, number)
-        rows = batch if before is None else before.unionByName(batch)
-        latest(rows, keys, order).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
+        latest(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
+        if (number + 1) % batches_a_state:
+            return
+        states = [n for n in _numbers(spark, path, "state") if n < number]
+        whole = _folded(spark, path, keys, order, number)
+        whole.write.mode("overwrite").parquet(f"{path}/state={number:012d}")
+        if states:
+            for kind, last in (("batch", states[-1]), ("state", states[-1] - 1)):
+                for n in _numbers(spark, path, kind):
+                    if n <= last:
+                        _delete(spark, f"{path}/{kind}={n:012d}")
 
     return log.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _numbers(spark: SparkSession, path: str) -> list[int]:
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """The numbers of whole folders of a kind, in order."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
         return []
     names = [s.getPath() for s in fs.listStatus(hadoop)]
-    done = [p for p in names if p.getName().startswith("batch=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(p.getName()[6:]) for p in done)
+    done = [p for p in names if p.getName().startswith(f"{kind}=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().partition("=")[2]) for p in done)
 
 
-def _state(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    numbers = [n for n in _numbers(spark, path) if n < before]
-    return spark.read.parquet(f"{path}/batch={numbers[-1]:012d}") if numbers else None
+def _folded(spark: SparkSession, path: str, keys: list[str], order: list[str], upto: int) -> DataFrame | None:
+    states = [n for n in _numbers(spark, path, "state") if n < upto]
+    last = states[-1] if states else -1
+    parts = [f"{path}/state={n:012d}" for n in states[-1:]] + [f"{path}/batch={n:012d}" for n in _numbers(spark, path, "batch") if last < n <= upto]
+    return latest(reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in parts]), keys, order) if parts else None
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The state after the last whole batch; None before the first."""
-    return _state(spark, path, 1 << 62)
+def read_latest(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame | None:
+    """The latest row of each key after the last whole batch; None before the first."""
+    return _folded(spark, path, keys, order, 1 << 62)

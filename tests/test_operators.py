@@ -1,6 +1,7 @@
 """Span operators on small literal cases and against plain Python."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -200,6 +201,23 @@ def test_splits_and_draws(spark):
     benefit = spark.createDataFrame([("g1", "x", 5), ("g2", "x", 1), ("g2", "y", 4), ("g3", "y", 9)], "grp string, label string, n int")
     split = dict(tuples(planning.deficit_split(benefit, 4)))
     assert sorted(k for k, v in split.items() if v == "test") and len(split) == 3
+    rng = random.Random(3)
+    counts = {f"g{i}": {label: rng.randint(1, 6) for label in "uvwxyz" if rng.random() < 0.4} for i in range(60)}
+    table = spark.createDataFrame([(g, label, n) for g, c in counts.items() for label, n in c.items()], "grp string, label string, n int")
+    digest = lambda g: hashlib.sha1(f"42\t{g}".encode()).hexdigest()
+    want: dict = {}
+    for name in ("test", "validation"):
+        lack = dict.fromkeys("uvwxyz", 12)
+        while True:
+            gain = [(-sum(min(lack[k], n) for k, n in c.items()), digest(g), g) for g, c in counts.items() if g not in want]
+            if min(gain)[0] == 0:
+                break
+            best = min(gain)[2]
+            want[best] = name
+            for k, n in counts[best].items():
+                lack[k] = max(0, lack[k] - n)
+    for frontier in (3, 1000):
+        assert {k: v for k, v in tuples(planning.deficit_split(table, 12, frontier=frontier)) if v} == want
     rows = spark.createDataFrame([("l", "de", f"i{k % 3}", k) for k in range(9)] + [("l", "fr", f"j{k}", k) for k in range(3)], "label string, lang string, issue string, k int")
     drawn = planning.balanced_selection_by_issue(rows, ["label", "lang"], ["k"], 2, 5).collect()
     assert sorted((r["lang"], r["issue"]) for r in drawn) == [("de", "i0"), ("de", "i1"), ("fr", "j0"), ("fr", "j1")]
@@ -210,10 +228,12 @@ def test_decisions_fold_and_replay(spark, tmp_path):
     log = [("a", 1, 1, "done"), ("a", 3, 2, "todo"), ("b", 2, 3, "done"), ("a", 2, 4, "ignored"), ("b", 2, 5, "todo")]
     want = [("a", 3, 2, "todo"), ("b", 2, 5, "todo")]
     assert tuples(decisions.latest(spark.createDataFrame(log, schema), ["review_id"], ["at", "n"])) == want
-    for k, rows in enumerate((log[3:], log[:3])):  # the late ones come first, and then the earlier
+    keys, order, state = ["review_id"], ["at", "n"], "file://" + str(tmp_path / "state")
+    for rows in (log[4:], log[3:4], log[:1], log[1:2], log[2:3]):  # late ones among them
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-        stream.keep_latest(stream.read_log(spark, str(tmp_path / "log"), schema, 1), "file://" + str(tmp_path / "state"), str(tmp_path / "check"), ["review_id"], ["at", "n"]).awaitTermination()
-    assert tuples(stream.read_latest(spark, "file://" + str(tmp_path / "state"))) == want
+        stream.keep_latest(stream.read_log(spark, str(tmp_path / "log"), schema, 1), state, str(tmp_path / "check"), keys, order, 2).awaitTermination()
+    assert tuples(stream.read_latest(spark, state, keys, order)) == want
+    assert sorted(p.name[:6] for p in (tmp_path / "state").iterdir()) == ["batch=", "batch=", "batch=", "state=", "state="]
     base = as_spans(spark, (0, 0, 2, "a"), (0, 4, 6, "b"))
     patches = spark.createDataFrame([(0, "r1", "2", "accept", 1, 3, "c"), (0, "r2", "1", "accept", 4, 6, "O"), (0, "r3", "3", "reject", 8, 9, "c"), (1, "r4", "1", "modify", 0, 1, "d")], "doc_id long, review_id string, reviewed_at string, choice string, token_start int, token_stop int, label string")
     once = decisions.apply_patches(base, patches)
@@ -252,6 +272,25 @@ def test_edits(spark):
     with pytest.raises(Exception, match="more than once"):
         edits.replace_segment(docs, ents, "XX", "y")[0].collect()
     assert edits.projections("a b x a b c".split(), ["a", "b", "c"], (0, 2)) == [3, 4, 5]
+    rng = random.Random(6)
+    for _ in range(60):
+        toks, wanted = [rng.choice("abc") for _ in range(rng.randint(0, 9))], [rng.choice("abc") for _ in range(rng.randint(0, 4))]
+        low = rng.randint(0, len(wanted))
+        high = rng.randint(low, len(wanted))
+        ways = [w for w in itertools.combinations(range(len(toks)), len(wanted)) if wanted and [toks[i] for i in w] == wanted]
+        best = min(ways, key=lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[0], w[-1]), default=None)
+        got = edits.projections(toks, wanted, (low, high))
+        assert (got is None) == (best is None)
+        if got:
+            key = lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[0], w[-1])
+            assert key(got) == key(best)
+    assert edits.projections(["a"] * 300, ["a"] * 3, (0, 1)) == [0, 1, 2]
+    rows = spark.createDataFrame([("x", ["a", "b"], ["b"], 0, 1), ("y", None, ["b"], 0, 1)], "places string, tokens array<string>, wanted array<string>, entity_start int, entity_stop int")
+    assert [r["places"] for r in edits.projected(rows).collect()] == [[1], None]
+    embed = lambda texts: texts.map(lambda x: [float("hit" in x.split()), 1.0])
+    words = ["w"] * 6 + ["hit"]
+    found = edits.refined_passages(spark.createDataFrame([(1, words), (2, ["hit"]), (3, [])], "doc_id long, words array<string>"), [1.0, 0.0], embed, size=4, least=1, rounds=3, overlap=0.25)
+    assert tuples(found, "doc_id", "round", "start", "stop") == [(1, 0, 3, 7), (1, 1, 5, 7), (1, 2, 6, 7), (2, 0, 0, 1)]
     vec = spark.createDataFrame([("m:AACAPwAAAEA=",), (None,)], "embedding string")
     assert [list(r["vector"]) for r in edits.decoded_vectors(vec).collect()] == [[1.0, 2.0], []]
 
@@ -267,6 +306,9 @@ def test_token_files_round_trip(spark, tmp_path):
     assert files.token_file_text(docs).first()["block"] == "# id = d\nTOKEN\tLABEL\na b\tO\nc\tB-X\n"
     files.write_jsonl(spark.createDataFrame([("b", 1), ("A", None)], "id string, n int"), str(tmp_path / "out"), "id", one_file=True)
     assert next((tmp_path / "out").glob("part-*")).read_text() == '{"id":"A"}\n{"id":"b","n":1}\n'
+    files.write_tsv(spark.createDataFrame([('a"b', "x\ty\nz", None), ("", " s", "q")], "a string, b string, c string"), str(tmp_path / "tsv"), ["b", "a", "c"])
+    back = files.read_predictions(spark, str(tmp_path / "tsv"), "b string, a string, c string")
+    assert sorted((r["b"], r["a"] or "", r["c"] or "") for r in back.collect()) == [(" s", "", "q"), ("x y z", 'a"b', "")]
     back = files.read_jsonl(spark, str(tmp_path / "out"), "id string, n int")
     assert tuples(back, "id") == [("A",), ("b",)]
 
