@@ -59,8 +59,10 @@ def _by_term(many: DataFrame, few: DataFrame, spread: str) -> DataFrame:
 def ranked_terms(tokens: DataFrame, asked: DataFrame) -> DataFrame:
     """(phrase, n, off, term, rank): a phrase's terms from the rarest in ``tokens``; phrases with an absent term are left out."""
     terms = asked.select("phrase", "n").distinct().select("phrase", "n", F.posexplode(F.split("phrase", " ")).alias("off", "term"))
-    seen = tokens.select(F.explode(_split()).alias("term")).join(small(terms.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count("*").alias("many"))
-    of = terms.join(seen, "term", "left").select("phrase", "n", "off", "term", F.coalesce("many", F.lit(0)).alias("many"))
+    wanted = terms.select("term").distinct()
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    seen = tokens.select(F.explode(_split()).alias("term")).join(F.broadcast(wanted) if few else wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("many"))
+    of = terms.join(F.broadcast(seen) if few else seen, "term", "left").select("phrase", "n", "off", "term", F.coalesce("many", F.lit(0)).alias("many"))
     of = of.withColumn("least", F.expr("min(many) over (partition by phrase)")).filter("least > 0")
     return of.withColumn("rank", F.expr("row_number() over (partition by phrase order by many, off)")).drop("least", "many")
 
