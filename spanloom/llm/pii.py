@@ -114,30 +114,19 @@ def _letter(c: Column, hexadecimal: Column, key: Column, at: Column) -> Column:
     return F.when(c == low, F.coalesce(letter, c)).otherwise(F.coalesce(F.upper(letter), c))
 
 
-def _pick(options: list[str], key: Column, at: int) -> Column:
-    return F.element_at(F.array(*map(F.lit, options)), (_number(key, F.lit(at), F.lit(len(options))) + 1).cast("int"))
+def _pick(pool: Column, key: Column, at: int) -> Column:
+    return F.element_at(pool, (_number(key, F.lit(at), F.size(pool)) + 1).cast("int"))
 
 
-def _by_script(value: Column, make) -> Column:
-    out = make("latin")
-    for script in ("cyrillic", "greek"):
-        out = F.when(value.rlike(rf"\p{{Is{script.capitalize()}}}"), make(script)).otherwise(out)
-    return out
-
-
-def _given_name(value: Column, female: Column, key: Column, draw: Column) -> Column:
-    """Given names of the gender, of either one where it isn't known, in the value's script."""
-
-    def make(script: str) -> Column:
+def _pool(value: Column, kind: Column, female: Column) -> Column:
+    """What a name is drawn from: given names of the gender, of either one where it isn't known, or syllables, in the value's script."""
+    words = lambda options: F.array(*map(F.lit, options))
+    out = None
+    for script in ("latin", "cyrillic", "greek"):
         she, he = _GIVEN[script]
-        one = lambda at: F.when(female == 1, _pick(she, key, at)).when(female == 0, _pick(he, key, at)).otherwise(_pick([*she, *he], key, at))
-        return F.concat_ws(" ", one(0), *[F.when(draw >= least, one(k)) for k, least in enumerate(MORE_NAMES, 1)])
-
-    return _by_script(value, make)
-
-
-def _family_name(value: Column, key: Column) -> Column:
-    return _by_script(value, lambda script: F.initcap(F.concat(*[_pick(_SYLLABLES[script], key, i) for i in range(1, 6)])))
+        pool = F.when(kind == "family", words(_SYLLABLES[script])).when(female == 1, words(she)).when(female == 0, words(he)).otherwise(words([*she, *he]))
+        out = pool if out is None else F.when(value.rlike(rf"\p{{Is{script.capitalize()}}}"), pool).otherwise(out)
+    return F.when(kind.isin("family", "given"), out)
 
 
 def _card_checked(value: Column) -> Column:
@@ -156,31 +145,34 @@ def _iban_checked(country: Column, rest: Column) -> Column:
     return F.concat(F.lpad((98 - left).cast("string"), 2, "0"), F.substr(rest, F.lit(3), F.length(rest)))
 
 
-def surrogate(value: Column, kind: Column, key: Column, draw: Column | None = None, female: Column | None = None) -> Column:
-    """The replacement of a mention, drawn by ``key``, which stands for the entity and the draw.
+def with_surrogates(mentions: DataFrame, secret_key: str) -> DataFrame:
+    """Adds ``surrogate`` to mentions (kind, entity, value, female, draw): drawn by a key of the entity and the draw.
 
-    ``draw`` under 0: no free surrogate was found, and the type and a part of
-    the key stand for the entity. ``female`` is 1, 0 or null, for given names.
+    A draw under 0: no free surrogate was found, and the type and a part of the
+    key stand for the entity. female is 1, 0 or null. Each step is a column of
+    its own, so that plans stay small.
     """
-    draw = F.lit(0) if draw is None else draw
-    female = F.lit(None).cast("int") if female is None else female
-    start, end = _by_type(_START, value, kind), _by_type(_END, value, kind)
-    middle = F.substr(value, F.length(start) + 1, F.length(value) - F.length(start) - F.length(end))
-    hexadecimal = ((kind == "secret") & middle.rlike("^[0-9a-fA-F]+$")) | (kind == "ipv6")
+    value, kind, draw, key = (F.col(c) for c in ("value", "kind", "draw", "_key"))
+    rows = mentions.withColumns({"_key": entity_key(secret_key, draw), "_start": _by_type(_START, value, kind), "_end": _by_type(_END, value, kind), "_pool": _pool(value, kind, F.col("female"))})
+    rows = rows.withColumn("_middle", F.substr("value", F.length("_start") + 1, F.length("value") - F.length("_start") - F.length("_end")))
+    rows = rows.withColumn("_hex", ((kind == "secret") & F.col("_middle").rlike("^[0-9a-fA-F]+$")) | (kind == "ipv6"))
     # equal places of two formats of one number get equal digits: places count digits and letters only
-    compact = F.transform(F.split(F.regexp_replace(middle, r"[^\p{L}\p{N}]", ""), ""), lambda c, i: _letter(c, hexadecimal, key, i))
-    placed = F.zip_with(F.split(middle, r"[\p{L}\p{N}]", -1), compact, lambda between, c: F.concat(F.coalesce(between, F.lit("")), F.coalesce(c, F.lit(""))))
+    letters = F.transform(F.split(F.regexp_replace("_middle", r"[^\p{L}\p{N}]", ""), ""), lambda c, i: _letter(c, F.col("_hex"), key, i))
+    placed = F.zip_with(F.split("_middle", r"[\p{L}\p{N}]", -1), letters, lambda between, c: F.concat(F.coalesce(between, F.lit("")), F.coalesce(c, F.lit(""))))
+    rows = rows.withColumn("_drawn", F.array_join(placed, ""))
     octets = F.array_join(F.transform(F.array(*map(F.lit, range(4))), lambda i: (_number(key, i, F.lit(223)) + 1).cast("string")), ".")
-    numbered = F.array_join(placed, "")
+    given = F.concat_ws(" ", _pick(F.col("_pool"), key, 0), *[F.when(draw >= least, _pick(F.col("_pool"), key, k)) for k, least in enumerate(MORE_NAMES, 1)])
+    family = F.initcap(F.concat(*[_pick(F.col("_pool"), key, i) for i in range(1, 6)]))
     body = (
         F.when(kind == "ip", octets)
-        .when(kind == "family", _family_name(value, key))
-        .when(kind == "given", _given_name(value, female, key, draw))
-        .when(kind == "card", _card_checked(numbered))
-        .when(kind == "iban", _iban_checked(start, numbered))
-        .otherwise(numbered)
+        .when(kind == "family", family)
+        .when(kind == "given", given)
+        .when(kind == "card", _card_checked(F.col("_drawn")))
+        .when(kind == "iban", _iban_checked(F.col("_start"), F.col("_drawn")))
+        .otherwise(F.col("_drawn"))
     )
-    return F.when(draw < 0, F.concat(F.lit("["), kind, F.lit("-"), F.substring(key, 1, 16), F.lit("]"))).otherwise(F.concat(start, body, end))
+    new = F.when(draw < 0, F.concat(F.lit("["), kind, F.lit("-"), F.substring(key, 1, 16), F.lit("]"))).otherwise(F.concat("_start", body, "_end"))
+    return rows.withColumn("surrogate", new).drop("_key", "_start", "_end", "_pool", "_middle", "_hex", "_drawn")
 
 
 def draw_surrogates(entities: DataFrame, secret_key: str) -> DataFrame:
@@ -192,13 +184,12 @@ def draw_surrogates(entities: DataFrame, secret_key: str) -> DataFrame:
     entity that holds it; entities that have theirs keep it. An entity of a type
     that is so crowded that ``MAX_DRAWS`` draws found nothing has draw -1.
     """
-    given = F.col("kind") == "given"
-    shown = identity(surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")), F.col("draw"), F.col("female")), F.col("kind"))
-    shown = F.when(given, F.concat(F.substring_index("entity", "|", 1), F.lit("|"), shown)).otherwise(shown)
+    family = F.when(F.col("kind") == "given", F.concat(F.substring_index("entity", "|", 1), F.lit("|"))).otherwise(F.lit(""))
     taken = stored(entities.select("kind", F.col("entity").alias("shown")).distinct(), "taken")
     todo, done = entities.withColumn("draw", F.lit(0)), []
     for _ in range(MAX_DRAWS):
-        drawn = todo.withColumn("shown", shown).withColumn("k", F.expr("row_number() over (partition by kind, shown order by entity)"))
+        drawn = with_surrogates(todo, secret_key).withColumn("shown", F.concat(family, identity(F.col("surrogate"), F.col("kind")))).drop("surrogate")
+        drawn = drawn.withColumn("k", F.expr("row_number() over (partition by kind, shown order by entity)"))
         drawn = drawn.join(taken.withColumn("is_taken", F.lit(True)), ["kind", "shown"], "left")
         drawn = stored(drawn.withColumn("free", (F.col("k") == 1) & F.col("is_taken").isNull()), "surrogates")
         done.append(drawn.filter("free").select("kind", "entity", "draw", "female"))
@@ -261,9 +252,8 @@ def replace_private(docs: DataFrame, secret_key: str) -> DataFrame:
     parts = parts.select("at", "i", "j", F.when(F.col("j") == 0, F.concat("before", "e.lead")).otherwise(F.col("e.lead")).alias("lead"), "e.kind", "e.entity", "e.value", "e.female")
     parts = stored(parts, "mentions")
     entities = parts.groupBy("kind", "entity").agg(F.min("value").alias("value"), F.max("female").alias("female"))
-    drawn = stored(draw_surrogates(stored(entities, "entities"), secret_key), "draws").withColumnRenamed("female", "gender")
-    new = surrogate(F.col("value"), F.col("kind"), entity_key(secret_key, F.col("draw")), F.col("draw"), F.col("gender"))
-    renamed = salted_join(parts, drawn, ["kind", "entity"], "at").select("at", "i", "j", F.concat("lead", new).alias("new"))
+    drawn = stored(draw_surrogates(stored(entities, "entities"), secret_key), "draws")
+    renamed = with_surrogates(salted_join(parts.drop("female"), drawn, ["kind", "entity"], "at"), secret_key).select("at", "i", "j", F.concat("lead", "surrogate").alias("new"))
     in_order = lambda key: F.transform(F.sort_array(F.collect_list(F.struct(key, "new"))), lambda x: x["new"])
     by_row = renamed.repartition("at").groupBy("at", "i").agg(F.array_join(in_order("j"), "").alias("new")).groupBy("at").agg(in_order("i").alias("new"))
     filled = F.zip_with("gaps", F.concat(F.col("new"), F.array(F.lit(""))), lambda gap, new: F.concat(gap, new))
