@@ -28,8 +28,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null texts go; without any label no language is known, and all go.
     """
-    judged = predict(docs, fit(docs.select("doc_id", "text", "lang")))
-    return judged.filter((F.col("lang_pred") != UNDETERMINED) & ~F.col("ambiguous")).select(*docs.columns)
+    own = {c: f"_{c}" if c in ("lang_pred", "score", "ambiguous") else c for c in docs.columns}  # columns that predictions would replace
+    judged = predict(docs.withColumnsRenamed(own), fit(docs.select("doc_id", "text", "lang")))
+    return judged.filter((F.col("lang_pred") != UNDETERMINED) & ~F.col("ambiguous")).select(*[F.col(new).alias(c) for c, new in own.items()])
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
