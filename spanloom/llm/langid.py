@@ -24,8 +24,8 @@ PER_LANGUAGE = 400
 DEALS = 64
 #: Hashed n-gram features.
 FEATURES = 4096
-#: A best score under this is ambiguous.
-LEAST_SCORE = 0.4
+#: A best score under this is ambiguous, and one that leads the second by less.
+LEAST_SCORE, LEAST_LEAD = 0.4, 0.01
 
 _LETTER = re.compile(r"[^\W\d_]")
 _SPACED = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -86,7 +86,9 @@ class LanguageModel:
         loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]).sum(2)
         p = np.exp(_WEIGHT * (loss.min(1, keepdims=True) - loss))
         p /= p.sum(1, keepdims=True)
-        return p.argmax(1), p.max(1), p.max(1) < LEAST_SCORE
+        best = p.max(1)
+        second = np.sort(p, axis=1)[:, -2] if p.shape[1] > 1 else np.zeros(len(p))
+        return p.argmax(1), best, (best < LEAST_SCORE) | (best - second < LEAST_LEAD)
 
 
 def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 6.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +138,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with lang_pred string, score double and ambiguous boolean, from the whole text.
 
-    Null text or one without a letter: ``und``, score 0, not ambiguous. All
+    Null text or one without a letter: ``und``, score 0, not ambiguous. Equal
+    scores: the first language in order, and ambiguous. All
     columns are kept; those that bear a name of the new ones are replaced.
     """
     added = ["lang_pred", "score", "ambiguous"]

@@ -587,6 +587,14 @@ def test_languages_are_learned_and_doubt_is_flagged(spark):
     assert clash == "double" and langid.identify(docs.limit(0)).count() == 0
 
 
+def test_a_tie_between_languages_is_ambiguous(spark):
+    texts = ["the cat of the dog and that", "then with only they have it"] * 20
+    docs = spark.createDataFrame([(i, t, lang, "clash") for i, (t, lang) in enumerate([(t, x) for t in texts for x in ("aa", "bb")])], "doc_id long, text string, lang string, score string")
+    got = langid.predict(docs, langid.fit(docs)).collect()
+    assert {r["lang_pred"] for r in got} == {"aa"} and all(r["ambiguous"] and abs(r["score"] - 0.5) < 1e-3 for r in got)
+    assert langid.predict(docs, langid.fit(docs.filter("lang is null"))).select("lang_pred").distinct().collect()[0][0] == "und"
+
+
 def test_codewords_tell_all_classes_apart():
     for n in (2, 3, 6, 7, 20):
         code = langid.codewords(n)
@@ -615,6 +623,14 @@ def test_quality_is_learned_and_calibrated(spark):
     assert (blank.score == 0.5).all() and quality.score_quality(docs.limit(0), lab).count() == 0
 
 
+def test_equal_labels_teach_their_share(spark):
+    docs = docs_of(spark, [*ODD, *[f"some words {i}" for i in range(30)]])
+    for value in (0, 1):
+        labels = spark.createDataFrame([(i, value, 0) for i in range(10, 40)] + [(11, value, 1), (None, 1 - value, 0), (12, None, 0)], "doc_id long, quality int, toxic int")
+        got = quality.score_quality(docs.withColumn("score", F.lit("clash")), labels).toPandas()
+        assert len(got) == len(ODD) + 30 and (got.predicted == value).all() and got.score.between(0, 1).all()
+
+
 # archives
 
 

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from spanloom.llm.packing import default_tokenizer, encoder
 
@@ -42,6 +44,22 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     assert out.groupby("sequence_id")["length"].sum().max() <= 2048
 
 
+def test_stages_keep_repeats_nulls_and_clashing_columns(spark, tmp_path):
+    docs, clean = planted(spark)
+    docs = docs.withColumn("component_id", F.lit("mine")).withColumn("n_hit", F.lit(-1)).withColumn("lang_pred", F.lit("x")).withColumn("length", F.lit(9))
+    some = docs.filter("doc_id in (3, 5)")
+    docs = docs.unionByName(some).unionByName(docs.filter("doc_id = 7").withColumn("doc_id", F.lit(None).cast("long")))
+    spark.createDataFrame([(1, "alpha bravo charlie delta echo foxtrot golf hotel india juliet")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = docs
+    for _name, stage in C.STAGES[:-1]:
+        kept = C.stored(stage(spark, kept, str(tmp_path)), "stage")
+        assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} >= clean | {None} and sum(r["doc_id"] == 3 for r in rows) == 1
+    assert {(r["component_id"], r["n_hit"], r["lang_pred"], r["length"]) for r in rows} == {("mine", -1, "x", 9)}
+    assert C.STAGES[-1][1](spark, kept, str(tmp_path)).select("doc_id").distinct().count() == len({r["doc_id"] for r in rows})
+
+
 def test_stages_work_on_empty_tables(spark, tmp_path):
     docs, _ = planted(spark)
     empty = docs.limit(0)
