@@ -677,3 +677,27 @@ _COMPACT = r"lower(regexp_replace({}, '[^\p{{L}}\p{{N}}_]+', '', 'g'))"
   QUALIFY row_number() OVER (PARTITION BY doc_id, label, i, n ORDER BY ord, alias) = 1""")
 def phrase_hits(spark, sf_dir):
     return dictionary.match(base.tokens(spark, sf_dir), spark.createDataFrame(PHRASES, "label string, alias string, ord int"))
+
+
+# the assignment of groups to held-out splits
+
+LEAST_MENTIONS = 150
+
+
+@query(f"""WITH RECURSIVE {TAGGED}, {GOLD}, n AS (SELECT d.source AS grp, g.label, count(*) AS n FROM g JOIN documents d USING (doc_id) GROUP BY ALL),
+  filled AS (SELECT s.grp, l.label, coalesce(n.n, 0) AS n FROM (SELECT DISTINCT grp FROM n) s CROSS JOIN (SELECT DISTINCT label FROM n) l LEFT JOIN n ON n.grp = s.grp AND n.label = l.label),
+  gs AS MATERIALIZED (SELECT grp, list(n ORDER BY label) AS ns, row_number() OVER (ORDER BY sha1('42' || chr(9) || grp)) AS r FROM filled GROUP BY grp),
+  step(k, phase, lack, taken) AS (
+    SELECT 0, 'test', (SELECT list_transform(any_value(ns), lambda x: CAST({LEAST_MENTIONS} AS BIGINT)) FROM gs), CAST([] AS STRUCT(grp VARCHAR, split VARCHAR)[])
+    UNION ALL
+    SELECT k + 1, CASE WHEN b.gain > 0 THEN phase ELSE 'validation' END, CASE WHEN b.gain > 0 THEN list_transform(list_zip(lack, b.ns), lambda z: greatest(0, z[1] - z[2])) ELSE list_transform(lack, lambda x: CAST({LEAST_MENTIONS} AS BIGINT)) END,
+      CASE WHEN b.gain > 0 THEN list_append(taken, {{'grp': b.grp, 'split': phase}}) ELSE taken END
+    FROM (SELECT k, phase, lack, taken, arg_max({{'grp': grp, 'ns': ns, 'gain': gain}}, gain * 1000000 - r) AS b FROM (
+      SELECT s.*, gs.*, list_sum(list_transform(list_zip(s.lack, gs.ns), lambda z: least(z[1], z[2]))) AS gain FROM step s JOIN gs ON NOT list_contains(list_transform(s.taken, lambda x: x.grp), gs.grp)) GROUP BY k, phase, lack, taken)
+    WHERE b.gain > 0 OR phase = 'test'),
+  done AS (SELECT unnest(arg_max(taken, k)) AS t FROM step)
+  SELECT gs.grp, done.t.split AS split FROM gs LEFT JOIN done ON done.t.grp = gs.grp""")
+def holdout_assignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("grp"))
+    counts = gold(spark, sf_dir).join(docs, "doc_id").groupBy("grp", "label").agg(F.count("*").alias("n"))
+    return planning.deficit_split(counts, LEAST_MENTIONS)
