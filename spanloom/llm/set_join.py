@@ -248,12 +248,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     edges = stored(edges, "edges")
-    before = None
+    many, before = edges.count(), None
+    if not many:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(most_rounds):
-        many = 0 if before is None else before[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        split = many == 0 or many > FEW_EDGES  # few edges fit in a task, whatever their nodes
+        split = many > FEW_EDGES  # few edges fit in a task, whatever their nodes
         join = (lambda x, y: salted_join(x, y, ["a"], "b")) if split else (lambda x, y: x.join(y, "a"))
         large = join(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = stored(large, "large") if split else large
@@ -264,7 +265,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = now
+        many, before = now[0], now
     raise RuntimeError("the components did not settle")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key with more rows than one of so many parts of a table, and than so many rows, is dealt to several tasks.
-SHARES, SHARE_ROWS = 1000, 100
+SHARES, SHARE_ROWS = 1000, 10_000
 
 
 _OWN: dict[str, str] = {}

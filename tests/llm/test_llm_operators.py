@@ -704,7 +704,8 @@ def test_archives_with_repeats_of_the_newest_page_and_further_columns(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_heavy_keys_are_split_and_nothing_changes(spark, how):
+def test_heavy_keys_are_split_and_nothing_changes(spark, how, monkeypatch):
+    monkeypatch.setattr(storage, "SHARE_ROWS", 100)
     left = spark.createDataFrame([(0 if i % 3 else i % 50, i) for i in range(1500)] + [(None, -1), (99, -2)], "k int, v int")
     right = spark.createDataFrame([(k, f"r{k}") for k in range(40)] + [(7, "again"), (None, "no")], "k int, w string")
     got = storage.salted_join(left, right, ["k"], "v", how)
