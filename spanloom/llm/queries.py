@@ -19,6 +19,7 @@ from .set_join import jaccard_classes
 from .storage import stored
 from .token_shards import read_segments, token_sequences, write_shards
 from .warc import read_archives, write_archives
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=2).drop("row_id", "text_hash")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
