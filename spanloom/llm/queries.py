@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .byte_pairs import encode_documents
 from .decontam import contamination
 from .html_text import extract
 from .langid import identify
@@ -80,6 +81,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
