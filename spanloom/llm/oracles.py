@@ -66,3 +66,30 @@ WITH a AS (
 )
 SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars FROM b
 """
+
+# CRC-32 bit by bit: each digit's code, then eight shifts.
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, 0 AS part, pos, k, w FROM c JOIN t ON t.conv_id = c.base AND pos <= h UNION ALL SELECT c.conv_id, 1, pos, k, w FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+), s AS (
+  SELECT c.conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws FROM c LEFT JOIN (SELECT conv_id, list(k ORDER BY part, pos) AS ks, list(w ORDER BY part, pos) AS ws FROM r GROUP BY conv_id) USING (conv_id)
+), g AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, coalesce(any_value(w), 0) AS w, string_agg(CASE WHEN ended THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+  FROM (SELECT conv_id, d, ks[1:d] AS path, CASE WHEN d > 0 THEN ws[d] END AS w, d = len(ks) AS ended FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM s)) GROUP BY path, d
+), kids AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS kids FROM g WHERE d > 0 GROUP BY ALL),
+f AS (SELECT g.*, coalesce(kids, 0) AS kids FROM g LEFT JOIN kids USING (path, d)),
+sums AS (
+  SELECT path[1:e] AS path, e AS d, sum((n - 1) * w) AS saved, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM f) GROUP BY ALL
+)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n AS n_convs, CAST(f.kids AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM f JOIN sums USING (path, d) LEFT JOIN g p ON f.d > 0 AND p.d = f.d - 1 AND p.path = f.path[1:f.d - 1]
+"""

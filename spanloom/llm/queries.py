@@ -15,6 +15,7 @@ from .langid import identify
 from .media import payload_digests, payload_images
 from .packing import pack_documents
 from .pii import replace_private
+from .prefix_trie import conversation_trie
 from .quality import score_quality
 from .set_join import jaccard_classes
 from .storage import stored
@@ -81,6 +82,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(table(spark, sf_dir, "documents"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -91,4 +96,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": oracles.OP4, "op6_html_extraction": oracles.OP6, "op9_warc": oracles.OP9, "op10_benchmark_decontamination": oracles.OP10}
+    return {"op4_jaccard_join": oracles.OP4, "op6_html_extraction": oracles.OP6, "op9_warc": oracles.OP9, "op10_benchmark_decontamination": oracles.OP10, "op12_conversation_trie": oracles.OP12}
