@@ -131,28 +131,48 @@ def plausible(mentions: DataFrame, periods: DataFrame) -> DataFrame:
     return rows.withColumn("verification", status).withColumn("delta_years", F.when(F.col("verification") == "suspicious_before_start", F.col("year") - F.col("active_start"))).drop("known")
 
 
+_ALNUM = r"[\p{L}\p{N}]"
+
+
 def boundary_proposals(entities: DataFrame, names: DataFrame, agency: list[str], kept: list[str]) -> DataFrame:
     """Narrower spans for entities that carry an agency word: doc_id, token_start, token_stop, label, new_start, new_stop.
 
-    ``entities`` has tokens array; ``names`` (label, form, direct). The longest,
-    then leftmost part that is a direct name, else the shortest suffix that is
-    any name; parts need a token that looks like a name.
+    ``entities`` has doc_id, token_start, token_stop, label and tokens; ``names``
+    label, form (as by ``boundary_form``) and direct. The longest, then leftmost
+    part that is a direct name of the label, else the shortest suffix that is any
+    of its names, without punctuation at its edges; a part needs a token that
+    looks like a name. An entity without a proposal has no row.
+
+    A name's first word is its key: only tokens that begin a name of the label
+    are extended, and only as far as that name goes, so the parts of an entity
+    are never listed.
     """
-    last = F.size("tokens") - F.coalesce(F.array_position(F.reverse(F.transform("tokens", lambda t: t.rlike(r"[\p{L}\p{N}]"))), F.lit(True)) - 1, F.size("tokens"))
+    last = F.size("tokens") - F.coalesce(F.array_position(F.reverse(F.transform("tokens", lambda t: t.rlike(_ALNUM))), F.lit(True)) - 1, F.size("tokens"))
     rows = entities.withColumn("m", last.cast("int")).filter("m >= 2").withColumn("t", F.slice("tokens", F.lit(1), F.col("m")))
     head = F.slice("t", 1, 4)
     agency_word = F.exists(head, lambda t: boundary_form(t).isin(*agency))
     noisy = boundary_form(F.array_join(head, " ")).rlike("agence|gence|agentur|agenzia|lagence|ng nzia")
-    rows = rows.filter(~boundary_form(F.array_join("t", " ")).isin(*kept) & (agency_word | noisy))
-    parts = rows.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).withColumn("high", F.explode(F.sequence(F.col("low") + 1, F.col("m"))))
-    part = F.slice("t", F.col("low") + 1, F.col("high") - F.col("low"))
-    parts = parts.filter(core_name_token(part)).withColumn("form", boundary_form(F.array_join(part, " ")))
-    parts = parts.join(hinted(names), ["label", "form"])
+    rows = rows.filter(~boundary_form(F.array_join("t", " ")).isin(*kept) & (agency_word | noisy)).withColumn("forms", F.transform("t", boundary_form))
+    first = lambda c: F.substring_index(c, " ", 1)
+    begins = F.filter(F.transform("forms", lambda f, k: F.struct(k.alias("low"), first(f).alias("word"))), lambda s: s["word"] != "")
+    starts = rows.withColumn("s", F.explode(begins)).select("*", "s.*").drop("s")
+    met = starts.join(hinted(names.select("label", "form", "direct", first(F.col("form")).alias("word")).distinct()), ["label", "word"])
+    joined = lambda a, b: F.array_join(F.filter(F.slice("forms", a + 1, b - a), lambda f: f != ""), " ")
+    met = met.filter(F.startswith(F.concat(joined(F.col("low"), F.col("m")), F.lit(" ")), F.concat("form", F.lit(" "))))
+    # the form's words end after this many tokens that aren't blank, if they end with a token at all
+    high = F.array_min(F.filter(F.sequence(F.col("low") + 1, F.col("m")), lambda b: joined(F.col("low"), b) == F.col("form")))
+    met = met.withColumn("high", high).filter("high is not null")
+    # with the tokens without a form around it, a part is longer, but it is the same part
+    left = F.coalesce(F.array_max(F.filter(F.transform("forms", lambda f, k: F.when((f != "") & (k < F.col("low")), k + 1)), lambda x: x.isNotNull())), F.lit(0))
+    right = F.coalesce(F.array_min(F.filter(F.transform("forms", lambda f, k: F.when((f != "") & (k >= F.col("high")), k)), lambda x: x.isNotNull())), F.col("m"))
+    met = met.withColumns({"left": left, "right": right}).filter(core_name_token(F.slice("t", F.col("left") + 1, F.col("right") - F.col("left"))))
     suffix = (F.col("high") == F.col("m")) & (F.col("low") > 0)
-    parts = parts.filter(F.col("direct") | suffix).withColumn("phase", (~F.col("direct")).cast("int"))
-    at = W.partitionBy("doc_id", "token_start", "token_stop", "label").orderBy("phase", F.when(F.col("direct"), -(F.col("high") - F.col("low"))).otherwise(F.col("high") - F.col("low")), "low")
-    best = parts.withColumn("k", F.row_number().over(at)).filter("k = 1")
-    return best.select("doc_id", "token_start", "token_stop", "label", (F.col("token_start") + F.col("low")).alias("new_start"), (F.col("token_start") + F.col("high")).alias("new_stop"))
+    met = met.filter(F.col("direct") | suffix).withColumn("phase", (~F.col("direct")).cast("int"))
+    word = lambda a, b: F.filter(F.transform(F.slice("t", a + 1, b - a), lambda x, k: F.when(x.rlike(_ALNUM), k + a)), lambda k: k.isNotNull())
+    edge = word(F.when(F.col("direct"), F.col("left")).otherwise(F.col("low")), F.when(F.col("direct"), F.col("right")).otherwise(F.col("high")))
+    order = F.struct("phase", F.when(F.col("direct"), F.col("left") - F.col("right")).otherwise(-F.col("low")), "left", "low", "high")
+    best = met.groupBy("doc_id", "token_start", "token_stop", "label").agg(F.min_by(F.struct(F.array_min(edge).alias("a"), (F.array_max(edge) + 1).alias("b")), order).alias("p"))
+    return best.select("doc_id", "token_start", "token_stop", "label", (F.col("token_start") + F.col("p.a")).alias("new_start"), (F.col("token_start") + F.col("p.b")).alias("new_stop"))
 
 
 def queries_of(seeds: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import math
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,10 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.functions.text import cosine
-
-from .tokens import chunks
-
 
 def replace_segment(docs: DataFrame, entities: DataFrame, old: str, new: str, which: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Replaces occurrences of ``old`` in texts: documents with text and n_replaced, and entities with moved offsets.
@@ -43,48 +41,104 @@ def _quoted(text: str) -> str:
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def projections(tokens: list[str], wanted: list[str], entity: tuple[int, int]) -> list[int] | None:
-    """Places of ``wanted`` in order in ``tokens``: least width of the entity's part, then of all, then least gap, then first.
+def occurrences(text: str, token: str, low: int, high: int) -> list[tuple[int, int]]:
+    """All places of a token between two offsets, those that overlap too."""
+    out, at = [], text.find(token, low, high) if token else -1
+    while at >= 0:
+        out.append((at, at + len(token)))
+        at = text.find(token, at + 1, high)
+    return out
 
-    Steps from word to word keep, for each place of a word and each place where
-    the entity's part and the whole began, the best way there; so the work is
-    bounded by the number of occurrences cubed and not by that of their choices.
-    """
-    at: dict[str, list[int]] = {}
-    for i, token in enumerate(tokens):
-        at.setdefault(token, []).append(i)
-    low, high = entity
-    # (place, first place, first place of the entity's part, last of it) to the way there
-    ways: dict[tuple, list[int]] = {(-1, None, None, None): []}
-    for k, word in enumerate(wanted):
-        onward: dict[tuple, list[int]] = {}
-        for (place, first, begun, ended), way in ways.items():
-            for i in at.get(word, ()):
-                if i > place:
-                    inside = low <= k < high
-                    key = (i, i if first is None else first, i if inside and begun is None else begun, i if inside else ended)
-                    onward.setdefault(key, [*way, i])
-        ways = onward
-    if not wanted or not ways:
-        return None
-    order = lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[-1] - w[0] - len(w) + 1, w[0], w[-1])
-    return min(ways.values(), key=order)
 
+def compact_projection(text: str, wanted: list[str], entities: list[tuple[int, int]], low: int = 0, high: int | None = None) -> list[tuple[int, int]] | None:
+    """Places of the wanted tokens, in order and apart, between two offsets of a text; None if there are none.
 
-def projected(rows: DataFrame, entity: tuple[str, str] = ("entity_start", "entity_stop")) -> DataFrame:
-    """Adds ``places`` to rows with arrays tokens and wanted: where the wanted tokens lie, null if they don't in that order.
-
-    The two columns named by ``entity`` say which part of ``wanted`` is the
-    entity. Null arrays have no places.
+    Of all choices it is that with the least width of the entities (ranges of
+    ``wanted``) together, then of the whole, then the first; of equal ones that
+    whose places come first. From the last token back, each occurrence keeps the
+    least cost of what follows it and where that begins, so the work grows with
+    the number of occurrences and not with that of their choices.
+    """
+    if not wanted:
+        return None
+    high = len(text) if high is None else high
+    firsts, lasts = {a for a, b in entities if b > a}, {b - 1 for a, b in entities if b > a}
+    at = [occurrences(text, token, low, high) for token in wanted]
+    ahead: list[list[tuple[int, int, int]]] = []  # of each token: least (cost, end, number) of its occurrences from this one on
+    for k in range(len(wanted) - 1, -1, -1):
+        best: list[tuple[int, int, int]] = [(0, 0, 0)] * len(at[k])
+        following = at[k + 1] if ahead else []
+        run = None
+        for j in range(len(at[k]) - 1, -1, -1):
+            start, stop = at[k][j]
+            own = (stop if k in lasts else 0) - (start if k in firsts else 0)
+            if ahead:
+                nearest = bisect_left(following, (stop, -1))
+                found = (own + ahead[0][nearest][0], ahead[0][nearest][1], j) if nearest < len(ahead[0]) else None
+            else:
+                found = (own, stop, j)
+            if found and (run is None or found <= run):
+                run = found
+            best[j] = run or (0, 0, -1)
+        while best and best[-1][2] < 0:  # nothing fits behind these
+            best.pop()
+        if not best:
+            return None
+        ahead.insert(0, best)
+    # the first token's own costs are compared with the width of the whole; a later start never has a later best end without cost
+    options = []
+    for j, (start, stop) in enumerate(at[0]):
+        own = (stop if 0 in lasts else 0) - (start if 0 in firsts else 0)
+        if len(wanted) == 1:
+            options.append((own, stop - start, start, j))
+            continue
+        nearest = bisect_left(at[1], (stop, -1))
+        if nearest < len(ahead[1]):
+            options.append((own + ahead[1][nearest][0], ahead[1][nearest][1] - start, start, j))
+    if not options:
+        return None
+    path = [at[0][min(options)[3]]]
+    for k in range(1, len(wanted)):
+        nearest = bisect_left(at[k], (path[-1][1], -1))
+        path.append(at[k][ahead[k][nearest][2]])
+    return path
+
+
+def _entity_ranges(tags: list[str | None]) -> list[tuple[int, int]]:
+    """Ranges of tokens that one entity covers: a B, or an I after nothing of its label, begins one."""
+    out: list[tuple[int, int]] = []
+    before = None
+    for k, tag in enumerate(tags):
+        label = tag[2:] if tag and tag[:2] in ("B-", "I-") else None
+        if label and tag[0] == "I" and label == before:
+            out[-1] = (out[-1][0], k + 1)
+        elif label:
+            out.append((k, k + 1))
+        before = label
+    return out
+
+
+def projected(rows: DataFrame) -> DataFrame:
+    """Adds ``places``, where wanted tokens lie in a text (an array of start and stop), null if they don't in that order.
+
+    Columns: text, wanted (array of tokens), tags (their BIO tags) and low, high
+    (offsets between which to look; null is the text's own end). Null texts and
+    arrays have no places; further columns stay, but for one named ``places``.
     """
     names, kept = rows.columns, [c for c in rows.columns if c != "places"]
-    schema = rows.select(*kept).schema.add("places", T.ArrayType(T.IntegerType()))
-    columns = [names.index(c) for c in ("tokens", "wanted", *entity)]
+    place = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
+    schema = rows.select(*kept).schema.add("places", T.ArrayType(place))
+    columns = [names.index(c) for c in ("text", "wanted", "tags", "low", "high")]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [None if tokens is None or wanted is None else projections(tokens, wanted, (a, b)) for tokens, wanted, a, b in zip(*(batch.column(i).to_pylist() for i in columns), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in kept), pa.array(found, pa.list_(pa.int32()))], names=[*kept, "places"])
+            found = []
+            for text, wanted, tags, low, high in zip(*(batch.column(i) for i in columns), strict=True):
+                text, wanted, tags, low, high = (x.as_py() for x in (text, wanted, tags, low, high))
+                way = None if text is None or wanted is None else compact_projection(text, wanted, _entity_ranges(tags or []), low or 0, high)
+                found.append(way and [{"start": a, "stop": b} for a, b in way])
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in kept), pa.array(found, kind)], names=[*kept, "places"])
 
     return rows.mapInArrow(run, schema)
 
@@ -120,33 +174,55 @@ def decoded_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def refined_passages(docs: DataFrame, query: list[float], embed: Callable[[pd.Series], pd.Series], size: int = 180, least: int = 30, rounds: int = 3, overlap: float = 0.25) -> DataFrame:
-    """The best passage of each document (doc_id, words) in each round: doc_id, round, start, stop, similarity.
+def word_chunks(n: int, size: int, overlap: float) -> list[tuple[int, int]]:
+    """Chunks of ``size`` words that overlap, the last one ending with the n words."""
+    if n <= size:
+        return [(0, n)] if n else []
+    step = max(1, round(size * (1 - overlap)))
+    return [(a, a + size) for a in dict.fromkeys([*range(0, n - size + 1, step), n - size])]
+
+
+def refined_passages(docs: DataFrame, query: list[float], embed: Callable[[pd.Series], pd.Series], size: int = 180, least: int = 30, rounds: int = 3, overlap: float = 0.25, key: str = "doc_id") -> DataFrame:
+    """The best passage of each document (its key and words) in each round: the key, round, start, stop, similarity.
 
     A round cuts the passage of the one before into chunks that overlap, the
-    last one ending with it, and takes the most similar, of equal ones the
-    first. Chunks have half the size of the passage, and ``least`` words at
-    least; a passage of no more isn't cut again. ``embed`` maps a batch of texts
-    to vectors. Documents without words have no passage.
+    last one ending with it, and takes the most similar to the query vector, of
+    equal ones the first. Chunks have half the size of the passage, and ``least``
+    words at least; a passage of no more isn't cut again. ``embed`` maps a batch
+    of texts to vectors: it gets the chunks of all documents of an Arrow batch
+    at once, and words are read where they lie, so nothing is shuffled or
+    copied. Null or no words: no passage.
     """
-    vector = F.pandas_udf(embed, "array<float>")
-    wanted = F.array(*[F.lit(float(x)) for x in query])
-    n = F.col("stop") - F.col("start")
-    none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0.0).alias("similarity"))), 1, 0)
-    spans = docs.filter("size(words) > 0").select("doc_id", "words", F.lit(0).alias("start"), F.size("words").alias("stop"), none.alias("best"))
-    for k in range(rounds):
-        open_ = F.lit(True) if k == 0 else n > least
-        wide = F.greatest(F.lit(least), F.least(F.lit(size), n) if k == 0 else F.ceil(n / 2).cast("int"))
-        starts = F.when(open_, chunks(n, wide, overlap)).otherwise(F.array(F.lit(0)))
-        parts = spans.select("doc_id", "words", "stop", "best", open_.alias("open"), wide.alias("wide"), F.explode(F.transform(starts, lambda x: x + F.col("start"))).alias("low"))
-        parts = parts.withColumn("high", F.when(F.col("open"), F.least(F.col("low") + F.col("wide"), F.col("stop"))).otherwise(F.col("stop")))
-        text = F.array_join(F.slice("words", F.col("low") + 1, F.col("high") - F.col("low")), " ")
-        scored = parts.withColumn("similarity", cosine(vector(text), wanted))
-        one = F.struct("words", "low", "high", "similarity", "best", "open")
-        spans = scored.groupBy("doc_id").agg(F.max_by(one, F.struct("similarity", -F.col("low"))).alias("r")).select("doc_id", "r.*")
-        found = F.array(F.struct(F.col("low").alias("start"), F.col("high").alias("stop"), "similarity"))
-        spans = spans.select("doc_id", "words", F.col("low").alias("start"), F.col("high").alias("stop"), F.when(F.col("open"), F.concat("best", found)).otherwise(F.col("best")).alias("best"))
-    return spans.select("doc_id", F.posexplode("best").alias("round", "b")).select("doc_id", "round", "b.*")
+    kind = docs.schema[key].dataType.simpleString()
+    wanted = np.array(query, float)
+    length = math.sqrt(float(wanted @ wanted))
+
+    def similarity(vector) -> float:
+        v = np.array(vector, float)
+        norm = math.sqrt(float(v @ v)) * length
+        return float(v @ wanted) / norm if norm else 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, words = batch.column(0), batch.column(1).to_pylist()
+            open_ = {row: (0, len(w), min(size, len(w))) for row, w in enumerate(words) if w}
+            out = []
+            for k in range(rounds):
+                parts = [(row, low + a, low + b) for row, (low, high, wide) in open_.items() for a, b in word_chunks(high - low, max(least, wide), overlap)]
+                if not parts:
+                    break
+                vectors = embed(pd.Series([" ".join(words[row][a:b]) for row, a, b in parts]))
+                best: dict[int, tuple] = {}
+                for (row, a, b), vector in zip(parts, vectors, strict=True):
+                    near = similarity(vector)
+                    if row not in best or near > best[row][0]:
+                        best[row] = (near, a, b)
+                out += [(row, k, a, b, near) for row, (near, a, b) in best.items()]
+                open_ = {row: (a, b, math.ceil((b - a) / 2)) for row, (_, a, b) in best.items() if b - a > least}
+            row, k, a, b, near = (list(c) for c in zip(*out, strict=True)) if out else ([], [], [], [], [])
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(row, pa.int64())), pa.array(k, pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(near, pa.float64())], names=[key, "round", "start", "stop", "similarity"])
+
+    return docs.select(key, "words").mapInArrow(run, f"`{key}` {kind}, round int, start int, stop int, similarity double")
 
 
 def context_window(text: Column, start: Column, stop: Column, width: int, key: Column) -> Column:

@@ -143,6 +143,62 @@ def viterbi_decode(emissions: DataFrame, labels: list[str]) -> DataFrame:
     return emissions.select("doc_id", "scores").mapInArrow(run, f"doc_id {kind}, tags array<string>")
 
 
+def score_windows(windows: DataFrame, labels: list[str]) -> DataFrame:
+    """Tags of whole documents from log probabilities of windows that overlap: doc_id, i, tag, confidence.
+
+    ``windows``: doc_id, window, low (its first word), scores (an array of
+    labels' log probabilities for each word). A word's scores are those of its
+    first window. Windows reach their task in order, and the decoder's state is
+    carried from one to the next, so what a document needs beside one window are
+    its back pointers. The confidence is the probability of the tag's label, B
+    and I together. A word that no window covers stops the job. Null or empty
+    scores are no words; documents without words have no rows.
+    """
+    kind = windows.schema["doc_id"].dataType.simpleString()
+    move = np.array([[0.0 if allowed(a, b) else -np.inf for b in labels] for a in labels])
+    first = np.array([0.0 if allowed(None, b) else -np.inf for b in labels])
+    same = np.array([[float(a == b or (a != "O" and b != "O" and a[2:] == b[2:])) for b in labels] for a in labels])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, best = None, None
+        back: list[np.ndarray] = []
+        sure: list[np.ndarray] = []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if best is None:
+                return
+            at = int(best.argmax())
+            path = [at]
+            for row in reversed(back):
+                path.append(at := int(row[at]))
+            path.reverse()
+            chance = np.concatenate(sure)[np.arange(len(path)), path]
+            yield pa.RecordBatch.from_arrays([pa.array([doc] * len(path), id_type), pa.array(np.arange(len(path), dtype=np.int32)), pa.array([labels[k] for k in path]), pa.array(chance)], names=["doc_id", "i", "tag", "confidence"])
+
+        for batch in batches:
+            id_type = batch.column(0).type
+            for name, low, scores in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                if name != doc:
+                    yield from ended()
+                    doc, best, back, sure = name, None, [], []
+                done = len(back) + (best is not None)
+                if scores and low > done:
+                    raise ValueError(f"no window covers word {done} of {doc}")
+                fresh = np.array((scores or [])[done - low :], float).reshape(-1, len(labels))
+                sure.append(np.exp(fresh) @ same)
+                for row in fresh:
+                    if best is None:
+                        best = first + row
+                        continue
+                    reach = best[:, None] + move
+                    back.append(reach.argmax(0).astype(np.uint8))
+                    best = reach.max(0) + row
+        yield from ended()
+
+    dealt = windows.select("doc_id", "window", F.col("low").cast("int").alias("low"), "scores").repartition("doc_id").sortWithinPartitions("doc_id", "window")
+    return dealt.mapInArrow(run, f"doc_id {kind}, i int, tag string, confidence double")
+
+
 def word_emissions(subtokens: DataFrame, labels: list[str], every: bool) -> DataFrame:
     """Scores of words from those of their subtokens: the first's, or sums in which a B goes on as I.
 

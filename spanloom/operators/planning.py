@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import casefold, generic_surface
+from spanloom.sources.scratch import work_folder
 
 from .tokens import hinted
 
@@ -110,26 +111,44 @@ def group_split(groups: DataFrame, seed: int = 42, test: float = 0.15, validatio
     return rows.select("grp", split.alias("split"))
 
 
-def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42, frontier: int = 1000) -> DataFrame:
+def split_conflicts(kept: DataFrame) -> DataFrame:
+    """Groups (grp, split) that stand in several splits: grp, splits (comma-joined, in order)."""
+    found = kept.groupBy("grp").agg(F.array_sort(F.collect_set("split")).alias("s"))
+    return found.filter("size(s) > 1").select("grp", F.array_join("s", ",").alias("splits"))
+
+
+def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42, frontier: int = 1000, kept: DataFrame | None = None, held: DataFrame | None = None) -> DataFrame:
     """(grp, label, n) to grp, split: groups that cover most of what test, then validation, lack go there first.
 
     A greedy choice; equal gains go by a seeded hash, and groups that aren't
-    chosen have a null split, for ``group_split``. A group's gain only falls as
-    others are chosen, so of all groups the ``frontier`` best are fetched, and
-    chosen from as long as none outside can be better; then the gains of the
-    rest are computed anew. The driver holds the frontier, the labels and the
-    choices, which are as few as the splits lack mentions.
+    chosen have a null split, for ``group_split``. Groups of ``kept`` (grp,
+    split) keep their split; one in several splits stops the job, and
+    ``split_conflicts`` names it. What the splits hold already (``held``: split,
+    label, n) is taken off what they lack.
+
+    A group's gain only falls as others are chosen, so of all groups the
+    ``frontier`` best are fetched, and chosen from as long as none outside can be
+    better; then the gains of the rest are computed anew, from counts that are
+    stored once. The driver holds the frontier, the labels and the choices,
+    which are as few as the splits lack mentions.
     """
     spark = benefit.sparkSession
     kind = benefit.schema["grp"].dataType.simpleString()
-    counts = benefit.groupBy("grp", "label").agg(F.sum("n").alias("n"))
+    path = work_folder(spark, "counts")
+    benefit.groupBy("grp", "label").agg(F.sum("n").alias("n")).write.parquet(path)
+    counts = spark.read.parquet(path)
+    fixed = spark.createDataFrame([], f"grp {kind}, split string") if kept is None else kept.select("grp", "split").distinct()
+    if kept is not None and (bad := split_conflicts(kept).orderBy("grp").limit(5).collect()):
+        raise ValueError("groups in several splits: " + "; ".join(f"{r['grp']}: {r['splits']}" for r in bad))
     labels = [r["label"] for r in counts.select("label").distinct().collect()]
+    has = {} if held is None else {(r["split"], r["label"]): r["n"] for r in held.groupBy("split", "label").agg(F.sum("n").alias("n")).collect()}  # a row for each split and label
+    free = counts if kept is None else counts.join(fixed.select("grp"), "grp", "left_anti")
     chosen: list[tuple] = []
     for split in ("test", "validation"):
-        lack = dict.fromkeys(labels, minimum)
+        lack = {label: max(0, minimum - has.get((split, label), 0)) for label in labels}
         while any(v > 0 for v in lack.values()):
             open_ = spark.createDataFrame([(k, v) for k, v in lack.items() if v > 0], "label string, lack long")
-            rest = counts.join(spark.createDataFrame(chosen, f"grp {kind}, split string").select("grp"), "grp", "left_anti")
+            rest = free.join(spark.createDataFrame(chosen, f"grp {kind}, split string").select("grp"), "grp", "left_anti")
             gains = rest.join(hinted(open_), "label").groupBy("grp").agg(F.sum(F.least("n", "lack")).alias("gain"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("of"))
             best = gains.filter("gain > 0").withColumn("h", group_order(seed, F.col("grp").cast("string"))).orderBy(F.desc("gain"), "h", "grp").limit(frontier).collect()
             if not best:
@@ -146,7 +165,8 @@ def deficit_split(benefit: DataFrame, minimum: int, seed: int = 42, frontier: in
                     lack[k] = max(0, lack[k] - n)
             if not bound and all(not any(lack.get(k, 0) > 0 for k in of) for _, of in left.values()):
                 break
-    return benefit.select("grp").distinct().join(spark.createDataFrame(chosen, f"grp {kind}, split string"), "grp", "left").select("grp", "split")
+    decided = spark.createDataFrame(chosen, f"grp {kind}, split string").unionByName(fixed)
+    return counts.select("grp").distinct().join(decided, "grp", "left").select("grp", "split")
 
 
 def hash_sample(docs: DataFrame, targets: DataFrame, seed: int, key: str = "language") -> DataFrame:

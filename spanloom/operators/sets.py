@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import casefold
+from spanloom.functions.text import candidate_id, casefold
+from spanloom.sources.scratch import work_folder
+
+from .tokens import hinted
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -53,6 +57,46 @@ def positional_differences(left: DataFrame, right: DataFrame, order: str, conten
     return a.join(b, "place", "full_outer").filter("not (a <=> b)").select("place", F.col("a").isNull().alias("right_only"), F.col("b").isNull().alias("left_only"))
 
 
+def numbered(rows: DataFrame, *order: str, name: str = "index") -> DataFrame:
+    """Rows with a dense number from 0 by ``order``, which should tell all rows apart; stored on the way.
+
+    Rows are dealt by range and sorted in their partitions; a partition's counts
+    are added up over the partitions before it, so no task sees all rows.
+    """
+    spark = rows.sparkSession
+    path = work_folder(spark, "numbered")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    kept = spark.read.schema(rows.select("*").schema.add("_at", "long")).parquet(path)
+    part = F.shiftright("_at", 33)
+    counts = kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
+    before = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    placed = kept.withColumn("_part", part).join(hinted(before), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_before")
+
+
+def index_differences(left: DataFrame, right: DataFrame, order: list[str], content: list[str], key: str) -> DataFrame:
+    """Two tables compared row by row at the same index: index, key (the left row's), status.
+
+    Rows are numbered by ``order``. ``projection_differs`` is a row whose content
+    isn't that of the other side at its index; rows past the shorter table's end
+    aren't compared, but one more row, with a null index and key and the
+    difference of the row counts, left less right, in ``rows``, says
+    ``row_count_differs`` if they do.
+    """
+    digest = lambda df: F.sha1(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}))
+    a = numbered(left, *order).select("index", F.col(key).alias("key"), digest(left).alias("a"))
+    b = numbered(right, *order).select("index", digest(right).alias("b"))
+    differ = a.join(b, "index").filter("a <> b").select("index", F.col("key").alias(key), F.lit("projection_differs").alias("status"), F.lit(0).cast("long").alias("rows"))
+    counts = a.agg(F.count(F.lit(1)).alias("n")).join(b.agg(F.count(F.lit(1)).alias("m")), F.lit(True)).filter("n <> m")
+    kind = left.schema[key].dataType
+    return differ.unionByName(counts.select(F.lit(None).cast("long").alias("index"), F.lit(None).cast(kind).alias(key), F.lit("row_count_differs").alias("status"), (F.col("n") - F.col("m")).alias("rows")))
+
+
+def with_ids(rows: DataFrame, order: list[str], *columns: str) -> DataFrame:
+    """Rows with ``candidate``: the first of the columns that isn't empty, else ``candidate-`` and the row's number by ``order``."""
+    return numbered(rows, *order, name="_index").withColumn("candidate", candidate_id(F.col("_index"), *[F.col(c) for c in columns])).drop("_index")
+
+
 def release_order(key: str) -> list[Column]:
     return [casefold(F.col(key)), F.col(key)]
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import corpus_queries, review_queries, span_queries
+from . import corpus_queries, review_queries, service_queries, span_queries
 
 FLAGSHIP = "alignment_outcomes"
-MODULES = [span_queries, corpus_queries, review_queries]
+MODULES = [span_queries, corpus_queries, review_queries, service_queries]
 
 
 def queries():

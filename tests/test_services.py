@@ -1,0 +1,161 @@
+"""Streams, scoring, projections, boundaries, passages, ordinals, held-out groups and table functions."""
+
+import itertools
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from spanloom.functions import tables
+from spanloom.operators import dictionary, edits, evaluate, planning, sets
+from spanloom.streaming import decisions as stream
+
+LABELS = ["O", "B-X", "I-X", "B-Y", "I-Y"]
+
+
+def test_the_state_of_a_decision_stream_survives_restarts_and_late_records(spark, tmp_path):
+    schema = "review_id string, at int, n int, status string"
+    log = [("a", 1, 1, "done"), ("a", 3, 2, "todo"), ("b", 2, 3, "done"), ("a", 2, 4, "ignored"), ("b", 2, 5, "todo"), ("c", 9, 6, "done")]
+    keys, order, state = ["review_id"], ["at", "n"], "file://" + str(tmp_path / "state")
+    for rows in (log[4:5], log[3:4], log[:1], log[1:2], log[2:3], [], log[5:]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        stream.keep_counted(stream.read_log(spark, str(tmp_path / "log"), schema, 1), state, str(tmp_path / "check"), keys, order, 2).awaitTermination()
+    found = stream.read_latest(spark, state, keys, [*order, "decisions"])
+    assert sorted(map(tuple, found.collect())) == [("a", 3, 2, "todo", 3), ("b", 2, 5, "todo", 2), ("c", 9, 6, "done", 1)]
+
+
+def best_path(scores):
+    ways = [((), 0.0)]
+    for row in scores:
+        ways = [((*p, k), s + row[k]) for p, s in ways for k in range(5) if evaluate.allowed(LABELS[p[-1]] if p else None, LABELS[k])]
+    return max(ways, key=lambda w: w[1])[0]
+
+
+def test_windows_are_decoded_as_one_document(spark):
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for doc in (None, 1, 2, 3):
+        n = {None: 3, 1: 6, 2: 1, 3: 5}[doc]
+        first = {}
+        for w, low in enumerate(range(0, n, 2)):
+            part = np.log(rng.dirichlet(np.ones(5), min(3, n - low)))
+            rows.append((doc, w, low, part.tolist()))
+            for k, s in enumerate(part):
+                first.setdefault(low + k, s)
+        scores = [first[k] for k in range(n)]
+        path = best_path(scores)
+        same = {0: [0], 1: [1, 2], 2: [1, 2], 3: [3, 4], 4: [3, 4]}
+        want[doc] = [(LABELS[k], float(np.exp(s)[same[k]].sum())) for k, s in zip(path, scores, strict=True)]
+    rows += [(4, 0, 0, []), (5, 0, 0, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, window int, low int, scores array<array<double>>")
+    for shape in (frame, frame.orderBy(F.desc("window"))):
+        found = evaluate.score_windows(shape, LABELS).collect()
+        assert {r["doc_id"] for r in found} == set(want)
+        for doc, words in want.items():
+            mine = sorted((r["i"], r["tag"], r["confidence"]) for r in found if r["doc_id"] == doc)
+            assert [(i, t) for i, t, _ in mine] == [(i, t) for i, (t, _) in enumerate(words)]
+            assert [c for _, _, c in mine] == pytest.approx([c for _, c in words])
+    with pytest.raises(Exception, match="no window covers word 1"):
+        evaluate.score_windows(spark.createDataFrame([(1, 0, 0, [[0.0] * 5]), (1, 1, 2, [[0.0] * 5])], frame.schema), LABELS).collect()
+
+
+def widths(way, entities):
+    return sum(way[b - 1][1] - way[a][0] for a, b in entities), way[-1][1] - way[0][0], way[0][0]
+
+
+def test_compact_projections_are_the_best_of_all_choices(spark):
+    rng = random.Random(6)
+    for _ in range(400):
+        text = "".join(rng.choice("ab ") for _ in range(rng.randrange(14)))
+        wanted = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 2))) for _ in range(rng.randint(1, 4))]
+        cuts = sorted(rng.sample(range(len(wanted) + 1), min(2, len(wanted) + 1)))
+        entities = [(cuts[0], cuts[1])] + ([(cuts[1], len(wanted))] if cuts[1] < len(wanted) and rng.random() < 0.5 else [])
+        low, high = sorted((rng.randrange(len(text) + 1), rng.randrange(len(text) + 1)))
+        ways = [w for w in itertools.product(*[edits.occurrences(text, t, low, high) for t in wanted]) if all(a[1] <= b[0] for a, b in zip(w, w[1:]))]
+        best = min(ways, key=lambda w: (widths(w, entities), w), default=None)
+        assert edits.compact_projection(text, wanted, entities, low, high) == (list(best) if best else None)
+    many = edits.compact_projection("ab " * 10_000, ["a", "b", "a", "b"], [(1, 3)])
+    assert many == [(0, 1), (1, 2), (3, 4), (4, 5)]
+    assert edits.compact_projection("a" * 10_000, ["a"] * 50, [(10, 20)]) == [(k, k + 1) for k in range(50)]
+    rows = [("x", "a b a", ["a", "a"], ["B-l", "I-l"], None, None), ("y", None, ["a"], ["O"], 0, 1), ("z", "b", ["a"], None, 0, 1), ("w", "a", None, None, None, None), ("v", "a", [], [], None, None)]
+    found = edits.projected(spark.createDataFrame(rows, "places string, text string, wanted array<string>, tags array<string>, low int, high int")).collect()
+    assert [r["places"] and [tuple(p) for p in r["places"]] for r in found] == [[(0, 1), (4, 5)], None, None, None, None]
+    assert edits._entity_ranges(["O", "I-a", "I-a", "B-a", "I-b", None]) == [(1, 3), (3, 4), (4, 5)]
+
+
+def test_boundaries_prefer_long_direct_names_then_short_suffixes(spark):
+    names = [("l", "havas", True), ("l", "havas sud", True), ("l", "sud", False), ("l", "nord ouest", False), ("k", "havas", True)]
+    cases = {
+        "Agence Havas .": (1, 2),
+        "Agence ( Havas , Sud ) Havas": (2, 5),
+        "Agence Havas Havas Sud": (2, 4),
+        "agence le Sud": (2, 3),
+        "agence du Nord - Ouest": (2, 5),
+        "agence Sud x": None,
+        "agence havas": None,
+        "le Havas": None,
+        "Agence": None,
+    }
+    rows = [(k, 10, 10 + len(t.split()), "l", t.split()) for k, t in enumerate(cases)] + [(99, 0, 0, "l", []), (98, 0, 2, None, ["Agence", "Havas"])]
+    found = dictionary.boundary_proposals(spark.createDataFrame(rows, "doc_id long, token_start int, token_stop int, label string, tokens array<string>"), spark.createDataFrame(names, "label string, form string, direct boolean"), ["agence"], ["agence sud havas"])
+    got = {r["doc_id"]: (r["new_start"] - 10, r["new_stop"] - 10) for r in found.collect()}
+    assert got == {k: v for k, v in enumerate(cases.values()) if v}
+
+
+def test_passages_narrow_by_the_callers_embedding(spark):
+    embed = lambda texts: pd.Series([[float("hit" in x.split()), 1.0] for x in texts])
+    words = ["w"] * 6 + ["hit"]
+    docs = spark.createDataFrame([("a", words), ("b", ["hit"]), ("c", []), (None, None)], "name string, words array<string>")
+    found = edits.refined_passages(docs, [1.0, 0.0], embed, size=4, least=1, rounds=3, overlap=0.25, key="name").collect()
+    assert sorted((r["name"], r["round"], r["start"], r["stop"]) for r in found) == [("a", 0, 3, 7), ("a", 1, 5, 7), ("a", 2, 6, 7), ("b", 0, 0, 1)]
+    long = ["x"] * 50_000 + ["hit"] + ["y"] * 50_000
+    one = edits.refined_passages(spark.createDataFrame([("a", long)], docs.schema), [1.0, 0.0], embed, key="name").collect()
+    assert len(one) == 3 and all(r["start"] <= 50_000 < r["stop"] for r in one)
+    assert edits.word_chunks(7, 4, 0.5) == [(0, 4), (2, 6), (3, 7)]
+
+
+def test_rows_are_numbered_over_many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        rows = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), F.lit("x").alias("_at2"))
+        got = sets.numbered(rows.repartition(37), "k").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r["index"] for r in sorted(got, key=lambda r: r["k"])] == list(range(5000))
+    assert sets.numbered(rows.limit(0), "k").collect() == []
+
+
+def test_tables_are_compared_by_index(spark):
+    schema = "id long, a string"
+    left, right = [(k, "x") for k in range(6)], [(k, "x" if k != 2 else None) for k in range(4)]
+    rows = sets.index_differences(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["id"], ["a"], "id").collect()
+    assert sorted((r["status"], r["index"], r["id"], r["rows"]) for r in rows) == [("projection_differs", 2, 2, 0), ("row_count_differs", None, None, 2)]
+    empty = spark.createDataFrame([], schema)
+    assert [tuple(r) for r in sets.index_differences(empty, spark.createDataFrame(right, schema), ["id"], ["a"], "id").collect()] == [(None, None, "row_count_differs", -4)]
+    assert sets.index_differences(empty, empty, ["id"], ["a"], "id").count() == 0
+    named = sets.with_ids(spark.createDataFrame([(3, "n"), (1, " "), (2, None)], schema), ["id"], "a").collect()
+    assert sorted((r["id"], r["candidate"]) for r in named) == [(1, "candidate-000000"), (2, "candidate-000001"), (3, "n")]
+
+
+def test_existing_splits_are_kept_and_counted(spark):
+    benefit = spark.createDataFrame([("g1", "x", 5), ("g2", "x", 4), ("g3", "x", 3), ("g4", "y", 9), ("g5", "y", 1)], "grp string, label string, n int")
+    kept = spark.createDataFrame([("g1", "test"), ("g5", "train"), ("g9", "test")], "grp string, split string")
+    held = spark.createDataFrame([("test", "x", 5), ("validation", "y", 9)], "split string, label string, n long")
+    got = {r["grp"]: r["split"] for r in planning.deficit_split(benefit, 5, kept=kept, held=held).collect()}
+    assert got == {"g1": "test", "g2": "validation", "g3": "validation", "g4": "test", "g5": "train"}
+    torn = kept.union(spark.createDataFrame([("g1", "train"), ("g1", "train")], kept.schema))
+    assert [tuple(r) for r in planning.split_conflicts(torn).collect()] == [("g1", "test,train")]
+    with pytest.raises(ValueError, match="g1: test,train"):
+        planning.deficit_split(benefit, 5, kept=torn)
+
+
+def test_table_functions_in_sql(spark):
+    tables.register(spark)
+    spark.createDataFrame([(1, "L'été 1_x½  n°"), (2, None), (3, "")], "k long, text string").createOrReplaceTempView("texts")
+    rows = spark.sql("SELECT k, t.* FROM texts, LATERAL tokens_of(text) t ORDER BY k, i").collect()
+    assert [(r["token"], r["start"], r["stop"]) for r in rows] == [("L", 0, 1), ("'", 1, 2), ("été", 2, 5), ("1", 6, 7), ("_", 7, 8), ("x½", 8, 10), ("n", 12, 13), ("°", 13, 14)]
+    assert [tuple(r) for r in spark.sql("SELECT * FROM windows_of(10, 4, 1)").collect()] == [(0, 0, 4), (1, 3, 7), (2, 6, 10)]
+    assert spark.sql("SELECT * FROM windows_of(0, 4, 1)").count() == 0 and [tuple(r) for r in spark.sql("SELECT * FROM windows_of(3, 4, 1)").collect()] == [(0, 0, 3)]
