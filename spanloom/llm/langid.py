@@ -27,7 +27,8 @@ FEATURES = 4096
 #: A best score under this is ambiguous, and one that leads the second by less.
 LEAST_SCORE, LEAST_LEAD = 0.4, 0.01
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and numbers that aren't decimal digits (a half, a superscript).
+_WORDLIKE = re.compile(r"[^\W\d_]")
 _SPACED = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _WEIGHT = float(0.5)
 
@@ -37,6 +38,10 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(folds))
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def ngram_features(text: str) -> np.ndarray:
     """Square roots of the frequencies of hashed byte 1- to 4-grams of the lower-cased letters."""
     raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "surrogatepass").translate(_SPACED), np.uint8).astype(np.uint32)
@@ -153,7 +158,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             lang, score, doubt = [UNDETERMINED] * n, np.zeros(n), np.zeros(n, bool)
             for i, value in enumerate(batch.column(at)):
                 text = value.as_py()
-                if text and model.languages and _LETTER.search(text):
+                if text and model.languages and has_letter(text):
                     k, p, a = model.decide(ngram_features(text)[None])
                     lang[i], score[i], doubt[i] = model.languages[k[0]], p[0], a[0]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(doubt)], names=[*kept, *added])

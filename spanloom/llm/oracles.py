@@ -27,7 +27,17 @@ WITH d AS (
 ), win AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
-), sizes AS (SELECT DISTINCT n FROM win), p AS (
+), tm AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS pos FROM d),
+cnt AS (SELECT term, count(*) AS many FROM tm GROUP BY term),
+ph AS (SELECT DISTINCT phrase, n, string_split(phrase, ' ') AS terms FROM win),
+rarest AS (
+  SELECT phrase, n, terms, term, off FROM (SELECT p.*, coalesce(many, 0) AS many FROM (SELECT *, unnest(terms) AS term, generate_subscripts(terms, 1) - 1 AS off FROM ph) p LEFT JOIN cnt USING (term))
+  QUALIFY min(many) OVER (PARTITION BY phrase) > 0 AND row_number() OVER (PARTITION BY phrase ORDER BY many, off) = 1
+), close AS (
+  SELECT DISTINCT doc_id, phrase FROM (SELECT tm.doc_id, phrase, n, terms, pos - off AS start FROM rarest JOIN tm USING (term) WHERE pos - off >= -2) JOIN d USING (doc_id)
+  WHERE len(list_filter(range(0, n), lambda i: list_contains(w[greatest(start + i - 2, 0) + 1:greatest(start + i + 3, 0)], terms[i + 1]))) = n
+), near AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM close JOIN win USING (phrase) GROUP BY doc_id),
+sizes AS (SELECT DISTINCT n FROM win), p AS (
   SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
 ), hit AS (
@@ -39,8 +49,9 @@ WITH d AS (
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN named USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 OP9 = """
