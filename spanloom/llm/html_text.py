@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import log
@@ -23,16 +24,16 @@ from pyspark.sql import functions as F
 SAMPLE = 1000
 
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|iframe|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?][^>]*>|<(?P<loose>/?)(?P<bare>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|[^<]+|<",
+    r"<!---?>|<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|iframe|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?](?![a-zA-Z])[^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<loose>/?)(?P<bare>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|[^<]+|<",
     re.S | re.I,
 )
 _COMMENT_OR_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!---?>|<!--.*?(?:--!?>|\Z)|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_LABEL = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:\s|^)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PARTS = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 # HTML element names.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +53,11 @@ _CUT = set("svg math object template select".split())
 _FOREIGN = set("foreignobject annotation-xml".split())
 _BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th tr ul".split())
 _KEPT = set("html body article main".split())
+# By HTML, what an opening tag ends that is still open, and the elements past which it doesn't look for that.
+_ENDS = {name: set(ended.split()) for names, ended in (("li", "li"), ("dt dd", "dt dd"), ("td th", "td th"), ("tr", "td th tr"), ("tbody thead tfoot", "td th tr tbody thead tfoot"), ("option", "option"), ("optgroup", "option optgroup"), ("body", "head")) for name in names.split()}
+_SCOPES = {name: set(scope.split()) for names, scope in (("li", "ul ol menu dir"), ("dt dd", "dl"), ("td th tr tbody thead tfoot", "table"), ("option optgroup", "select datalist")) for name in names.split()}
+_P_SCOPE = set("table caption td th button object".split())
+_TABLE = set("table caption colgroup thead tbody tfoot tr td th".split())
 
 
 def pieces(page: str) -> Iterator[tuple[str, str, str]]:
@@ -107,10 +113,14 @@ def noisy(name: str, attrs: str, inside: bool) -> bool:
         return True
     if not attrs:
         return False
-    if _HIDDEN.search(attrs):
+    given: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attrs):
+        given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true" or _UNSEEN.search(given.get("style", "")):
         return True
-    named = [{w.lower() for w in _PARTS.split(v) if w} for m in _LABEL.finditer(attrs) for v in (m[1] or m[2] or m[3] or "").split()]
     strict = inside or name in _TEXTUAL
+    labels = ("class", "role") if name in _TEXTUAL else ("class", "id", "role", "aria-label")  # a heading's or paragraph's id is an anchor
+    named = [{w.lower() for w in _PARTS.split(v) if w} for label in labels for v in given.get(label, "").split()]
     named = [parts for parts in named if not parts & _STATE and not (strict and parts - _NOISE - _BOX - _OUTER_NOISE)]
     words = {w for parts in named for w in parts}
     return bool(words & _NOISE) or (not inside and bool(words & _OUTER_NOISE))
@@ -145,10 +155,46 @@ def wrappers(steps: list[tuple[str, str, str]]) -> set[int]:
     return out
 
 
+class _Open:
+    """The elements that are open at a place of a page, without those of running text, and the places of each name."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def begin(self, name: str) -> None:
+        """An opening tag ends what HTML lets it end: a list's item the item before, a block the paragraph before."""
+        if name in _ENDS:
+            self._cut(_ENDS[name], _SCOPES.get(name, set()), 0)
+        if name in _BLOCKS:
+            self._cut({"p"}, _P_SCOPE, 0)
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def end(self, name: str) -> None:
+        """A closing tag ends its element and all that is open in it; from a table's cell it doesn't reach beyond the table's parts."""
+        self._cut({name}, set() if name in _TABLE else _TABLE, -1)
+
+    def _cut(self, names: set[str], scope: set[str], which: int) -> None:
+        """Ends the first or last open element of the names behind the last one of the scope."""
+        found = [at for name in names for at in (self.places.get(name) or ())[which:][:1]] if not scope else []
+        if scope:
+            limit = max((self.places[s][-1] for s in scope if self.places.get(s)), default=-1)
+            for name in names:
+                at = self.places.get(name)
+                if at and at[-1] > limit:
+                    found.append(at[-1] if which else at[bisect_right(at, limit)])
+        if found:
+            for name in reversed(self.names[min(found) :]):
+                self.places[name].pop()
+            del self.names[min(found) :]
+
+
 def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
     """(feature kind, name, in an article, left out, text) for each tag and text of a page, in order."""
     inside, block, links = 0, "", 0
-    drop, depth = "", 0
+    opened = _Open()
+    drop, depth, level = "", 0, 0  # the element that is left out; how often an inline one is open; how many elements hold it
     steps = list(pieces(page))
     kept = wrappers(steps) if any(name == "form" for _, name, _ in steps) else set()
     for i, (kind, name, more) in enumerate(steps):
@@ -163,15 +209,23 @@ def walk(page: str) -> Iterator[tuple[str, str, bool, bool, str]]:
             inside = max(0, inside + (1 if kind == "open" else -1))
             if drop and kind == "open":
                 drop = ""  # a menu that was never closed ends here
+        was = bool(drop)
+        structural = name not in _INLINE and name not in _VOID
+        if structural:
+            opened.begin(name) if kind == "open" else opened.end(name)
         if drop:
-            if name == drop:
-                depth += 1 if kind == "open" else -1
-            if depth <= 0 or (drop == "head" and kind == "open" and name == "body"):
+            if drop in _INLINE:
+                depth += (1 if kind == "open" else -1) if name == drop else 0
+                ended = depth <= 0 or len(opened.names) < level
+            else:
+                ended = len(opened.names) - (structural and kind == "open") < level
+            if ended:
                 drop = ""
-                yield "tag", name, inside > 0, True, ""
-                continue
-        elif kind == "open" and name not in _VOID and i not in kept and noisy(name, more, inside > 0):
-            drop, depth = name, 1
+        if was and not drop and kind == "close":
+            yield "tag", name, inside > 0, True, ""
+            continue
+        if not drop and kind == "open" and name not in _VOID and i not in kept and noisy(name, more, inside > 0):
+            drop, depth, level = name, 1, len(opened.names)
         if name == "a":
             links = 1 if kind == "open" else 0
         elif name not in _INLINE and name not in ("br",):

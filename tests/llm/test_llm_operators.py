@@ -795,3 +795,35 @@ def test_proximity_matches_allow_slop(spark):
     near = decontam.proximity_matches(tokens, asked, 1).join(tokens, "row_id").select("doc_id").distinct()
     assert {r["doc_id"] for r in near.collect()} == {0, 1}
     assert decontam.exact_matches(tokens, asked).count() == 0
+
+
+def test_left_out_elements_end_as_html_ends_them():
+    text = lambda page: html_text.main_text(page, {}).split("\n")
+    assert text("<article><p>..<p class='advert'>AD<p>Real text<p>More</article>") == ["..", "Real text", "More"]
+    assert text("<article><ul><li>one<li class='share'>S <ul><li>inner</ul><li>two</ul><p>x</article>") == ["one", "two", "x"]
+    assert text("<article><table><tr class='advert'><td>AD<tr><td>cell<td class='advert'>AD<td>last</table><p>after</article>") == ["cell", "last", "after"]
+    assert text("<article><dl><dt class='advert'>AD<dd>d<dt>t</dl><div class='advert'>AD <p>inner</div><p>rest</article>") == ["d", "t", "rest"]
+    assert text("<article><div class='advert'>never closed</article><p>outside") == ["outside"]
+    assert text("<article><p>one <span class='advert'>AD <b>x</b></span> two<p>three</article>") == ["one two", "three"]
+    assert text("<article><table><tr><td><div>a</td><td>b</table></article>") == ["a", "b"]
+
+
+def test_attributes_are_read_by_name_and_ids_of_running_text_are_anchors():
+    text = lambda page: html_text.main_text(page, {}).split("\n")
+    assert text("<article><p title=\"the hidden truth\">a</p><p class=\"overflow hidden md:block\">b</p><p data-id='share'>c</p></article>") == ["a", "b", "c"]
+    assert text("<article><h2 id='share'>A</h2><h2 id='search'>B</h2><p id=comment>t</p></article>") == ["A", "B", "t"]
+    assert text("<p hidden>x</p><p aria-hidden=true>x</p><p style='Display: none'>x</p><p>y</p>") == ["y"]
+    assert text("<article><p>a<!-->b<!--->c<!-- x --!>d</p></article>") == ["abcd"]
+
+
+def test_odd_markup_takes_linear_time():
+    import time
+
+    for page in ("<!a" * 60_000, "<div>" * 60_000, "<li><div>" * 40_000, "<p><button>" + "<div>" * 60_000, "<article>" + "<p class=ad>x" * 40_000):
+        began = time.time()
+        html_text.main_text(page, {})
+        assert time.time() - began < 20
+
+
+def test_fractions_and_superscripts_are_no_letters():
+    assert not any(map(langid.has_letter, ["½ ²", "①", "12_3", "", " \n"])) and all(map(langid.has_letter, ["½a", "日", "ª", "1 é"]))
