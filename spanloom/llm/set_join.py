@@ -30,8 +30,8 @@ FOLDS = 8
 _FOLDED = [f"f{i}" for i in range(FOLDS)]
 #: Sets that a task remembers to have signed.
 SIGNED = 1_000_000
-#: Edges that are joined without a look for frequent nodes.
-FEW_EDGES = 100_000
+#: Edges that a task unites on its own, on average.
+PART_EDGES = 500_000
 #: Rows of a block: the rows of a signature are compared block with block.
 BLOCK = 256
 #: Further pivots that rows of one signature are compared with before they are compared with one another.
@@ -239,33 +239,54 @@ def _signature_rows(width: int, percent: int):
     return run
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of a task's edges (a, b), each with the smallest node that these edges reach from it."""
+    ends = [(b.column(0), b.column(1)) for b in batches if b.num_rows]
+    if not ends:
+        return
+    kind = ends[0][0].type
+    sides = [pa.chunked_array([e[i] for e in ends]).to_numpy() for i in (0, 1)]
+    nodes, at = np.unique(np.concatenate(sides), return_inverse=True)  # in order, so the least place is the smallest node
+    x, y = np.split(at, 2)
+    least = np.arange(len(nodes))
+    while ((p := least[x]) != (q := least[y])).any():
+        np.minimum.at(least, np.maximum(p, q), np.minimum(p, q))
+        while ((onward := least[least]) != least).any():
+            least = onward
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array(nodes[least], kind)], names=["node", "component"])
+
+
+def components(edges: DataFrame, most_rounds: int = 60, part_edges: int = PART_EDGES) -> DataFrame:
     """Connected components of edges (a, b): node and component, its smallest node.
 
-    Alternates large-star and small-star steps until no edge moves; each step
-    is one grouping and one join, nothing is gathered. Nodes without an edge to
-    another node don't appear.
+    Edges are dealt to parts of a bounded size, each of which unites its own; if
+    there is more than one part, what they found goes on in large-star and
+    small-star steps until no edge moves. Such a step is one grouping and one
+    join, nothing is gathered. Nodes without an edge to another node don't
+    appear.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     edges = stored(edges, "edges")
-    many, before = edges.count(), None
-    if not many:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    parts, before = -(-edges.count() // part_edges), None
+    kind = edges.schema["a"].dataType.simpleString()
+    united = edges.repartition(max(1, parts)).mapInArrow(_united, f"node {kind}, component {kind}")
+    if parts <= 1:
+        return united
+    old, edges = edges, stored(united.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).distinct(), "edges")
+    discard(old)
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        split = many > FEW_EDGES  # few edges fit in a task, whatever their nodes
-        join = (lambda x, y: salted_join(x, y, ["a"], "b")) if split else (lambda x, y: x.join(y, "a"))
-        large = join(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = stored(large, "large") if split else large
+        large = salted_join(both.filter("b > a"), least, ["a"], "b").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = stored(large, "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = join(large, low).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
+        small = salted_join(large, low, ["a"], "b").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         old, edges = edges, stored(small, "edges")
-        discard(old, *[large] * split)
+        discard(old, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        many, before = now[0], now
+        before = now
     raise RuntimeError("the components did not settle")
 
 

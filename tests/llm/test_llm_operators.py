@@ -827,3 +827,28 @@ def test_odd_markup_takes_linear_time():
 
 def test_fractions_and_superscripts_are_no_letters():
     assert not any(map(langid.has_letter, ["½ ²", "①", "12_3", "", " \n"])) and all(map(langid.has_letter, ["½a", "日", "ª", "1 é"]))
+
+
+@pytest.mark.parametrize("part", [3, 40, 500_000])
+def test_components_are_those_of_a_search_however_edges_are_dealt(spark, part):
+    rng = random.Random(part)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(1000, 1060)] + [(2000, k) for k in range(2001, 2080)] + [(5, 5)]
+    near: dict = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for node in sorted(near):
+        todo, reach = [node], set()
+        while todo:
+            x = todo.pop()
+            if x not in reach:
+                reach.add(x)
+                todo += near[x]
+        if len(reach) > 1:
+            want[node] = min(reach)
+    got = [(r["node"], r["component"]) for r in set_join.components(spark.createDataFrame(edges, "a long, b long").repartition(7), part_edges=part).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    words = [("b", "a"), ("c", "b"), ("e", "d")]
+    assert sorted(map(tuple, set_join.components(spark.createDataFrame(words, "a string, b string"), part_edges=part).collect())) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
+    assert set_join.components(spark.createDataFrame([], "a long, b long"), part_edges=part).collect() == []
