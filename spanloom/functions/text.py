@@ -111,7 +111,7 @@ def ocr_note(c: Column) -> Column:
     last = lambda found: F.element_at(found, -1)
     transcripts = F.filter(parts, lambda p: p.startswith("Transcript:"))
     distances = F.filter(F.transform(parts, lambda p: F.regexp_extract(p, r"^LED([0-9]+(?:\.[0-9]+)?)$", 1).try_cast("double")), lambda p: p.isNotNull())
-    return F.struct(F.when(F.size(transcripts) > 0, F.substring(last(transcripts), 12, 100000)).alias("transcript"), F.when(F.size(distances) > 0, last(distances)).alias("distance"))
+    return F.struct(F.when(F.size(transcripts) > 0, F.substr(last(transcripts), F.lit(12))).alias("transcript"), F.when(F.size(distances) > 0, last(distances)).alias("distance"))
 
 
 def base_document_id(c: Column) -> Column:
@@ -139,7 +139,7 @@ def sha1_id(prefix: str, kind: str, *columns: Column, digits: int = 12) -> Colum
 
 def base_label(tag: Column) -> Column:
     """The label of a BIO tag; null for O and for none."""
-    return F.when(tag.rlike("^[BI]-"), F.substring(tag, 3, 10000)).when(~tag.isin("", "_", "O"), tag)
+    return F.when(tag.rlike("^[BI]-"), F.substr(tag, F.lit(3))).when(~tag.isin("", "_", "O"), tag)
 
 
 def canonical_label(label: Column, aliases: dict[str, str] = LABEL_ALIASES) -> Column:
@@ -160,6 +160,49 @@ def spaced_json(*columns: str) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", *map(part, sorted(columns))), F.lit("}"))
 
 
+def json_string(c: Column) -> Column:
+    """A JSON string in ASCII: quotes, backslashes and control characters escaped, others as UTF-16 units. Null is null."""
+    named = F.create_map(*[F.lit(x) for x in ('"', '\\"', "\\", "\\\\", "\n", "\\n", "\r", "\\r", "\t", "\\t", "\b", "\\b", "\f", "\\f")])
+    units = lambda x: F.regexp_replace(F.lower(F.hex(F.encode(x, "UTF-16BE"))), "([0-9a-f]{4})", "\\\\u$1")
+    one = lambda x: F.when(x.rlike(r'^[ !#-\[\]-~]$'), x).otherwise(F.coalesce(F.try_element_at(named, x), units(x)))
+    plain = c.rlike(r'^[ !#-\[\]-~]*+\z')
+    return F.concat(F.lit('"'), F.when(plain, c).otherwise(F.array_join(F.transform(F.split(c, ""), one), "")), F.lit('"'))
+
+
+def json_object(**parts: Column) -> Column:
+    """A compact JSON object with its keys in order; the parts are JSON already, null ones say null."""
+    pairs = [F.concat(F.lit(f'"{k}":'), F.coalesce(parts[k], F.lit("null"))) for k in sorted(parts)]
+    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+
+
+def ocr_usable(quality: Column, text: Column, least: float = 0.9, length: int = 200) -> Column:
+    """Whether the quality is a number of at least ``least`` and the cleaned text has ``length`` characters; a quality that is no number isn't usable."""
+    return F.coalesce((quality.try_cast("double") >= least) & (F.length(clean_text(text)) >= length), F.lit(False))
+
+
+def context_bounds(text: Column, start: Column, stop: Column, before: Column, after: Column) -> Column:
+    """(low, high) of the text around a match: so many characters on each side, what one side lacks on the other, and on to white space."""
+    n = F.length(text)
+    low, high = F.greatest(F.lit(0), start - before), F.least(n, stop + after)
+    lacks_left, lacks_right = before - (start - low), after - (high - stop)
+    wide_high = F.when((lacks_left > 0) & (high < n), F.least(n, high + lacks_left)).otherwise(high)
+    wide_low = F.when((lacks_right > 0) & (low > 0), F.greatest(F.lit(0), low - lacks_right)).otherwise(low)
+    left = F.length(F.regexp_extract(F.substr(text, F.lit(1), wide_low.cast("int")), f"[^\\s\\x0B\\x1c-\\x1f\\x85\\p{{Z}}]*+\\z", 0))
+    right = F.length(F.regexp_extract(F.substr(text, (wide_high + 1).cast("int")), f"^[^\\s\\x0B\\x1c-\\x1f\\x85\\p{{Z}}]*+", 0))
+    return F.struct((wide_low - left).alias("low"), (wide_high + right).alias("high"))
+
+
+def drawn_sides(key: Column, radius: int) -> Column:
+    """(before, after): a context of up to twice the radius, dealt to both sides by a hash of the key, no side under a quarter of it or half the radius."""
+    number = lambda k: F.conv(F.substring(F.sha1(key), 1 + 6 * k, 6), 16, 10).cast("long")
+    most = 2 * radius
+    least = min(most, 100)
+    total = F.lit(least) + number(0) % (most - least + 1)
+    side = F.least(F.lit(radius // 2), F.floor(total / 4))
+    before = side + number(1) % (total - 2 * side + 1)
+    return F.struct(before.alias("before"), (total - before).alias("after"))
+
+
 def family(label: Column) -> Column:
     return F.split_part(label, F.lit("."), F.lit(3))
 

@@ -69,12 +69,12 @@ def tags(tokens: DataFrame, found: DataFrame) -> DataFrame:
 def violations(tagged: DataFrame, tag: str = "tag") -> DataFrame:
     """I tags that nothing begins, with the kind of what stands before: doc_id, i, tag, before, violation."""
     rows = tagged.withColumn("before", F.lag(tag).over(by_document())).filter(F.col(tag).startswith("I-"))
-    before, mine = F.col("before"), F.substring(tag, 3, 10000)
+    before, mine = F.col("before"), F.substr(tag, F.lit(3))
     kind = (
         F.when(before.isNull(), F.lit("sequence_start_to_I"))
         .when(before == "O", F.lit("O_to_I"))
         .when(~before.rlike("^[BI]-."), F.lit("malformed_previous_to_I"))
-        .when(F.substring("before", 3, 10000) != mine, F.lit("different_label_to_I"))
+        .when(F.substr("before", F.lit(3)) != mine, F.lit("different_label_to_I"))
     )
     return rows.withColumn("violation", kind).filter("violation is not null").select("doc_id", "i", F.col(tag).alias("tag"), "before", "violation")
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanloom.functions.text import SPACE, context_bounds, drawn_sides
+
 
 def replace_segment(docs: DataFrame, entities: DataFrame, old: str, new: str, which: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Replaces occurrences of ``old`` in texts: documents with text and n_replaced, and entities with moved offsets.
@@ -225,9 +227,10 @@ def refined_passages(docs: DataFrame, query: list[float], embed: Callable[[pd.Se
     return docs.select(key, "words").mapInArrow(run, f"`{key}` {kind}, round int, start int, stop int, similarity double")
 
 
-def context_window(text: Column, start: Column, stop: Column, width: int, key: Column) -> Column:
-    """``width`` characters around a match, placed by a hash of ``key``, kept inside the text."""
-    spare = F.greatest(F.lit(width) - (stop - start), F.lit(0))
-    left = F.pmod(F.xxhash64(key), spare + 1)
-    low = F.greatest(F.lit(0), F.least(start - left, F.length(text) - width))
-    return F.substr(text, (low + 1).cast("int"), F.lit(width))
+def context_windows(rows: DataFrame, radius: int, key: Column) -> DataFrame:
+    """Adds low, high and ``context``, trimmed, to rows with text, start and stop: what stands around a match, its sides drawn by a hash of ``key``."""
+    rows = rows.withColumn("_sides", drawn_sides(key, radius))
+    rows = rows.withColumn("_at", context_bounds(F.col("text"), F.col("start"), F.col("stop"), F.col("_sides.before"), F.col("_sides.after")))
+    cut = F.substr("text", (F.col("_at.low") + 1).cast("int"), (F.col("_at.high") - F.col("_at.low")).cast("int"))
+    rows = rows.withColumns({"low": F.col("_at.low"), "high": F.col("_at.high"), "context": F.regexp_replace(cut, f"^{SPACE}++|{SPACE}++\\z", "")})
+    return rows.drop("_sides", "_at")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanloom.functions.text import casefold, generic_surface
 from spanloom.sources.scratch import work_folder
 
+from .sets import numbered
 from .tokens import hinted
 
 
@@ -182,6 +183,17 @@ def hash_sample(docs: DataFrame, targets: DataFrame, seed: int, key: str = "lang
     return ranked.join(hinted(targets), key).filter("k <= target").drop("k", "h", "deal", "target")
 
 
+def train_cut(sample: DataFrame, seed: int, validation: float = 0.05, key: str = "doc_id") -> DataFrame:
+    """Adds ``split``: of the rows in a seeded hash order the first ``int(n * (1 - validation))`` train, the others validate.
+
+    Rows are numbered over all partitions at once, so no task sees all of them.
+    """
+    order = F.sha1(F.concat(F.lit(f"{seed}\tcut\t"), F.col(key).cast("string")))
+    rows = numbered(sample.withColumn("_h", order), "_h", key, name="_place")
+    n = rows.count()
+    return rows.withColumn("split", F.when(F.col("_place") < int(n * (1 - validation)), "train").otherwise("validation")).drop("_h", "_place")
+
+
 def water_fill(available: dict[str, int], total: int) -> dict[str, int]:
     """Balanced targets by language: equal shares, what one can't use goes to the others, never over ``total``."""
     out, left, open_ = dict.fromkeys(available, 0), total, sorted(k for k, v in available.items() if v > 0)

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SPLITS = ["train", "validation", "test"]
+#: Shares that a key's forms are ranked in before they meet.
+SHARES = 64
 
 
 def split_statistics(docs: DataFrame) -> DataFrame:
@@ -35,9 +37,12 @@ def top_surfaces(mentions: DataFrame, keys: list[str], top: int) -> DataFrame:
     """
     raw = mentions.groupBy(*keys, "form", "surface").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
     forms = raw.groupBy(*keys, "form").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max_by("surface", F.struct("n", -F.col("first"))).alias("display"))
-    totals = forms.groupBy(*keys).agg(F.sum("n").alias("total"))
-    ranked = forms.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("n"), "first", "form"))).filter(F.col("rank") <= top)
-    return ranked.join(totals, keys).select(*keys, "form", "n", F.bround(F.col("n") / F.col("total"), 4).alias("share"), "display", "rank")
+    # a key may hold most forms: they are ranked and added up in shares, of which the first row tells the sum
+    order = (F.desc("n"), "first", "form")
+    shares = forms.withColumn("share", F.pmod(F.xxhash64("form"), F.lit(SHARES)))
+    shares = shares.withColumns({"k": F.row_number().over(W.partitionBy(*keys, "share").orderBy(*order)), "held": F.sum("n").over(W.partitionBy(*keys, "share"))}).filter(F.col("k") <= top)
+    ranked = shares.withColumns({"rank": F.row_number().over(W.partitionBy(*keys).orderBy(*order)), "total": F.sum(F.when(F.col("k") == 1, F.col("held"))).over(W.partitionBy(*keys))})
+    return ranked.filter(F.col("rank") <= top).select(*keys, "form", "n", F.bround(F.col("n") / F.col("total"), 4).alias("share"), "display", "rank")
 
 
 def surface_forms(mentions: DataFrame, keys: list[str], examples: int) -> DataFrame:

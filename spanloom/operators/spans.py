@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanloom.functions.text import json_object, json_string
+
 from .tokens import together
 
 SPAN = ["doc_id", "token_start", "token_stop", "label"]
@@ -65,12 +67,14 @@ def merged_adjacent(found: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "island").agg(F.min("token_start").alias("token_start"), F.max("token_stop").alias("token_stop"), F.first("label").alias("label"), F.min("confidence").alias("confidence"), F.min("margin").alias("margin"), F.count("*").alias("parts")).drop("island")
 
 
-def components(found: DataFrame) -> DataFrame:
-    """Adds ``component``: spans of a document that overlap, directly or through others, share one."""
+def components(found: DataFrame, among: Column | None = None) -> DataFrame:
+    """Adds ``component``: spans of a document that overlap, directly or through others, share one. Rows that aren't ``among`` them have none."""
     at = W.partitionBy("doc_id").orderBy("token_start", "token_stop", "side", "label")
-    reach = F.max("token_stop").over(at.rowsBetween(W.unboundedPreceding, -1))
-    new = (F.col("token_start") >= reach) | reach.isNull()
-    return found.withColumn("new", new).withColumn("component", F.sum(F.col("new").cast("int")).over(at.rowsBetween(W.unboundedPreceding, 0))).drop("new")
+    among = F.lit(True) if among is None else among
+    reach = F.max(F.when(among, F.col("token_stop"))).over(at.rowsBetween(W.unboundedPreceding, -1))
+    new = among & ((F.col("token_start") >= reach) | reach.isNull())
+    number = F.sum(F.col("new").cast("int")).over(at.rowsBetween(W.unboundedPreceding, 0))
+    return found.withColumn("new", new).withColumn("component", F.when(among, number)).drop("new")
 
 
 def aligned(gold: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -83,26 +87,31 @@ def aligned(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     return aligned_sides(together(gold.select(*SPAN).distinct().withColumn("side", F.lit(0)), predicted.select(*SPAN).distinct().withColumn("side", F.lit(1))))
 
 
-def aligned_sides(both: DataFrame) -> DataFrame:
-    """The same for spans of both sides in one table, where side is 0 for gold and 1 for predicted."""
+def aligned_sides(both: DataFrame, places: bool = False) -> DataFrame:
+    """The same for spans of both sides in one table, where side is 0 for gold and 1 for predicted.
+
+    An exact pair is a group of its own, so all outcomes come from one grouping.
+    With ``places`` also g and p, both sides' spans in order.
+    """
     both = both.withColumn("sides", F.count("*").over(W.partitionBy(*SPAN)))
-    exact = both.filter("sides = 2 and side = 0").select("doc_id", F.lit("correct").alias("outcome"), "token_start", "token_stop", F.array("label").alias("gold"), F.array("label").alias("predicted"))
-    of = lambda side, value: F.sort_array(F.collect_list(F.when(F.col("side") == side, value)))
     span = F.struct("token_start", "token_stop", "label")
-    parts = components(both.filter("sides = 1").drop("sides")).groupBy("doc_id", "component").agg(of(0, span).alias("g"), of(1, span).alias("p"), F.min("token_start").alias("token_start"), F.max("token_stop").alias("token_stop"))
+    rows = components(both, F.col("sides") == 1).withColumn("exact", F.when(F.col("sides") == 2, span))
+    of = lambda side, value: F.sort_array(F.collect_list(F.when(F.col("side") == side, value)))
+    parts = rows.groupBy("doc_id", "component", "exact").agg(of(0, span).alias("g"), of(1, span).alias("p"), F.min("token_start").alias("token_start"), F.max("token_stop").alias("token_stop"))
     same_place = (F.col("g")[0]["token_start"] == F.col("p")[0]["token_start"]) & (F.col("g")[0]["token_stop"] == F.col("p")[0]["token_stop"])
     same_label = F.col("g")[0]["label"] == F.col("p")[0]["label"]
     outcome = (
         F.when(F.size("g") == 0, F.lit("extra"))
         .when(F.size("p") == 0, F.lit("missed"))
         .when((F.size("g") > 1) | (F.size("p") > 1), F.lit("complex_overlap"))
+        .when(same_place & same_label, F.lit("correct"))
         .when(same_place, F.lit("wrong_label"))
         .when(same_label, F.lit("span_mismatch"))
         .otherwise(F.lit("wrong_label_and_span"))
     )
     labels = lambda side: F.transform(side, lambda s: s["label"])
-    rest = parts.select("doc_id", outcome.alias("outcome"), "token_start", "token_stop", labels("g").alias("gold"), labels("p").alias("predicted"))
-    return exact.unionByName(rest)
+    kept = ["g", "p"] if places else []
+    return parts.select("doc_id", outcome.alias("outcome"), "token_start", "token_stop", labels("g").alias("gold"), labels("p").alias("predicted"), *kept)
 
 
 def disagreements(gold: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -118,6 +127,25 @@ def disagreeing(outcomes: DataFrame) -> DataFrame:
     return rows.withColumn("kind", kind).select("doc_id", "kind", "token_start", "token_stop", "gold", "predicted", F.substring(F.sha1(text), 1, 16).alias("review_id"))
 
 
+def review_ids(outcomes: DataFrame, split: Column) -> DataFrame:
+    """Review items of alignment outcomes with ``review_id``: the split, the document and a digest of the item as canonical JSON.
+
+    ``outcomes`` as from ``aligned_sides`` with places: g and p hold the spans
+    of both sides. An item of one span a side at most names ``gold`` and
+    ``prediction``; one of more names lists of spans.
+    """
+    kind = F.when(F.col("outcome") == "extra", "extra_prediction").when(F.col("outcome") == "missed", "missing_prediction").when(F.col("outcome") == "wrong_label", "label_mismatch").otherwise("span_or_label_mismatch")
+    span = lambda s: json_object(token_start=s["token_start"].cast("string"), token_stop=s["token_stop"].cast("string"), label=json_string(s["label"]))
+    first = lambda side: F.when(F.size(side) > 0, span(F.col(side)[0]))
+    every = lambda side: F.concat(F.lit("["), F.array_join(F.transform(side, span), ","), F.lit("]"))
+    rows = outcomes.filter("outcome <> 'correct'").withColumns({"kind": kind, "split": split, "doc": F.col("doc_id").cast("string")})
+    common = {"split": json_string(F.col("split")), "doc_id": json_string(F.col("doc")), "issue_type": json_string(F.col("kind"))}
+    one = json_object(**common, gold=first("g"), prediction=first("p"))
+    many = json_object(**common, gold_spans=every("g"), prediction_spans=every("p"))
+    payload = F.when((F.size("g") <= 1) & (F.size("p") <= 1), one).otherwise(many)
+    return rows.select("doc_id", "kind", "split", "token_start", "token_stop", F.concat_ws(":", "split", "doc", F.substring(F.sha1(payload), 1, 16)).alias("review_id"))
+
+
 def to_tokens(spans: DataFrame, tokens: DataFrame) -> DataFrame:
     """Character spans (doc_id, start, stop, label) to token spans; ``aligned`` says whether both edges are token edges."""
     first = tokens.select("doc_id", "start", F.col("i").alias("token_start"))

@@ -167,7 +167,7 @@ _IMPORT = [("alpha", base.ALPHA, True), ("delta", base.DELTA, False)]
     base = '{base.ALPHA}' AND predicted LIKE 'I-%' AND before IS DISTINCT FROM base AS repaired FROM x) SELECT tag, reason, coalesce(repaired, false) AS repaired, count(*) AS n FROM y GROUP BY ALL""")
 def import_policies(spark, sf_dir):
     raw = F.create_map(*[F.lit(x) for pair in _RAW.items() for x in pair])
-    rows = base.tagged(spark, sf_dir).withColumn("tag", F.when(F.col("predicted") == "O", "O").otherwise(F.concat(F.substring("predicted", 1, 2), F.try_element_at(raw, F.substring("predicted", 3, 1000)))))
+    rows = base.tagged(spark, sf_dir).withColumn("tag", F.when(F.col("predicted") == "O", "O").otherwise(F.concat(F.substring("predicted", 1, 2), F.try_element_at(raw, F.substr("predicted", F.lit(3))))))
     done = bio.import_tags(rows.select("doc_id", "i", "tag"), spark.createDataFrame(_IMPORT, "id string, label string, trainable boolean"))
     return done.groupBy("tag", "reason", "repaired").agg(F.count("*").alias("n"))
 
@@ -571,7 +571,7 @@ def _subtokens(spark, sf_dir):
         .when(at % 5 == 0, "O")
         .when(at % 7 == 0, "I-X")
         .when(at % 11 == 0, p)
-        .otherwise(F.concat(F.lit("I-"), F.substring("predicted", 3, 1000)))
+        .otherwise(F.concat(F.lit("I-"), F.substr("predicted", F.lit(3))))
     )
     return rows.withColumn("tag", tag)
 
@@ -589,7 +589,7 @@ def subtoken_audit(spark, sf_dir):
 def subtoken_targets(spark, sf_dir):
     rows = _subtokens(spark, sf_dir)
     ids = bio.label_map(rows, "predicted", both=True)
-    inside = F.when(F.col("predicted") == "O", "O").otherwise(F.concat(F.lit("I-"), F.substring("predicted", 3, 1000)))
+    inside = F.when(F.col("predicted") == "O", "O").otherwise(F.concat(F.lit("I-"), F.substr("predicted", F.lit(3))))
     words = rows.select("sub", F.col("predicted").alias("tag"), inside.alias("inside")).join(F.broadcast(ids), "tag").join(F.broadcast(ids.select(F.col("tag").alias("inside"), F.col("id").alias("inside_id"))), "inside")  # label ids: a row for each tag
     return evaluate.subtoken_labels(words, every=True).groupBy("tag", "target").agg(F.count("*").alias("n"), F.sum((F.col("sub") == 0).cast("long")).alias("firsts"))
 

@@ -1,16 +1,21 @@
-"""Queries on streams, scoring, projections, boundaries, passages, ordinals, held-out groups and table functions."""
+"""Queries on streams, scoring, projections, boundaries, passages, ordinals, held-out groups, table functions, ids, contexts and samples."""
 
 from __future__ import annotations
 
+import base64
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from spanloom.functions import tables
-from spanloom.operators import bio, dictionary, edits, evaluate, planning, sets, tokens
+from spanloom.functions import text as t
+from spanloom.operators import bio, dictionary, edits, evaluate, planning, sets, spans, tokens
+from spanloom.sources import files
 from spanloom.sources.scratch import work_folder
 from spanloom.streaming import decisions as stream
 
-from . import base, span_queries
+from . import base, review_queries, span_queries
 from .base import ALPHA, BETA, DELTA, EPSILON, GAMMA, TAGGED, TOK, bigints, spans_cte, table
 from .corpus_queries import _LOG, LABELS, decision_log
 
@@ -264,3 +269,124 @@ def lateral_windows(spark, sf_dir):
     tables.register(spark)
     tokens.token_counts(table(spark, sf_dir, "documents"), "doc_id").createOrReplaceTempView("lateral_lengths")
     return spark.sql("SELECT doc_id, w.window, w.low, w.high FROM lateral_lengths n, LATERAL windows_of(CAST(n.n AS INT), 256, 32) w")
+
+
+# ids by canonical JSON, contexts of mentions, metadata, reports and vectors as text
+
+_J = r"""('"' || array_to_string(list_transform(string_split({0}, ''), lambda ch: CASE ch WHEN '"' THEN '\"' WHEN '\' THEN '\\' WHEN chr(10) THEN '\n' WHEN chr(13) THEN '\r' WHEN chr(9) THEN '\t' WHEN chr(8) THEN '\b' WHEN chr(12) THEN '\f'
+  ELSE CASE WHEN unicode(ch) BETWEEN 32 AND 126 THEN ch WHEN unicode(ch) < 65536 THEN printf('\u%04x', unicode(ch)) ELSE printf('\u%04x\u%04x', 55296 + (unicode(ch) - 65536) // 1024, 56320 + (unicode(ch) - 65536) % 1024) END END), '') || '"')"""
+
+
+@query(f"""SELECT doc_id, substr(sha1('{{"doc_id":' || doc_id || ',"lang":' || coalesce({_J.format('lang')}, 'null') || ',"source":' || coalesce({_J.format('source')}, 'null') || ',"text":' || CASE WHEN text IS NULL THEN 'null' WHEN text = '' THEN '""' ELSE {_J.format('text')} END || '}}'), 1, 16) AS digest FROM documents""")
+def canonical_ids(spark, sf_dir):
+    whole = t.json_object(doc_id=F.col("doc_id").cast("string"), lang=t.json_string(F.col("lang")), source=t.json_string(F.col("source")), text=t.json_string(F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.substring(F.sha1(whole), 1, 16).alias("digest"))
+
+
+
+
+def _span_json(x: str) -> str:
+    return f"""'{{"label":"' || {x}.label || '","token_start":' || {x}.token_start || ',"token_stop":' || {x}.token_stop || '}}'"""
+
+
+def _every(x: str) -> str:
+    return f"'[' || array_to_string(list_transform({x}, lambda x: {_span_json('x')}), ',') || ']'"
+
+
+_ITEM_KIND = "CASE WHEN len(g) = 0 THEN 'extra_prediction' WHEN len(p) = 0 THEN 'missing_prediction' WHEN len(g) = 1 AND len(p) = 1 AND g[1].token_start = p[1].token_start AND g[1].token_stop = p[1].token_stop THEN 'label_mismatch' ELSE 'span_or_label_mismatch' END"
+
+
+@query(f"""WITH {base.ALIGNED}, c AS (
+    SELECT doc_id, min(token_start) AS token_start, max(token_stop) AS token_stop, coalesce(list({{'token_start': token_start, 'token_stop': token_stop, 'label': label}} ORDER BY token_start, token_stop, label) FILTER (side = 0), []) AS g,
+      coalesce(list({{'token_start': token_start, 'token_stop': token_stop, 'label': label}} ORDER BY token_start, token_stop, label) FILTER (side = 1), []) AS p FROM comp GROUP BY doc_id, c),
+  k AS (SELECT *, {_ITEM_KIND} AS kind FROM c)
+  SELECT doc_id, kind, 'dev' AS split, token_start, token_stop, 'dev:' || doc_id || ':' || substr(sha1('{{"doc_id":"' || doc_id || '",' || CASE WHEN len(g) <= 1 AND len(p) <= 1
+      THEN '"gold":' || CASE WHEN len(g) = 0 THEN 'null' ELSE {_span_json('g[1]')} END || ',"issue_type":"' || kind || '","prediction":' || CASE WHEN len(p) = 0 THEN 'null' ELSE {_span_json('p[1]')} END
+      ELSE '"gold_spans":' || {_every('g')} || ',"issue_type":"' || kind || '","prediction_spans":' || {_every('p')} END || ',"split":"dev"}}'), 1, 16) AS review_id FROM k""")
+def review_items(spark, sf_dir):
+    return spans.review_ids(spans.aligned_sides(span_queries.sides(spark, sf_dir), places=True), F.lit("dev"))
+
+
+RADIUS = 60
+_HASHED = "CAST('0x' || substr(sha1(doc_id || ':' || start), {0}, 6) AS BIGINT)"
+_BLANK = r"[\s\x0B\x1c-\x1f\x{85}\p{Z}]"
+
+
+@query(f"""WITH {TAGGED}, {GOLD}, a AS (SELECT g.doc_id, g.label, g.start, g.stop, d.text, length(d.text) AS n, 100 + {_HASHED.format(1)} % {2 * RADIUS - 100 + 1} AS total, {_HASHED.format(7)} AS h FROM (SELECT * FROM g) g JOIN (SELECT doc_id AS d_id, text FROM documents) d ON d_id = g.doc_id),
+  b AS (SELECT *, least({RADIUS // 2}, total // 4) + h % (total - 2 * least({RADIUS // 2}, total // 4) + 1) AS before FROM a),
+  c AS (SELECT *, greatest(0, start - before) AS l, least(n, stop + total - before) AS r FROM b),
+  e AS (SELECT *, CASE WHEN total - before - (r - stop) > 0 AND l > 0 THEN greatest(0, l - (total - before - (r - stop))) ELSE l END AS wl, CASE WHEN before - (start - l) > 0 AND r < n THEN least(n, r + before - (start - l)) ELSE r END AS wr FROM c),
+  f AS (SELECT *, wl - length(regexp_extract(substr(text, 1, wl), '[^{_BLANK[1:]}*$')) AS low, wr + length(regexp_extract(substr(text, wr + 1), '^[^{_BLANK[1:]}*')) AS high FROM e)
+  SELECT doc_id, label, start, low, high, md5(regexp_replace(substr(text, low + 1, high - low), '^{_BLANK}+|{_BLANK}+$', '', 'g')) AS digest FROM f""")
+def mention_windows(spark, sf_dir):
+    found = bio.spans(base.tagged(spark, sf_dir), "gold").select("doc_id", "label", "start", "stop").join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    around = edits.context_windows(found, RADIUS, F.concat_ws(":", F.col("doc_id").cast("string"), F.col("start").cast("string")))
+    return around.select("doc_id", "label", "start", "low", "high", F.md5("context").alias("digest"))
+
+
+@query("""WITH e AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL) SELECT source, arg_min(lang, (n, lang)) AS first_lang, CAST(min(n) AS BIGINT) AS first_n, arg_max(lang, (n, lang)) AS last_lang, CAST(max(n) AS BIGINT) AS last_n FROM e GROUP BY source""")
+def metadata_order(spark, sf_dir):
+    entries = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
+    whole = entries.agg(F.to_json(F.sort_array(F.collect_list(F.struct("n", "lang", "source")))).alias("value"))  # a row for each source and language
+    at = work_folder(spark, "metadata")
+    for part in ("a", "b"):
+        whole.write.text(f"{at}/{part}")
+    read = lambda first: files.read_metadata(spark, f"{at}/*", "n long, lang string, source string", "source", first)
+    return read(True).select("source", F.col("lang").alias("first_lang"), F.col("n").alias("first_n")).join(read(False).select("source", F.col("lang").alias("last_lang"), F.col("n").alias("last_n")), "source")
+
+
+@query("SELECT lang, source, count(*) AS n, CAST(sum(coalesce(n_chars, 0)) AS BIGINT) AS chars, '| ' || replace(lang, '|', '\\|') || ' | ' || replace(source, '|', '\\|') || ' | ' || format('{:,}', count(*)) || ' | ' || format('{:,}', CAST(sum(coalesce(n_chars, 0)) AS BIGINT)) || ' |' AS line FROM documents GROUP BY lang, source")
+def report_lines(spark, sf_dir):
+    counts = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum(F.coalesce("n_chars", F.lit(0))).alias("chars"))
+    return files.markdown_rows(counts)
+
+
+@query("SELECT vec_id, 'public-model' AS model, CAST(len(embedding) AS BIGINT) AS size, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)), 6) AS length FROM embeddings")
+def vector_round_trip(spark, sf_dir):
+    @F.pandas_udf("string")
+    def written(vectors: pd.Series) -> pd.Series:
+        return vectors.map(lambda v: "public-model:" + base64.b64encode(np.asarray(v, "<f4").tobytes()).decode())
+
+    back = edits.decoded_vectors(table(spark, sf_dir, "embeddings").select("vec_id", written("embedding").alias("embedding")))
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    return back.select("vec_id", "model", F.size("vector").cast("long").alias("size"), F.round(squares, 6).alias("length"))
+
+
+# a sample of usable texts, cut in train and validation; round robin over buckets in which issues repeat
+
+_QUALITY = "CASE WHEN length(coalesce(text, '')) = 0 THEN 'none' ELSE CAST(round(length(regexp_replace(text, '[^\\p{L}\\s]', '', 'g')) / CAST(length(text) AS DOUBLE), 3) AS VARCHAR) END"
+
+
+@query(f"""WITH q AS (SELECT doc_id, lang, {_QUALITY} AS quality, regexp_replace(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '[\\x{{00AD}}\\x{{200B}}\\x{{FEFF}}]', '', 'g') AS s FROM documents),
+  b AS (SELECT doc_id, lang, quality, regexp_replace(regexp_replace({review_queries._HYPHEN.format(review_queries._HYPHEN.format('s'))}, '[ \\t]*\\n[ \\t]*', chr(10), 'g'), '[ \\t]{{2,}}', ' ', 'g') AS s FROM q),
+  c AS (SELECT doc_id, lang FROM b WHERE TRY_CAST(quality AS DOUBLE) >= 0.9 AND length(regexp_replace(regexp_replace(s, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) >= 200),
+  k AS (SELECT doc_id, lang FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sha1('13' || chr(9) || doc_id)) <= 40),
+  r AS (SELECT *, row_number() OVER (ORDER BY sha1('13' || chr(9) || 'cut' || chr(9) || doc_id), doc_id) - 1 AS place, count(*) OVER () AS n FROM k)
+  SELECT doc_id, lang, CASE WHEN place < CAST(floor(n * 0.75) AS BIGINT) THEN 'train' ELSE 'validation' END AS split FROM r""")
+def corpus_cut(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    share = F.round(F.length(F.regexp_replace(text, r"[^\p{L}\s]", "")) / F.length(text), 3)
+    quality = F.when(F.length(text) == 0, "none").otherwise(share.cast("string"))
+    docs = table(spark, sf_dir, "documents").filter(t.ocr_usable(quality, text)).select("doc_id", F.col("lang").alias("language"))
+    sample = planning.hash_sample(docs, spark.createDataFrame([(x, 40) for x in base.LANGUAGES], "language string, target int"), 13)
+    return planning.train_cut(sample.select("doc_id", F.col("language").alias("lang")), 13, 0.25)
+
+
+TURNS, A_LABEL = 5, 60
+
+
+@query(f"""WITH RECURSIVE {TAGGED}, {GOLD}, x AS (SELECT g.label, d.source AS bucket, g.doc_id // 10 AS issue, g.doc_id, g.token_start FROM g JOIN documents d USING (doc_id)),
+  y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY label, bucket, issue ORDER BY doc_id, token_start) = 1),
+  z AS (SELECT label, bucket, list({{'issue': issue, 'doc_id': doc_id, 'token_start': token_start}} ORDER BY doc_id, token_start) AS pool FROM y GROUP BY ALL),
+  pools AS MATERIALIZED (SELECT label, list(pool ORDER BY bucket) AS pools FROM z GROUP BY label),
+  step(label, k, seen, taken) AS (
+    SELECT label, 0, CAST([] AS BIGINT[]), CAST([] AS STRUCT(issue BIGINT, doc_id BIGINT, token_start BIGINT)[]) FROM pools
+    UNION ALL
+    SELECT label, k + 1, CASE WHEN r IS NULL THEN seen ELSE list_append(seen, r.issue) END, CASE WHEN r IS NULL THEN taken ELSE list_append(taken, r) END
+    FROM (SELECT s.*, list_filter(pools[CAST(k % len(pools) + 1 AS BIGINT)], lambda x: NOT list_contains(s.seen, x.issue))[1] AS r FROM step s JOIN pools USING (label) WHERE k < {TURNS} * len(pools) AND len(taken) < {A_LABEL})),
+  done AS (SELECT label, arg_max(taken, k) AS taken FROM step GROUP BY label), u AS (SELECT label, unnest(taken) AS t FROM done)
+  SELECT label, t.issue AS issue, t.doc_id AS doc_id, t.token_start AS token_start FROM u""")
+def issue_rounds(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    rows = bio.spans(base.tagged(spark, sf_dir), "gold").join(docs, "doc_id").select("label", "source", F.floor(F.col("doc_id") / 10).alias("issue"), "doc_id", "token_start")
+    return planning.balanced_selection_by_issue(rows, ["label", "source"], ["doc_id", "token_start"], TURNS, A_LABEL).select("label", "issue", "doc_id", "token_start")

@@ -115,7 +115,7 @@ def iob_violations(spark, sf_dir):
 
 @query(f"WITH {VIOLATIONS} SELECT violation, substr(tag, 3) AS label, count(*) AS n FROM bad WHERE violation IS NOT NULL GROUP BY ALL")
 def iob_summary(spark, sf_dir):
-    return bio.violations(base.tagged(spark, sf_dir), "predicted").groupBy("violation", F.substring("tag", 3, 1000).alias("label")).agg(F.count("*").alias("n"))
+    return bio.violations(base.tagged(spark, sf_dir), "predicted").groupBy("violation", F.substr("tag", F.lit(3)).alias("label")).agg(F.count("*").alias("n"))
 
 
 _PRF = """precision, recall, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1"""

@@ -30,10 +30,15 @@ def read_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path: str, schema: str, key: str, first: bool = True) -> DataFrame:
-    """A JSON array of entries; of those with one key the first or the last counts."""
-    rows = spark.read.schema(schema).option("multiLine", "true").json(path).withColumn("_at", F.monotonically_increasing_id())
+    """JSON arrays of entries; of those with one key the first or the last counts, by the files' paths and the places in them.
+
+    A file is read by one task, which numbers its rows in order; so the order
+    doesn't depend on how files are dealt to tasks.
+    """
+    rows = spark.read.schema(schema).option("multiLine", "true").json(path)
+    rest = [c for c in rows.columns if c != key]
+    rows = rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")).alias("_at"))
     pick = F.min_by if first else F.max_by
-    rest = [c for c in rows.columns if c not in (key, "_at")]
     return rows.groupBy(key).agg(pick(F.struct(*rest), "_at").alias("r")).select(key, "r.*")
 
 
@@ -138,12 +143,22 @@ def token_file_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.array_join(F.concat(comments, F.array(F.lit("TOKEN\tLABEL")), checked, F.array(F.lit(""))), "\n").alias("block"))
 
 
-def markdown(df: DataFrame, most: int = 200) -> str:
-    """A small aggregate as a Markdown table; thousands are separated."""
-    rows = df.limit(most).collect()
-    cell = lambda v: f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else "" if v is None else str(v).replace("|", "\\|")
-    lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join([*lines, *["| " + " | ".join(map(cell, r)) + " |" for r in rows]])
+def markdown_rows(df: DataFrame) -> DataFrame:
+    """The body of a Markdown table: df's columns and ``line``. Thousands of whole numbers are separated, null is empty."""
+
+    def cell(name: str, kind: str) -> Column:
+        text = F.format_number(name, 0) if kind in ("tinyint", "smallint", "int", "bigint") else F.col(name).cast("string")
+        return F.replace(F.coalesce(text, F.lit("")), F.lit("|"), F.lit("\\|"))
+
+    return df.withColumn("line", F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(*c) for c in df.dtypes]), F.lit(" |")))
+
+
+def markdown(df: DataFrame, most: int = 10_000) -> str:
+    """A small aggregate as a Markdown table. One of more than ``most`` rows isn't small and is an error; write ``markdown_rows`` then."""
+    rows = markdown_rows(df).select("line").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
+    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *[r["line"] for r in rows]])
 
 
 def tag_changes(before: DataFrame, after: DataFrame, radius: int = 8) -> DataFrame:
