@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .storage import salted_join, stored
 
 # Names that a secret is assigned to, and what stands between them and the secret.
-_KEYWORD = r"(?i:token|secret|password|passwd|api_key|apikey|access_key)"
+_KEYWORD = r"(?i:token|secret|password|passwd|passphrase|pwd|api[_-]?key|access[_-]?key)"
 _LEAD = _KEYWORD + r"\\*+[\"']?+\s*+(?:=>|==|:=|[=:](?![=:]))\s*+\\*+"
 # What can't be drawn another way isn't a secret (a row of asterisks).
 _DRAWABLE = r"(?=(?:[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}]){4})"
@@ -32,25 +32,31 @@ _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Fräulein", "Madame", "Mme", "Mlle", "S
 _MALE = ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "Г-н", "Κύριος")
 _EITHER = ("Dr", "Prof", "Professor", "Doktor")
 _TITLES = "|".join(sorted((*_FEMALE, *_MALE, *_EITHER), key=len, reverse=True))
-_NAME = r"\p{Lu}\p{Ll}++(?!\p{L})"
+# Parts of a name: Smith, McDonald, O'Brien, Garcia-Lopez; initials before one; or all of them in capitals.
+_CAPITAL = r"\p{Lu}(?:\p{Ll}++(?:\p{Lu}\p{Ll}++)*+|['’]\p{Lu}\p{Ll}++)"
+_PART = rf"{_CAPITAL}(?:-{_CAPITAL})*+(?!\p{{L}})"
+_INITIALS = r"(?:\p{Lu}\. ?)"
+_UPPER = r"\p{Lu}(?:['’]?\p{Lu})++(?:-\p{Lu}{2,}+)*+(?!\p{L})"
+_NAME = rf"(?:{_INITIALS}*+{_PART}(?: {_INITIALS}*+{_PART})*+|{_INITIALS}*+{_UPPER}(?: {_INITIALS}*+{_UPPER})*+)"
 # Entity types, in order of precedence, with their patterns. An assigned secret is found with its lead.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}(?![\w-])",
-    "person": rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? )++{_NAME}(?: {_NAME})*+",
-    "secret": _ASSIGNED + r"|(?<![\w-])(?:(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])|sk-[\w-]{20,}+|eyJ[\w-]{8,}+\.[\w-]{8,}+\.[\w-]{8,}+)",
+    "person": rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? )++{_NAME}",
+    "secret": _ASSIGNED + r"|(?<![\w-])(?:(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])|sk-[\w-]{20,}+|xox[abeoprs]-[\w-]{10,}+|AIza[\w-]{35}|(?i:bearer) [\w.~+/-]{16,}+=*+|eyJ[\w-]{8,}+\.[\w-]{8,}+\.[\w-]{8,}+)"
+    + r"|-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]{40,}+-----END [A-Z ]*PRIVATE KEY-----",
     "iban": r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[\w])",
     "ipv6": r"(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{2,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])",
-    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])|(?<![\w+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])|(?<![\w+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])|(?<![\w+(-])0[0-9]{2,4} [0-9]{3,4} [0-9]{3,4}(?![\w-])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w-])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![\w-])",
 }
 # A text that matches none of these has no entity.
-_HINT = rf"[@0-9]|{_KEYWORD}|AKIA|gh[pousr]_|sk-|eyJ|[a-f]{{40}}|[A-F]{{40}}|{_TITLES}"
+_HINT = rf"[@0-9]|{_KEYWORD}|AKIA|gh[pousr]_|sk-|eyJ|xox|AIza|(?i:bearer) |PRIVATE KEY|[a-f]{{40}}|[A-F]{{40}}|{_TITLES}"
 # What stays as it is at an entity's start and at its end, by type.
 _CALLING = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
-_START = {"iban": r"^[A-Z]{2}", "phone": rf"^\+(?:{_CALLING})", "secret": r"^(?:AKIA|gh[pousr]_|sk-(?:proj-)?|eyJ)"}
-_END = {"email": r"\.\p{L}+$"}
+_START = {"iban": r"^[A-Z]{2}", "phone": rf"^\+(?:{_CALLING})", "secret": r"^(?:AKIA|gh[pousr]_|sk-(?:proj-)?|eyJ|xox[abeoprs]-|AIza|-----BEGIN [A-Z ]*PRIVATE KEY-----)"}
+_END = {"email": r"\.\p{L}+$", "secret": r"-----END [A-Z ]*PRIVATE KEY-----$"}
 # Given names by gender and syllables of family names, by script.
 _GIVEN = {
     "latin": (["Anna", "Clara", "Elena", "Emma", "Julia", "Laura", "Maria", "Nora", "Paula", "Sofia", "Teresa", "Vera"], ["Adam", "Bruno", "David", "Emil", "Felix", "Hugo", "Jonas", "Leo", "Martin", "Oscar", "Paul", "Victor"]),
@@ -83,7 +89,7 @@ def _by_type(rules: dict[str, str], value: Column, kind: Column) -> Column:
 def kind_of(value: Column) -> Column:
     """The first type whose pattern is all of the value, or a name without its title; secrets are what is left."""
     tests = [F.when(value.rlike(f"^(?:{p})$"), F.lit(name)) for name, p in PATTERNS.items() if name != "secret"]
-    return F.coalesce(*tests, F.when(value.rlike(f"^{_NAME}(?: {_NAME})+$"), F.lit("person")), F.lit("secret"))
+    return F.coalesce(*tests, F.when(value.rlike(f"^{_NAME}$") & value.contains(" "), F.lit("person")), F.lit("secret"))
 
 
 def identity(value: Column, kind: Column) -> Column:
@@ -162,7 +168,10 @@ def with_surrogates(mentions: DataFrame, secret_key: str) -> DataFrame:
     rows = rows.withColumn("_drawn", F.array_join(placed, ""))
     octets = F.array_join(F.transform(F.array(*map(F.lit, range(4))), lambda i: (_number(key, i, F.lit(223)) + 1).cast("string")), ".")
     given = F.concat_ws(" ", _pick(F.col("_pool"), key, 0), *[F.when(draw >= least, _pick(F.col("_pool"), key, k)) for k, least in enumerate(MORE_NAMES, 1)])
-    family = F.initcap(F.concat(*[_pick(F.col("_pool"), key, i) for i in range(1, 6)]))
+    given = F.when(value.rlike(rf"^{_INITIALS}+$"), F.regexp_replace(given, r"(\p{L})\p{L}*+", "$1.")).otherwise(given)
+    syllables = lambda places: F.initcap(F.concat(*[_pick(F.col("_pool"), key, i) for i in places]))
+    family = F.when(value.contains("-"), F.concat(syllables(range(1, 6)), F.lit("-"), syllables(range(6, 9)))).otherwise(syllables(range(1, 6)))
+    shouted = kind.isin("family", "given") & value.rlike(r"\p{Lu}.*\p{Lu}") & ~value.rlike(r"\p{Ll}")
     body = (
         F.when(kind == "ip", octets)
         .when(kind == "family", family)
@@ -171,6 +180,7 @@ def with_surrogates(mentions: DataFrame, secret_key: str) -> DataFrame:
         .when(kind == "iban", _iban_checked(F.col("_start"), F.col("_drawn")))
         .otherwise(F.col("_drawn"))
     )
+    body = F.when(shouted, F.upper(body)).otherwise(body)
     new = F.when(draw < 0, F.concat(F.lit("["), kind, F.lit("-"), F.substring(key, 1, 16), F.lit("]"))).otherwise(F.concat("_start", body, "_end"))
     return rows.withColumn("surrogate", new).drop("_key", "_start", "_end", "_pool", "_middle", "_hex", "_drawn")
 
@@ -202,6 +212,30 @@ def draw_surrogates(entities: DataFrame, secret_key: str) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
+def _guessed_gender(given: Column) -> Column:
+    """1 for a given name that is known for a woman's or ends as most of them do, 0 for one known for a man's, else null."""
+    first = F.lower(F.regexp_extract(given, r"^\p{L}+", 0))
+    known = lambda k: first.isin(*[n.lower() for names in _GIVEN.values() for n in names[k]])
+    return F.when(known(1), 0).when(known(0) | first.rlike("[aаα]$"), 1)
+
+
+def told_apart(parts: DataFrame) -> DataFrame:
+    """Given names that titles give both genders become entities of each gender, for they are several persons'.
+
+    A mention without such a title is of the gender that the name has in its
+    text, if that has one.
+    """
+    told = parts.filter("kind = 'given' and female is not null").groupBy("entity").agg(F.min("female").alias("low"), F.max("female").alias("high"))
+    torn = stored(told.filter("low <> high").select("entity", F.lit(True).alias("torn")), "torn")
+    if torn.isEmpty():
+        return parts
+    met = salted_join(parts.filter("kind = 'given'"), torn, ["entity"], "at", "left")
+    low, high = (f"{f}(female) over (partition by at, entity)" for f in ("min", "max"))
+    met = met.withColumn("female", F.expr(f"case when torn then coalesce(female, case when {low} = {high} then {low} end) else female end"))
+    met = met.withColumn("entity", F.when(F.col("torn"), F.concat_ws("|", "entity", F.coalesce(F.col("female").cast("string"), F.lit("")))).otherwise(F.col("entity")))
+    return stored(parts.filter("kind <> 'given'").unionByName(met.select(*parts.columns)), "apart")
+
+
 def entity_key(secret_key: str, draw: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(secret_key), F.col("kind"), F.col("entity"), draw.cast("string")), 256)
 
@@ -239,19 +273,21 @@ def replace_private(docs: DataFrame, secret_key: str) -> DataFrame:
     has = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(pattern), F.lit(False))
     clean = docs.filter(~has).withColumn("n_replaced", F.lit(0).cast("long"))
     row = F.struct(*columns).alias("row")
+    # titled names of two or more parts, the longest first
     named = F.filter(F.transform(F.regexp_extract_all("text", F.lit(PATTERNS["person"]), F.lit(0)), lambda m: F.regexp_replace(m, rf"^(?:(?:{_TITLES})\.? )+", "")), lambda m: m.contains(" "))
     longest = F.transform(F.array_sort(F.transform(F.array_distinct(named), lambda m: F.struct((-F.length(m)).alias("n"), m.alias("m")))), lambda x: x["m"])
     found = docs.filter(has).select(row, F.monotonically_increasing_id().alias("at"), F.col("text").alias("_text"), longest.alias("names"))
-    own = F.concat(F.lit(pattern + r"|(?<!\p{L})(?:"), F.array_join("names", "|"), F.lit(r")(?!\p{L})"))
+    own = F.concat(F.lit(pattern + r"|(?<!\p{L})(?:"), F.array_join(F.transform("names", lambda m: F.concat(F.lit("\\Q"), m, F.lit("\\E"))), "|"), F.lit(r")(?!\p{L})"))
     cut = lambda p: F.struct(F.split("_text", p, -1).alias("gaps"), F.regexp_extract_all("_text", p, F.lit(0)).alias("mentions"))
     found = found.withColumn("cut", F.when(F.size("names") > 0, cut(own)).otherwise(cut(F.lit(pattern)))).select("row", "at", "cut.*")
     found = stored(found, "private")
-    mentions = found.select("at", F.posexplode("mentions").alias("i", "whole")).withColumn("lead", F.regexp_extract("whole", f"^{_LEAD}[\"']?", 0))
+    mentions = found.select("at", F.posexplode("mentions").alias("i", "whole")).withColumn("lead", F.regexp_extract("whole", f"^(?:{_LEAD}[\"']?|(?i:bearer) )", 0))
     mentions = mentions.withColumn("mention", F.substr("whole", F.length("lead") + 1)).drop("whole").withColumn("is", kind_of(F.col("mention")))
     parts = mentions.select("at", "i", F.col("lead").alias("before"), F.posexplode(_entities_of(F.col("mention"), F.col("is"))).alias("j", "e"))
     parts = parts.select("at", "i", "j", F.when(F.col("j") == 0, F.concat("before", "e.lead")).otherwise(F.col("e.lead")).alias("lead"), "e.kind", "e.entity", "e.value", "e.female")
-    parts = stored(parts, "mentions")
+    parts = told_apart(stored(parts, "mentions"))
     entities = parts.groupBy("kind", "entity").agg(F.min("value").alias("value"), F.max("female").alias("female"))
+    entities = entities.withColumn("female", F.coalesce("female", F.when(F.col("kind") == "given", _guessed_gender(F.col("value")))))
     drawn = stored(draw_surrogates(stored(entities, "entities"), secret_key), "draws")
     renamed = with_surrogates(salted_join(parts.drop("female"), drawn, ["kind", "entity"], "at"), secret_key).select("at", "i", "j", F.concat("lead", "surrogate").alias("new"))
     in_order = lambda key: F.transform(F.sort_array(F.collect_list(F.struct(key, "new"))), lambda x: x["new"])

@@ -852,3 +852,36 @@ def test_components_are_those_of_a_search_however_edges_are_dealt(spark, part):
     words = [("b", "a"), ("c", "b"), ("e", "d")]
     assert sorted(map(tuple, set_join.components(spark.createDataFrame(words, "a string, b string"), part_edges=part).collect())) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
     assert set_join.components(spark.createDataFrame([], "a long, b long"), part_edges=part).collect() == []
+
+
+def test_names_of_both_genders_and_of_any_form_get_their_like(spark):
+    she, he = pii._GIVEN["latin"]
+    texts = [
+        "Mr Kim Lee and Ms Kim Lee, then Kim Lee",
+        "Ms Kim Lee wrote; Kim Lee signed",
+        "Dr. Anna Weber met Prof. Felix Stone",
+        "Mr O'Brien and Mrs McDonald",
+        "Mr JOHN SMITH, Mr John Smith, JOHN SMITH",
+        "Mr. J. Smith and Mr García-López",
+        "passphrase=hunter2hunter2 pwd=swordfish99 Authorization: Bearer abcDEF123456ghiJKL789== end",
+        "xoxb-123456789012-abcdefABCDEF and AIza" + "a1B2c" * 7 + " call 020 7183 8750.",
+        "-----BEGIN RSA PRIVATE KEY-----\n" + "MIIEpAIBAAKCAQEA\n" * 5 + "-----END RSA PRIVATE KEY----- done",
+        "Mr J. Smith wrote. Jx Smith did not. J. Smith did.",
+    ]
+    got = [r["text"] for r in pii.replace_private(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mr (\w+) (\w+) and Ms (\w+) (\w+), then (\w+) (\w+)", got[0])
+    assert m[1] in he and m[3] in she and m[2] == m[4] == m[6] and m[5] not in (m[1], m[3])
+    w = re.fullmatch(r"Ms (\w+) (\w+) wrote; (\w+) (\w+) signed", got[1])
+    assert (w[1], w[2]) == (w[3], w[4]) == (m[3], m[4])
+    d = re.fullmatch(r"Dr\. (\w+) (\w+) met Prof\. (\w+) (\w+)", got[2])
+    assert d[1] in she and d[3] in he and d[2] != "Weber"
+    assert re.fullmatch(r"Mr \w+ and Mrs \w+", got[3]) and "Brien" not in got[3] and "Donald" not in got[3]
+    j = re.fullmatch(r"Mr ([A-Z]+) ([A-Z]+), Mr (\w+) (\w+), ([A-Z]+) ([A-Z]+)", got[4])
+    assert j[1] == j[5] == j[3].upper() and j[2] == j[6] == j[4].upper() and j[2] != "SMITH"
+    i = re.fullmatch(r"Mr\. ([A-Z]\.) (\w+) and Mr (\w+)-(\w+)", got[5])
+    assert i[2] == j[4] and "García" not in got[5] and "López" not in got[5]
+    assert not re.search("hunter2|swordfish|abcDEF", got[6]) and re.search(r"Authorization: Bearer \w{12,}.*== end", got[6])
+    assert got[7].startswith("xoxb-") and "AIza" in got[7] and "123456789012" not in got[7] and "a1B2c" not in got[7] and "7183" not in got[7]
+    assert got[8].startswith("-----BEGIN RSA PRIVATE KEY-----\n") and got[8].endswith("-----END RSA PRIVATE KEY----- done") and "MIIE" not in got[8]
+    x = re.fullmatch(r"Mr ([A-Z]\.) (\w+) wrote\. Jx Smith did not\. ([A-Z]\.) (\w+) did\.", got[9])
+    assert (x[1], x[2]) == (x[3], x[4])
