@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
@@ -12,20 +13,28 @@ _SPACE = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
 _TOKEN = r"(?:[\p{L}\p{Nl}\p{No}]+|\p{Nd}+|_+|[^\p{L}\p{N}_\s\x0B\x1c-\x1f\x85\p{Z}])"
 
 
+@cache
+def _pieces():
+    import regex
+
+    return regex.compile(f"{_SPACE}*({_TOKEN})")
+
+
+def token_pieces(text: str) -> Iterator[tuple[str, int, int]]:
+    """Each token with its start and stop."""
+    pieces, at = _pieces(), 0
+    while found := pieces.match(text, at):
+        yield found.group(1), found.start(1), found.end(1)
+        at = found.end()
+
+
 @udtf(returnType="i int, token string, start int, stop int", useArrow=True)
 class TokensOf:
     """``tokens_of(text)``: a row for each token, with offsets from 0 and half open. Null and empty texts have none."""
 
-    def __init__(self):
-        import regex
-
-        self.pieces = regex.compile(f"{_SPACE}*({_TOKEN})")
-
     def eval(self, text: str) -> Iterator[tuple]:
-        at, i = 0, 0
-        while found := self.pieces.match(text or "", at):
-            yield i, found.group(1), found.start(1), found.end(1)
-            at, i = found.end(), i + 1
+        for i, piece in enumerate(token_pieces(text or "")):
+            yield i, *piece
 
 
 @udtf(returnType="`window` int, low int, high int", useArrow=True)

@@ -169,6 +169,12 @@ def json_string(c: Column) -> Column:
     return F.concat(F.lit('"'), F.when(plain, c).otherwise(F.array_join(F.transform(F.split(c, ""), one), "")), F.lit('"'))
 
 
+def json_string_kept(c: Column) -> Column:
+    """A JSON string whose characters stay as they are, but for quotes, backslashes and control characters. Null says null."""
+    whole = F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
+    return F.substr(whole, F.lit(6), F.length(whole) - 6)
+
+
 def json_object(**parts: Column) -> Column:
     """A compact JSON object with its keys in order; the parts are JSON already, null ones say null."""
     pairs = [F.concat(F.lit(f'"{k}":'), F.coalesce(parts[k], F.lit("null"))) for k in sorted(parts)]

@@ -233,8 +233,9 @@ def merged_sources(spark, sf_dir):
     return spans.merged_sources(rows.repartition("doc_id")).withColumn("sources", F.array_join("sources", ","))
 
 
-@query(f"""WITH {TAGGED}, {GOLD}, s AS (SELECT doc_id, label, start, stop + CASE WHEN token_start % 4 = 0 THEN 1 ELSE 0 END AS stop FROM g)
-  SELECT s.doc_id, s.label, s.start, s.stop, a.i AS token_start, b.i + 1 AS token_stop, a.i IS NOT NULL AND b.i IS NOT NULL AS aligned FROM s LEFT JOIN tok a ON a.doc_id = s.doc_id AND a.start = s.start LEFT JOIN tok b ON b.doc_id = s.doc_id AND b.stop = s.stop""")
+@query(f"""WITH {TAGGED}, {GOLD}, s AS (SELECT doc_id, label, start, stop + CASE WHEN token_start % 4 = 0 THEN 1 ELSE 0 END AS stop FROM g),
+  a AS MATERIALIZED (SELECT s.*, tok.i AS token_start FROM s LEFT JOIN tok ON tok.doc_id = s.doc_id AND tok.start = s.start)
+  SELECT a.doc_id, a.label, a.start, a.stop, a.token_start, b.i + 1 AS token_stop, a.token_start IS NOT NULL AND b.i IS NOT NULL AS aligned FROM a LEFT JOIN tok b ON b.doc_id = a.doc_id AND b.stop = a.stop""")
 def char_spans_to_tokens(spark, sf_dir):
     moved = gold(spark, sf_dir).select("doc_id", "label", "start", (F.col("stop") + (F.col("token_start") % 4 == 0).cast("int")).alias("stop"))
     return spans.to_tokens(moved, base.tokens(spark, sf_dir)).select("doc_id", "label", "start", "stop", "token_start", "token_stop", "aligned")

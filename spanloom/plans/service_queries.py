@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import tables
 from spanloom.functions import text as t
-from spanloom.operators import bio, dictionary, edits, evaluate, planning, sets, spans, tokens
+from spanloom.operators import bio, dictionary, edits, evaluate, export, planning, sets, spans, tokens
 from spanloom.sources import files
 from spanloom.sources.scratch import work_folder
 from spanloom.streaming import decisions as stream
@@ -390,3 +390,48 @@ def issue_rounds(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     rows = bio.spans(base.tagged(spark, sf_dir), "gold").join(docs, "doc_id").select("label", "source", F.floor(F.col("doc_id") / 10).alias("issue"), "doc_id", "token_start")
     return planning.balanced_selection_by_issue(rows, ["label", "source"], ["doc_id", "token_start"], TURNS, A_LABEL).select("label", "issue", "doc_id", "token_start")
+
+
+# export of reviewed documents: their gold spans, of which many are stale, and one that only a match shows
+
+_STATUS = "CASE WHEN quality = 1 AND toxic = 1 THEN 'auto_accepted' WHEN quality = 1 THEN 'accepted' WHEN toxic = 1 THEN 'rejected' ELSE 'todo' END"
+_TOK2 = TOK.replace("tok AS MATERIALIZED", "tok2 AS MATERIALIZED").replace("FROM documents", "FROM shown")
+
+
+@query(f"""WITH {TAGGED}, {GOLD}, r AS (SELECT doc_id, d.lang, d.source, coalesce(d.text, '') AS text, {_STATUS} AS status FROM documents d JOIN labels USING (doc_id)),
+  shown AS MATERIALIZED (SELECT doc_id, lang, source, status, text || CASE WHEN status <> 'rejected' THEN chr(10) || '...' || chr(10) || 'from ' || source || ' desk' ELSE '' END AS text, length(text) AS n FROM r WHERE status <> 'todo'), {_TOK2},
+  s AS MATERIALIZED (SELECT g.doc_id, g.label, g.token_start, g.token_stop, substr(x.text, g.start + 1, g.stop - g.start) AS surface, g.start, g.stop, x.text FROM g JOIN (SELECT doc_id, text FROM shown WHERE status <> 'rejected') x ON x.doc_id = g.doc_id),
+  p AS (SELECT doc_id, label, start, stop FROM s WHERE token_start % 4 <> 3
+    UNION ALL SELECT doc_id, label, length(split_part(text, surface, 1)), length(split_part(text, surface, 1)) + length(surface) FROM s WHERE token_start % 4 = 3 AND len(string_split(text, surface)) = 2
+    UNION ALL SELECT doc_id, '{ALPHA}', n + 10, n + 10 + length(source) FROM shown WHERE status <> 'rejected'),
+  o AS MATERIALIZED (SELECT p.*, a.i AS token_start FROM p JOIN tok2 a ON a.doc_id = p.doc_id AND a.start = p.start),
+  q AS (SELECT DISTINCT o.doc_id, o.label, o.start, o.stop, o.token_start, b.i + 1 AS token_stop FROM o JOIN tok2 b ON b.doc_id = o.doc_id AND b.stop = o.stop),
+  f AS (SELECT doc_id, count(*) AS n_spans, string_agg(label || '@' || token_start || '-' || token_stop, ',' ORDER BY token_start, label) AS spans, CAST(sum(token_stop - token_start) AS BIGINT) AS tagged FROM q GROUP BY doc_id),
+  c AS (SELECT doc_id, count(*) AS tokens FROM tok2 GROUP BY doc_id)
+  SELECT x.doc_id, x.status = 'rejected' AS negative, md5(x.text) AS digest, coalesce(c.tokens, 0) AS tokens, coalesce(f.n_spans, 0) AS n_spans, coalesce(f.spans, '') AS spans, coalesce(f.tagged, 0) AS tagged,
+    count(*) OVER (PARTITION BY x.doc_id // 2) > 1 AS suffixed FROM shown x LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id)""")
+def exported_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    good, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    status = F.when(good & toxic, "auto_accepted").when(good, "accepted").when(toxic, "rejected").otherwise("todo")
+    docs = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), status.alias("status"))
+    found = bio.spans(base.tagged(spark, sf_dir), "gold").join(docs.select("doc_id", "text"), "doc_id")
+    kind = F.col("token_start") % 4  # as they are; tokens are stale; only tokens; only the surface
+    off, gone = F.when(kind == 1, 1).otherwise(0), F.when(kind == 3, F.lit(-1))
+    number = lambda c: c.cast("int")
+    one = F.struct(
+        "label",
+        F.substr("text", number(F.col("start") + 1), number(F.col("stop") - F.col("start"))).alias("surface"),
+        number(F.when(kind != 2, F.coalesce(gone, F.col("start")))).alias("start"),
+        number(F.when(kind != 2, F.coalesce(gone, F.col("stop")))).alias("stop"),
+        number(F.coalesce(gone, F.col("token_start") + off)).alias("token_start"),
+        number(F.coalesce(gone, F.col("token_stop") + off)).alias("token_stop"),
+    )
+    spans_of = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("own"))
+    extra = F.array(F.struct(F.lit(ALPHA).alias("label"), F.col("source").alias("surface"), *[F.lit(-1).alias(c) for c in ("start", "stop", "token_start", "token_stop")]))
+    match = F.array(F.concat(F.lit(" <b>from</b> "), "source", F.lit(" <i>desk</i>")))
+    rows = docs.join(spans_of, "doc_id", "left").select(F.concat(F.lit("doc-"), F.floor(F.col("doc_id") / 2).cast("string")).alias("id"), "doc_id", "text", "status", match.alias("matches"), F.concat(F.coalesce("own", F.slice(extra, 1, 0)), extra).alias("spans"))
+    out = export.export_rows(rows, narrowed=export.ELIDED).filter("fault is null")
+    listed = F.transform(F.array_sort(F.transform("spans", lambda s: F.struct(s["token_start"].alias("a"), s["label"].alias("l"), s["token_stop"].alias("b")))), lambda s: F.concat(s["l"], F.lit("@"), s["a"].cast("string"), F.lit("-"), s["b"].cast("string")))
+    tagged = F.size(F.filter("labels", lambda x: x != "O"))
+    return out.select("doc_id", "negative", F.md5("text").alias("digest"), F.size("tokens").alias("tokens"), F.size("spans").alias("n_spans"), F.array_join(listed, ",").alias("spans"), tagged.alias("tagged"), (F.col("id") != F.col("source_id")).alias("suffixed"))

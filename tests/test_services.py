@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import tables
 from spanloom.functions import text as t
-from spanloom.operators import dictionary, edits, evaluate, planning, sets, spans
+from spanloom.operators import dictionary, edits, evaluate, export, planning, sets, spans
 from spanloom.sources import files
 from spanloom.streaming import decisions as stream
 
@@ -255,3 +255,44 @@ def test_issues_are_taken_once_in_turns(spark):
                 seen.add((label, row[1]))
     drawn = planning.balanced_selection_by_issue(spark.createDataFrame(rows, "label string, bucket string, issue int, k int"), ["label", "bucket"], ["k"], 3, 5).collect()
     assert {x: sorted(r["k"] for r in drawn if r["label"] == x) for x in "lm"} == {x: sorted(v) for x, v in taken.items()}
+
+
+def test_reviewed_rows_are_exported_with_placed_spans(spark):
+    span = lambda label, surface, *at: (label, surface, *at)
+    text = "Havas says. Havas ends, Reuter too"
+    cases = {
+        "exact": ("accepted", text, [span("l", "Havas", 0, 5, 0, 1), span("l", "Havas", 0, 5, 0, 1)], []),
+        "stale tokens": ("accepted", text, [span("l", "Havas", 12, 17, 9, 10)], None),
+        "tokens only": ("auto_accepted", text, [span("org.ent.pressagency.reuter", None, None, None, 6, 7)], []),
+        "surface": ("accepted", text, [span("l", "Reuter", -1, -1, -1, -1), span("l", "Havas", -1, -1, -1, -1)], []),
+        "fragment": ("accepted", "nothing", [span("l", "Wolff", 3, 2, 0, 1), span("l", "Wolff", 0, 1, -1, -1)], ["<b>by</b> Stefani", " <em>by Wolff</em>, Paris "]),
+        "no place": ("accepted", text, [span("l", "absent", -1, -1, -1, -1), span("l", "Havas", -1, 4, None, None)], []),
+        "negative": ("rejected", text, [span("l", "Havas", 0, 5, 0, 1)], []),
+        "empty": ("accepted", text, [], []),
+        "waiting": ("todo", text, [span("l", "Havas", 0, 5, 0, 1)], []),
+        "elided": ("accepted", "selon l'agence Havas", [span("org.ent.pressagency.x", "l'agence Havas", 6, 20, 1, 5)], []),
+        "null": ("rejected", None, None, None),
+    }
+    schema = "id string, text string, status string, matches array<string>, spans array<struct<label:string,surface:string,start:int,stop:int,token_start:int,token_stop:int>>, lang string, fault string"
+    rows = [(k, x, status, matches, spans_, "fr", "own") for k, (status, x, spans_, matches) in cases.items()]
+    found = {r["id"]: r for r in export.export_rows(spark.createDataFrame(rows, schema), narrowed=export.ELIDED).collect()}
+    got = {k: sorted((s["label"], s["start"], s["stop"], s["token_start"], s["token_stop"]) for s in r["spans"]) for k, r in found.items()}
+    assert got == {
+        "exact": [("l", 0, 5, 0, 1)],
+        "stale tokens": [("l", 12, 17, 3, 4)],
+        "tokens only": [("org.ent.pressagency.reuters", 24, 30, 6, 7)],
+        "surface": [("l", 24, 30, 6, 7)],
+        "fragment": [("l", 15, 20, 5, 6)],
+        "no place": [],
+        "negative": [],
+        "elided": [("org.ent.pressagency.x", 8, 20, 3, 5)],
+        "null": [],
+    }
+    assert {k: r["fault"] for k, r in found.items() if r["fault"]} == {"no place": "no_valid_span"}
+    assert found["fragment"]["text"] == "nothing\n...\nby Wolff, Paris" and found["exact"]["labels"] == ["B-l"] + ["O"] * 7
+    assert found["elided"]["labels"] == ["O", "O", "O", "B-org.ent.pressagency.x", "I-org.ent.pressagency.x"] and found["negative"]["negative"]
+    same = [("a", text, "rejected", None, None, "fr", None)] * 2 + [("a", "other", "rejected", None, None, "fr", None), ("b", text, "rejected", None, None, "fr", None), ("b", text, "rejected", None, None, "de", None)]
+    twice = export.export_rows(spark.createDataFrame(same, schema)).collect()
+    payload = json.dumps({"id": "a", "text": text, "spans": []}, ensure_ascii=False, sort_keys=True)
+    assert f"a#snippet-{hashlib.sha1(payload.encode()).hexdigest()[:10]}" in {r["id"] for r in twice}
+    assert sorted((r["source_id"], r["fault"] or "") for r in twice) == [("a", ""), ("a", ""), ("b", "conflict")]
