@@ -276,11 +276,12 @@ LABELS = ["O", "B-X", "I-X", "B-Y", "I-Y"]
 
 
 def _emissions(spark, sf_dir):
-    at = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda p: F.transform(F.slice("embedding", p * 5 + 1, F.lit(5)), lambda x: x.cast("double")))
+    scores = F.concat(F.transform("embedding", lambda x: x.cast("double")), F.array(F.lit(0.0)))  # 64 scores and a zero: 13 positions of 5 labels
+    at = F.transform(F.sequence(F.lit(0), F.lit(12)), lambda p: F.slice(scores, p * 5 + 1, F.lit(5)))
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), at.alias("scores"))
 
 
-_EM = """em AS MATERIALIZED (SELECT vec_id AS doc_id, CAST(p AS BIGINT) AS i, list_transform(embedding[p * 5 + 1:p * 5 + 5], lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings, range(0, 12) t(p)),
+_EM = """em AS MATERIALIZED (SELECT vec_id AS doc_id, CAST(p AS BIGINT) AS i, list_append(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), 0.0::DOUBLE)[p * 5 + 1:p * 5 + 5] AS s FROM embeddings, range(0, 13) t(p)),
   tags(k, tag) AS (VALUES (1, 'O'), (2, 'B-X'), (3, 'I-X'), (4, 'B-Y'), (5, 'I-Y')),
   moves AS MATERIALIZED (SELECT a.k AS f, b.k AS t FROM tags a, tags b WHERE CASE WHEN b.tag LIKE 'I-%' THEN a.tag <> 'O' AND substr(a.tag, 3) = substr(b.tag, 3) WHEN b.tag LIKE 'B-%' THEN a.tag = 'O' OR substr(a.tag, 3) <> substr(b.tag, 3) ELSE true END)"""
 _ARG = "argmax AS (SELECT doc_id, i, list_extract(['O', 'B-X', 'I-X', 'B-Y', 'I-Y'], list_position(s, list_max(s))) AS tag FROM em)"
@@ -289,7 +290,7 @@ _VIT = """step(doc_id, i, k, score, path) AS (
   UNION ALL
   SELECT doc_id, i, t, score, path FROM (SELECT e.doc_id, e.i, m.t, p.score + e.s[m.t] AS score, list_append(p.path, m.t) AS path, row_number() OVER (PARTITION BY e.doc_id, m.t ORDER BY p.score DESC, m.f) AS rn
     FROM step p JOIN em e ON e.doc_id = p.doc_id AND e.i = p.i + 1 JOIN moves m ON m.f = p.k) WHERE rn = 1
-), best AS (SELECT doc_id, path FROM step WHERE i = 11 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, k) = 1),
+), best AS (SELECT doc_id, path FROM step WHERE i = 12 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, k) = 1),
 viterbi AS (SELECT doc_id, CAST(generate_subscripts(path, 1) - 1 AS BIGINT) AS i, list_extract(['O', 'B-X', 'I-X', 'B-Y', 'I-Y'], unnest(path)) AS tag FROM best)"""
 
 

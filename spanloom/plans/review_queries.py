@@ -41,13 +41,14 @@ def predicted(spark, sf_dir):
 # rows and their text
 
 
-@query("""SELECT doc_id, 'candidate-' || lpad(CAST(doc_id AS VARCHAR), 6, '0') AS candidate, length(s) AS n_chars, md5(s) AS digest FROM (SELECT doc_id,
-  CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN source || ' ... ' || lang WHEN 2 THEN source ELSE lang END AS s FROM documents)""")
+@query("""SELECT doc_id, kind, 'candidate-' || lpad(CAST(doc_id AS VARCHAR), 6, '0') AS candidate, length(s) AS n_chars, md5(s) AS digest FROM (SELECT doc_id, kind,
+  CASE WHEN kind = 0 AND regexp_matches(text, '\\S') THEN text WHEN kind = 1 THEN source || ' ... ' || lang WHEN kind = 2 THEN source ELSE lang END AS s FROM documents, (VALUES (0), (1), (2), (3)) k(kind))""")
 def row_text_resolution(spark, sf_dir):
-    k, none = F.col("doc_id") % 4, F.lit(None).cast("string")
+    k, none = F.col("kind"), F.lit(None).cast("string")  # each document with each of the fields that may hold its text
     matches = F.when(k == 1, F.array(F.concat(F.lit("<em>"), "source", F.lit("</em>")), F.lit(" \t"), F.concat(F.lit(" "), F.col("lang"), F.lit("<br>"))))
     text = t.row_text(F.when(k == 0, F.col("text")).when(k == 1, F.lit(" \n")), matches, F.when(k == 2, F.col("source")).when(k == 3, F.lit("\t")), F.col("lang"))
-    return table(spark, sf_dir, "documents").select("doc_id", t.candidate_id(F.col("doc_id"), none, F.lit("  ")).alias("candidate"), F.length(text).alias("n_chars"), F.md5(text).alias("digest"))
+    docs = table(spark, sf_dir, "documents").withColumn("kind", F.explode(F.array(*map(F.lit, range(4)))))
+    return docs.select("doc_id", "kind", t.candidate_id(F.col("doc_id"), none, F.lit("  ")).alias("candidate"), F.length(text).alias("n_chars"), F.md5(text).alias("digest"))
 
 
 _HYPHEN = "regexp_replace({}, '([\\p{{L}}\\p{{N}}_])[\\-‐-‒–]\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g')"
@@ -71,14 +72,13 @@ def notes_and_dates(spark, sf_dir):
     return rows.select("doc_id", "n.transcript", "n.distance", "breaks", "year")
 
 
-@query("""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+') AS w FROM documents), x AS (SELECT doc_id, w[1] AS a, w[2] AS b, w[3] AS c FROM w WHERE len(w) >= 3)
-  SELECT doc_id, a || '. ' || b || ' ' || c AS surface FROM x""")
+@query("""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+') AS w FROM documents), x AS (SELECT doc_id, w FROM w WHERE len(w) > 0)
+  SELECT doc_id, len(w) AS words, md5(array_to_string(w, ' ')) AS surface FROM x""")
 def highlight_surfaces(spark, sf_dir):
     w = F.regexp_extract_all("text", F.lit("[a-zA-Z]+"), F.lit(0))
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.slice(w, 1, 3).alias("w")).filter("size(w) = 3")
-    part = lambda k: F.get("w", F.lit(k))
-    marked = F.concat(F.lit("so <em>"), part(0), F.lit("</em>. <em>"), part(1), F.lit("</em> and <em>"), part(2), F.lit("</em> on"))
-    return rows.select("doc_id", t.highlighted(marked).alias("surface"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", w.alias("w")).filter("size(w) > 0")
+    marked = F.concat(F.lit("so <em>"), F.array_join("w", "</em> and <em>"), F.lit("</em> on"))
+    return rows.select("doc_id", F.size("w").alias("words"), F.md5(t.highlighted(marked)).alias("surface"))
 
 
 @query("""WITH n AS (SELECT page_id, trim(regexp_replace(lower(replace(url, '’', '''')), '[^0-9a-zà-öø-ÿ]+', ' ', 'g')) AS form, url FROM pages)
@@ -596,11 +596,12 @@ def subtoken_targets(spark, sf_dir):
 
 
 LABELS = ["O", "B-X", "I-X", "B-Y", "I-Y"]
-_POSITIONS = "em AS (SELECT vec_id AS doc_id, p // 2 AS word, p % 2 AS sub, list_transform(embedding[p * 5 + 1:p * 5 + 5], lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings, range(0, 12) t(p))"
+_POSITIONS = "em AS (SELECT vec_id AS doc_id, p // 2 AS word, p % 2 AS sub, list_concat(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), [0.0::DOUBLE, 0, 0, 0, 0, 0])[p * 5 + 1:p * 5 + 5] AS s FROM embeddings, range(0, 14) t(p))"
 
 
 def _positions(spark, sf_dir):
-    at = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda p: F.transform(F.slice("embedding", p * 5 + 1, F.lit(5)), lambda x: x.cast("double")))
+    scores = F.concat(F.transform("embedding", lambda x: x.cast("double")), F.array_repeat(F.lit(0.0), 6))  # 64 scores and zeros: 14 positions of 5 labels
+    at = F.transform(F.sequence(F.lit(0), F.lit(13)), lambda p: F.slice(scores, p * 5 + 1, F.lit(5)))
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.posexplode(at).alias("p", "scores"))
     return rows.select("doc_id", F.floor(F.col("p") / 2).alias("word"), (F.col("p") % 2).alias("sub"), "scores")
 
@@ -612,14 +613,14 @@ def word_emissions(spark, sf_dir):
     return words.select("doc_id", "word", F.posexplode("scores").alias("label", "score")).withColumn("score", F.round("score", 6))
 
 
-@query(f"""WITH {_POSITIONS}, e AS (SELECT doc_id, word, list_transform(s, lambda x: exp(x)) AS e FROM em WHERE sub = 0), p AS (SELECT doc_id, word, list_transform(e, lambda x: x / list_sum(e)) AS p FROM e),
-  m AS (SELECT doc_id, word, p, p[2] + p[3] - greatest(p[1], p[4] + p[5]) AS margin, list_position(p, list_max(p)) AS best, list_max(p[2:5]) AS other FROM p)
-  SELECT doc_id, word, round(margin, 6) AS margin, list_extract(['O', 'B-X', 'I-X', 'B-Y', 'I-Y'], CASE WHEN best = 1 AND other > 0.25 THEN list_position(p, other) ELSE best END) AS tag FROM m""")
+@query(f"""WITH {_POSITIONS}, e AS (SELECT doc_id, word, sub, list_transform(s, lambda x: exp(x)) AS e FROM em), p AS (SELECT doc_id, word, sub, list_transform(e, lambda x: x / list_sum(e)) AS p FROM e),
+  m AS (SELECT doc_id, word, sub, p, p[2] + p[3] - greatest(p[1], p[4] + p[5]) AS margin, list_position(p, list_max(p)) AS best, list_max(p[2:5]) AS other FROM p)
+  SELECT doc_id, word, sub, round(margin, 6) AS margin, list_extract(['O', 'B-X', 'I-X', 'B-Y', 'I-Y'], CASE WHEN best = 1 AND other > 0.25 THEN list_position(p, other) ELSE best END) AS tag FROM m""")
 def label_margins(spark, sf_dir):
-    rows = _positions(spark, sf_dir).filter("sub = 0")
+    rows = _positions(spark, sf_dir)
     total = F.aggregate("scores", F.lit(0.0), lambda s, x: s + F.exp(x))
     rows = rows.withColumn("total", total).withColumn("logs", F.transform("scores", lambda x: x - F.log("total")))
-    return rows.select("doc_id", "word", F.round(evaluate.label_margin(F.col("logs"), LABELS, "X"), 6).alias("margin"), evaluate.suggested_tag(F.col("logs"), LABELS, 0.25).alias("tag"))
+    return rows.select("doc_id", "word", "sub", F.round(evaluate.label_margin(F.col("logs"), LABELS, "X"), 6).alias("margin"), evaluate.suggested_tag(F.col("logs"), LABELS, 0.25).alias("tag"))
 
 
 # files
