@@ -167,7 +167,12 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
-    """Fit on all folds of ``docs`` but one and predict every row: doc_id, held_out, lang_pred, score, ambiguous."""
+    """Fit on all folds of ``docs`` but one and predict every row: doc_id, held_out, lang_pred, score, ambiguous.
+
+    Null texts and languages teach nothing; a null doc_id isn't held out; null
+    texts are ``und``. Repeated rows are kept, an empty table gives no rows,
+    further columns are dropped.
+    """
     mine = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
     model = fit(docs.select("doc_id", "text", "lang").filter(~mine))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", mine.alias("held_out"), "lang_pred", "score", "ambiguous")

@@ -206,7 +206,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
     them, those of the smallest hash of doc_id. Null or empty texts pool to
     zeros and are scored like others. Null labels and null doc_ids teach
     nothing; a doc_id that repeats has as many rows, and its labels as many
-    examples. Without labels all scores are 0.5.
+    examples. Without labels all scores are 0.5. Further columns of both tables
+    are dropped; an empty table of documents gives no rows.
     """
     docs = docs.select("doc_id", "text")
     vectors = docs.sparkSession.sparkContext.broadcast(word_vectors(docs))  # BUCKETS x DIMENSIONS float32: 4 MB

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ SHARES, SHARE_ROWS = 1000, 10_000
 
 
 _OWN: dict[str, str] = {}
-#: Folders of the scratch tables in the making, the innermost last.
-_SCOPES: list[str] = []
+#: The folder of the scratch tables in the making; each thread has its own.
+_SCOPE: ContextVar[str | None] = ContextVar("spanloom_scope", default=None)
 #: Drops a job's shuffle files when it has ended: a stored table needs them no more.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -43,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{_SCOPES[-1] if _SCOPES else shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_SCOPE.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
@@ -82,11 +83,11 @@ def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> D
     """What ``make`` returns, stored; the tables that were stored on the way are deleted."""
     path = scratch_path(spark, name)
     inner = f"{path}-parts"
-    _SCOPES.append(inner)
+    before = _SCOPE.set(inner)
     try:
         return _written(make(), path)
     finally:
-        _SCOPES.pop()
+        _SCOPE.reset(before)
         _delete(spark, inner)
 
 

@@ -154,7 +154,7 @@ def write_shards(sequences: DataFrame, key: int = 1, shard_records: int = SHARD_
     length, at, slot, shard. A shard is written under a name of the attempt and
     then renamed, and one that is there already with its full size is kept, so a
     job that starts anew with the same ``folder`` goes on where it was. Empty
-    input: no shards.
+    input: no shards. Segments of repeated rows and of null doc_ids are kept.
     """
     spark = sequences.sparkSession
     folder = folder or scratch_path(spark, "shards")
@@ -227,7 +227,11 @@ def read_slots(manifest: DataFrame, start: int = 0, stop: int | None = None, sha
 
 
 def read_segments(manifest: DataFrame, segments: DataFrame, shard_records: int = SHARD_RECORDS) -> DataFrame:
-    """The segments with n_bytes read and ids_crc32 of what their shards hold, read shard by shard in order of their slots."""
+    """The segments with n_bytes read and ids_crc32 of what their shards hold, read shard by shard in order of their slots.
+
+    A row for each segment, those of repeated rows and of null doc_ids too; no
+    shards, no rows.
+    """
     kind = segments.schema["doc_id"].dataType.simpleString()
     rows = segments.join(manifest.select("shard", "path", "stride"), "shard").select("doc_id", "start", "length", "at", "slot", "shard", "path", "stride")
     tasks = max(1, manifest.count())

@@ -312,7 +312,10 @@ def records(f, wanted: dict[str, set], payloads: bool, zipped: bool) -> Iterator
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, payload: bool = True) -> DataFrame:
-    """The records of the files that a stored manifest lists; empty without files.
+    """The records of the files that a stored manifest lists, a row for each; empty without files.
+
+    A null page was written as an empty payload and is read as one; a record
+    without a refers-to header has a null there.
 
     Filters on header columns reach the source. For this the session's
     ``spark.sql.python.filterPushdown.enabled`` is switched on.

@@ -885,3 +885,24 @@ def test_names_of_both_genders_and_of_any_form_get_their_like(spark):
     assert got[8].startswith("-----BEGIN RSA PRIVATE KEY-----\n") and got[8].endswith("-----END RSA PRIVATE KEY----- done") and "MIIE" not in got[8]
     x = re.fullmatch(r"Mr ([A-Z]\.) (\w+) wrote\. Jx Smith did not\. ([A-Z]\.) (\w+) did\.", got[9])
     assert (x[1], x[2]) == (x[3], x[4])
+
+
+def test_scratch_folders_of_two_threads_are_apart(spark):
+    from threading import Barrier, Thread
+
+    met, paths = Barrier(2), {}
+
+    def run(name):
+        def make():
+            met.wait(60)
+            one = storage.stored(spark.range(3), name)
+            paths[name] = one._scratch
+            met.wait(60)
+            return one
+
+        assert storage.finished(spark, name, make).count() == 3
+
+    threads = [Thread(target=run, args=(n,)) for n in ("one", "two")]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert len(paths) == 2 and all(f"{name}-" in p.rsplit("/", 2)[1] and p.rsplit("/", 2)[1].endswith("-parts") for name, p in paths.items())
