@@ -96,7 +96,17 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(blocks: np.ndarray, names: list[int] | None = None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(names if names is not None else range(len(blocks)), pa.int32()), pa.array([b.astype("<f8").tobytes() for b in blocks], pa.binary())], names=["block", "sums"])
+    """Rows of the blocks that hold anything; most sums are small or 0, so they travel as 4 bytes each, compressed."""
+    names = range(len(blocks)) if names is None else names
+    kept = [(k, b) for k, b in zip(names, blocks, strict=True) if b.any()]
+    kinds = ["<i4" if np.abs(b).max() < 1 << 31 else "<f8" for _, b in kept]
+    data = [kind.encode() + pa.compress(b.astype(kind).tobytes(), codec="zstd", asbytes=True) for kind, (_, b) in zip(kinds, kept, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int32()), pa.array(data, pa.binary())], names=["block", "sums"])
+
+
+def _sums(data: bytes) -> np.ndarray:
+    kind, size = data[:3].decode(), BUCKETS * DIMENSIONS // BLOCKS
+    return np.frombuffer(pa.decompress(data[3:], size * np.dtype(kind).itemsize, codec="zstd"), kind).astype(np.float64)
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +114,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = np.frombuffer(data.as_buffer(), "<f8")
-            sums[block] = sums[block] + x if block in sums else x.copy()
+            x = _sums(data.as_py())
+            sums[block] = sums[block] + x if block in sums else x
     if sums:
         yield _rows(list(sums.values()), list(sums))
 
@@ -114,7 +124,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors of all buckets, from the neighbours in every row of ``docs`` and the bucket's own index vector.
 
     Sums are whole numbers, so their order doesn't matter. Each task adds up
-    its rows and two rounds add up the tasks; the table that reaches the driver
+    its rows and sends the blocks that they touch, and two rounds add up the tasks; the table that reaches the driver
     has a fixed size.
     """
     schema = "block int, sums binary"
@@ -123,7 +133,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     rows = rows.repartition(BLOCKS, "block").mapInArrow(_added, schema).collect()
     total = np.zeros((BLOCKS, BUCKETS * DIMENSIONS // BLOCKS))
     for r in rows:
-        total[r["block"]] = np.frombuffer(r["sums"], "<f8")
+        total[r["block"]] = _sums(bytes(r["sums"]))
     total = total.reshape(BUCKETS, DIMENSIONS)
     total = np.sign(total) * np.log1p(np.abs(total))
     norm = np.linalg.norm(total, axis=1, keepdims=True)
