@@ -3,19 +3,22 @@
 Texts are cut to pre-tokens where they lie. A block of documents keeps each of
 its words once, and its documents as the words' numbers in order of position.
 The words of all blocks are shuffled, each distinct one is encoded once, its ids
-are joined with the token-byte table to decode them, and what comes out is
-joined back to the blocks, which put their documents together by position.
+are joined with the token-byte table to decode them, and what comes out goes
+back with its places and is joined with the blocks, which put their documents
+together by position.
 """
 
 from __future__ import annotations
 
 import base64
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import cache
-from itertools import count
+from functools import cache, partial
+from itertools import count, islice
 from operator import methodcaller
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import stored
+from .storage import scratch_path
 
 #: Code points of a block's texts; a longer text is a block of its own.
 BLOCK_CHARS = 24_000_000
 #: Texts over this length are cut match by match, without a list of all matches.
 LONG_TEXT = 4_000_000
-#: Words of a row of a block's word list, and codes that are put together at a time.
-WORDS_A_ROW, CODES_AT_ONCE = 4096, 1 << 18
+#: Shares of words for each shuffle partition, and codes that are put together at a time.
+SHARES, CODES_AT_ONCE = 4, 1 << 18
 #: The token-byte table is broadcast up to so many tokens; a vocabulary over it is an error.
 MAX_TOKENS = 1 << 20
 
@@ -105,7 +108,7 @@ def _packed(arrays: list[np.ndarray], tail: bytes = b"") -> bytes:
     """Whole numbers under 2**32, byte plane by byte plane, and a tail of bytes, compressed."""
     parts = [np.ascontiguousarray(np.asarray(a, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays]
     raw = b"".join([np.array([len(arrays), *map(len, arrays), len(tail)], "<u8").tobytes(), *parts, tail])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 4).compress(raw, asbytes=True)
 
 
 def _unpacked(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
@@ -123,13 +126,18 @@ def word_blocks(docs: DataFrame, pattern: str) -> DataFrame:
 
     Two kinds of rows: (block, doc_ids, codes) has a block's documents, the
     number of words of each and, in order of position, the words' numbers;
-    (block, first, words) has its words from number ``first`` on, frequent ones
-    first. Null text: no words. Repeated rows and null doc_ids are kept.
+    (block, share, words) has those of its words, with their numbers, that a
+    hash puts into a share. Frequent words have the small numbers. The table is
+    bucketed by block, so codes needn't be shuffled to meet a block's words.
+    Null text: no words. Repeated rows and null doc_ids are kept.
     """
     exact, odd = split_patterns(pattern)
     kind = docs.schema["doc_id"].dataType
-    fields = [("block", T.LongType()), ("doc_ids", T.ArrayType(kind)), ("codes", T.BinaryType()), ("first", T.IntegerType()), ("words", T.ArrayType(T.StringType()))]
+    fields = [("block", T.LongType()), ("doc_ids", T.ArrayType(kind)), ("codes", T.BinaryType()), ("share", T.IntegerType()), ("words", T.BinaryType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = SHARES * partitions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -138,69 +146,115 @@ def word_blocks(docs: DataFrame, pattern: str) -> DataFrame:
         strange = regex.compile(odd) if odd else None
         number = count(TaskContext.get().partitionId() << 32)
 
-        def codes_of(texts: list[str], find) -> tuple[list[str], list[np.ndarray]]:
-            index = defaultdict(count().__next__)
-            code = index.__getitem__
-            out = []
-            for text in texts:
-                if len(text) > LONG_TEXT:
-                    out.append(np.fromiter(map(code, map(methodcaller("group"), find.finditer(text))), np.uint32))
-                else:
-                    words = find.findall(text)
-                    out.append(np.fromiter(map(code, words), np.uint32, len(words)))
-            return list(index), out
-
-        def flush(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-            words, codes = codes_of(texts, fast)
-            if strange and any(map(strange.search, words)):
-                words, codes = codes_of(texts, slow)
-            sizes = np.array([len(c) for c in codes])
-            flat = np.concatenate(codes)
-            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-            rank = np.empty(len(words), np.uint32)
-            rank[order] = np.arange(len(words), dtype=np.uint32)
+        def codes_of(text: str, find, code) -> np.ndarray:
+            if len(text) > LONG_TEXT:
+                return np.fromiter(map(code, map(methodcaller("group"), find.finditer(text))), np.uint32)
+            words = find.findall(text)
+            return np.fromiter(map(code, words), np.uint32, len(words))
+
+        def flush(ids: list, codes: list[np.ndarray], index: dict[str, int]) -> pa.RecordBatch:
+            sizes, flat = np.array([len(c) for c in codes]), np.concatenate(codes)
+            codes.clear()  # a task has little memory beside the block's
+            raw = [w.encode() for w in index]
+            index.clear()
+            rank = np.empty(len(raw), np.uint32)
+            rank[np.argsort(-np.bincount(flat, minlength=len(raw)), kind="stable")] = np.arange(len(raw), dtype=np.uint32)
+            placed = _packed([sizes, rank[flat]])
+            del flat
             block = next(number)
-            starts = list(range(0, len(words), WORDS_A_ROW))
-            lists = [[words[i] for i in order[at : at + WORDS_A_ROW].tolist()] for at in starts]
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
+            share = np.fromiter(map(crc32, raw), np.int64, len(raw)) % shares
+            by_share = np.argsort(share, kind="stable")
+            edges = [*np.flatnonzero(np.diff(share[by_share], prepend=-1)).tolist(), len(raw)]
+            lists = []
+            for a, b in zip(edges, edges[1:], strict=False):
+                own = by_share[a:b].tolist()
+                lists.append(_packed([rank[own], np.array([len(raw[i]) for i in own])], b"".join([raw[i] for i in own])))
+            n = len(lists)
+            return pa.RecordBatch.from_arrays(
                 [
                     pa.array([block] * (n + 1), pa.int64()),
                     pa.array([ids, *[None] * n], pa.list_(kind_in)),
-                    pa.array([_packed([sizes, rank[flat]]), *[None] * n], pa.binary()),
-                    pa.array([None, *starts], pa.int32()),
-                    pa.array([None, *lists], pa.list_(pa.string())),
+                    pa.array([placed, *[None] * n], pa.binary()),
+                    pa.array([None, *share[by_share[edges[:-1]]].tolist()], pa.int32()),
+                    pa.array([None, *lists], pa.binary()),
                 ],
                 names=schema.names,
             )
 
-        ids, texts, held = [], [], 0
+        ids, codes, held = [], [], 0
+        index: dict[str, int] = defaultdict(count().__next__)
+        odd_ones: set[int] = set()  # numbers of words with a strange character
         for batch in batches:
             kind_in = batch.column(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                if texts and held + len(text) > BLOCK_CHARS:
-                    yield from flush(ids, texts)
-                    ids, texts, held = [], [], 0
+                if ids and held + len(text) > BLOCK_CHARS:
+                    yield flush(ids, codes, index)
+                    ids, codes, held, odd_ones = [], [], 0, set()
+                    index = defaultdict(count().__next__)
+                known = len(index)
+                found = codes_of(text, fast, index.__getitem__)
+                if strange:
+                    odd_ones.update(index[w] for w in islice(reversed(index), len(index) - known) if strange.search(w))
+                    if odd_ones and not odd_ones.isdisjoint(found.tolist()):
+                        known = len(index)
+                        found = codes_of(text, slow, index.__getitem__)
+                        odd_ones.update(index[w] for w in islice(reversed(index), len(index) - known) if strange.search(w))
                 ids.append(doc)
-                texts.append(text)
+                codes.append(found)
                 held += len(text)
-        if texts:
-            yield from flush(ids, texts)
+        if ids:
+            yield flush(ids, codes, index)
+
+    name, path = f"word_blocks_{uuid.uuid4().hex}", scratch_path(spark, "word-blocks")
+    docs.select("doc_id", "text").mapInArrow(run, schema).write.bucketBy(partitions, "block").option("path", path).option("compression", "none").saveAsTable(name, format="parquet")
+    blocks = spark.table(name).select(*schema.names)
+    blocks.schema  # resolved; the files stay when the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return blocks
+
+
+def block_words(blocks: DataFrame) -> DataFrame:
+    """The words of all blocks, dealt by share and sorted: block, at (the word's number in its block), word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                (at, sizes), raw = _unpacked(packed.as_py())
+                for a in range(0, len(at), 10_000):
+                    stops = np.cumsum(sizes[: a + 10_000], dtype=np.int64)
+                    offsets = np.concatenate([[stops[a - 1] if a else 0], stops[a:]])
+                    n, low = len(offsets) - 1, offsets[0]
+                    words = pa.StringArray.from_buffers(n, pa.py_buffer((offsets - low).astype(np.int32).tobytes()), pa.py_buffer(raw[low : offsets[-1]].tobytes()))
+                    yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array(at[a : a + n].astype(np.int64)), words], names=["block", "at", "word"])
 
-    return stored(docs.select("doc_id", "text").mapInArrow(run, schema), "word-blocks", "zstd")
+    dealt = blocks.filter("words is not null").select("block", "share", "words").repartition("share")
+    return dealt.mapInArrow(run, "block long, at long, word string").sortWithinPartitions("word")
 
 
 def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The ids of each row's ``word``, one pre-token: word, ids array of int."""
+    """Sorted words (block, at, word) of all blocks to distinct ones: places binary (the packed blocks and numbers), ids array of int.
+
+    Each word is encoded once; one with more places than an Arrow batch has rows
+    has several rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode_ordinary
+        last, last_ids = None, []
         for batch in batches:
-            ids = [encode(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+            words = batch.column(2).to_pylist()
+            first = [i for i, w in enumerate(words) if i == 0 or w != words[i - 1]]
+            pairs = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], 1)
+            places, ids = [], []
+            for i, stop in zip(first, [*first[1:], len(words)], strict=True):
+                if words[i] != last:
+                    last, last_ids = words[i], encode(words[i])
+                ids.append(last_ids)
+                places.append(pairs[i:stop].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.binary()), pa.array(ids, pa.list_(pa.int32()))], names=["places", "ids"])
 
-    return words.select("word").mapInArrow(run, "word string, ids array<int>")
+    return words.select("block", "at", "word").mapInArrow(run, "places binary, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -221,63 +275,66 @@ def decode(rows: DataFrame, path: str, key: str) -> DataFrame:
     repeated rows are kept. An id without a token is an error.
     """
     schema = T.StructType([rows.schema[key], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
-    pairs = rows.select(key, F.posexplode_outer("ids").alias("at", "id"))
-    pairs = pairs.select(F.when(F.coalesce("at", F.lit(0)) == 0, F.col(key)).alias(key), F.coalesce("at", F.lit(0)).alias("at"), "id")
-    joined = pairs.join(F.broadcast(token_bytes(rows.sparkSession, path)), "id", "left").select(key, "at", "id", "token")
+    return _tokens(rows, path, key).mapInArrow(partial(_put_together, names=schema.names), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def gathered() -> pa.RecordBatch:
-            name, at, ids, token = (pa.concat_arrays([b.column(i) for b in held]) for i in range(4))
-            places = at.to_numpy()
-            first = np.flatnonzero(places == 0)
-            if (places != np.arange(len(places)) - np.repeat(first, np.diff([*first, len(places)]))).any():
-                raise ValueError("positions came out of order")
-            whole = ids.is_valid().to_numpy(zero_copy_only=False)
-            if not whole[places > 0].all() or (whole & token.is_null().to_numpy(zero_copy_only=False)).any():
-                raise ValueError("an id has no token")
-            before = np.concatenate([[0], np.cumsum(whole)])
-            edges = before[[*first, len(places)]]
-            numbers = pc.drop_null(ids).to_numpy().astype("<u4")
-            tokens = pc.drop_null(token)
-            sizes = pc.binary_length(tokens).to_numpy()
-            stops = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-            data = b"".join(tokens.to_pylist())
-            binary = lambda offsets, raw: pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw)])
-            return pa.RecordBatch.from_arrays([name.take(pa.array(first)), binary(4 * edges, numbers.tobytes()), binary(stops[edges], data)], names=schema.names)
 
-        for batch in batches:
-            first = np.flatnonzero(batch.column(1).to_numpy() == 0)
-            if len(first):  # all rows before the last first place are whole
-                held.append(batch.slice(0, first[-1]))
-                if sum(b.num_rows for b in held):
-                    yield gathered()
-                held = [batch.slice(first[-1])]
-            else:
-                held.append(batch)
-        if held:
-            yield gathered()
-
-    return joined.mapInArrow(run, schema)
-
-
-def _block_rows(rows: DataFrame) -> DataFrame:
-    """Rows of (block, at, ids, decoded) to few rows of (block, entries): a task's rows of a block lie together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)] if len(block) else [0]
-            out = []
-            for a, b in zip(edges, edges[1:], strict=False):
-                part = batch.slice(a, b - a)
-                ids, decoded = part.column(2).to_pylist(), part.column(3).to_pylist()
-                numbers = np.frombuffer(b"".join(ids), "<u4")
-                out.append(_packed([part.column(1).to_numpy(), np.array([len(i) // 4 for i in ids]), numbers, np.array([len(d) for d in decoded])], b"".join(decoded)))
-            yield pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]], pa.int64()), pa.array(out, pa.binary())], names=["block", "entries"])
-
-    return rows.sortWithinPartitions("block", "at").mapInArrow(run, "block long, entries binary")
+def _tokens(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """A row for each id, with its place and bytes; the key stands in a row's first one."""
+    pairs = rows.select(key, F.posexplode_outer("ids").alias("at", "id"))
+    pairs = pairs.select(F.when(F.coalesce("at", F.lit(0)) == 0, F.col(key)).alias(key), F.coalesce("at", F.lit(0)).alias("at"), "id")
+    return pairs.join(F.broadcast(token_bytes(rows.sparkSession, path)), "id", "left").select(key, "at", "id", "token")
+
+
+def _put_together(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_tokens`` to one for each key."""
+    held: list[pa.RecordBatch] = []
+
+    def gathered() -> pa.RecordBatch:
+        name, at, ids, token = (pa.concat_arrays([b.column(i) for b in held]) for i in range(4))
+        places = at.to_numpy()
+        first = np.flatnonzero(places == 0)
+        if (places != np.arange(len(places)) - np.repeat(first, np.diff([*first, len(places)]))).any():
+            raise ValueError("positions came out of order")
+        whole = ids.is_valid().to_numpy(zero_copy_only=False)
+        if not whole[places > 0].all() or (whole & token.is_null().to_numpy(zero_copy_only=False)).any():
+            raise ValueError("an id has no token")
+        before = np.concatenate([[0], np.cumsum(whole)])
+        edges = before[[*first, len(places)]]
+        numbers = pc.drop_null(ids).to_numpy().astype("<u4")
+        tokens = pc.drop_null(token)
+        stops = np.concatenate([[0], np.cumsum(pc.binary_length(tokens).to_numpy(), dtype=np.int64)])
+        binary = lambda offsets, raw: pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw)])
+        return pa.RecordBatch.from_arrays([name.take(pa.array(first)), binary(4 * edges, numbers.tobytes()), binary(stops[edges], b"".join(tokens.to_pylist()))], names=names)
+
+    for batch in batches:
+        first = np.flatnonzero(batch.column(1).to_numpy() == 0)
+        if len(first):  # all rows before the last first place are whole
+            held.append(batch.slice(0, first[-1]))
+            if sum(b.num_rows for b in held):
+                yield gathered()
+            held = [batch.slice(first[-1])]
+        else:
+            held.append(batch)
+    if held:
+        yield gathered()
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words' tokens to rows of (block, entries): what a batch of words has for a block."""
+    for batch in _put_together(batches, ["places", "ids", "decoded"]):
+        places = [np.frombuffer(p, np.int64).reshape(-1, 2) for p in batch.column(0).to_pylist()]
+        ids, decoded = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        block, at = np.concatenate([np.zeros((0, 2), np.int64), *places]).T
+        word = np.repeat(np.arange(len(places)), [len(p) for p in places])
+        order = np.argsort(block, kind="stable")
+        edges = [*np.flatnonzero(np.diff(block[order], prepend=-1)).tolist(), len(order)]
+        out = []
+        for a, b in zip(edges, edges[1:], strict=False):
+            own = order[a:b]
+            w = word[own].tolist()
+            numbers, text = [ids[i] for i in w], [decoded[i] for i in w]
+            out.append(_packed([at[own], np.array([len(i) // 4 for i in numbers]), np.frombuffer(b"".join(numbers), "<u4"), np.array([len(d) for d in text])], b"".join(text)))
+        yield pa.RecordBatch.from_arrays([pa.array(block[order][edges[:-1]], pa.int64()), pa.array(out, pa.binary())], names=["block", "entries"])
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -296,35 +353,42 @@ def encode_documents(docs: DataFrame, vocabulary: tuple[str, str] | None = None)
     """
     path, pattern = vocabulary or default_ranks()
     blocks = word_blocks(docs, pattern)
-    words = blocks.filter("words is not null").select("block", "first", F.posexplode("words").alias("n", "word")).select("block", (F.col("first") + F.col("n")).alias("at"), "word")
-    encoded = decode(encode_words(words.select("word").distinct(), path, pattern), path, "word")
-    entries = stored(_block_rows(words.join(encoded, "word").select("block", "at", "ids", "decoded")), "entries")
+    entries = _tokens(encode_words(block_words(blocks), path, pattern), path, "places").mapInArrow(_block_rows, "block long, entries binary")
     kind = blocks.schema["doc_ids"].dataType.elementType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
-    def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [_unpacked(e) for e in right.column("entries").to_pylist()]
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids_type = batch.column(0).type.value_type
+            for i in range(batch.num_rows):
+                yield from put_together(*(batch.column(k)[i] for k in range(3)), ids_type)
+
+    def put_together(docs_of: pa.Scalar, codes: pa.Scalar, entries: pa.Scalar, ids_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        parts = [_unpacked(e.as_py()) for e in entries.values] if entries.is_valid else []
         join = lambda arrays, kind: np.concatenate([np.zeros(0, kind), *arrays])
         at, many, flat, sizes = (join([p[0][i] for p in parts], "<u4").astype(t) for i, t in enumerate((np.int64, np.int64, "<u4", np.int64)))
         raw = join([p[1] for p in parts], np.uint8)
+        del parts
         place = np.empty(len(at), np.int64)
         place[at] = np.arange(len(at))
         id_starts, byte_starts = np.cumsum(many) - many, np.cumsum(sizes) - sizes
-        ids_type = left.schema.field("doc_ids").type.value_type
+        (counts, flat_codes), _ = _unpacked(codes.as_py())
         out: tuple[list, list, list, list] = ([], [], [], [])
-        for docs_of, codes in zip(left.column("doc_ids").to_pylist(), left.column("codes").to_pylist(), strict=True):
-            (counts, flat_codes), _ = _unpacked(codes)
-            stops = np.cumsum(counts, dtype=np.int64)
-            for doc, stop, n in zip(docs_of, stops.tolist(), counts.tolist(), strict=True):
-                numbers, text = [], []
-                for a in range(stop - n, stop, CODES_AT_ONCE):
-                    k = place[flat_codes[a : min(stop, a + CODES_AT_ONCE)]]
-                    numbers.append(_gather(flat, id_starts[k], many[k]).tobytes())
-                    text.append(_gather(raw, byte_starts[k], sizes[k]).tobytes())
-                out[0].append(doc)
-                out[2].append(b"".join(numbers))
-                out[3].append(b"".join(text))
-                out[1].append(len(out[2][-1]) // 4)
-        return pa.table([pa.array(c, t) for c, t in zip(out, (ids_type, pa.int64(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
-
-    return blocks.filter("codes is not null").select("block", "doc_ids", "codes").groupBy("block").cogroup(entries.groupBy("block")).applyInArrow(assemble, schema)
+        held, last = 0, len(counts) - 1
+        for k, (doc, stop, n) in enumerate(zip(docs_of.as_py(), np.cumsum(counts, dtype=np.int64).tolist(), counts.tolist(), strict=True)):
+            numbers, text = [], []
+            for a in range(stop - n, stop, CODES_AT_ONCE):
+                words = place[flat_codes[a : min(stop, a + CODES_AT_ONCE)]]
+                numbers.append(_gather(flat, id_starts[words], many[words]).tobytes())
+                text.append(_gather(raw, byte_starts[words], sizes[words]).tobytes())
+            for values, v in zip(out, (doc, 0, b"".join(numbers), b"".join(text)), strict=True):
+                values.append(v)
+            out[1][-1] = len(out[2][-1]) // 4
+            held += n
+            if held > CODES_AT_ONCE or k == last:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (ids_type, pa.int64(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
+                out, held = ([], [], [], []), 0
+
+    placed = blocks.filter("codes is not null").select("block", "doc_ids", "codes")
+    whole = placed.join(entries.groupBy("block").agg(F.collect_list("entries").alias("entries")), "block", "left")
+    return whole.select("doc_ids", "codes", "entries").mapInArrow(assemble, schema)

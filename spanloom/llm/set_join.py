@@ -9,11 +9,13 @@ shares a signature is verified on the whole texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ SIGNED = 1_000_000
 PART_EDGES = 500_000
 #: Rows of a block: the rows of a signature are compared block with block.
 BLOCK = 256
+#: Pairs whose whole bitmaps a task compares at a time, on average.
+PAIRS_A_TILE = 50_000
 #: Further pivots that rows of one signature are compared with before they are compared with one another.
 PIVOT_TURNS = 2
 #: Pairs that share one copy of the more frequent side's text.
@@ -290,6 +294,41 @@ def components(edges: DataFrame, most_rounds: int = 60, part_edges: int = PART_E
     raise RuntimeError("the components did not settle")
 
 
+def _alike(percent: int):
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        """The pairs of a tile that sizes and whole bitmaps don't rule out."""
+        place = {doc: k for k, doc in enumerate(sets.column("doc_id").to_pylist())}
+        n = sets.column("n_shingles").to_numpy()
+        told = pc.is_valid(sets.column("bits")).to_numpy()
+        bits = np.zeros((len(n), BITS // 64), np.uint64)
+        bits[told] = pc.list_flatten(sets.column("bits")).to_numpy().reshape(-1, BITS // 64).view(np.uint64)
+        x, y = (np.array([place[d] for d in pairs.column(side).to_pylist()], np.int64) for side in ("a", "b"))
+        keep = []
+        for at in range(0, len(x), 8192):
+            p, q = x[at : at + 8192], y[at : at + 8192]
+            difference = np.bitwise_count(bits[p] ^ bits[q]).sum(1, dtype=np.int64)
+            close = 100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])
+            keep.append((close & (difference <= max_difference(n[p], n[q], percent))) | ~(told[p] & told[q]))
+        return pairs.select(["a", "b"]).filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
+
+    return run
+
+
+def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), stored ones, whose whole bitmaps leave the similarity possible. ``sets``: a row of doc_id, n_shingles and bits for each; null bits leave it possible.
+
+    Pairs are dealt to tiles by both sides' hashes, and a set goes once to each
+    tile that needs it: among d sets that are compared with one another, the
+    bitmaps that move grow with d times the root of the pairs and not with the
+    pairs.
+    """
+    sides = max(1, math.ceil(math.sqrt(pairs.count() / PAIRS_A_TILE)))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(sides))
+    dealt = pairs.select("a", "b", (part("a") * sides + part("b")).alias("tile"))
+    needed = dealt.select(F.explode(F.array("a", "b")).alias("doc_id"), F.col("tile").alias("at")).distinct().join(sets.select("doc_id", "n_shingles", "bits"), "doc_id")
+    return dealt.groupBy("tile").cogroup(needed.groupBy("at")).applyInArrow(_alike(percent), pairs.select("a", "b").schema)
+
+
 def _verify(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -425,10 +464,14 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     last = stored(last.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "blocks")
     x, y = last.alias("x"), last.alias("y")
     pairs = x.join(y, F.expr(f"x.sig = y.sig and x.block = y.other and x.other = y.block and x.rep > y.rep and x.class <> y.class and {near('x.of_rep', 'y.of_rep')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "near")
-    if not pairs.isEmpty():
-        classes = settled(possible(pairs, "others"))
-    discard(last)
+    pairs = stored(pairs, "met")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # an id that bears several sets has no bitmap of its own
+    bits = known.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.when(F.min("set_a") == F.max("set_a"), F.first("bits")).alias("bits"))
+    others = stored(alike(pairs, bits, percent).join(seen, ["a", "b"], "left_anti"), "others")
+    discard(last, pairs)
+    if not others.isEmpty():
+        classes = settled(others)
 
     of = classes.select(F.col("node").alias("rep"), "component")
     classed = reps.join(of, "rep", "left").select(*same, "rep", F.coalesce("component", "rep").alias("component_id"))

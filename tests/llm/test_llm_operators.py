@@ -906,3 +906,22 @@ def test_scratch_folders_of_two_threads_are_apart(spark):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert len(paths) == 2 and all(f"{name}-" in p.rsplit("/", 2)[1] and p.rsplit("/", 2)[1].endswith("-parts") for name, p in paths.items())
+
+
+@pytest.mark.parametrize("tile", [2, 50_000])
+def test_tiles_rule_out_what_bitmaps_rule_out(spark, monkeypatch, tile):
+    monkeypatch.setattr(set_join, "PAIRS_A_TILE", tile)
+    rng = np.random.default_rng(tile)
+    base = rng.integers(0, 1 << 63, 400, np.uint64)
+    sets = {k: np.unique(np.concatenate([base[: 400 - 12 * k], rng.integers(0, 1 << 63, 12 * k, np.uint64)])) for k in range(9)}
+    rows = [(k, len(h), [int(x) for x in set_join._parities(h)]) for k, h in sets.items()] + [(50, 3, None)]
+    pairs = [(a, b) for a in range(9) for b in range(a)] + [(50, 1)]
+    kept = {tuple(r) for r in set_join.alike(spark.createDataFrame(pairs, "a long, b long").repartition(3), spark.createDataFrame(rows, "doc_id long, n_shingles long, bits array<long>"), 80).collect()}
+
+    def possible(a, b):
+        x, y = (np.array(rows[i][2], np.int64).view(np.uint64) for i in (a, b))
+        return int(np.bitwise_count(x ^ y).sum()) <= set_join.max_difference(rows[a][1], rows[b][1], 80) and 100 * min(rows[a][1], rows[b][1]) >= 80 * max(rows[a][1], rows[b][1])
+
+    assert kept == {(a, b) for a, b in pairs if a == 50 or possible(a, b)} and 1 < len(kept) < len(pairs)
+    linked = {(a, b) for a, b in pairs if a != 50 and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert linked and linked <= kept
