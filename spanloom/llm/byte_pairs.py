@@ -35,7 +35,7 @@ BLOCK_CHARS = 24_000_000
 #: Texts over this length are cut match by match, without a list of all matches.
 LONG_TEXT = 4_000_000
 #: Shares of words for each shuffle partition, and codes that are put together at a time.
-SHARES, CODES_AT_ONCE = 4, 1 << 18
+SHARES, CODES_AT_ONCE = 8, 1 << 18
 #: The token-byte table is broadcast up to so many tokens; a vocabulary over it is an error.
 MAX_TOKENS = 1 << 20
 
@@ -214,47 +214,48 @@ def word_blocks(docs: DataFrame, pattern: str) -> DataFrame:
     return blocks
 
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """The words of all blocks, dealt by share and sorted: block, at (the word's number in its block), word."""
+def encode_words(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The words of all blocks, each distinct one once: places binary (the packed blocks and numbers in them), ids array of int.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, packed in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-                (at, sizes), raw = _unpacked(packed.as_py())
-                for a in range(0, len(at), 10_000):
-                    stops = np.cumsum(sizes[: a + 10_000], dtype=np.int64)
-                    offsets = np.concatenate([[stops[a - 1] if a else 0], stops[a:]])
-                    n, low = len(offsets) - 1, offsets[0]
-                    words = pa.StringArray.from_buffers(n, pa.py_buffer((offsets - low).astype(np.int32).tobytes()), pa.py_buffer(raw[low : offsets[-1]].tobytes()))
-                    yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array(at[a : a + n].astype(np.int64)), words], names=["block", "at", "word"])
-
-    dealt = blocks.filter("words is not null").select("block", "share", "words").repartition("share")
-    return dealt.mapInArrow(run, "block long, at long, word string").sortWithinPartitions("word")
-
-
-def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Sorted words (block, at, word) of all blocks to distinct ones: places binary (the packed blocks and numbers), ids array of int.
-
-    Each word is encoded once; one with more places than an Arrow batch has rows
-    has several rows.
+    Words are dealt by share; a task takes one share of all blocks at a time.
+    Every block has a word once, so no word makes a share large.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode_ordinary
-        last, last_ids = None, []
+
+        def encoded(rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+            numbers, sizes, raw, of = [], [], [], []
+            for block, packed in rows:
+                (at, size), data = _unpacked(packed)
+                numbers.append(at)
+                sizes.append(size)
+                raw.append(data)
+                of.append(np.full(len(at), block))
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+            words = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.concatenate(raw).tobytes())).dictionary_encode()
+            code = words.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            pairs = np.stack([np.concatenate(of), np.concatenate(numbers).astype(np.int64)], 1)[order]
+            edges = np.searchsorted(code[order], np.arange(len(words.dictionary) + 1))
+            for low in range(0, len(words.dictionary), 10_000):
+                some = words.dictionary.slice(low, 10_000).to_pylist()
+                places = [pairs[edges[k] : edges[k + 1]].tobytes() for k in range(low, low + len(some))]
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.binary()), pa.array([encode(w) for w in some], pa.list_(pa.int32()))], names=["places", "ids"])
+
+        share, rows = None, []
         for batch in batches:
-            words = batch.column(2).to_pylist()
-            first = [i for i, w in enumerate(words) if i == 0 or w != words[i - 1]]
-            pairs = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], 1)
-            places, ids = [], []
-            for i, stop in zip(first, [*first[1:], len(words)], strict=True):
-                if words[i] != last:
-                    last, last_ids = words[i], encode(words[i])
-                ids.append(last_ids)
-                places.append(pairs[i:stop].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.binary()), pa.array(ids, pa.list_(pa.int32()))], names=["places", "ids"])
+            for block, this, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if this != share and rows:
+                    yield from encoded(rows)
+                    rows = []
+                share = this
+                rows.append((block, packed))
+        if rows:
+            yield from encoded(rows)
 
-    return words.select("block", "at", "word").mapInArrow(run, "places binary, ids array<int>")
+    dealt = blocks.filter("words is not null").select("block", "share", "words").repartition("share").sortWithinPartitions("share")
+    return dealt.mapInArrow(run, "places binary, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -353,7 +354,7 @@ def encode_documents(docs: DataFrame, vocabulary: tuple[str, str] | None = None)
     """
     path, pattern = vocabulary or default_ranks()
     blocks = word_blocks(docs, pattern)
-    entries = _tokens(encode_words(block_words(blocks), path, pattern), path, "places").mapInArrow(_block_rows, "block long, entries binary")
+    entries = _tokens(encode_words(blocks, path, pattern), path, "places").mapInArrow(_block_rows, "block long, entries binary")
     kind = blocks.schema["doc_ids"].dataType.elementType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
