@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .spans import SPAN
+from .tokens import together
+
 TERMINAL = ["done", "ignored"]
 CHOICES = ["gold", "prediction", "both", "manual", "neither", "skip"]
 
@@ -120,12 +124,22 @@ def patch_targets(before: DataFrame, after: DataFrame) -> DataFrame:
 
     Spans (doc_id, token_start, token_stop, label) before and after an edit.
     """
-    keys = ["doc_id", "token_start", "token_stop", "label"]
-    new = after.select(*keys).join(before.select(*keys), keys, "left_anti")
-    old = before.select(*keys).join(after.select(*keys), keys, "left_anti")
-    covered = F.expr("o.doc_id = n.doc_id and o.token_start < n.token_stop and n.token_start < o.token_stop")
-    gone = old.alias("o").join(new.alias("n"), covered, "left_anti").withColumn("label", F.lit("O"))
-    return new.unionByName(gone)
+    side = lambda df, k: df.select(*SPAN, F.lit(k).alias("side"))
+    return patch_targets_sides(together(side(before, 0), side(after, 1)))
+
+
+def patch_targets_sides(both: DataFrame) -> DataFrame:
+    """The same for spans before (side 0) and after (side 1) in one table.
+
+    A vanished span meets a new one that begins before its end if the furthest
+    end of these lies behind its start: a running maximum, no pairs.
+    """
+    changed = both.groupBy(*SPAN).agg(F.max("side").alias("side"), F.min("side").alias("least")).filter("side = least")
+    at = F.when(F.col("side") == 1, F.col("token_start")).otherwise(F.col("token_stop"))
+    earlier = W.partitionBy("doc_id").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
+    rows = changed.withColumn("at", at).withColumn("reach", F.max(F.when(F.col("side") == 1, F.col("token_stop"))).over(earlier))
+    kept = rows.filter((F.col("side") == 1) | F.coalesce(F.col("reach") <= F.col("token_start"), F.lit(True)))
+    return kept.withColumn("label", F.when(F.col("side") == 1, F.col("label")).otherwise("O")).select(*SPAN)
 
 
 def next_action(state: DataFrame) -> DataFrame:
