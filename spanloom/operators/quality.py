@@ -2,40 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bio import spans
-from .tokens import by_document, tokenise
-
-
-def rule(rows: DataFrame, name: str, broken: Column, *show: str) -> DataFrame:
-    shown = F.concat_ws(":", *show) if show else F.lit("")
-    return rows.filter(broken).select("doc_id", F.lit(name).alias("rule"), shown.alias("place"))
+from .spans import SPAN
+from .tokens import together, tokenise
 
 
 def document_faults(docs: DataFrame, tokens: DataFrame, entities: DataFrame, empty_tokens: bool = False) -> DataFrame:
     """Faults of documents (doc_id, text), tokens (i, token, start, stop, tag) and entities: doc_id, rule, place."""
-    at = tokens.join(docs.select("doc_id", "text"), "doc_id").withColumn("reach", F.lag("stop").over(by_document()))
-    piece = F.substr("text", (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
-    found = [
-        rule(at, "token_bounds", (F.col("start") < 0) | (F.col("stop") < F.col("start")) | (F.col("stop") > F.length("text")), "i"),
-        rule(at, "token_order", F.col("start") < F.col("reach"), "i"),
-        rule(at, "token_text", piece != F.col("token"), "i"),
-    ]
-    if empty_tokens:
-        found.append(rule(at, "token_empty", F.col("stop") == F.col("start"), "i"))
-    key = ["doc_id", "token_start", "token_stop", "label"]
-    tagged = spans(tokens, "tag").select(*key)
-    mine = entities.select(*key)
-    place = ["token_start", "token_stop", "label"]
-    found.append(rule(mine.join(tagged, key, "left_anti"), "entity_without_tags", F.lit(True), *place))
-    found.append(rule(tagged.join(mine, key, "left_anti"), "tags_without_entity", F.lit(True), *place))
-    found.append(rule(mine, "entity_bounds", (F.col("token_start") < 0) | (F.col("token_stop") <= F.col("token_start")), *place))
-    return reduce(DataFrame.unionByName, found)
+    size = 256  # a token meets the blocks of text that it lies in, not the whole text; tokens and blocks of a document meet once
+    cut = docs.select("doc_id", F.length("text").alias("length"), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("cut"))
+    listed = tokens.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("i", "start", "stop", "token"))).alias("at")).join(cut, "doc_id")
+
+    def broken(x: Column, k: Column) -> Column:
+        first = F.floor(x["start"] / size)
+        blocks = F.slice("cut", (first + 1).cast("int"), (F.floor(x["stop"] / size) - first + 1).cast("int"))
+        off = (x["start"] < 0) | (x["stop"] < x["start"])
+        piece = F.when(off, F.lit("")).otherwise(F.substr(F.array_join(blocks, ""), (x["start"] - first * size + 1).cast("int"), (x["stop"] - x["start"]).cast("int")))
+        rules = [
+            F.when(off | (x["stop"] > F.col("length")), "token_bounds"),
+            F.when(x["start"] < F.get("at", k - 1)["stop"], "token_order"),
+            F.when(piece != x["token"], "token_text"),
+        ]
+        if empty_tokens:
+            rules.append(F.when(x["stop"] == x["start"], "token_empty"))
+        return F.transform(F.filter(F.array(*rules), lambda r: r.isNotNull()), lambda r: F.struct(r.alias("rule"), x["i"].cast("string").alias("place")))
+
+    found = listed.select("doc_id", F.explode(F.flatten(F.transform("at", broken))).alias("f")).select("doc_id", "f.*")
+    own = lambda df, k: df.select(*SPAN, F.lit(k).alias("side"))
+    both = together(own(spans(tokens, "tag"), 0), own(entities, 1)).groupBy(*SPAN).agg(F.count(F.when(F.col("side") == 0, 1)).alias("tags"), F.count(F.when(F.col("side") == 1, 1)).alias("own"))
+    times = lambda name, n, when: F.array_repeat(F.lit(name), F.when(when, F.col(n)).otherwise(0).cast("int"))
+    bad = F.coalesce((F.col("token_start") < 0) | (F.col("token_stop") <= F.col("token_start")), F.lit(False))
+    rules = F.concat(times("entity_without_tags", "own", F.col("tags") == 0), times("tags_without_entity", "tags", F.col("own") == 0), times("entity_bounds", "own", bad))
+    return found.unionByName(both.select("doc_id", F.explode(rules).alias("rule"), F.concat_ws(":", "token_start", "token_stop", "label").alias("place")))
 
 
 def tokenisation_faults(docs: DataFrame, tokens: DataFrame) -> DataFrame:
