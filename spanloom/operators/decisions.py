@@ -56,6 +56,33 @@ def page(queue: DataFrame, order: list[str], most: int) -> DataFrame:
 
 
 
+class _Held:
+    """A document's spans, found by the blocks of 64 tokens that they touch."""
+
+    def __init__(self, spans: dict):
+        self.spans, self.blocks = {}, {}
+        for span, value in spans.items():
+            self.put(span, value)
+
+    @staticmethod
+    def _touched(a: int, b: int) -> range:
+        return range(a // 64, max(a, b - 1) // 64 + 1)
+
+    def put(self, span: tuple[int, int], value: object) -> None:
+        self.spans[span] = value
+        for k in self._touched(*span):
+            self.blocks.setdefault(k, set()).add(span)
+
+    def drop(self, span: tuple[int, int]) -> None:
+        if span in self.spans:
+            del self.spans[span]
+            for k in self._touched(*span):
+                self.blocks[k].discard(span)
+
+    def meeting(self, a: int, b: int) -> set[tuple[int, int]]:
+        return {s for k in self._touched(a, b) for s in self.blocks.get(k, ()) if s[0] < b and a < s[1]}
+
+
 def apply_choices(spans: DataFrame, decisions: DataFrame) -> DataFrame:
     """Replays curation choices on each document's spans in order of ``ord``.
 
@@ -68,21 +95,21 @@ def apply_choices(spans: DataFrame, decisions: DataFrame) -> DataFrame:
     kind = spans.schema["doc_id"].dataType.simpleString()
 
     def replay(key, mine: pd.DataFrame, log: pd.DataFrame) -> pd.DataFrame:
-        held = {(int(r.token_start), int(r.token_stop)): r.label for r in mine.itertuples()}
+        held = _Held({(int(r.token_start), int(r.token_stop)): r.label for r in mine.itertuples()})
         for d in log.sort_values("ord", kind="stable").itertuples():
             if d.choice == "skip":
                 continue
             gold = [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in d.gold]
             pred = [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in d.predicted]
             for a, b, _ in [*gold, *pred]:
-                held.pop((a, b), None)
+                held.drop((a, b))
             new = {"gold": gold, "prediction": pred, "both": [*gold, *pred], "manual": (gold or pred)[:1]}.get(d.choice, [])
             for a, b, label in new:
                 label = d.correct_label or label
-                for span in [s for s in held if s[0] < b and a < s[1]]:
-                    held.pop(span)
-                held[a, b] = label
-        rows = [(key[0], a, b, label) for (a, b), label in sorted(held.items())]
+                for span in held.meeting(a, b):
+                    held.drop(span)
+                held.put((a, b), label)
+        rows = [(key[0], a, b, label) for (a, b), label in sorted(held.spans.items())]
         return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label"])
 
     decisions = decisions.toDF(*decisions.columns)  # may derive from the spans
@@ -100,19 +127,19 @@ def apply_patches(spans: DataFrame, patches: DataFrame) -> DataFrame:
     kind = spans.schema["doc_id"].dataType.simpleString()
 
     def replay(key, mine: pd.DataFrame, log: pd.DataFrame) -> pd.DataFrame:
-        held = {(int(r.token_start), int(r.token_stop)): (r.label, "kept") for r in mine.itertuples()}
+        held = _Held({(int(r.token_start), int(r.token_stop)): (r.label, "kept") for r in mine.itertuples()})
         for p in log.sort_values(["reviewed_at", "review_id"], kind="stable").itertuples():
             if p.choice == "reject":
                 continue
             a, b = int(p.token_start), int(p.token_stop)
-            if p.label != "O" and held.get((a, b), ("",))[0] == p.label:
+            if p.label != "O" and held.spans.get((a, b), ("",))[0] == p.label:
                 continue
-            gone = [s for s in held if s[0] < b and a < s[1]]
+            gone = held.meeting(a, b)
             for s in gone:
-                held.pop(s)
+                held.drop(s)
             if p.label != "O":
-                held[a, b] = (p.label, "replaced" if gone else "added")
-        rows = [(key[0], a, b, label, change) for (a, b), (label, change) in sorted(held.items())]
+                held.put((a, b), (p.label, "replaced" if gone else "added"))
+        rows = [(key[0], a, b, label, change) for (a, b), (label, change) in sorted(held.spans.items())]
         return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label", "change"])
 
     patches = patches.toDF(*patches.columns)  # may derive from the spans
