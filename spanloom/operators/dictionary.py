@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import PLANNING_GENERIC, REPORTING, boundary_form, casefold, compact, core_name_token, generic_surface, has_word, piece_count, squeezed, word_count
 
-from .tokens import by_document, hinted, together
+from .tokens import by_document, hinted
 
 _BRACKETS = ["(", ")", "[", "]", "{", "}"]
 _NEAR = 3
@@ -76,19 +76,22 @@ def match(tokens: DataFrame, aliases: DataFrame) -> DataFrame:
         & ~(~a_word & ~tail_word & (F.col("last") != F.col("tail")))
         & ~(~a_word & ~tail_word & F.col("inner_mark") & ~F.array_join(F.slice("w", F.lit(1), F.col("n") - 1), " ").rlike(r"[^\p{L}\p{N}_]"))
     )
-    fits = (F.col("n") <= F.col("most")) & punctuation
-    plain = rows.join(small(known), "form").filter(fits & (word_count(F.array_join("w", " ")) == F.col("words")) & ~F.arrays_overlap("w", F.array(*map(F.lit, _BRACKETS))))
-    hyphened = rows.filter((F.col("n") > 2) & (F.get("next", F.col("n") - 2) == "-")).withColumn("word_form", F.array_join(F.transform(F.slice("w", F.lit(1), F.col("n") - 2), compact), "\t")).drop("form")
-    hyphened = hyphened.join(small(known.filter("word_form <> ''")), "word_form").filter(fits & (F.col("n") == F.col("words") + 2) & (F.col("form") != compact(F.array_join("w", ""))))
-
-    def found(df: DataFrame, matcher: str) -> DataFrame:
-        letters = F.array_join("w", "").rlike(r"^(?:\p{L}\.)+\p{L}$") & (F.size("w") >= 3)
-        takes = F.col("ends_in_dot") & letters & F.coalesce(F.col("after") == ".", F.lit(False))
-        length = F.col("n") + takes.cast("int")
-        return df.select("doc_id", "label", "token_start", (F.col("token_start") + length).alias("token_stop"), "n", "ord", "alias", F.lit(matcher).alias("matcher"), "start", F.get("stops", length - 1).alias("stop"), F.get("next", length - 1).alias("final"))
-
-    hits = together(found(plain, "alias_compact"), found(hyphened, "alias_hyphenated_suffix"))
-    same = W.partitionBy("doc_id", "label", "token_start", "token_stop").orderBy("n", "ord", "alias")
+    # both ways to match are keys of one join, so the tokens are read once
+    plain, hyphened = F.lit("alias_compact"), F.lit("alias_hyphenated_suffix")
+    keyed = lambda *keys: F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull()))
+    key = lambda matcher, form: F.struct(matcher.alias("matcher"), form.alias("key"))
+    word_form = F.array_join(F.transform(F.slice("w", F.lit(1), F.col("n") - 2), compact), "\t")
+    suffixed = F.when((F.col("n") > 2) & (F.get("next", F.col("n") - 2) == "-"), key(hyphened, word_form))
+    rows = rows.withColumnRenamed("form", "own").withColumn("k", keyed(key(plain, F.col("own")), suffixed)).select("*", "k.*").drop("k")
+    known = known.withColumn("k", keyed(key(plain, F.col("form")), F.when(F.col("word_form") != "", key(hyphened, F.col("word_form"))))).select("*", "k.*").drop("k", "word_form")
+    as_alias = (word_count(F.array_join("w", " ")) == F.col("words")) & ~F.arrays_overlap("w", F.array(*map(F.lit, _BRACKETS)))
+    with_suffix = (F.col("n") == F.col("words") + 2) & (F.col("form") != F.col("own"))
+    met = rows.join(small(known), ["matcher", "key"]).filter((F.col("n") <= F.col("most")) & punctuation & F.when(F.col("matcher") == plain, as_alias).otherwise(with_suffix))
+    letters = F.array_join("w", "").rlike(r"^(?:\p{L}\.)+\p{L}$") & (F.size("w") >= 3)
+    takes = F.col("ends_in_dot") & letters & F.coalesce(F.col("after") == ".", F.lit(False))
+    length = F.col("n") + takes.cast("int")
+    hits = met.select("doc_id", "label", "token_start", (F.col("token_start") + length).alias("token_stop"), "n", "ord", "alias", "matcher", "start", F.get("stops", length - 1).alias("stop"), F.get("next", length - 1).alias("final"))
+    same = W.partitionBy("doc_id", "label", "token_start", "token_stop").orderBy("n", "ord", "alias", "matcher")
     hits = hits.withColumn("k", F.row_number().over(same)).filter("k = 1")
     shorter = F.max("token_stop").over(W.partitionBy("doc_id", "label", "token_start").orderBy("token_stop").rangeBetween(-1, -1))
     letter = (F.col("token_stop") - F.col("token_start") > 1) & shorter.isNotNull() & F.col("final").rlike(r"^\p{L}$")
@@ -96,23 +99,33 @@ def match(tokens: DataFrame, aliases: DataFrame) -> DataFrame:
     return hits.select("doc_id", "label", "token_start", "token_stop", "alias", "matcher", "start", "stop")
 
 
-def contextual(tokens: DataFrame, hits: DataFrame) -> DataFrame:
-    """Hits that stand in a dispatch formula, ``( alias )``, or near a verb of reporting: adds matcher dispatch, reporting."""
-    longest = hits.agg(F.max(F.col("token_stop") - F.col("token_start"))).first()[0] or 0
-    wide = tokens.withColumns(
-        {
-            "before": F.collect_list("token").over(by_document().rowsBetween(-_NEAR, -1)),
-            "rest": F.collect_list("token").over(by_document().rowsBetween(0, longest + _NEAR)),
-        }
-    ).select("doc_id", F.col("i").alias("token_start"), "before", "rest")
-    rows = hits.join(wide, ["doc_id", "token_start"])
+def with_context(tokens: DataFrame, hits: DataFrame) -> DataFrame:
+    """Adds to hits whether they stand in a dispatch formula, ``( alias )``, and near a verb of reporting: dispatch, reporting.
+
+    A document's tokens are numbered from 0.
+    """
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("i", "token"))), lambda x: x["token"])
+    docs = tokens.groupBy("doc_id").agg(listed.alias("tokens"))  # a document's tokens meet its hits once
+    each = hits.groupBy("doc_id").agg(F.collect_list(F.struct(*[c for c in hits.columns if c != "doc_id"])).alias("hits"))
+    low = lambda h: F.greatest(h["token_start"] - _NEAR, F.lit(0))
+    around = lambda h: F.struct(
+        h.alias("hit"),
+        F.slice("tokens", (low(h) + 1).cast("int"), (h["token_start"] - low(h)).cast("int")).alias("before"),
+        F.slice("tokens", (h["token_start"] + 1).cast("int"), (h["token_stop"] - h["token_start"] + _NEAR).cast("int")).alias("rest"),
+    )
+    rows = each.join(docs, "doc_id").select("doc_id", F.explode(F.transform("hits", around)).alias("s")).select("doc_id", "s.hit.*", "s.before", "s.rest")
     n = F.col("token_stop") - F.col("token_start")
     one, two = F.get("rest", n), F.get("rest", n + 1)
     opened = F.coalesce(F.try_element_at(F.col("before"), F.lit(-1)) == "(", F.lit(False))
     closed = F.coalesce(one == ")", F.lit(False)) | F.coalesce((one == ".") & (two == ")"), F.lit(False))
     near = F.transform(F.concat("before", F.slice("rest", F.lit(1), n + _NEAR)), casefold)
     verbs = F.array(*map(F.lit, REPORTING))
-    return rows.withColumn("dispatch", opened & closed).withColumn("reporting", F.arrays_overlap(near, verbs)).filter("dispatch or reporting").drop("before", "rest")
+    return rows.withColumn("dispatch", opened & closed).withColumn("reporting", F.coalesce(F.arrays_overlap(near, verbs), F.lit(False))).drop("before", "rest")
+
+
+def contextual(tokens: DataFrame, hits: DataFrame) -> DataFrame:
+    """Hits that stand in a dispatch formula, ``( alias )``, or near a verb of reporting: adds matcher dispatch, reporting."""
+    return with_context(tokens, hits).filter("dispatch or reporting")
 
 
 def plausible(mentions: DataFrame, periods: DataFrame) -> DataFrame:

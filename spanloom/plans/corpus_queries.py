@@ -64,8 +64,8 @@ _VERBS = ", ".join(f"'{v}'" for v in t.REPORTING)
 def alias_contextual(spark, sf_dir):
     rows = base.tokens(spark, sf_dir)
     hits = dictionary.match(rows, dictionary.high_precision(base.seeds(spark)))
-    near = dictionary.contextual(rows, hits).groupBy("label").agg(F.sum(F.col("dispatch").cast("long")).alias("dispatch"), F.sum(F.col("reporting").cast("long")).alias("reporting"))
-    return hits.groupBy("label").agg(F.count("*").alias("hits")).join(near, "label", "left").na.fill(0, ["dispatch", "reporting"])
+    count = lambda c: F.sum(F.col(c).cast("long")).alias(c)
+    return dictionary.with_context(rows, hits).groupBy("label").agg(F.count("*").alias("hits"), count("dispatch"), count("reporting"))
 
 
 _PERIODS = [("1-URGENT", 1993), ("2-HIGH", 1995), ("3-MEDIUM", None), ("4-NOT SPECIFIED", 1900)]
