@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as t
-from spanloom.operators import bio, decisions, dictionary, evaluate, planning, profile, quality, sets, spans, tokens
+from spanloom.operators import bio, decisions, dictionary, evaluate, neighbours, planning, profile, quality, sets, spans, tokens
 
 from . import base
 from .base import SEEDS_CTE, TAGGED, TOK, bigints, spans_cte, table
@@ -319,22 +316,13 @@ def decoder_changes(spark, sf_dir):
     return both.filter("argmax <> viterbi").groupBy("argmax", "viterbi").agg(F.count("*").alias("n"))
 
 
-_QUERIES_A_BLOCK = 20_000
-
-
 @query("""WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id % 100 = 0), s AS (
   SELECT q, v.vec_id, round(list_cosine_similarity(CAST(q.e AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS sim FROM q, embeddings v WHERE v.vec_id <> q)
   SELECT q, vec_id, sim FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY sim DESC, vec_id) <= 5""")
 def cosine_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     asked = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"))  # a stated query set
-    blocks = -(-asked.count() // _QUERIES_A_BLOCK)
-    found = []
-    for k in range(max(1, blocks)):  # a block is broadcast; its size is bounded
-        block = asked.filter(F.pmod(F.xxhash64("q"), F.lit(max(1, blocks))) == k)
-        pairs = vectors.join(F.broadcast(block), F.col("vec_id") != F.col("q")).select("q", "vec_id", F.round(t.cosine(F.col("e"), F.col("embedding")), 6).alias("sim"))
-        found.append(pairs.withColumn("k", F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), "vec_id"))).filter("k <= 5").drop("k"))
-    return reduce(DataFrame.unionByName, found)
+    return neighbours.nearest_vectors(vectors, asked, 5)
 
 
 # runs of experiments, here derived from orders: a cell is a priority, a seed a month, its value the share of finished orders
