@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +14,9 @@ from pyspark.sql import types as T
 # The 13 column names of annotated token files, in order.
 TOKEN_COLUMNS = "TOKEN NE-COARSE-LIT NE-COARSE-METO NE-FINE-LIT NE-FINE-METO NE-FINE-COMP NE-NESTED NEL-LIT NEL-METO RENDER SEG OCR-INFO MISC".split()
 
+#: Bytes of token files whose lines one task holds and sorts.
+SHARE = 8_000_000
+
 
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, strict: bool = True) -> DataFrame:
     """JSON lines, plain or bz2 (which Spark splits). Blank lines are skipped.
@@ -49,39 +56,53 @@ def split_of(path: Column) -> Column:
     return F.coalesce(said(F.try_element_at(parts, F.lit(-1))), said(F.try_element_at(parts, F.lit(-2))), F.raise_error(F.concat(F.lit("no split in "), path)).cast("string"))
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, value) of token files to a row for each document: file, doc, its comments, the last of each name, and its lines."""
+    begins, header = ("language", "global.columns"), "\t".join(TOKEN_COLUMNS)
+    kinds = [pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
+    for batch in batches:
+        for file, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            found, since = [({}, [])], False  # whether tokens came since the last comment that can begin a document
+            for line in re.split(r"\r?\n", value.as_py() or ""):
+                if not line.strip(" ") or line == header:
+                    continue
+                if not line.startswith("# "):
+                    since = True
+                elif named := re.match("# ([^ =]+) *=", line):
+                    if named[1] in begins:
+                        found += [({}, [])] if since else []
+                        since = False
+                    found[-1][0][named[1]] = re.sub("^# [^=]*= ?", "", line)
+                found[-1][1].append(line)
+            columns = [file] * len(found), range(len(found)), [list(c.items()) or None for c, _ in found], ["\n".join(x) for _, x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["file", "doc", "comments", "lines"])
+
+
 def read_token_files(spark: SparkSession, path: str, names: str = "*.tsv") -> DataFrame:
-    """Annotated token files below ``path``: file, split, doc, comments map, i, the 13 columns, segment.
+    """Annotated token files below ``path``: file, doc, i, the 13 columns, segment, comments map, split.
 
     A document begins at the file's start, at ``# language`` after tokens, or at
     a repeated ``# global.columns`` after tokens. A file is read as one value,
-    since its line order is what it says.
+    since its line order is what it says; it is cut into documents at once, and
+    these are dealt in shares, so that nothing sorts a file's lines.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("n", "line")).filter("trim(line) <> ''")
-    cells = F.split("line", "\t")
-    comment = F.col("line").startswith("# ")
-    at = W.partitionBy("file").orderBy("n")
-    key = F.regexp_extract("line", r"^# ([^ =]+) *=", 1)
-    lines = lines.withColumns({"comment": comment, "key": F.when(comment, key), "text": F.when(comment, F.regexp_replace("line", r"^# [^=]*= ?", "")), "cells": cells})
-    lines = lines.filter(F.col("comment") | (F.col("line") != "\t".join(TOKEN_COLUMNS)))
-    had = F.coalesce(F.max((~F.col("comment")).cast("int")).over(at.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    lines = lines.withColumn("seen", F.sum((~F.col("comment")).cast("int")).over(at.rowsBetween(W.unboundedPreceding, -1)))
-    begins = F.col("comment") & F.col("key").isin("language", "global.columns") & (had == 1)
-    before = F.last(F.when(F.col("comment") & F.col("key").isin("language", "global.columns"), F.col("seen")), ignorenulls=True).over(at.rowsBetween(W.unboundedPreceding, -1))
-    fresh = begins & (F.coalesce(before, F.lit(-1)) != F.coalesce("seen", F.lit(0)))
-    lines = lines.withColumn("doc", F.sum(fresh.cast("int")).over(at.rowsBetween(W.unboundedPreceding, 0)))
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    size = files.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    docs = files.mapInArrow(_documents, "file string, doc long, comments map<string,string>, lines string")
+    docs = docs.repartition(1 + size // SHARE, "file", "doc")
+    lines = docs.select("file", "doc", "comments", F.posexplode(F.split("lines", "\n")).alias("n", "line"))
     mine = W.partitionBy("file", "doc").orderBy("n")
-    link = F.last(F.when(F.col("key") == "segment_iiif_link", F.col("text")), ignorenulls=True).over(mine.rowsBetween(W.unboundedPreceding, 0))
-    lines = lines.withColumn("link", link)
+    comment = F.col("line").startswith("# ")
+    text = F.when(comment & (F.regexp_extract("line", r"^# ([^ =]+) *=", 1) == "segment_iiif_link"), F.regexp_replace("line", r"^# [^=]*= ?", ""))
+    link = F.last(text, ignorenulls=True).over(mine.rowsBetween(W.unboundedPreceding, 0))
+    lines = lines.withColumns({"comment": comment, "link": link})
     new_segment = F.col("link").isNotNull() & ~F.col("link").eqNullSafe(F.lag("link").over(mine))
     lines = lines.withColumn("segment", F.sum(new_segment.cast("int")).over(mine.rowsBetween(W.unboundedPreceding, 0)))
-    notes = lines.filter("comment and key <> ''").groupBy("file", "doc", "key").agg(F.max_by("text", "n").alias("text"))
-    notes = notes.groupBy("file", "doc").agg(F.map_from_entries(F.collect_list(F.struct("key", "text"))).alias("comments"))
+    tokens = lines.filter("not comment and line <> ''").withColumn("i", F.row_number().over(mine) - 1).withColumn("cells", F.split("line", "\t"))
     wrong = F.when(F.size("cells") != len(TOKEN_COLUMNS), F.raise_error(F.concat(F.col("file"), F.lit(": a token line needs 13 fields"))))
-    tokens = lines.filter("not comment").withColumn("cells", F.coalesce(wrong.cast("array<string>"), F.col("cells")))
+    tokens = tokens.withColumn("cells", F.coalesce(wrong.cast("array<string>"), F.col("cells")))
     named = [F.get("cells", F.lit(k)).alias(c.lower().replace("-", "_")) for k, c in enumerate(TOKEN_COLUMNS)]
-    tokens = tokens.select("file", "doc", (F.row_number().over(mine) - 1).alias("i"), *named, "segment")
-    return tokens.join(notes, ["file", "doc"], "left").withColumn("split", split_of(F.col("file")))
+    return tokens.select("file", "doc", "i", *named, "segment", "comments", split_of(F.col("file")).alias("split"))
 
 
 def sorted_json(*columns: str) -> Column:

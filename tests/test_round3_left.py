@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from spanloom.functions import text as t
 from spanloom.operators import neighbours
 from spanloom.plans import corpus_queries
+from spanloom.sources import files
 
 
 def test_nearest_vectors_equal_all_pairs(spark, tmp_path, monkeypatch):
@@ -25,3 +26,18 @@ def test_nearest_vectors_equal_all_pairs(spark, tmp_path, monkeypatch):
     assert seen(neighbours.nearest_vectors(vectors, asked, 5)) == seen(plain)
     vectors.filter("vec_id is not null").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert "NestedLoop" not in corpus_queries.QUERIES["cosine_topk"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_token_files_are_read_in_their_order(spark, tmp_path):
+    """Files of several splits: what a line belongs to is told by the lines before it."""
+    line = lambda token: "\t".join([token, *["_"] * 12])
+    block = lambda d: [f"# document_id = {d}", "# global.columns = x", "# language = de", "\t".join(files.TOKEN_COLUMNS), *[line(f"w{d}-{k}") for k in range(300)], ""]
+    for name, docs in (("a-train.tsv", range(6)), ("b-dev.tsv", range(6, 9))):
+        (tmp_path / name).write_text("\n".join(x for d in docs for x in [*block(d)[1:4], block(d)[0], *block(d)[4:]]), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = files.read_token_files(spark, str(tmp_path)).select(F.col("comments")["document_id"].cast("int"), "i", "token", "split").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, got)) == [(d, k, f"w{d}-{k}", "train" if d < 6 else "validation") for d in range(9) for k in range(300)]
