@@ -37,7 +37,10 @@ def test_token_files_are_read_in_their_order(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        got = files.read_token_files(spark, str(tmp_path)).select(F.col("comments")["document_id"].cast("int"), "i", "token", "split").collect()
+        read = files.read_token_files(spark, str(tmp_path))
+        got = read.select(F.col("comments")["document_id"].cast("int"), "i", "token", "split").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(map(tuple, got)) == [(d, k, f"w{d}-{k}", "train" if d < 6 else "validation") for d in range(9) for k in range(300)]
+    leaf = read._jdf.queryExecution().analyzed().collectLeaves().apply(0)
+    assert leaf.relation().options().apply("wholetext") == "true"  # a row for each file, not for each line without its place
