@@ -185,6 +185,11 @@ def markdown(df: DataFrame, most: int = 10_000) -> str:
 def tag_changes(before: DataFrame, after: DataFrame, radius: int = 8) -> DataFrame:
     """Tokens near a change of tag, before and after: doc_id, i, token, tag_before, tag_after, changed."""
     both = before.select("doc_id", "i", "token", F.col("tag").alias("tag_before")).join(after.select("doc_id", "i", F.col("tag").alias("tag_after")), ["doc_id", "i"])
+    return near_changes(both, radius)
+
+
+def near_changes(both: DataFrame, radius: int = 8) -> DataFrame:
+    """The same for tokens that hold both tags: doc_id, i, token, tag_before, tag_after."""
     both = both.withColumn("changed", F.col("tag_before") != F.col("tag_after"))
     near = F.max(F.col("changed").cast("int")).over(W.partitionBy("doc_id").orderBy("i").rowsBetween(-radius, radius))
     return both.withColumn("near", near).filter("near = 1").drop("near")

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 
 from spanloom.functions import text as t
 from spanloom.operators import neighbours
-from spanloom.plans import corpus_queries
+from spanloom.plans import corpus_queries, review_queries
 from spanloom.sources import files
 
 
@@ -44,3 +44,8 @@ def test_token_files_are_read_in_their_order(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(d, k, f"w{d}-{k}", "train" if d < 6 else "validation") for d in range(9) for k in range(300)]
     leaf = read._jdf.queryExecution().analyzed().collectLeaves().apply(0)
     assert leaf.relation().options().apply("wholetext") == "true"  # a row for each file, not for each line without its place
+
+
+def test_tag_changes_come_from_one_pass(spark):
+    plan = review_queries.QUERIES["tag_changes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
