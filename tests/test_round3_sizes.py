@@ -20,3 +20,17 @@ def test_edges_of_spans_meet_tokens_where_they_lie(spark):
     got = sorted(map(str, map(tuple, spans.to_tokens(found, tokens).select("doc_id", "label", "start", "stop", "token_start", "token_stop", "aligned").collect())))
     want = [(0, "X", 0, 4, 0, 2, True), (0, "X", 0, 4, 0, 2, True), (0, "Y", 1, 4, None, 2, False), (1, "X", 0, 4, 0, None, False), (None, "X", 0, 5, None, None, False), (0, "Z", None, 4, None, 2, False)]
     assert got == sorted(map(str, want))
+
+
+def test_white_space_before_tokens_is_the_same(spark):
+    every = spark.createDataFrame([(chr(c),) for c in range(0x10000) if not 0xD800 <= c < 0xE000], "c string")
+    assert {r["c"] for r in every.filter(F.col("c").rlike(f"^{t.SPACE}$")).collect()} == set(t.SPACES)
+    assert "regexp_replace" not in plan(span_queries, "gold_spans", spark)
+
+
+def test_runs_are_numbered_among_labelled_tokens(spark):
+    rows = spark.createDataFrame([(0, i, a, b) for i, (a, b) in enumerate([("B-X", "O"), ("O", "I-X"), ("I-X", "O"), ("I-X", "B-Y"), ("B-X", "I-Y"), ("O", "O"), ("I-Y", "I-Y")])], "doc_id long, i int, a string, b string")
+    both = sorted(tuple(r) for r in bio.sided_spans(rows, "a", "b").collect())
+    assert both == sorted((0, k, *tuple(r)[1:4]) for k, c in enumerate("ab") for r in bio.spans(rows, c).select("doc_id", "label", "token_start", "token_stop").collect())
+    top = bio.sided_spans(rows, "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert top.count("Filter") >= 1 and top.index("Filter") > top.index("Window")  # only labelled tokens are numbered
