@@ -81,7 +81,11 @@ def state_snapshot(candidates: DataFrame, decided: DataFrame, in_splits: DataFra
 def subtoken_summary(subtokens: DataFrame) -> DataFrame:
     """Words by the pattern of their subtokens' tags (doc_id, word, sub, tag), and how often all agree; word -1 is special."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("sub", "tag"))), lambda s: s["tag"])
-    words = subtokens.filter("word >= 0").groupBy("doc_id", "word").agg(ordered.alias("tags"))
+    return word_summary(subtokens.filter("word >= 0").groupBy("doc_id", "word").agg(ordered.alias("tags")))
+
+
+def word_summary(words: DataFrame) -> DataFrame:
+    """The same for words with their subtokens' ``tags`` in order, which are not sorted and grouped then."""
     agree = F.size(F.array_distinct(F.transform("tags", lambda t: F.coalesce(base_label(t), F.lit("O"))))) == 1
     return words.select(expansion_pattern(F.col("tags")).alias("pattern"), agree.alias("agree")).groupBy("pattern").agg(F.count("*").alias("words"), F.sum(F.col("agree").cast("long")).alias("agreeing"))
 
