@@ -17,6 +17,10 @@ def test_subtoken_audit_groups_no_subtokens(spark):
     assert "collect_list" not in plan(review_queries, "subtoken_audit", spark)
 
 
+def test_merged_sources_reads_texts_once(spark):
+    assert plan(review_queries, "merged_sources", spark).count("Relation") == 1
+
+
 def test_edges_of_spans_meet_tokens_where_they_lie(spark):
     assert not re.search(r"Exchange hashpartitioning\(doc_id#\d+L?, (?!\d)", plan(review_queries, "char_spans_to_tokens", spark, "executedPlan"))
     tokens = spark.createDataFrame([(0, 0, 0, 2), (0, 1, 3, 4), (1, 0, 0, 5)], "doc_id long, i int, start long, stop long")
