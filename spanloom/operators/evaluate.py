@@ -258,7 +258,11 @@ def parity(left: DataFrame, right: DataFrame) -> DataFrame:
     """First difference of two runs' tokens (doc_id, i, token, tag) by document: doc_id, kind, i."""
     a = left.select("doc_id", "i", F.col("token").alias("ta"), F.col("tag").alias("la"))
     b = right.select("doc_id", "i", F.col("token").alias("tb"), F.col("tag").alias("lb"))
-    both = a.join(b, ["doc_id", "i"], "full_outer")
+    return first_differences(a.join(b, ["doc_id", "i"], "full_outer"))
+
+
+def first_differences(both: DataFrame) -> DataFrame:
+    """The same for both runs' tokens (ta, tb) and tags (la, lb) side by side."""
     kind = F.when(F.col("ta").isNull() | F.col("tb").isNull(), "missing_token").when(F.col("ta") != F.col("tb"), "token").when(F.col("la") != F.col("lb"), "label")
     return both.withColumn("kind", kind).filter("kind is not null").groupBy("doc_id").agg(F.min_by("kind", "i").alias("kind"), F.min("i").alias("i"))
 
