@@ -34,6 +34,10 @@ def test_tag_parity_reads_texts_once(spark):
     assert plan(span_queries, "tag_parity", spark).count("Relation") == 1
 
 
+def test_pasted_rows_read_texts_once(spark):
+    assert plan(review_queries, "pasted_rows", spark).count("Relation") == 1
+
+
 def test_white_space_before_tokens_is_the_same(spark):
     every = spark.createDataFrame([(chr(c),) for c in range(0x10000) if not 0xD800 <= c < 0xE000], "c string")
     assert {r["c"] for r in every.filter(F.col("c").rlike(f"^{t.SPACE}$")).collect()} == set(t.SPACES)
