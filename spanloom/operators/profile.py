@@ -45,11 +45,18 @@ def top_surfaces(mentions: DataFrame, keys: list[str], top: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= top).select(*keys, "form", "n", F.bround(F.col("n") / F.col("total"), 4).alias("share"), "display", "rank")
 
 
-def surface_forms(mentions: DataFrame, keys: list[str], examples: int) -> DataFrame:
-    """All raw forms of each surface, most frequent first, and the first examples (doc_id) that show it."""
-    raw = mentions.groupBy(*keys, "form", "surface").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+def surface_forms(mentions: DataFrame, keys: list[str], examples: int, form: Column | None = None) -> DataFrame:
+    """All raw forms of each surface, most frequent first, and the first examples (doc_id) that show it.
+
+    Mentions have a ``form``, or ``form`` makes it of ``surface``: once for each
+    distinct one, not for each mention.
+    """
+    known = ["form"] if form is None else []
+    made = lambda df: df if form is None else df.withColumn("form", form)
+    raw = made(mentions.groupBy(*keys, *known, "surface").agg(F.count("*").alias("n"), F.min("ord").alias("first")))
     forms = raw.groupBy(*keys, "form").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "first", "surface"))), lambda s: s["surface"]).alias("forms"), F.sum("n").alias("n"))
-    shown = mentions.withColumn("k", F.row_number().over(W.partitionBy(*keys, "form").orderBy("ord"))).filter(F.col("k") <= examples)
+    at_most = lambda df, *by: df.withColumn("k", F.row_number().over(W.partitionBy(*keys, *by).orderBy("ord"))).filter(F.col("k") <= examples)
+    shown = at_most(made(at_most(mentions, *known, "surface")), "form")
     shown = shown.groupBy(*keys, "form").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "doc_id"))), lambda s: s["doc_id"]).alias("examples"))
     return forms.join(shown, [*keys, "form"])
 

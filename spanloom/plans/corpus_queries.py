@@ -104,8 +104,8 @@ def surface_profile_topn(spark, sf_dir):
   FROM r JOIN (SELECT lang, form, string_agg(doc_id, ',' ORDER BY ord) AS examples FROM e GROUP BY ALL) x ON x.lang = r.lang AND x.form = r.form GROUP BY r.lang, r.form""")
 def surface_norm_freq(spark, sf_dir):
     rows = tokens.words(table(spark, sf_dir, "documents"), "doc_id", "lang").filter(F.col("token").rlike(r"^\p{L}"))
-    named = rows.select("lang", t.normalised(F.col("token")).alias("form"), F.col("token").alias("surface"), "doc_id", (F.col("doc_id") * 1000000 + F.col("i")).alias("ord"))
-    found = profile.surface_forms(named, ["lang"], 3)
+    named = rows.select("lang", F.col("token").alias("surface"), "doc_id", (F.col("doc_id") * 1000000 + F.col("i")).alias("ord"))
+    found = profile.surface_forms(named, ["lang"], 3, t.normalised(F.col("surface")))
     return found.select("lang", "form", F.array_join("forms", ",").alias("forms"), "n", F.array_join(F.col("examples").cast("array<string>"), ",").alias("examples"))
 
 

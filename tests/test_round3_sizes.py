@@ -34,6 +34,15 @@ def test_tag_parity_reads_texts_once(spark):
     assert plan(span_queries, "tag_parity", spark).count("Relation") == 1
 
 
+def test_forms_are_made_of_distinct_surfaces(spark):
+    said = [("de", s, d, d * 10 + k) for d in range(5) for k, s in enumerate(["Ha", "HA", "ha", "b", "B"][d % 2 :])]
+    rows = spark.createDataFrame(said, "lang string, surface string, doc_id long, ord long")
+    form = F.lower("surface")
+    seen = lambda df: sorted(map(str, df.select("lang", "form", "forms", "n", "examples").collect()))
+    assert seen(profile.surface_forms(rows, ["lang"], 3, form)) == seen(profile.surface_forms(rows.withColumn("form", form), ["lang"], 3))
+    assert "form#" not in (p := plan(corpus_queries, "surface_norm_freq", spark))[p.rindex("Window") :]
+
+
 def test_pasted_rows_read_texts_once(spark):
     assert plan(review_queries, "pasted_rows", spark).count("Relation") == 1
 
