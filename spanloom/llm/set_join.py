@@ -4,7 +4,9 @@ Two sets whose Jaccard similarity reaches the threshold differ in a bounded
 number of features. The feature domain is partitioned, each partition into
 sub-partitions, and a set signs each way to leave one sub-partition out: sets
 of an equal-size band that are similar enough share a signature, always. What
-shares a signature is verified on the whole texts.
+shares a signature is verified on the whole texts. Many sets that differ share
+a signature where they have a passage in common; the rows of such a signature
+meet by their rarest features only, which similar sets share as well.
 """
 
 from __future__ import annotations
@@ -36,10 +38,14 @@ SIGNED = 1_000_000
 PART_EDGES = 500_000
 #: Rows of a block: the rows of a signature are compared block with block.
 BLOCK = 256
+#: Rows of a signature of which all pairs are compared; those of a larger one meet by their rarest features.
+MOST_ROWS = 16
+#: Sets by which common features are told, and how many of these; the order of features costs or saves time, it changes no result.
+RANKED_SETS, RANKED_FEATURES = 5_000, 65_536
 #: Pairs whose whole bitmaps a task compares at a time, on average.
 PAIRS_A_TILE = 50_000
 #: Further pivots that rows of one signature are compared with before they are compared with one another.
-PIVOT_TURNS = 2
+PIVOT_TURNS = 1
 #: Pairs that share one copy of the more frequent side's text.
 PAIRS_A_COPY = 256
 
@@ -243,6 +249,31 @@ def _signature_rows(width: int, percent: int):
     return run
 
 
+def _rarest(width: int, percent: int, common: np.ndarray, counts: np.ndarray):
+    """(sig, rep, class): the rarest features of each text of (doc_id, class, text), one of which similar sets share.
+
+    Sets of similarity ``percent`` share that share of the larger one's
+    features, and so one of the first ``n - ceil(percent * n / 100) + 1`` in any
+    order that is the same for all: here by ``counts`` of the features that are
+    ``common``, others first.
+    """
+    common, counts = np.append(common, np.uint64(2**64 - 1)), np.append(counts, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes = [np.empty(0, np.uint64)], []
+            for text in batch.column(2).cast(pa.binary()):
+                h = shingles(text, width)
+                at = np.searchsorted(common, h)
+                many = np.where(common[at] == h, counts[at], 0)
+                found.append(h[np.lexsort((h, many))[: len(h) - -(-percent * len(h) // 100) + 1]])
+                sizes.append(len(found[-1]))
+            which = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(which), batch.column(1).take(which)], names=["sig", "rep", "class"])
+
+    return run
+
+
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes of a task's edges (a, b), each with the smallest node that these edges reach from it."""
     ends = [(b.column(0), b.column(1)) for b in batches if b.num_rows]
@@ -365,7 +396,8 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets. ``rep`` is the smallest id with the same set, component_id the
     smallest id that links reach. No links are lost: sets that share no
     signature can't be linked, and of those that share one every pair is
-    verified, but for pairs that are in one component already.
+    verified, but for pairs that are in one component already and for pairs of
+    a large signature that share none of their rarest features.
 
     Null or empty text, or no words: an empty set, linked with nothing, not even
     other empty sets. Null doc_id: its row is returned, unlinked. Rows of a
@@ -440,12 +472,32 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # rows that share a signature but are in several classes still meet other pivots, and in the end one another
     seen = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
+    def divided(rows: DataFrame) -> DataFrame:
+        """The rows (sig, rep, class) of signatures that several classes share, and how many rows these have, stored."""
+        rows = rows.select("*", over("min(class)", "low"), over("max(class)", "high"), over("count(*)", "m"))
+        return stored(rows.filter("low <> high").drop("low", "high"), "undecided")
+
     def undecided(rows: DataFrame) -> DataFrame:
         """The rows of signatures that rows of several classes share, with their class."""
         of = classes.select(F.col("node").alias("rep"), "component")
-        rows = rows.join(of, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("class"))
-        rows = rows.select("*", over("min(class)", "low"), over("max(class)", "high")).filter("low <> high").drop("low", "high")
-        return stored(rows, "undecided")
+        return divided(rows.join(of, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("class")))
+
+    def by_rarest(rows: DataFrame) -> DataFrame:
+        """``rows`` with those of large signatures dealt by their sets' rarest features instead."""
+        large = stored(rows.filter(F.col("m") > MOST_ROWS).select(F.col("rep").alias("doc_id"), "class").distinct(), "large")
+        many = large.count()
+        if not many:
+            return rows
+        texts = stored(docs.join(large, "doc_id").select("doc_id", "class", "text"), "texts")
+        schema, none = f"sig long, rep {id_type}, class {id_type}", np.empty(0, np.uint64)
+        some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(-(-many // RANKED_SETS))) == 0).mapInArrow(_rarest(width, 0, none, none), schema)
+        ranked = some.groupBy("sig").count().filter("count > 1").orderBy(F.desc("count"), "sig").limit(RANKED_FEATURES).toArrow()  # RANKED_FEATURES at most
+        common, counts = (c.to_numpy() for c in ranked.columns)
+        order = np.argsort(common.view(np.uint64))
+        rare = texts.mapInArrow(_rarest(width, percent, common.view(np.uint64)[order], counts[order]), schema)
+        rare = divided(rare.repartition("sig").dropDuplicates(["sig", "rep"]))
+        discard(large, texts)
+        return rows.filter(F.col("m") <= MOST_ROWS).unionByName(rare)
 
     several = undecided(buckets.filter("m > 2").join(nodes.select("node", "rep"), "node").select("sig", "rep"))
     for turn in range(PIVOT_TURNS):
@@ -458,9 +510,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         seen = seen.unionByName(pairs)
         classes = settled(pairs)
         several = undecided(several.select("sig", "rep"))
+    several = by_rarest(several)
     # one of the signatures that the same rows share is enough
     one_each = several.groupBy("sig").agg(F.count("*").alias("m"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("rows"), F.min("rep").alias("low"), F.max("rep").alias("high")).groupBy("m", "rows", "low", "high").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    last = several.join(one_each, "sig").join(slim("rep"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    last = several.select("sig", "rep", "class").join(one_each, "sig").join(slim("rep"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     last = stored(last.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "blocks")
     x, y = last.alias("x"), last.alias("y")
     pairs = x.join(y, F.expr(f"x.sig = y.sig and x.block = y.other and x.other = y.block and x.rep > y.rep and x.class <> y.class and {near('x.of_rep', 'y.of_rep')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()

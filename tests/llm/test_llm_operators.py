@@ -326,6 +326,34 @@ def test_jaccard_classes_equal_brute_force(spark, width, percent):
     assert set_join.jaccard_classes(docs_of(spark, texts).limit(0), width, percent).count() == 0
 
 
+def test_rows_of_large_signatures_meet_by_their_rarest_features(spark, monkeypatch):
+    """Long texts share the signatures of what all lack; their pairs grew with the square of the texts."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(1300)) for _ in range(120)]
+    passage = " ".join(f"p{i}" for i in range(300))
+    texts += [f"{passage} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(100)) for _ in range(30)]
+    texts += [f"{t} one more" for t in texts[::7]] + [f"some {t}" for t in texts[::14]]
+    monkeypatch.setattr(set_join, "MOST_ROWS", 4)
+    made, store = [], set_join.stored
+
+    def stored(df, name, *more):
+        out = store(df, name, *more)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(set_join, "stored", stored)
+    got = set_join.jaccard_classes(docs_of(spark, texts), 5, 80).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == classes_by_hand(texts, 5, 80)
+    assert [n for name, n in made if name == "met"][-1] < 10 * len(texts)  # 833; 7,109 when all rows of a signature met
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_rarest_features_lose_no_link(spark, monkeypatch, most):
+    monkeypatch.setattr(set_join, "MOST_ROWS", most)
+    monkeypatch.setattr(set_join, "RANKED_SETS", 7)
+    test_jaccard_classes_equal_brute_force(spark, 5, 80)
+
+
 def test_words_over_a_chunk_are_one_word(spark):
     n = set_join._CHUNK
     one, two = "x" * 5_000_000, "x" * (2 * n) + "y" * 9
