@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,6 +15,8 @@ from .tokens import together
 
 TERMINAL = ["done", "ignored"]
 CHOICES = ["gold", "prediction", "both", "manual", "neither", "skip"]
+#: What a curation choice holds, in the order in which it is replayed.
+CHOICE = ["ord", "choice", "correct_label", "gold", "predicted"]
 
 
 def latest(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -83,6 +88,54 @@ class _Held:
         return {s for k in self._touched(a, b) for s in self.blocks.get(k, ()) if s[0] < b and a < s[1]}
 
 
+def _structs(column: pa.ListArray) -> list[list[tuple]]:
+    """A column of lists of structs as lists of tuples, and what lists of structs these hold as well; null lists are empty."""
+    each = column.flatten()
+    fields = [_structs(f) if pa.types.is_list(f.type) and pa.types.is_struct(f.type.value_type) else f.to_pylist() for f in each.flatten()]
+    rows, out, at = list(zip(*fields, strict=True)), [], 0
+    for n in pc.list_value_length(column).to_pylist():
+        out.append(rows[at : at + (n or 0)])
+        at += n or 0
+    return out
+
+
+def _replayed(docs: DataFrame, replay: Callable[[list[tuple], list[tuple]], dict], *added: str) -> DataFrame:
+    """What ``replay`` makes of each document's (doc_id, spans, log): spans by (token_start, token_stop), label and further values.
+
+    Documents pass as rows with arrays, many in a batch: a group of its own for
+    each would cost some ten milliseconds, whatever it holds.
+    """
+    names = ["token_start", "token_stop", "label", *added]
+    kinds = [pa.int32(), pa.int32(), *[pa.string()] * (1 + len(added))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, rows = [], []
+            for k, (mine, log) in enumerate(zip(_structs(batch.column(1)), _structs(batch.column(2)), strict=True)):
+                held = replay(mine, log)
+                rows += [(*span, *held[span]) for span in sorted(held)]
+                of += [k] * len(held)
+            cells = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *(pa.array(c, t) for c, t in zip(cells, kinds, strict=True))], names=["doc_id", *names])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "spans", "log").mapInArrow(run, f"doc_id {kind}, token_start int, token_stop int, " + ", ".join(f"{c} string" for c in names[2:]))
+
+
+def _gathered(spans: DataFrame, log: DataFrame, *columns: str) -> DataFrame:
+    """A row for each document of either table: doc_id, spans and log, arrays."""
+    mine, entry = F.struct("token_start", "token_stop", "label"), F.struct(*columns)
+    none = lambda df, c: F.lit(None).cast(df.select(c).schema[0].dataType)
+    log = log.toDF(*log.columns)  # may derive from the spans
+    left = spans.select("doc_id", mine.alias("s"), none(log, entry.alias("d")).alias("d"))
+    right = log.select("doc_id", none(spans, mine.alias("s")).alias("s"), entry.alias("d"))
+    return together(left, right).groupBy("doc_id").agg(F.collect_list("s").alias("spans"), F.collect_list("d").alias("log"))
+
+
+def _nulls_last(*values: object) -> list[tuple]:
+    return [(v is None, v) for v in values]
+
+
 def apply_choices(spans: DataFrame, decisions: DataFrame) -> DataFrame:
     """Replays curation choices on each document's spans in order of ``ord``.
 
@@ -92,28 +145,27 @@ def apply_choices(spans: DataFrame, decisions: DataFrame) -> DataFrame:
     correct label; neither removes; skip does nothing. A choice may relabel with
     correct_label. One document's spans and decisions are one group.
     """
-    kind = spans.schema["doc_id"].dataType.simpleString()
+    return replayed_choices(_gathered(spans, decisions, *CHOICE))
+
+
+def replayed_choices(docs: DataFrame) -> DataFrame:
+    """The same for documents as rows: doc_id, spans (array of token_start, token_stop, label) and log (array of ``CHOICE``)."""
 
-    def replay(key, mine: pd.DataFrame, log: pd.DataFrame) -> pd.DataFrame:
-        held = _Held({(int(r.token_start), int(r.token_stop)): r.label for r in mine.itertuples()})
-        for d in log.sort_values("ord", kind="stable").itertuples():
-            if d.choice == "skip":
+    def replay(mine: list[tuple], log: list[tuple]) -> dict:
+        held = _Held({(a, b): (label,) for a, b, label in mine})
+        for _, choice, correct, gold, pred in sorted(log, key=lambda d: _nulls_last(d[0])):
+            if choice == "skip":
                 continue
-            gold = [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in d.gold]
-            pred = [tuple(s.values()) if isinstance(s, dict) else tuple(s) for s in d.predicted]
             for a, b, _ in [*gold, *pred]:
                 held.drop((a, b))
-            new = {"gold": gold, "prediction": pred, "both": [*gold, *pred], "manual": (gold or pred)[:1]}.get(d.choice, [])
+            new = {"gold": gold, "prediction": pred, "both": [*gold, *pred], "manual": (gold or pred)[:1]}.get(choice, [])
             for a, b, label in new:
-                label = d.correct_label or label
                 for span in held.meeting(a, b):
                     held.drop(span)
-                held.put((a, b), label)
-        rows = [(key[0], a, b, label) for (a, b), label in sorted(held.spans.items())]
-        return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label"])
+                held.put((a, b), (correct or label,))
+        return held.spans
 
-    decisions = decisions.toDF(*decisions.columns)  # may derive from the spans
-    return spans.groupBy("doc_id").cogroup(decisions.groupBy("doc_id")).applyInPandas(replay, f"doc_id {kind}, token_start int, token_stop int, label string")
+    return _replayed(docs, replay)
 
 
 def apply_patches(spans: DataFrame, patches: DataFrame) -> DataFrame:
@@ -124,26 +176,22 @@ def apply_patches(spans: DataFrame, patches: DataFrame) -> DataFrame:
     spans that it overlaps; one that finds its own result changes nothing, so
     a second replay is none.
     """
-    kind = spans.schema["doc_id"].dataType.simpleString()
 
-    def replay(key, mine: pd.DataFrame, log: pd.DataFrame) -> pd.DataFrame:
-        held = _Held({(int(r.token_start), int(r.token_stop)): (r.label, "kept") for r in mine.itertuples()})
-        for p in log.sort_values(["reviewed_at", "review_id"], kind="stable").itertuples():
-            if p.choice == "reject":
+    def replay(mine: list[tuple], log: list[tuple]) -> dict:
+        held = _Held({(a, b): (label, "kept") for a, b, label in mine})
+        for _, _, choice, a, b, label in sorted(log, key=lambda p: _nulls_last(p[0], p[1])):
+            if choice == "reject":
                 continue
-            a, b = int(p.token_start), int(p.token_stop)
-            if p.label != "O" and held.spans.get((a, b), ("",))[0] == p.label:
+            if label != "O" and held.spans.get((a, b), ("",))[0] == label:
                 continue
             gone = held.meeting(a, b)
             for s in gone:
                 held.drop(s)
-            if p.label != "O":
-                held.put((a, b), (p.label, "replaced" if gone else "added"))
-        rows = [(key[0], a, b, label, change) for (a, b), (label, change) in sorted(held.spans.items())]
-        return pd.DataFrame(rows, columns=["doc_id", "token_start", "token_stop", "label", "change"])
+            if label != "O":
+                held.put((a, b), (label, "replaced" if gone else "added"))
+        return held.spans
 
-    patches = patches.toDF(*patches.columns)  # may derive from the spans
-    return spans.groupBy("doc_id").cogroup(patches.groupBy("doc_id")).applyInPandas(replay, f"doc_id {kind}, token_start int, token_stop int, label string, change string")
+    return _replayed(_gathered(spans, patches, "reviewed_at", "review_id", "choice", "token_start", "token_stop", "label"), replay, "change")
 
 
 def patch_targets(before: DataFrame, after: DataFrame) -> DataFrame:
