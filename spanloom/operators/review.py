@@ -28,13 +28,18 @@ def unaudited(hits: DataFrame, marks: DataFrame) -> DataFrame:
 
 def verified_span(hits: DataFrame, entities: DataFrame, tagged: DataFrame, tag: str = "tag") -> DataFrame:
     """Each hit with the entity that it meets, else the tag run, else O: adds label, span_start, span_stop, found_in."""
+    return verified_among(hits, entities, spans(tagged, tag))
+
+
+def verified_among(hits: DataFrame, entities: DataFrame, runs: DataFrame) -> DataFrame:
+    """The same for tag runs that are spans already."""
     key = ["doc_id", "token_start", "token_stop"]
 
     def first(found: DataFrame, name: str) -> DataFrame:
         met = overlapping(hits.select(*key).distinct(), found.select(*SPAN))
         return met.groupBy("a.doc_id", "a.token_start", "a.token_stop").agg(F.min(F.struct("b.token_start", "b.token_stop", "b.label")).alias(name))
 
-    rows = hits.join(first(entities, "e"), key, "left").join(first(spans(tagged, tag), "t"), key, "left")
+    rows = hits.join(first(entities, "e"), key, "left").join(first(runs, "t"), key, "left")
     best = F.coalesce("e", "t")
     where = F.when(F.col("e").isNotNull(), "entity").when(F.col("t").isNotNull(), "tags").otherwise("none")
     return rows.select(*hits.columns, F.coalesce(best["label"], F.lit("O")).alias("label"), F.coalesce(best["token_start"], F.col("token_start")).alias("span_start"), F.coalesce(best["token_stop"], F.col("token_stop")).alias("span_stop"), where.alias("found_in"))

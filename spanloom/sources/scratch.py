@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -16,3 +16,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir names no folder for files of the job")
         at = "file://" + tempfile.mkdtemp(prefix="spanloom-")
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in a work folder and read back, for small tables that cost much to make and are read more than once."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

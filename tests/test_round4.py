@@ -64,3 +64,7 @@ def test_choices_of_many_documents(spark):
     choices = spark.createDataFrame(log, f"doc_id long, ord int, choice string, correct_label string, gold {span}, predicted {span}")
     got = sorted(map(tuple, decisions.apply_choices(docs, choices).collect()), key=str)
     assert got == sorted([(0, 1, 5, "b"), (0, 9, 10, None), (2, 7, 8, "m"), (None, 2, 3, "w")], key=str)
+
+
+def test_verified_spans_cut_texts_once(spark):
+    assert "regexp_extract_all" not in plan(review_queries.QUERIES["verified_spans"](spark, SMALL))  # only when the tokens are stored
