@@ -68,3 +68,24 @@ def test_choices_of_many_documents(spark):
 
 def test_verified_spans_cut_texts_once(spark):
     assert "regexp_extract_all" not in plan(review_queries.QUERIES["verified_spans"](spark, SMALL))  # only when the tokens are stored
+
+
+def test_patches_are_replayed_on_stored_spans(spark):
+    found = plan(review_queries.QUERIES["span_patches"](spark, SMALL))
+    assert "CoGroup" not in found and "regexp_extract_all" not in found  # texts are cut once, when the spans are stored
+
+
+def test_patches_of_many_documents(spark):
+    held = [(0, 0, 2, "x"), (0, 4, 6, "x"), (1, 0, 1, "y"), (None, 1, 2, "z")]
+    log = [
+        (0, "b", "2024", "accept", 1, 5, "n"),
+        (0, "a", "2024", "modify", 5, 7, "m"),  # comes before b, which doesn't touch it
+        (0, "c", None, "accept", 5, 7, "O"),  # without a time it comes last
+        (1, "a", "2024", "reject", 0, 1, "O"),
+        (2, "a", "2024", "accept", 3, 4, "w"),
+        (None, "a", "2024", "accept", 1, 2, "z"),
+    ]
+    spans = spark.createDataFrame(held, "doc_id long, token_start int, token_stop int, label string")
+    patches = spark.createDataFrame(log, "doc_id long, review_id string, reviewed_at string, choice string, token_start int, token_stop int, label string")
+    got = sorted(map(tuple, decisions.apply_patches(spans, patches).collect()), key=str)
+    assert got == sorted([(0, 1, 5, "n", "replaced"), (1, 0, 1, "y", "kept"), (2, 3, 4, "w", "added"), (None, 1, 2, "z", "kept")], key=str)
