@@ -59,12 +59,16 @@ def retokenised(docs: DataFrame, stored: DataFrame, tag: str = "tag") -> tuple[D
     return tags(fresh, placed.filter("aligned").select(*SPAN)), placed.filter("not aligned").select("doc_id", "label", "start", "stop")
 
 
-def actionable(patches: DataFrame, tagged: DataFrame, entities: DataFrame, tag: str = "tag") -> DataFrame:
-    """Patches that would change something: a tag differs from what the patch asks for, or the entity is missing."""
+def actionable(patches: DataFrame, tagged: DataFrame, entities: DataFrame, tag: str = "tag", lacking: str | None = None) -> DataFrame:
+    """Patches that would change something: a tag differs from what the patch asks for, or the entity is missing.
+
+    Tokens that ``tagged`` lacks have the tag ``lacking``; without one they are not compared.
+    """
     key = ["doc_id", "token_start", "token_stop", "label"]
-    inside = patches.select(*key, F.explode(F.sequence("token_start", F.col("token_stop") - 1)).alias("i")).join(tagged.select("doc_id", "i", F.col(tag).alias("now")), ["doc_id", "i"])
+    inside = patches.select(*key, F.explode(F.sequence("token_start", F.col("token_stop") - 1)).alias("i")).join(tagged.select("doc_id", "i", F.col(tag).alias("now")), ["doc_id", "i"], "left" if lacking else "inner")
     asked = F.when(F.col("label") == "O", "O").otherwise(F.concat(F.when(F.col("i") == F.col("token_start"), F.lit("B-")).otherwise(F.lit("I-")), F.col("label")))
-    differs = inside.groupBy(*key).agg(F.max((F.col("now") != asked).cast("int")).alias("differs"))
+    now = F.coalesce("now", F.lit(lacking)) if lacking else F.col("now")
+    differs = inside.groupBy(*key).agg(F.max((now != asked).cast("int")).alias("differs"))
     known = entities.select(*key).distinct().withColumn("known", F.lit(True))
     rows = patches.join(differs, key, "left").join(known, key, "left")
     return rows.filter((F.col("differs") == 1) | ((F.col("label") != "O") & F.col("known").isNull())).drop("differs", "known")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import media
 from spanloom.llm import queries as llm_queries
-from spanloom.operators import decisions
+from spanloom.operators import decisions, review
 from spanloom.plans import base, review_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -89,3 +89,16 @@ def test_patches_of_many_documents(spark):
     patches = spark.createDataFrame(log, "doc_id long, review_id string, reviewed_at string, choice string, token_start int, token_stop int, label string")
     got = sorted(map(tuple, decisions.apply_patches(spans, patches).collect()), key=str)
     assert got == sorted([(0, 1, 5, "n", "replaced"), (1, 0, 1, "y", "kept"), (2, 3, 4, "w", "added"), (None, 1, 2, "z", "kept")], key=str)
+
+
+def test_actionable_patches_cut_texts_once(spark):
+    assert "regexp_extract_all" not in plan(review_queries.QUERIES["actionable_patches"](spark, SMALL))  # only when the tokens are stored
+
+
+def test_tokens_without_a_tag_count_as_outside(spark):
+    rows = spark.createDataFrame([(0, 0, "B-X"), (0, 1, "I-X"), (0, 7, "B-Y")], "doc_id long, i int, tag string")
+    span = "doc_id long, token_start int, token_stop int, label string"
+    entities = spark.createDataFrame([(0, 0, 2, "X"), (0, 7, 8, "Y")], span)
+    patches = spark.createDataFrame([(0, 0, 2, "X"), (0, 4, 6, "O"), (0, 6, 8, "O"), (0, 3, 5, "X"), (0, 7, 9, "Y")], span)
+    got = sorted(tuple(r)[1:] for r in review.actionable(patches, rows, entities, lacking="O").collect())
+    assert got == [(3, 5, "X"), (6, 8, "O"), (7, 9, "Y")]
