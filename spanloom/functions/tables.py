@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udf, udtf
+
+from .text import SPACES
 
 # The classes of ``functions.text``, spelled for the regex library.
 _SPACE = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
@@ -28,13 +33,40 @@ def token_pieces(text: str) -> Iterator[tuple[str, int, int]]:
         at = found.end()
 
 
-@udtf(returnType="i int, token string, start int, stop int", useArrow=True)
-class TokensOf:
-    """``tokens_of(text)``: a row for each token, with offsets from 0 and half open. Null and empty texts have none."""
+_TOKENS = pa.list_(pa.struct([("token", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+
+
+@cache
+def _tiles():
+    import regex
+
+    return regex.compile(f"{_SPACE}*{_TOKEN}")
+
+
+def token_arrays(texts: pa.Array) -> pa.Array:
+    """Each text's tokens as a list of (token, start, stop). Null and empty texts have none.
+
+    Tokens are made as columns: pieces that tile the texts, bare of the white
+    space before them, end where their lengths add up to.
+    """
+    cut, parts = _tiles().findall, []
+    for k in range(0, len(texts), 64):  # so many texts' pieces are Python objects at once
+        each = [cut(text or "") for text in texts.slice(k, 64).to_pylist()]
+        counts = np.array([len(x) for x in each], np.int64)
+        first = np.concatenate([[0], counts.cumsum()])
+        pieces = pa.array([p for x in each for p in x], pa.string())
+        token = pc.utf8_ltrim(pieces, SPACES)
+        ends = np.concatenate([[0], pc.utf8_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()])
+        stop = ends[1:] - np.repeat(ends[first[:-1]], counts)
+        start = stop - pc.utf8_length(token).to_numpy(zero_copy_only=False)
+        found = pa.StructArray.from_arrays([token, pa.array(start, pa.int32()), pa.array(stop, pa.int32())], fields=list(_TOKENS.value_type))
+        parts.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), found, type=_TOKENS))
+    return pa.concat_arrays(parts) if parts else pa.array([], _TOKENS)
+
 
-    def eval(self, text: str) -> Iterator[tuple]:
-        for i, piece in enumerate(token_pieces(text or "")):
-            yield i, *piece
+#: ``tokens_of(text)``: a row for each token, with offsets from 0 and half open. Null and empty texts have none.
+TOKENS_OF = """CREATE OR REPLACE TEMPORARY FUNCTION tokens_of(text STRING) RETURNS TABLE(i INT, token STRING, start INT, stop INT)
+  RETURN SELECT pos, col.token, col.start, col.stop FROM posexplode(spanloom_token_arrays(text))"""
 
 
 @udtf(returnType="`window` int, low int, high int", useArrow=True)
@@ -51,5 +83,6 @@ class WindowsOf:
 
 def register(spark: SparkSession) -> None:
     """Makes ``tokens_of`` and ``windows_of`` known to the session's SQL."""
-    spark.udtf.register("tokens_of", TokensOf)
+    spark.udf.register("spanloom_token_arrays", arrow_udf(token_arrays, "array<struct<token:string,start:int,stop:int>>"))
+    spark.sql(TOKENS_OF)
     spark.udtf.register("windows_of", WindowsOf)
