@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 # The 13 column names of annotated token files, in order.
 TOKEN_COLUMNS = "TOKEN NE-COARSE-LIT NE-COARSE-METO NE-FINE-LIT NE-FINE-METO NE-FINE-COMP NE-NESTED NEL-LIT NEL-METO RENDER SEG OCR-INFO MISC".split()
 
-#: Bytes of token files whose lines one task holds and sorts.
+#: Bytes of token files whose lines one task holds, if a file with more than a few such shares is dealt.
 SHARE = 8_000_000
 
 
@@ -57,25 +57,35 @@ def split_of(path: Column) -> Column:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(file, value) of token files to a row for each document: file, doc, its comments, the last of each name, and its lines."""
+    """(file, value) of token files to a row for each document: file, doc, its comments, the last of each name, and its token lines with their segments."""
     begins, header = ("language", "global.columns"), "\t".join(TOKEN_COLUMNS)
-    kinds = [pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
+    kinds = [pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
     for batch in batches:
         for file, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found, since = [({}, [])], False  # whether tokens came since the last comment that can begin a document
-            for line in re.split(r"\r?\n", value.as_py() or ""):
-                if not line.strip(" ") or line == header:
-                    continue
-                if not line.startswith("# "):
+            found, since = [({}, [], [])], False  # whether tokens came since the last comment that can begin a document
+            (comments, lines, segments), link, segment = found[0], None, 0
+            text = value.as_py() or ""
+            for line in re.split(r"\r?\n", text) if "\r" in text else text.split("\n"):
+                if line[:2] != "# ":
+                    if line == header or not line.strip(" "):
+                        continue
+                    if line.count("\t") != len(TOKEN_COLUMNS) - 1:
+                        raise ValueError(f"{file}: a token line needs 13 fields")
                     since = True
+                    lines.append(line)
+                    segments.append(segment)
                 elif named := re.match("# ([^ =]+) *=", line):
                     if named[1] in begins:
-                        found += [({}, [])] if since else []
+                        if since:
+                            found.append(({}, [], []))
+                            (comments, lines, segments), link, segment = found[-1], None, 0
                         since = False
-                    found[-1][0][named[1]] = re.sub("^# [^=]*= ?", "", line)
-                found[-1][1].append(line)
-            columns = [file] * len(found), range(len(found)), [list(c.items()) or None for c, _ in found], ["\n".join(x) for _, x in found]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["file", "doc", "comments", "lines"])
+                    said = re.sub("^# [^=]*= ?", "", line)
+                    comments[named[1]] = said
+                    if named[1] == "segment_iiif_link" and said != link:
+                        link, segment = said, segment + 1
+            columns = [file] * len(found), range(len(found)), [list(c.items()) or None for c, _, _ in found], [x for _, x, _ in found], [x for _, _, x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["file", "doc", "comments", "lines", "segments"])
 
 
 def read_token_files(spark: SparkSession, path: str, names: str = "*.tsv") -> DataFrame:
@@ -83,26 +93,22 @@ def read_token_files(spark: SparkSession, path: str, names: str = "*.tsv") -> Da
 
     A document begins at the file's start, at ``# language`` after tokens, or at
     a repeated ``# global.columns`` after tokens. A file is read as one value,
-    since its line order is what it says; it is cut into documents at once, and
-    these are dealt in shares, so that nothing sorts a file's lines.
+    since its line order is what it says, and is cut into documents at once, so
+    that nothing sorts lines. Documents stay where their file is read; only
+    where a file holds several shares they are dealt.
     """
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    size = files.agg(F.sum(F.octet_length("value"))).first()[0] or 0
-    docs = files.mapInArrow(_documents, "file string, doc long, comments map<string,string>, lines string")
-    docs = docs.repartition(1 + size // SHARE, "file", "doc")
-    lines = docs.select("file", "doc", "comments", F.posexplode(F.split("lines", "\n")).alias("n", "line"))
-    mine = W.partitionBy("file", "doc").orderBy("n")
-    comment = F.col("line").startswith("# ")
-    text = F.when(comment & (F.regexp_extract("line", r"^# ([^ =]+) *=", 1) == "segment_iiif_link"), F.regexp_replace("line", r"^# [^=]*= ?", ""))
-    link = F.last(text, ignorenulls=True).over(mine.rowsBetween(W.unboundedPreceding, 0))
-    lines = lines.withColumns({"comment": comment, "link": link})
-    new_segment = F.col("link").isNotNull() & ~F.col("link").eqNullSafe(F.lag("link").over(mine))
-    lines = lines.withColumn("segment", F.sum(new_segment.cast("int")).over(mine.rowsBetween(W.unboundedPreceding, 0)))
-    tokens = lines.filter("not comment and line <> ''").withColumn("i", F.row_number().over(mine) - 1).withColumn("cells", F.split("line", "\t"))
-    wrong = F.when(F.size("cells") != len(TOKEN_COLUMNS), F.raise_error(F.concat(F.col("file"), F.lit(": a token line needs 13 fields"))))
-    tokens = tokens.withColumn("cells", F.coalesce(wrong.cast("array<string>"), F.col("cells")))
-    named = [F.get("cells", F.lit(k)).alias(c.lower().replace("-", "_")) for k, c in enumerate(TOKEN_COLUMNS)]
-    return tokens.select("file", "doc", "i", *named, "segment", "comments", split_of(F.col("file")).alias("split"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(path)  # lengths only, nothing is read
+    bytes_ = F.col("length") * F.when(F.col("path").rlike(r"\.(gz|bz2|deflate|zst|lz4|snappy)$"), 8).otherwise(1)
+    size, most = found.agg(F.sum(bytes_), F.max(bytes_)).first()
+    docs = files.mapInArrow(_documents, "file string, doc long, comments map<string,string>, lines array<string>, segments array<long>")
+    if (most or 0) > 4 * SHARE:
+        docs = docs.repartition(1 + size // SHARE, "file", "doc")
+    docs = docs.filter("size(lines) > 0").withColumn("split", split_of(F.col("file")))  # what a document says is told once, not for each token
+    tokens = docs.select("file", "doc", "comments", "split", F.posexplode_outer(F.arrays_zip("lines", "segments")).alias("i", "t"))
+    field = lambda k: F.substring_index(F.substring_index("t.lines", "\t", k + 1), "\t", -1)
+    named = [field(k).alias(c.lower().replace("-", "_")) for k, c in enumerate(TOKEN_COLUMNS)]
+    return tokens.select("file", "doc", "i", *named, F.col("t.segments").alias("segment"), "comments", "split")
 
 
 def sorted_json(*columns: str) -> Column:
@@ -144,11 +150,17 @@ def token_lines(tokens: DataFrame, comments: dict[str, str], tag: str = "tag") -
     ``comments`` names columns by the comment that tells their value; the tag
     stands in the fine literal column, further columns hold an underscore.
     """
-    blank = ["_"] * len(TOKEN_COLUMNS)
-    cells = [F.col("token") if c == "TOKEN" else F.col(tag) if c == "NE-FINE-LIT" else F.lit(b) for c, b in zip(TOKEN_COLUMNS, blank, strict=True)]
-    rows = tokens.groupBy("doc_id", *set(comments.values()) - {"doc_id"}).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.concat_ws("\t", *cells).alias("line")))), lambda x: x["line"]).alias("lines"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", F.col("token").alias("t"), F.col(tag).alias("g"))))
+    return token_blocks(tokens.groupBy("doc_id", *set(comments.values()) - {"doc_id"}).agg(ordered.alias("_all")), comments, F.transform("_all", lambda x: x["t"]), F.transform("_all", lambda x: x["g"]))
+
+
+def token_blocks(docs: DataFrame, comments: dict[str, str], tokens: Column, tags: Column) -> DataFrame:
+    """The same for documents as rows, whose tokens and tags are arrays of one size."""
+    at = TOKEN_COLUMNS.index("NE-FINE-LIT")
+    before, after = "\t" + "_\t" * (at - 1), "\t_" * (len(TOKEN_COLUMNS) - at - 1)
+    lines = F.zip_with(tokens, tags, lambda t, g: F.concat(F.coalesce(t, F.lit("")), F.lit(before), F.coalesce(g, F.lit("")), F.lit(after)))
     head = [F.lit("# global.columns = " + " ".join(TOKEN_COLUMNS)), *[F.concat(F.lit(f"# {k} = "), F.col(v).cast("string")) for k, v in comments.items()], F.lit("\t".join(TOKEN_COLUMNS))]
-    return rows.select("doc_id", F.array_join(F.concat(F.array(*head), "lines", F.array(F.lit(""))), "\n").alias("block"))
+    return docs.select("doc_id", F.array_join(F.concat(F.array(*head), lines, F.array(F.lit(""))), "\n").alias("block"))
 
 
 def token_file_text(docs: DataFrame) -> DataFrame:
