@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,13 @@ def _tiles():
     return regex.compile(f"{_SPACE}*{_TOKEN}")
 
 
+def token_columns(text: str) -> tuple[list[str], list[int], list[int]]:
+    """A text's tokens, their starts and their stops."""
+    pieces = _tiles().findall(text)
+    tokens, stops = [p.lstrip(SPACES) for p in pieces], list(accumulate(map(len, pieces)))
+    return tokens, [b - len(t) for b, t in zip(stops, tokens, strict=True)], stops
+
+
 def token_arrays(texts: pa.Array) -> pa.Array:
     """Each text's tokens as a list of (token, start, stop). Null and empty texts have none.
 

@@ -8,11 +8,15 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.functions.tables import token_pieces
+from spanloom.functions.tables import token_columns
 from spanloom.functions.text import LABEL_ALIASES, canonical_label, json_string_kept, strip_tags
+from spanloom.sources.scratch import kept as stored
+
+from .tokens import hinted
 
 # States of a review whose row is exported, with and without spans.
 ACCEPTED, NEGATIVE = ("auto_accepted", "accepted"), ("rejected",)
@@ -79,11 +83,11 @@ def _rows(batches: Iterator[pa.RecordBatch], narrowed: str | None, at: tuple[int
     prefix = re.compile(narrowed) if narrowed else None
 
     def one(text: str, spans: list[dict], fragments: list[str]) -> tuple:
-        pieces = list(token_pieces(text))
-        starts, stops = [p[1] for p in pieces], [p[2] for p in pieces]
+        tokens, starts, stops = token_columns(text)
+        n = len(text)
         text, spans = with_fragments(text, spans, fragments, starts, stops)
-        pieces = list(token_pieces(text))
-        tokens, starts, stops = ([p[k] for p in pieces] for k in range(3))
+        more = token_columns(text[n:])  # white space stands before what is added, so the tokens before it stay
+        tokens, starts, stops = tokens + more[0], starts + [n + a for a in more[1]], stops + [n + b for b in more[2]]
         first, last = {a: k for k, a in enumerate(starts)}, {b: k + 1 for k, b in enumerate(stops)}
         for turn in range(2):
             good = [p for s in spans if (p := placed(s, text, first, last, starts, stops))]
@@ -142,15 +146,15 @@ def export_rows(rows: DataFrame, aliases: dict[str, str] = LABEL_ALIASES, narrow
     kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(span), pa.string()]
     n = len(kept)
     done = chosen.mapInArrow(partial(_rows, narrowed=narrowed, at=(n, n + 1, n + 2), kept=list(range(n)), names=schema.names, kinds=kinds), schema)
+    # ids are told by all rows: they are found on a few short columns, and meet what was made, which is stored, by its number
+    done = stored(done.withColumn("_at", F.monotonically_increasing_id()), "exported")
     number = lambda c: c.cast("string")
     listed = F.transform("spans", lambda s: F.concat(F.lit('{"label": '), json_string_kept(s["label"]), F.lit(', "start": '), number(s["start"]), F.lit(', "stop": '), number(s["stop"]), F.lit(', "token_start": '), number(s["token_start"]), F.lit(', "token_stop": '), number(s["token_stop"]), F.lit("}")))
     payload = F.concat(F.lit('{"id": '), json_string_kept(F.col("source_id")), F.lit(', "spans": ['), F.array_join(listed, ", "), F.lit('], "text": '), json_string_kept(F.col("text")), F.lit("}"))
-    named = done.withColumn("digest", F.sha1(payload))
-    many = named.filter("fault is null").groupBy("source_id").agg(F.count(F.lit(1)).alias("many"))
-    named = named.join(many, "source_id", "left").withColumn("id", F.when(F.col("many") > 1, F.concat("source_id", F.lit("#snippet-"), F.substring("digest", 1, 10))).otherwise(F.col("source_id"))).drop("many")
     other = F.sha1(F.to_json(F.struct(*extra, "negative", "digest"), {"ignoreNullFields": "false"}))
-    one = F.struct(*[c for c in schema.names if c != "fault"])
-    good = named.filter("fault is null").withColumn("other", other).groupBy("id").agg(F.min_by(one, "other").alias("r"), F.min("other").alias("low"), F.max("other").alias("high"))
-    good = good.select("id", "r.*", F.when(F.col("low") != F.col("high"), "conflict").alias("fault"))
-    columns = ["source_id", "id", *[c for c in schema.names if c != "source_id"]]
-    return good.select(*columns).unionByName(named.filter("fault is not null").select(*columns))
+    named = done.withColumn("digest", F.sha1(payload)).select("_at", "source_id", "fault", "digest", other.alias("other"))
+    many = F.count(F.when(F.col("fault").isNull(), 1)).over(W.partitionBy("source_id"))
+    named = named.withColumn("id", F.when(many > 1, F.concat("source_id", F.lit("#snippet-"), F.substring("digest", 1, 10))).otherwise(F.col("source_id")))
+    good = named.filter("fault is null").groupBy("id").agg(F.min_by("_at", "other").alias("_at"), F.when(F.min("other") != F.max("other"), "conflict").alias("fault"))
+    ids = stored(good.select("_at", "id", "fault").unionByName(named.filter("fault is not null").select("_at", "id", "fault")), "ids")
+    return done.drop("fault").join(hinted(ids, 500_000), "_at").select("source_id", "id", *[c for c in schema.names if c not in ("source_id", "fault")], "fault")

@@ -145,3 +145,13 @@ def test_segments_of_token_files(spark, tmp_path):
     (tmp_path / "y-test.tsv").write_text("a\tb", encoding="utf-8")
     with pytest.raises(Exception, match="13 fields"):
         files.read_token_files(spark, str(tmp_path)).collect()
+
+
+def test_rows_are_exported_once(spark):
+    assert "MapInArrow" not in plan(service_queries.QUERIES["exported_rows"](spark, SMALL))  # only when they are stored
+    for text in ("", "a  b\n", "x_1 é\t", "\U0001d54f"):
+        for more in ("", "\n...\nfrom y", "\n...\n "):
+            tokens, starts, stops = tables.token_columns(text)
+            added = tables.token_columns(more)
+            moved = [(t, a + len(text), b + len(text)) for t, a, b in zip(*added, strict=True)]
+            assert [*zip(tokens, starts, stops, strict=True), *moved] == list(tables.token_pieces(text + more))
