@@ -135,7 +135,9 @@ def test_token_files_are_compressed_and_read_without_a_shuffle(spark):
     assert rows(found.drop("split").toDF("a", "b", "c", "d", "e")) == rows(whole.toDF("a", "b", "c", "d", "e"))
 
 
-def test_segments_of_token_files(spark, tmp_path):
+@pytest.mark.parametrize("share", [files.SHARE, 10])
+def test_segments_of_token_files(spark, tmp_path, monkeypatch, share):
+    monkeypatch.setattr(files, "SHARE", share)  # a file of many shares is dealt
     line = lambda token: "\t".join([token, *["_"] * 12])
     link = lambda x: f"# segment_iiif_link = {x}"
     text = ["# language = de", link("u"), line("a"), link("u"), line("b"), "# other", link(""), line("c"), "  ", link("u"), line("d"), "# language = fr", line("e"), link("u"), line("#")]
